@@ -131,3 +131,97 @@ TABLES["accesslog"] = "select event_id, ts event_ts, user_id, event_type action,
 TABLES["usermap"] = """select user_id, entity_key, entity_code, user_id % 10 <> 0 is_active,
  case user_id % 3 when 0 then 'CEO' when 1 then 'CFO' else 'AUDITOR' end "role"
  from (select distinct user_id from events) join ents on entity_key % 5 = user_id % 5"""
+
+# ---- statements -------------------------------------------------------------------------------------------------
+_PL = {"revenue": ("l1_category = 'Revenue'", "signed"), "cogs": ("l1_category = 'COGS'", "signed"),
+       "opex_total": ("l1_category = 'OPEX'", "signed"), "depreciation_amortisation": ("pl_line_item = 'DA'", "signed"),
+       "financial_income": ("pl_line_item = 'Fin_Income'", "signed"), "financial_expense": ("pl_line_item = 'Fin_Expense'", "signed"),
+       "tax_expense": ("pl_line_item = 'Tax'", "signed"), "revenue_eur": ("l1_category = 'Revenue'", "net_eur")}
+
+
+def _sums(extra=""):
+    return ", ".join(f"cast(sum(case when {c}{extra} then {v} else 0 end) as decimal(38,2)) {n}" for n, (c, v) in _PL.items())
+
+
+TABLES["t_act"] = f"""select period_key, entity_key, 'entity' consolidation_scope, {_sums()} from tbm group by period_key, entity_key
+ union all select period_key, entity_key, 'group', {_sums(' and not is_intercompany')} from tbm group by period_key, entity_key"""
+TABLES["t_bline"] = """select period_key, entity_key, b.account_code, l1_category, pl_line_item, cast(sum(budget_amount) as decimal(38,2)) budget_amount
+ from bud b join coa c on b.account_code = c.account_code where budget_version = 'ORIGINAL_BUDGET' group by all"""
+TABLES["t_btot"] = """select period_key, entity_key, cast(sum(case when l1_category = 'Revenue' then budget_amount else 0 end) as decimal(38,2)) revenue_budget,
+ cast(sum(case when l1_category = 'COGS' then budget_amount else 0 end) as decimal(38,2)) cogs_budget,
+ cast(sum(case when l1_category = 'OPEX' then budget_amount else 0 end) as decimal(38,2)) opex_budget,
+ cast(sum(case when l1_category = 'OPEX' and pl_line_item <> 'DA' then budget_amount else 0 end) as decimal(38,2)) cash_opex_budget
+ from t_bline group by all"""
+TABLES["t_pl"] = f"""select a.*, a.revenue - a.cogs gross_profit, {ratio('(a.revenue - a.cogs)', 'a.revenue', 4, 100, '0')} gross_margin_pct,
+ a.revenue - a.cogs - a.opex_total ebit, a.revenue - a.cogs - a.opex_total + a.depreciation_amortisation ebitda,
+ {ratio('(a.revenue - a.cogs - a.opex_total + a.depreciation_amortisation)', 'a.revenue', 4, 100, '0')} ebitda_margin_pct,
+ a.financial_income - a.financial_expense net_financial_items,
+ a.revenue - a.cogs - a.opex_total + a.financial_income - a.financial_expense - a.tax_expense net_profit,
+ b.revenue_budget, b.cogs_budget, a.revenue - b.revenue_budget revenue_variance,
+ {ratio('(a.revenue - b.revenue_budget)', 'b.revenue_budget', 4, 100)} revenue_variance_pct, y.revenue revenue_py, a.revenue - y.revenue revenue_yoy,
+ {ratio('(a.revenue - y.revenue)', 'y.revenue', 4, 100)} revenue_yoy_pct
+ from t_act a left join t_btot b on a.period_key = b.period_key and a.entity_key = b.entity_key
+ left join t_act y on a.period_key = y.period_key + 100 and a.entity_key = y.entity_key and a.consolidation_scope = y.consolidation_scope"""
+_CS = lambda cond, n: f"cast(sum(case when {cond} then signed else 0 end) as decimal(38,2)) {n}"
+TABLES["t_comp0"] = f"""select *, revenue - cogs gross_profit, opex_personnel + opex_depreciation + opex_other opex_total,
+ revenue - cogs + other_operating_income - opex_personnel - opex_other ebitda,
+ revenue - cogs + other_operating_income - opex_personnel - opex_other - opex_depreciation ebit, financial_expense - financial_income net_interest_expense,
+ revenue - cogs + other_operating_income - opex_personnel - opex_other - opex_depreciation + financial_income - financial_expense profit_before_tax,
+ revenue - cogs + other_operating_income - opex_personnel - opex_other - opex_depreciation + financial_income - financial_expense - tax_expense net_profit
+ from (select period_key, entity_key, {_CS("l1_category = 'Revenue'", 'revenue')}, {_CS("pl_line_item = 'Other Operating Income'", 'other_operating_income')},
+ {_CS("l1_category = 'COGS'", 'cogs')}, {_CS("l2_subcategory = 'Payroll' and l1_category = 'OPEX'", 'opex_personnel')}, {_CS("pl_line_item = 'DA'", 'opex_depreciation')},
+ {_CS("l1_category = 'OPEX' and l2_subcategory not in ('Payroll', 'Depreciation')", 'opex_other')}, {_CS("pl_line_item = 'Fin_Income'", 'financial_income')},
+ {_CS("pl_line_item = 'Fin_Expense'", 'financial_expense')}, {_CS("pl_line_item = 'Tax'", 'tax_expense')}, cast(sum(postings) as bigint) transaction_count
+ from tbm group by all)"""
+_YTD = lambda n: f"cast(sum({n}) over (partition by a.entity_key, a.period_key // 100 order by a.period_key rows unbounded preceding) as decimal(38,2))"
+TABLES["t_comp"] = f"""select a.*, {ratio('a.gross_profit', 'a.revenue', 4, 1, '0')} gross_margin_ratio, {ratio('a.ebitda', 'a.revenue', 4, 1, '0')} ebitda_margin_ratio,
+ {ratio('a.ebit', 'a.revenue', 4, 1, '0')} ebit_margin_ratio, {ratio('a.net_profit', 'a.revenue', 4, 1, '0')} net_profit_margin_ratio,
+ b.revenue_budget, b.cogs_budget, b.opex_budget, b.revenue_budget - b.cogs_budget - b.cash_opex_budget ebitda_budget,
+ b.revenue_budget - b.cogs_budget - b.opex_budget net_profit_budget, y.revenue revenue_py, y.ebitda ebitda_py, y.net_profit net_profit_py,
+ a.revenue - b.revenue_budget revenue_variance, {ratio('(a.revenue - b.revenue_budget)', 'b.revenue_budget', 4)} revenue_variance_ratio,
+ a.ebitda - (b.revenue_budget - b.cogs_budget - b.cash_opex_budget) ebitda_variance,
+ {ratio('(a.ebitda - (b.revenue_budget - b.cogs_budget - b.cash_opex_budget))', '(b.revenue_budget - b.cogs_budget - b.cash_opex_budget)', 4)} ebitda_variance_ratio,
+ {ratio('(a.revenue - y.revenue)', 'y.revenue', 4)} revenue_yoy_ratio, {ratio('(a.ebitda - y.ebitda)', 'y.ebitda', 4)} ebitda_yoy_ratio,
+ {_YTD('a.revenue')} revenue_ytd, {_YTD('a.ebitda')} ebitda_ytd, {_YTD('a.net_profit')} net_profit_ytd, {_YTD('b.revenue_budget')} revenue_budget_ytd, {_YTD('y.revenue')} revenue_py_ytd
+ from t_comp0 a left join t_btot b on a.period_key = b.period_key and a.entity_key = b.entity_key
+ left join t_comp0 y on a.period_key = y.period_key + 100 and a.entity_key = y.entity_key"""
+_CB = lambda cond, n, v="closing_balance", sign="": f"{sign}cast(sum(case when {cond} then {v} else 0 end) as decimal(38,2)) {n}"
+_N = lambda p: f"universal_node like '{p}%'"
+TABLES["t_buckets"] = f"""select period_key, entity_key, {_CB(_N('ASSET.CURRENT'), 'current_assets')}, {_CB(_N('ASSET.CURRENT.CASH'), 'cash')},
+ {_CB(_N('ASSET.CURRENT.RECEIVABLES'), 'trade_receivables')}, {_CB(_N('ASSET.CURRENT.INVENTORY'), 'inventory')}, {_CB(_N('ASSET.NONCURRENT'), 'noncurrent_assets')},
+ {_CB(_N('LIABILITY.CURRENT'), 'current_liabilities')}, {_CB(_N('LIABILITY.CURRENT.PAYABLES'), 'trade_payables')}, {_CB(_N('LIABILITY.NONCURRENT'), 'noncurrent_liabilities')},
+ {_CB(_N('LIABILITY.NONCURRENT.DEBT') + ' or ' + _N('LIABILITY.CURRENT.DEBT'), 'total_debt')}, {_CB("account_type = 'Equity'", 'total_equity')},
+ {_CB("account_type = 'Asset'", 'total_assets')} from bs_nodes group by all"""
+TABLES["t_wide0"] = f"""select *, intangible_assets + tangible_assets + financial_investments total_fixed_assets, trade_receivables + other_receivables total_receivables,
+ inventory + trade_receivables + other_receivables + securities + cash_and_equivalents total_current_assets, share_capital + retained_earnings + profit_for_period total_equity,
+ short_term_debt + trade_payables + other_current_liabilities total_current_liabilities, long_term_debt + short_term_debt - cash_and_equivalents net_debt
+ from (select period_key, entity_key, {_CB(_N('ASSET.NONCURRENT.INTANGIBLE'), 'intangible_assets')},
+ {_CB(_N('ASSET.NONCURRENT.PPE') + ' or ' + _N('ASSET.NONCURRENT.ACCUMULATED'), 'tangible_assets')}, {_CB(_N('ASSET.NONCURRENT.FINANCIAL'), 'financial_investments')},
+ {_CB(_N('ASSET.CURRENT.INVENTORY'), 'inventory')}, {_CB(_N('ASSET.CURRENT.RECEIVABLES.TRADE'), 'trade_receivables')},
+ {_CB(_N('ASSET.CURRENT.RECEIVABLES') + " and universal_node not like 'ASSET.CURRENT.RECEIVABLES.TRADE%'", 'other_receivables')}, {_CB(_N('ASSET.CURRENT.SECURITIES'), 'securities')},
+ {_CB(_N('ASSET.CURRENT.CASH'), 'cash_and_equivalents')}, {_CB(_N('ASSET.CURRENT.PREPAYMENTS'), 'accrued_income')}, {_CB(_N('EQUITY.SHARE_CAPITAL'), 'share_capital')},
+ {_CB(_N('EQUITY.RETAINED_EARNINGS'), 'retained_earnings')}, {_CB(_N('EQUITY.CURRENT_YEAR_PROFIT'), 'profit_for_period')}, {_CB(_N('LIABILITY.NONCURRENT.DEBT'), 'long_term_debt')},
+ {_CB(_N('LIABILITY.CURRENT.DEBT'), 'short_term_debt')}, {_CB(_N('LIABILITY.CURRENT.PAYABLES'), 'trade_payables')}, {_CB(_N('LIABILITY.CURRENT.OTHER'), 'other_current_liabilities')}
+ from bs_nodes group by all)"""
+TABLES["t_wide1"] = """select *, total_fixed_assets + total_current_assets + accrued_income total_assets, total_equity + long_term_debt + total_current_liabilities total_liabilities_equity,
+ total_current_assets - trade_payables - other_current_liabilities net_working_capital,
+ total_fixed_assets + total_current_assets + accrued_income - (total_equity + long_term_debt + total_current_liabilities) balance_check from t_wide0"""
+TABLES["t_wide"] = """select a.*, y.total_assets total_assets_py, y.total_equity total_equity_py, y.trade_receivables trade_receivables_py, y.inventory inventory_py,
+ y.trade_payables trade_payables_py, y.cash_and_equivalents cash_and_equivalents_py
+ from t_wide1 a left join t_wide1 y on a.entity_key = y.entity_key and a.period_key = y.period_key + 100"""
+_CM = lambda cond, n, sign="": f"cast({sign}sum(case when {cond} then period_movement else 0 end) as decimal(38,2)) {n}"
+_NOT = lambda p: f"universal_node not like '{p}%'"
+TABLES["t_cfm"] = f"""select period_key, entity_key, {_CM(_N('ASSET.CURRENT.RECEIVABLES'), 'delta_receivables', '-')}, {_CM(_N('ASSET.CURRENT.INVENTORY'), 'delta_inventory', '-')},
+ {_CM(_N('LIABILITY.CURRENT.PAYABLES'), 'delta_payables')},
+ {_CM(' and '.join([_N('ASSET.CURRENT'), _NOT('ASSET.CURRENT.CASH'), _NOT('ASSET.CURRENT.RECEIVABLES'), _NOT('ASSET.CURRENT.INVENTORY')]), 'delta_other_current_assets', '-')},
+ {_CM(_N('LIABILITY.CURRENT') + ' and ' + _NOT('LIABILITY.CURRENT.PAYABLES'), 'delta_other_current_liabilities')},
+ {_CM(_N('ASSET.NONCURRENT.PPE') + ' or ' + _N('ASSET.NONCURRENT.INTANGIBLE'), 'capex', '-')}, {_CM(_N('ASSET.NONCURRENT.FINANCIAL'), 'financial_investments', '-')},
+ {_CM(_N('LIABILITY.NONCURRENT.DEBT'), 'net_debt_change')}, {_CM(_N('EQUITY') + ' and ' + _NOT('EQUITY.RETAINED_EARNINGS'), 'equity_transactions')},
+ cast(sum(closing_balance) filter (where {_N('ASSET.CURRENT.CASH')}) as decimal(38,2)) closing_cash,
+ cast(sum(closing_balance - period_movement) filter (where {_N('ASSET.CURRENT.CASH')}) as decimal(38,2)) opening_cash from bs_nodes group by all"""
+TABLES["t_cf"] = """select *, investing_cash_flow + financing_cash_flow + operating_cash_flow net_cash_movement from (
+ select p.period_key, p.entity_key, p.consolidation_scope, p.net_profit, p.depreciation_amortisation add_back_da, m.* exclude (period_key, entity_key),
+ net_profit + depreciation_amortisation + delta_receivables + delta_inventory + delta_payables + delta_other_current_assets + delta_other_current_liabilities operating_cash_flow,
+ capex + financial_investments investing_cash_flow, net_debt_change + equity_transactions financing_cash_flow,
+ net_profit + depreciation_amortisation + delta_receivables + delta_inventory + delta_payables + delta_other_current_assets + delta_other_current_liabilities + capex free_cash_flow
+ from t_pl p left join t_cfm m on p.period_key = m.period_key and p.entity_key = m.entity_key)"""

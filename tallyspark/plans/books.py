@@ -10,11 +10,11 @@ from __future__ import annotations
 import threading
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.money import TIE_NUDGE, amount
 from ..functions.periods import month_index, period_of_date, period_of_index
-from ..operators import fx as fx_ops
+from ..operators import accounts as acc, fx as fx_ops, kpi, staging, statements as st
 from ..session import fresh_path
 from . import constants as K
 
@@ -262,7 +262,6 @@ class Books:
         last = AS_OF_INDEX
         grid = moves.groupBy("entity_key", "account_code").agg(F.min("mi").alias("first")).select(
             "entity_key", "account_code", F.explode(F.sequence(F.col("first"), F.lit(last))).alias("mi"))
-        from pyspark.sql import Window
         run = Window.partitionBy("entity_key", "account_code").orderBy("mi").rowsBetween(Window.unboundedPreceding, 0)
         month = F.col("mi") % 12 + 1
         return (
@@ -295,6 +294,61 @@ class Books:
                     (F.col("py") * F.when(unit_error, (F.col("v.f") * dec("0.001")).cast("decimal(8,5)")).otherwise(F.col("v.f"))).cast("decimal(28,2)").alias("budget_amount"))
         )
 
+    # ---- statements ---------------------------------------------------------------------------------------------
+    @cached_property
+    def mapped(self) -> DataFrame:
+        return acc.map_accounts(self.trial_balance, self.accounts)
+
+    @cached_property
+    def budget(self) -> DataFrame:
+        return staging.stage_budget(self.budget_upload)
+
+    @cached_property
+    def budget_lines(self) -> DataFrame:
+        return st.budget_by_line(self.budget, self.accounts)
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        return st.balance_sheet_nodes(staging.stage_balance_sheet(self.balance_upload), self.accounts)
+
+    @cached_property
+    def pl(self) -> DataFrame:
+        return st.pl_monthly(st.pl_actuals(self.mapped), self.budget_lines)
+
+    @cached_property
+    def components(self) -> DataFrame:
+        return st.pl_components(self.mapped, self.budget_lines)
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        return st.balance_sheet_wide(self.nodes)
+
+    @cached_property
+    def buckets(self) -> DataFrame:
+        return st.bs_buckets(self.nodes)
+
+    @cached_property
+    def cashflow(self) -> DataFrame:
+        return st.cashflow_indirect(self.pl, st.cashflow_movements(self.nodes))
+
+    @cached_property
+    def profitability(self) -> DataFrame:
+        return kpi.profitability(self.pl, self.buckets)
+
+    @cached_property
+    def liquidity(self) -> DataFrame:
+        return kpi.liquidity(self.buckets, self.pl, self.cashflow)
+
+    @cached_property
+    def cash_kpis(self) -> DataFrame:
+        return kpi.cash_kpis(self.cashflow, self.pl, self.buckets)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """Fiscal calendar: months with postings per entity; odd entities closed their books one year earlier."""
+        return self.trial_balance.select("entity_key", "period_key").distinct().withColumn(
+            "is_closed", F.col("period_key") < K.CLOSED_BEFORE - (F.col("entity_key") % 2) * 100)
+
     # ---- access -------------------------------------------------------------------------------------------------
     @cached_property
     def access_log(self) -> DataFrame:
