@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["statement_queries"]
+MODULES = ["statement_queries", "kpi_queries"]
 
 
 def _load():

@@ -225,3 +225,77 @@ TABLES["t_cf"] = """select *, investing_cash_flow + financing_cash_flow + operat
  capex + financial_investments investing_cash_flow, net_debt_change + equity_transactions financing_cash_flow,
  net_profit + depreciation_amortisation + delta_receivables + delta_inventory + delta_payables + delta_other_current_assets + delta_other_current_liabilities + capex free_cash_flow
  from t_pl p left join t_cfm m on p.period_key = m.period_key and p.entity_key = m.entity_key)"""
+
+# ---- ratios -----------------------------------------------------------------------------------------------------
+TABLES["t_bslag"] = """select *, lag(total_assets) over w prior_total_assets, lag(total_equity) over w prior_total_equity, lag(cash) over w prior_cash
+ from t_buckets window w as (partition by entity_key order by period_key)"""
+TABLES["t_prof"] = f"""select p.period_key, p.entity_key, consolidation_scope, revenue, revenue_eur, gross_profit, gross_margin_pct, ebitda, ebitda_margin_pct, net_profit,
+ {ratio('net_profit', 'revenue', 4, 100)} net_profit_margin_pct,
+ {ratio('net_profit', '(cast(total_assets + prior_total_assets as double) / 2)', 4, 100)} roa_pct, {ratio('net_profit', '(cast(total_equity + prior_total_equity as double) / 2)', 4, 100)} roe_pct,
+ total_assets, total_equity, total_debt, cash, total_debt - cash net_debt, total_equity + total_debt - cash invested_capital,
+ {ratio('(cast(ebit as double) * (1 - 0.09::double))', '(total_equity + total_debt - cash)', 4, 100)} roic_pct,
+ revenue_budget, revenue_variance, revenue_variance_pct, revenue_py, revenue_yoy, revenue_yoy_pct
+ from t_pl p left join t_bslag b on p.period_key = b.period_key and p.entity_key = b.entity_key"""
+_D30 = lambda b, f: f"cast({b} as double) / (cast({f} as double) / 30.0::double)"
+_RN = lambda e, n: f"round(({e}) * {TIE}, {n})"
+TABLES["t_liq"] = f"""select b.period_key, b.entity_key, s.consolidation_scope, {ratio('current_assets', 'current_liabilities', 4)} current_ratio,
+ {ratio('(current_assets - inventory)', 'current_liabilities', 4)} quick_ratio,
+ case when revenue <> 0 then {_RN(_D30('trade_receivables', 'revenue'), 1)} end dso_days, case when cogs <> 0 then {_RN(_D30('trade_payables', 'cogs'), 1)} end dpo_days,
+ case when cogs <> 0 then {_RN(_D30('inventory', 'cogs'), 1)} end dio_days,
+ case when revenue <> 0 and cogs <> 0 then {_RN(_D30('trade_receivables', 'revenue') + ' + ' + _D30('inventory', 'cogs') + ' - ' + _D30('trade_payables', 'cogs'), 1)} end cash_conversion_cycle_days,
+ total_debt - cash net_debt, cast(ebitda_ltm as decimal(38,2)) ebitda_ltm, {ratio('(total_debt - cash)', 'ebitda_ltm', 2)} net_debt_ebitda,
+ case when net_financial_items < 0 then {ratio('ebit', 'abs(net_financial_items)', 2)} end interest_coverage,
+ {ratio('total_equity', 'total_assets', 2, 100)} equity_ratio_pct, {ratio('(total_debt - cash)', '(total_debt - cash + total_equity)', 2, 100)} gearing_ratio_pct,
+ current_assets, current_liabilities, trade_receivables, inventory, trade_payables, total_debt, total_equity, total_assets, cash,
+ operating_cash_flow, free_cash_flow, capex, {ratio('abs(capex)', 'revenue', 2, 100)} capex_intensity_pct
+ from t_buckets b cross join (values ('entity'), ('group')) s(consolidation_scope)
+ left join (select *, sum(ebitda) over (partition by entity_key, consolidation_scope order by period_key rows between 11 preceding and current row) ebitda_ltm from t_pl) p
+  on p.period_key = b.period_key and p.entity_key = b.entity_key and p.consolidation_scope = s.consolidation_scope
+ left join (select period_key pk, entity_key ek, consolidation_scope cs, operating_cash_flow, free_cash_flow, capex from t_cf) f
+  on f.pk = b.period_key and f.ek = b.entity_key and f.cs = s.consolidation_scope"""
+_ANN = lambda b, f: f"cast({b} as double) / (cast({f} as double) * 12 / 365.0::double)"
+_STOCK = "coalesce(cast(inventory + inventory_py as double) / 2, cast(inventory as double))"
+_SVC = "(abs(coalesce(cast(debt_repayments as double), 0)) + coalesce(cast(net_interest_expense as double), 0))"
+_DEBTBASE = "coalesce(cast(ebitda_ytd as double), cast(ebitda_py as double), cast(ebitda as double) * 12)"
+TABLES["t_liqa"] = f"""select w.period_key, w.entity_key, case when revenue <> 0 then {_RN(_ANN('trade_receivables', 'revenue'), 4)} end dso_days,
+ case when cogs <> 0 then {_RN(_ANN('inventory', 'cogs'), 4)} end dio_days, case when cogs <> 0 then {_RN(_ANN('trade_payables', 'cogs'), 4)} end dpo_days,
+ case when revenue <> 0 and cogs <> 0 then {_RN(_ANN('trade_receivables', 'revenue') + ' + ' + _ANN('inventory', 'cogs') + ' - ' + _ANN('trade_payables', 'cogs'), 4)} end cash_conversion_cycle,
+ {ratio('net_debt', _DEBTBASE, 4)} net_debt_to_ebitda, {ratio('ebit', 'net_interest_expense', 4)} interest_coverage,
+ case when {_SVC} > 0 then {ratio('ebitda', _SVC, 4)} end debt_service_coverage, {ratio('total_equity', 'total_assets', 4, 100)} equity_ratio_pct,
+ {ratio('net_debt', '(net_debt + total_equity)', 4)} gearing_ratio, {ratio('(cast(cogs as double) * 12)', _STOCK, 4)} inventory_turnover,
+ {ratio('(cast(gross_profit as double) * 12)', _STOCK, 4)} gmroi
+ from t_wide w left join (select period_key pk, entity_key ek, revenue, cogs, gross_profit, ebitda, ebitda_ytd, ebitda_py, ebit, net_interest_expense from t_comp) p on p.pk = w.period_key and p.ek = w.entity_key
+ left join (select period_key pk2, entity_key ek2, least(net_debt_change, 0) debt_repayments from t_cf where consolidation_scope = 'entity') f on f.pk2 = w.period_key and f.ek2 = w.entity_key"""
+TABLES["t_dso3"] = f"""select b.period_key, b.entity_key, {ratio('trade_receivables', '(cast(r3 as double) / 90)', 4)} dso_days, {ratio('trade_payables', '(cast(c3 as double) / 90)', 4)} dpo_days
+ from t_buckets b left join (select period_key pk, entity_key ek, sum(revenue) over w r3, sum(cogs) over w c3 from t_pl where consolidation_scope = 'entity'
+  window w as (partition by entity_key order by (period_key // 100) * 12 + period_key % 100 range between 2 preceding and current row)) p on pk = b.period_key and ek = b.entity_key"""
+TABLES["t_ck"] = f"""select c.period_key, c.entity_key, c.consolidation_scope, operating_cash_flow, investing_cash_flow, financing_cash_flow, net_cash_movement, free_cash_flow, capex,
+ {ratio('operating_cash_flow', 'revenue', 2, 100)} ocf_margin_pct, {ratio('abs(capex)', 'revenue', 2, 100)} capex_intensity_pct, {ratio('operating_cash_flow', 'ebitda', 2, 100)} cf_conversion_pct,
+ cast(case when operating_cash_flow < 0 then abs(operating_cash_flow) else 0 end as decimal(38,2)) monthly_burn_rate,
+ case when operating_cash_flow < 0 then {ratio('b.cash', 'abs(operating_cash_flow)', 1)} end cash_runway_months,
+ case when operating_cash_flow > 0 then {ratio('abs(capex)', 'operating_cash_flow', 2, 100)} end reinvestment_rate_pct,
+ case when free_cash_flow < 0 then abs(free_cash_flow) end cash_burn_rate_fcf, {ratio('free_cash_flow', 'revenue', 4, 100)} fcf_margin_pct,
+ cast(sum(operating_cash_flow) over w as decimal(38,2)) ocf_ltm, cast(sum(free_cash_flow) over w as decimal(38,2)) fcf_ltm, cast(sum(capex) over w as decimal(38,2)) capex_ltm,
+ {ratio('(sum(free_cash_flow) over w)', 'revenue', 2, 100)} fcf_margin_ltm_pct, b.cash cash_and_equivalents, b.prior_cash prior_cash_balance,
+ b.cash - coalesce(b.prior_cash, 0) cash_movement_period
+ from t_cf c left join (select period_key pk, entity_key ek, consolidation_scope cs, revenue, ebitda from t_pl) p on pk = c.period_key and ek = c.entity_key and cs = c.consolidation_scope
+ left join t_bslag b on b.period_key = c.period_key and b.entity_key = c.entity_key
+ window w as (partition by c.entity_key, c.consolidation_scope order by c.period_key rows between 11 preceding and current row)"""
+_PA = "t.account_code = c.account_code"
+TABLES["t_proj0"] = f"""select t.period_key, t.entity_key, t.project, sum(t.postings) postings,
+ cast(sum(case when l1_category = 'Revenue' then -net else 0 end) as decimal(38,2)) project_revenue, cast(sum(case when l1_category = 'COGS' then net else 0 end) as decimal(38,2)) project_cogs,
+ cast(sum(case when l1_category in ('COGS', 'OPEX') and (l2_subcategory like '%Labour%' or l2_subcategory like '%Payroll%' or l2_subcategory like '%Salary%') then net else 0 end) as decimal(38,2)) project_labour_cost,
+ cast(sum(case when l1_category = 'OPEX' and l2_subcategory not like '%Labour%' and l2_subcategory not like '%Payroll%' and l2_subcategory not like '%Salary%' then net else 0 end) as decimal(38,2)) project_nonlabour_cost,
+ cast(sum(case when l1_category in ('COGS', 'OPEX') then net else 0 end) as decimal(38,2)) project_total_cost,
+ cast(sum(case when l1_category = 'Revenue' then -net_eur else 0 end) as decimal(38,2)) project_revenue_eur,
+ cast(sum(case when l1_category in ('COGS', 'OPEX') then net_eur else 0 end) as decimal(38,2)) project_total_cost_eur,
+ cast(sum(case when account_type = 'Expense' then net else 0 end) as decimal(38,2)) project_expense
+ from tbx t join coa c on {_PA} where project is not null group by all"""
+TABLES["t_projbud"] = """select cast(period_key // 100 + 1 as integer) fiscal_year, entity_key, project, cast(sum(project_total_cost) * 1.02::decimal(4,2) as decimal(38,2)) project_budget from t_proj0 group by all"""
+_PY = lambda c: f"cast(sum({c}) over (partition by p.entity_key, p.project, p.period_key // 100 order by p.period_key rows unbounded preceding) as decimal(38,2))"
+TABLES["t_proj"] = f"""select *, project_revenue - project_cogs project_gross_profit, {ratio('(project_revenue - project_cogs)', 'project_revenue', 2, 100)} project_gross_margin_pct,
+ {ratio('project_labour_cost', 'project_total_cost', 2, 100)} labour_cost_share_pct, ytd_revenue - ytd_total_cost ytd_project_profit, ytd_total_cost - coalesce(project_budget, 0) ytd_cost_vs_budget,
+ {ratio('(ytd_total_cost - project_budget)', 'abs(project_budget)', 2, 100)} ytd_cost_overrun_pct,
+ coalesce(project_budget > 0 and ytd_total_cost > project_budget * 1.05, false) is_cost_overrun from (
+ select p.* exclude (postings, project_expense), cast(p.period_key // 100 as integer) fiscal_year, {_PY('project_revenue')} ytd_revenue, {_PY('project_total_cost')} ytd_total_cost, {_PY('project_labour_cost')} ytd_labour_cost, b.project_budget
+ from t_proj0 p left join t_projbud b on b.fiscal_year = p.period_key // 100 and b.entity_key = p.entity_key and b.project = p.project)"""
