@@ -11,6 +11,11 @@ from .registry import query
 KEY = st.KEY
 ACT = "period_key, entity_key, consolidation_scope, revenue, cogs, opex_total, depreciation_amortisation, financial_income, financial_expense, tax_expense, revenue_eur"
 
+query("trial_balance", "select * from tb")(lambda b: b.movements())
+query("cost_balance", """select period_key, account_code, cost_centre, project, count(*) n, sum(debit) debit, sum(credit) credit, sum(net_eur) net_eur, cast(sum(postings) as bigint) postings
+ from tbx group by all""")(
+    lambda b: b.movements(["cost_centre", "project"]).groupBy("period_key", "account_code", "cost_centre", "project").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("debit", "credit", "net_eur", "postings")]))
 query("pl_actuals_entity", f"select {ACT} from t_act where consolidation_scope = 'entity'")(
     lambda b: st.pl_actuals(b.mapped, ["entity"]))
 query("pl_actuals_group", f"select {ACT} from t_act where consolidation_scope = 'group'")(
@@ -18,10 +23,10 @@ query("pl_actuals_group", f"select {ACT} from t_act where consolidation_scope =
 query("union_scopes", "select consolidation_scope, count(*) n, sum(revenue) revenue from t_act group by 1")(
     lambda b: st.pl_actuals(b.mapped, ["entity"]).unionByName(st.pl_actuals(b.mapped, ["group"])).groupBy("consolidation_scope")
     .agg(F.count("*").alias("n"), F.sum("revenue").alias("revenue")))
-query("pl_monthly", "select * from t_pl")(lambda b: b.pl)
-query("pl_monthly_ddl", "select * from t_comp")(lambda b: b.components)
+query("pl_monthly", "select * from t_pl")(lambda b: b.build_pl())
+query("pl_monthly_ddl", "select * from t_comp")(lambda b: b.build_components())
 query("budget_by_line", "select * from t_bline")(lambda b: b.budget_lines)
-query("balance_sheet_nodes", "select * from bs_nodes")(lambda b: b.nodes)
+query("balance_sheet_nodes", "select * from bs_nodes")(lambda b: b.build_nodes())
 
 CHECK = """select period_key, entity_key, cast(sum(case when account_type = 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_assets,
  cast(sum(case when account_type <> 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_liabilities_equity from bs_nodes group by all"""
@@ -39,7 +44,7 @@ for _key, _cols in (("cashflow_working_capital", st.WORKING_CAPITAL), ("cashflow
         lambda b, cols=tuple(_cols): st.cashflow_movements(b.nodes).select(*KEY, *cols))
 query("cashflow_cash_balance", "select period_key, entity_key, closing_cash, opening_cash from t_cfm where closing_cash is not null")(
     lambda b: st.cashflow_movements(b.nodes).where("closing_cash IS NOT NULL").select(*KEY, *st.CASH))
-query("cashflow_indirect", "select * from t_cf")(lambda b: b.cashflow)
+query("cashflow_indirect", "select * from t_cf")(lambda b: b.build_cashflow())
 query("cashflow_reconcile", """select f.period_key, f.entity_key, closing_cash, cash_and_equivalents, closing_cash - cash_and_equivalents difference,
  net_cash_movement - (closing_cash - opening_cash) unexplained_movement from t_cf f join t_wide w on f.period_key = w.period_key and f.entity_key = w.entity_key
  where consolidation_scope = 'entity'""")(

@@ -307,17 +307,34 @@ class Books:
     def budget_lines(self) -> DataFrame:
         return st.budget_by_line(self.budget, self.accounts)
 
+    def build_nodes(self) -> DataFrame:
+        return st.balance_sheet_nodes(staging.stage_balance_sheet(self.balance_upload), self.accounts)
+
+    def build_pl(self) -> DataFrame:
+        return st.pl_monthly(st.pl_actuals(self.mapped), self.budget_lines)
+
+    def build_components(self) -> DataFrame:
+        return st.pl_components(self.mapped, self.budget_lines)
+
+    def build_cashflow(self) -> DataFrame:
+        return st.cashflow_indirect(self.pl, st.cashflow_movements(self.nodes))
+
+    # gold tables: one row per month and entity (or node), read by every ratio
     @cached_property
     def nodes(self) -> DataFrame:
-        return st.balance_sheet_nodes(staging.stage_balance_sheet(self.balance_upload), self.accounts)
+        return self.stored("balance_sheet", self.build_nodes)
 
     @cached_property
     def pl(self) -> DataFrame:
-        return st.pl_monthly(st.pl_actuals(self.mapped), self.budget_lines)
+        return self.stored("pl_monthly", self.build_pl)
 
     @cached_property
     def components(self) -> DataFrame:
-        return st.pl_components(self.mapped, self.budget_lines)
+        return self.stored("pl_components", self.build_components)
+
+    @cached_property
+    def cashflow(self) -> DataFrame:
+        return self.stored("cashflow", self.build_cashflow)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -327,10 +344,6 @@ class Books:
     def buckets(self) -> DataFrame:
         return st.bs_buckets(self.nodes)
 
-    @cached_property
-    def cashflow(self) -> DataFrame:
-        return st.cashflow_indirect(self.pl, st.cashflow_movements(self.nodes))
-
     @cached_property
     def profitability(self) -> DataFrame:
         return kpi.profitability(self.pl, self.buckets)
