@@ -39,6 +39,8 @@ def with_tables(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({TABLES[n]})" for n in TABLES if n in needed)
     stripped = sql.strip()
+    if stripped[:15].lower() == "with recursive ":
+        return f"WITH RECURSIVE {ctes},\n{stripped[15:]}"
     if stripped[:5].lower() == "with ":
         return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{stripped}"

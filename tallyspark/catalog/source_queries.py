@@ -152,8 +152,8 @@ query("manifest_duplicates", """with f as (select doc_id file_id, sha256(text) c
  from (select *, first_value(file_id) over (partition by content_hash order by received_at, file_id) first_id from f)""")(
     lambda b: M.mark_duplicates(b.t("documents").select(F.col("doc_id").alias("file_id"), F.sha2("text", 256).alias("content_hash"), (F.col("doc_id") * 7 % 1000).alias("received_at"))))
 query("retention_tiers", """select case when age < 90 then 'HOT' when age < 730 then 'COOL' when age < 2922 then 'ARCHIVE' when age < 3650 then 'RELEASED' else 'DELETE' end tier, count(*) n, min(d) oldest, max(d) newest
- from (select cast(o_orderdate as date) d, date_diff('day', cast(o_orderdate as date), date '2001-12-31') age from orders) group by all""")(
-    lambda b: b.t("orders").select(F.to_date("o_orderdate").alias("d")).groupBy(M.retention_tier("d", "2001-12-31").alias("tier")).agg(n, F.min("d").alias("oldest"), F.max("d").alias("newest")))
+ from (select cast(l_shipdate as date) d, date_diff('day', cast(l_shipdate as date), date '2001-12-31') age from lineitem) group by all""")(
+    lambda b: b.t("lineitem").select(F.to_date("l_shipdate").alias("d")).groupBy(M.retention_tier("d", "2001-12-31").alias("tier")).agg(n, F.min("d").alias("oldest"), F.max("d").alias("newest")))
 query("fx_rate_ingest", """with span as (select currency_code, unnest(generate_series(min(rate_date), max(rate_date), interval 1 day)) ts from rates group by 1)
  select s.currency_code, cast(ts as date) "day", last_value(rate_to_huf ignore nulls) over (partition by s.currency_code order by ts rows unbounded preceding) rate_to_huf, rate_to_huf is null is_carried
  from span s left join rates r on r.currency_code = s.currency_code and r.rate_date = cast(ts as date)""")(lambda b: fx_ops.daily_fixing(b.fx_rates))
