@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["statement_queries", "kpi_queries", "projection_queries", "source_queries", "join_queries", "dq_queries"]
+MODULES = ["statement_queries", "kpi_queries", "projection_queries", "source_queries", "join_queries", "dq_queries", "governance_queries"]
 
 
 def _load():

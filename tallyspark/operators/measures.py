@@ -96,7 +96,8 @@ def evaluate(frame: DataFrame, names: list[str], group_by: list[str]) -> DataFra
         raise ValueError(f"unknown measures: {sorted(unknown)}")
     sums = [_base(*spec).alias(n) for n, spec in BASE.items()]
     for n, cats in BUDGET.items():
-        sums.append(F.sum(F.when((F.col("source") == "budget") & F.col("category").isin(*cats), F.col("amount"))).alias(n))
+        hit = F.when(F.coalesce(F.col("category").isin(*cats), F.lit(False)), F.col("amount")).otherwise(F.lit(0).cast("decimal(28,2)"))
+        sums.append(F.sum(F.when(F.col("source") == "budget", hit)).alias(n))  # blank only where nothing is budgeted at all
     out = frame.groupBy(*group_by).agg(*sums).withColumns(_derived())
     if set(names) & set(TIME):
         out = _with_time(out, [g for g in group_by if g != "period_key"])
