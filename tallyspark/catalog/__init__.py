@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["statement_queries", "kpi_queries", "projection_queries", "source_queries", "join_queries", "dq_queries", "governance_queries"]
+MODULES = ["statement_queries", "kpi_queries", "projection_queries", "source_queries", "join_queries", "dq_queries", "governance_queries",
+           "detection_queries", "stream_queries"]
 
 
 def _load():
