@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import accounts as acc, anomaly as A, dq, forecast as P, retrieval as R, staging
+from ..operators import accounts as acc, anomaly as A, dq, forecast as P, retrieval as R
 from ..operators.statements import KEY, balance_check
 from ..sources import sinks
 from .oracle_tables import TABLES, dec, ratio as sql_ratio
@@ -42,7 +42,7 @@ query("anomaly_revenue_debit", f"select entity_key, period_key, count(*) as \"ro
     lambda b: A.revenue_debits(storno_mapped(b)))
 TABLES["fpz"] = """select transaction_id, entity_code, account_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl where leg in ('S4', 'S3')"""
 query("anomaly_duplicate_hash", "select entity_code, row_hash, duplicate_count, count(*) n from (select *, count(*) over (partition by entity_code, row_hash) duplicate_count from fpz) where duplicate_count > 1 group by all")(
-    lambda b: dq.duplicate_postings(b.ledger().where("leg IN ('S3', 'S4')").withColumn("row_hash", staging.fingerprint("entity_code", "account_code", "period_key", "debit", "credit")))
+    lambda b: dq.duplicate_postings(b.ledger().where("leg IN ('S3', 'S4')"), ["entity_code", "account_code", "period_key", "debit", "credit"])
     .groupBy("entity_code", "row_hash", "duplicate_count").agg(n))
 query("anomaly_bs_imbalance", """select period_key, entity_key, total_assets, total_liabilities_equity, total_assets - total_liabilities_equity gap from (select period_key, entity_key, cast(sum(case when account_type = 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_assets,
  cast(sum(case when account_type <> 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_liabilities_equity from bs_nodes group by all) where abs(total_assets - total_liabilities_equity) >= 1""")(

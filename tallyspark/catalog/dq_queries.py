@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions.money import ratio
 from ..functions.periods import period_of_date
-from ..functions.text import fingerprint
 from ..operators import dq, fx, staging
 from ..operators.statements import KEY, balance_check
 from ..plans import constants as K
@@ -51,10 +50,9 @@ query("dq007_fx_available", "select entity_code, currency_code, count(*) n, min(
 query("dq008_duplicate_source", """select entity_code, source_system, source_id, count(*) occurrences, min(batch_id) first_batch, max(batch_id) last_batch, min(posting_date) first_date, max(posting_date) last_date
  from up where leg = 'S1' and side = 'D' group by all having count(*) > 1""")(lambda b: dq.duplicate_sources(uploaded(b).where("leg = 'S1' AND side = 'D'")))
 TABLES["fp"] = """select transaction_id, entity_code, account_code, posting_date, net, sha256(entity_code || '|' || account_code || '|' || cast(posting_date as varchar) || '|' || document_number || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl"""
-fingerprinted = lambda b: b.ledger().withColumn("row_hash", staging.row_fingerprint())
 FP = ["transaction_id", "entity_code", "account_code", "row_hash", "duplicate_count"]
 query("dq_duplicate_postings", "select transaction_id, entity_code, account_code, row_hash, duplicate_count from (select *, count(*) over (partition by entity_code, row_hash) duplicate_count from fp) where duplicate_count > 1")(
-    lambda b: dq.duplicate_postings(fingerprinted(b)).select(*FP))
+    lambda b: dq.duplicate_postings(b.ledger(), staging.FINGERPRINT).select(*FP))
 query("dq009_revenue_sign", f"""select entity_key, posting_date, g.account_code, {dec('sum(case when is_reversal then -net else net end)')} net_debit from gl g join coa c on c.account_code = g.account_code
  where lower(account_type) = 'revenue' and normal_balance = 'C' group by all having sum(case when is_reversal then -net else net end) > 0""")(
     lambda b: dq.revenue_with_debit(b.ledger().withColumn("net", F.when(F.col("is_reversal"), -F.col("net")).otherwise(F.col("net"))), b.accounts,

@@ -259,3 +259,16 @@ query("variance_fact_pack", f"""select p.period_key, p.entity_key, cast(to_json(
  'alerts': list_filter([{_al('revenue_variance_pct', 'Revenue vs Budget')}, {_al('revenue_yoy_pct', 'Revenue vs Prior Year')}], lambda a: a is not null)}}) as varchar) fact_pack
  from t_prof p join t_liq l on l.period_key = p.period_key and l.entity_key = p.entity_key and l.consolidation_scope = 'entity' join t_ck c on c.period_key = p.period_key and c.entity_key = p.entity_key and c.consolidation_scope = 'entity'
  join ents e on e.entity_key = p.entity_key where p.consolidation_scope = 'entity'""")(lambda b: R.as_json(R.fact_pack(b.profitability, b.liquidity, b.cash_kpis, b.entities)))
+
+
+def monthly_close(b):
+    """The whole chain for one month; the result counts what each gold table holds for it."""
+    from ..plans.close import run_close
+    result = run_close(b.spark, b.dir, 200106, enforce_gate=False)
+    counted = [b.spark.read.parquet(path).where("period_key = 200106").agg(n).select(F.lit(name).alias("table_name"), "n")
+               for name, path in result.tables.items() if name in ("fact", "pl_monthly", "balance_sheet", "cashflow")]
+    return reduce(lambda x, y: x.unionByName(y), counted)
+
+
+query("monthly_close", """select 'fact' table_name, count(*) n from gl where period_key = 200106 union all select 'pl_monthly', count(*) from t_pl where period_key = 200106
+ union all select 'balance_sheet', count(*) from bs_nodes where period_key = 200106 union all select 'cashflow', count(*) from t_cf where period_key = 200106""")(monthly_close)

@@ -79,7 +79,7 @@ query("ic_flag_effective_dated", f"""with s as (select seller_key e, seller_acco
     lambda b: ic.flag_effective_dated(b.ledger(), b.registry).groupBy("entity_key", "counterparty_key", "account_code", "pair_id", "is_ic_effective").agg(n, *summed("net")))
 query("ic_flag_consistency", f"""with s as (select seller_key e, seller_account a from reg where is_active union select buyer_key, buyer_account from reg where is_active)
  select entity_key, g.account_code, count(*) n, {dec('sum(net)')} net from gl g join coa on coa.account_code = g.account_code and is_ic_account where not exists (select 1 from s where e = entity_key and a = g.account_code) group by all""")(
-    lambda b: ic.flag_mismatches(b.ledger(), b.accounts, b.registry).groupBy("entity_key", "account_code").agg(n, *summed("net")))
+    lambda b: ic.flag_mismatches(b.ledger(accounts=[a[0] for a in K.ACCOUNTS if a[-1]]), b.accounts, b.registry).groupBy("entity_key", "account_code").agg(n, *summed("net")))
 query("ic_participants", "select distinct * from (select seller_key entity_key, seller_account account_code from reg where is_active union select buyer_key, buyer_account from reg where is_active)")(
     lambda b: b.registry.where("is_active").select(F.col("seller_key").alias("entity_key"), F.col("seller_account").alias("account_code")).union(
         b.registry.where("is_active").select("buyer_key", "buyer_account")).distinct())

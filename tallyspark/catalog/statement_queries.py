@@ -96,7 +96,7 @@ ELIM = """with pairs as (select period_key, case when account_code = '9711' then
  elim as (select p.period_key, r.pair_id, r.seller_key, r.buyer_key, case when account_code = '9711' then 'Revenue' else 'COGS' end pl_line_item,
   cast(sum(case when account_code = '9711' then -net else net end) as decimal(38,2)) eliminated_amount, count(*) postings
   from pairs p join reg r on p.seller_key = r.seller_key and p.buyer_key = r.buyer_key where is_active group by all)"""
-query("ic_eliminations", ELIM + " select * from elim")(lambda b: con.ic_eliminations(b.ledger(), b.registry))
+query("ic_eliminations", ELIM + " select * from elim")(lambda b: con.ic_eliminations(b.ledger(accounts=["9711", "511"]), b.registry))
 query("consolidated_pl", ELIM + f""", el as (select period_key, consolidation_group, sum(case when pl_line_item = 'Revenue' then eliminated_amount else 0 end) ic_revenue_eliminated,
   sum(case when pl_line_item = 'COGS' then eliminated_amount else 0 end) ic_cogs_eliminated, count(distinct pair_id) pair_count from elim join ents on entity_key = seller_key group by all),
  g as (select period_key, consolidation_group, count(distinct p.entity_key) entity_count, sum(revenue) revenue, sum(cogs) cogs, sum(opex_total) opex_total, sum(net_profit) net_profit
@@ -105,7 +105,7 @@ query("consolidated_pl", ELIM + f""", el as (select period_key, consolidation_gr
  {dec('cogs - coalesce(ic_cogs_eliminated, 0)')} consolidated_cogs, {dec('opex_total')} opex_total, {dec('net_profit')} net_profit,
  {sql_ratio('(revenue - coalesce(ic_revenue_eliminated, 0) - cogs + coalesce(ic_cogs_eliminated, 0))', '(revenue - coalesce(ic_revenue_eliminated, 0))', 4, 100)} gross_margin_pct
  from g left join el on g.period_key = el.period_key and g.consolidation_group = el.consolidation_group""")(
-    lambda b: con.consolidated_pl(b.pl, b.entities, con.ic_eliminations(b.ledger(), b.registry)))
+    lambda b: con.consolidated_pl(b.pl, b.entities, con.ic_eliminations(b.ledger(accounts=["9711", "511"]), b.registry)))
 query("consolidation_by_method", """select period_key, consolidation_group, method, count(*) entities, round(sum(round(cast(revenue as double) * share * (1 + 1e-12), 2)), 2) consolidated_revenue,
  round(sum(round(cast(net_profit as double) * share * (1 + 1e-12), 2)), 2) consolidated_net_profit, round(sum(case when method = 'PROPORTIONAL' then round(cast(net_profit as double) * (1 - share) * (1 + 1e-12), 2) else 0 end), 2) minority_interest
  from t_pl p join ents e on p.entity_key = e.entity_key where consolidation_scope = 'entity' and method <> 'EQUITY' group by all""")(
@@ -115,4 +115,4 @@ query("ic_pair_completeness", """with s as (select entity_key seller_key, counte
  select r.pair_id, cast(coalesce(sold, 0) as decimal(38,2)) sold, cast(coalesce(bought, 0) as decimal(38,2)) bought, cast((s.n is not null)::int + (p.n is not null)::int as integer) sides_present,
  case when s.n is not null and p.n is not null and abs(sold - bought) < 1 then 'OK' when s.n is null and p.n is null then 'NO_ACTIVITY' else 'OUT_OF_BALANCE' end status
  from reg r left join s on r.seller_key = s.seller_key and r.buyer_key = s.buyer_key left join p on r.seller_key = p.seller_key and r.buyer_key = p.buyer_key where is_active""")(
-    lambda b: con.ic_pair_completeness(b.ledger(), b.registry))
+    lambda b: con.ic_pair_completeness(b.ledger(accounts=["9711", "511"]), b.registry))

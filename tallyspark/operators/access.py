@@ -56,9 +56,10 @@ def access_review(log: DataFrame, as_of: str, days: int = 7) -> DataFrame:
                                                    F.to_date(F.max("event_ts")).alias("last_day"))
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, out: str = "place") -> DataFrame:
-    """Rank inside a group; Spark keeps only k rows per group and task before the shuffle."""
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(out) <= k)
+def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, out: str = "place", ties: bool = True) -> DataFrame:
+    """Rank inside a group; Spark keeps only k rows per group and task before the shuffle. Without ties exactly k rows stay."""
+    place = F.rank() if ties else F.row_number()
+    return df.withColumn(out, place.over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(out) <= k)
 
 
 def numbered_top(df: DataFrame, order: list, k: int) -> DataFrame:

@@ -49,8 +49,11 @@ def stage_gl(raw: DataFrame, accounts: DataFrame, as_of: str = K.AS_OF) -> DataF
     })
 
 
+FINGERPRINT = ["entity_code", "account_code", "posting_date", "document_number", "debit", "credit"]
+
+
 def row_fingerprint() -> Column:
-    return fingerprint("entity_code", "account_code", "posting_date", "document_number", "debit", "credit")
+    return fingerprint(*FINGERPRINT)
 
 
 def flag_late_closed_period(df: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Nations are the entities, regions the consolidation groups, order lines the business events. Every line posts a few balanced
 legs (see LEGS). Row-level operators read `ledger`; statements read `trial_balance`, where the amounts of a line are summed per
-(seller, buyer, month) *before* the legs are unfolded, so the exploded ledger is never shuffled for a monthly figure.
+(company, month) *before* the legs are unfolded, so the exploded ledger is never shuffled for a monthly figure.
 """
 
 from __future__ import annotations
@@ -31,6 +31,12 @@ class Books:
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table whose few row groups would leave cores idle is dealt out to all of them; a large table is read as it is."""
+        df = self.t(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def values(self, rows, columns) -> DataFrame:
         return K.frame(self.spark, rows, columns)
 
@@ -128,7 +134,7 @@ class Books:
                   F.col("o_custkey") == F.col("c_custkey"))
         )
         lines = (
-            self.t("lineitem")
+            self.spread("lineitem")
             .join(self.t("supplier").select("s_suppkey", F.col("s_nationkey").cast("int").alias("seller_key")),
                   F.col("l_suppkey") == F.col("s_suppkey"))
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -167,9 +173,13 @@ class Books:
             F.when(F.col("is_intercompany"), F.col("net_price")).alias("a_icbuy"),
         )
 
-    def ledger(self, dims: bool = False) -> DataFrame:
-        """Posting lines: every leg of every order line, one debit and one credit row."""
+    def ledger(self, dims: bool = False, accounts: list[str] | None = None) -> DataFrame:
+        """Posting lines: every leg of every order line, one debit and one credit row.
+
+        With `accounts` only the templates that can post to them are unfolded, and only their rows come back.
+        """
         ic = F.col("is_intercompany")
+        templates = [t for t in K.LEGS if accounts is None or set(t[2:6]) & set(accounts)]
         legs = F.array(*[
             F.struct(
                 F.lit(leg).alias("leg"),
@@ -178,19 +188,21 @@ class Books:
                 F.when(ic, debit_ic).otherwise(debit).alias("debit_account"),
                 F.when(ic, credit_ic).otherwise(credit).alias("credit_account"),
                 F.col(amt).alias("amt"),
-            ) for leg, poster, debit, credit, debit_ic, credit_ic, amt in K.LEGS
+            ) for leg, poster, debit, credit, debit_ic, credit_ic, amt in templates
         ])
         zero = F.lit(0).cast("decimal(18,2)")
         carried = ["orderkey", "linenumber", "partkey", "suppkey", "returnflag", "posting_date", "document_date", "period_key",
                    "is_intercompany", "buyer_region"] + (["cost_centre", "project"] if dims else [])
         unfolded = (
-            self.base(dims).select(*carried, F.explode(F.filter(legs, lambda x: x["amt"].isNotNull())).alias("x"))
+            self.base(dims).select(*carried, F.explode(legs).alias("x")).where("x.amt IS NOT NULL")
             .select(*carried, "x.leg", "x.entity_key", "x.entity_code", "x.counterparty_key", F.explode(F.array(
                 F.struct(F.lit("D").alias("side"), F.col("x.debit_account").alias("account_code"), F.col("x.amt").alias("debit"), zero.alias("credit")),
                 F.struct(F.lit("C").alias("side"), F.col("x.credit_account").alias("account_code"), zero.alias("debit"), F.col("x.amt").alias("credit")),
             )).alias("y"))
             .join(self.currencies.select(F.col("region_key").alias("buyer_region"), "currency_code", "base_rate"), "buyer_region")
         )
+        if accounts is not None:
+            unfolded = unfolded.where(F.col("y.account_code").isin(accounts))
         source_id = F.concat_ws("-", "orderkey", "linenumber")
         fcy = lambda c: F.round(F.col(c).cast("double") / F.col("base_rate") * F.lit(TIE_NUDGE), 2).cast("decimal(18,2)")
         return unfolded.select(
@@ -215,26 +227,33 @@ class Books:
             F.col("rate_date").alias("posting_date"), (1 / F.col("rate_to_huf").cast("double")).alias("to_eur"))
         base = base.join(eur, "posting_date", "left").withColumn("to_eur", F.coalesce("to_eur", F.lit(1.0 / 400.0)))
         in_eur = lambda a: F.round(F.col(a).cast("double") * F.col("to_eur") * F.lit(TIE_NUDGE), 2).cast("decimal(18,2)")
+        # one row per posting company of a line: the seller with its legs, and the buyer of an intercompany line with the mirrored leg
+        of = {poster: [leg[6] for leg in K.LEGS if leg[1] == poster] for poster in ("seller", "buyer")}
+        nothing = F.lit(None).cast("decimal(18,2)")
+        party = lambda poster: F.struct(F.col(f"{poster}_key").alias("entity_key"), *[
+            (F.col(a) if a in of[poster] else nothing).alias(a) for a in AMOUNTS])
+        parties = F.when(F.col("is_intercompany"), F.array(party("seller"), party("buyer"))).otherwise(F.array(party("seller")))
+        rows = base.select("period_key", "is_intercompany", "to_eur", *dims, F.explode(parties).alias("p")).select(
+            "period_key", "is_intercompany", "to_eur", *dims, "p.*")
         sums = []
         for a in AMOUNTS:
             sums += [F.sum(a).alias(a), F.count(a).alias(f"n_{a}"), F.sum(in_eur(a)).alias(f"e_{a}")]
-        per_pair = base.groupBy("seller_key", "buyer_key", "is_intercompany", "period_key", *dims).agg(*sums)
+        keys = ["entity_key", "period_key", "is_intercompany", *dims]
+        per_month = rows.groupBy(*keys).agg(*sums)
         ic = F.col("is_intercompany")
         zero = F.lit(0).cast("decimal(28,2)")
-        rows = []
-        for _, poster, debit, credit, debit_ic, credit_ic, a in K.LEGS:
-            value = F.col(a).cast("decimal(28,2)")
-            eur_value = F.col(f"e_{a}").cast("decimal(28,2)")
+        legs = []
+        for _, _, debit, credit, debit_ic, credit_ic, a in K.LEGS:
+            value, eur_value = F.col(a).cast("decimal(28,2)"), F.col(f"e_{a}").cast("decimal(28,2)")
             for side, account, account_ic in (("D", debit, debit_ic), ("C", credit, credit_ic)):
-                rows.append(F.struct(
-                    F.col(f"{poster}_key").alias("entity_key"), F.when(ic, account_ic).otherwise(account).alias("account_code"),
+                legs.append(F.struct(
+                    F.when(ic, account_ic).otherwise(account).alias("account_code"),
                     (value if side == "D" else zero).alias("debit"), (value if side == "C" else zero).alias("credit"),
-                    (eur_value if side == "D" else (-eur_value).cast("decimal(28,2)")).alias("net_eur"),
-                    F.col(f"n_{a}").alias("postings"),
-                ))
+                    (eur_value if side == "D" else (-eur_value).cast("decimal(28,2)")).alias("net_eur"), F.col(f"n_{a}").alias("postings")))
+        # the unfolded legs keep the grouping of the months, so the last sum needs no further shuffle
         return (
-            per_pair.select("period_key", "is_intercompany", *dims, F.explode(F.filter(F.array(*rows), lambda r: r["postings"] > 0)).alias("r"))
-            .groupBy("r.entity_key", "period_key", "r.account_code", "is_intercompany", *dims)
+            per_month.select(*keys, F.explode(F.array(*legs)).alias("r")).where("r.postings > 0")
+            .groupBy(*keys, "r.account_code")
             .agg(F.sum("r.debit").cast("decimal(28,2)").alias("debit"), F.sum("r.credit").cast("decimal(28,2)").alias("credit"),
                  F.sum("r.net_eur").cast("decimal(28,2)").alias("net_eur"), F.sum("r.postings").alias("postings"))
             .withColumn("net", (F.col("debit") - F.col("credit")).cast("decimal(28,2)"))
