@@ -152,7 +152,8 @@ def gate_decision(b):
 
 query("dq_gate", """select rule_id, count(case when check_result = 'FAIL' then 1 end) critical_failures, (select case when count(case when check_result = 'FAIL' then 1 end) > 0 then 'HALT' else 'CONTINUE' end from dqlog where rule_id in ('DQ-001', 'DQ-002')) decision
  from dqlog where rule_id in ('DQ-001', 'DQ-002') group by all""")(gate_decision)
-query("dq_detail_json")(lambda b: dq.detail_json(dq.run("DQ-006", uploaded(b))[0], "DQ-006", ["transaction_id", "account_code", "net"], ["transaction_id"]))
+query("dq_detail_json", f"""select entity_code, count(*) invalid_count, cast(to_json({{'rule_id': 'DQ-006', 'invalid_count': count(*), 'samples': list({{'transaction_id': transaction_id, 'account_code': account_code, 'net': cast(net as varchar)}} order by transaction_id)[1:10]}}) as varchar) failure_detail
+ from up where currency_code is null or currency_code not in ({KNOWN}) group by all""")(lambda b: dq.detail_json(dq.run("DQ-006", uploaded(b))[0], "DQ-006", ["transaction_id", "account_code", "net"], ["transaction_id"]))
 VIOL = [("DQ-004", "is_zero_amount", "transaction_id"), ("DQ-006", "is_unknown_currency", "transaction_id")]
 
 

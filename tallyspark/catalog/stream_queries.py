@@ -108,4 +108,7 @@ def cooled(b):
     return J.append_table(J.cooldown(stream, 48), "cooled")
 
 
-query("stream_alert_cooldown")(cooled)
+query("stream_alert_cooldown", """with recursive fired as (select entity_code, min(raised_at) t from lp group by all union all
+ select f.entity_code, min(l.raised_at) from fired f join lp l on l.entity_code = f.entity_code and l.raised_at >= f.t + interval 48 hour group by f.entity_code, f.t)
+ select 'LARGE_GL_POSTING' rule_code, entity_code, cast(t as date) fired_on, cast(hour(t) as integer) fired_hour from fired""")(
+    lambda b: cooled(b).select("rule_code", "entity_code", F.to_date("raised_at").alias("fired_on"), F.hour("raised_at").alias("fired_hour")))
