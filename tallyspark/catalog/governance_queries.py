@@ -4,7 +4,6 @@ from functools import reduce
 
 from pyspark.sql import Observation, functions as F
 
-from ..functions.money import amount
 from ..operators import alerts as A, dq, history as H, measures as M, reporting as R, staging
 from ..operators.statements import KEY
 from ..plans import constants as K

@@ -2,13 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.money import ratio, rnd
-from ..functions.periods import period_of_date
-from ..operators import access, accounts as acc, dims, fx, intercompany as ic, staging, windows as W
+from ..functions.money import rnd
+from ..operators import access, accounts as acc, dims, fx, intercompany as ic
 from ..operators.statements import KEY
 from ..plans import constants as K
 from ..plans.books import Books
-from .oracle_tables import TABLES, dec, eur, ratio as sql_ratio
+from .oracle_tables import TABLES, dec, eur
 from .registry import query
 
 n = F.count("*").alias("n")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.money import ratio, rnd
+from ..functions.money import rnd
 from ..operators import kpi, project as prj, windows as W
 from ..operators.statements import KEY, SCOPED
 from .oracle_tables import dec, ratio as sql_ratio

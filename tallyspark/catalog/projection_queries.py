@@ -6,7 +6,7 @@ Row-level operators run over the whole ledger; their result is shown as counts,
 from pyspark.sql import functions as F
 
 from ..functions import periods as P, sqlfuncs, text as T
-from ..functions.money import amount, rnd
+from ..functions.money import rnd
 from ..operators import accounts as acc, staging as S
 from ..plans import constants as K
 from .oracle_tables import TABLES, dec

@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.money import dbl, ratio
-from ..operators import accounts as acc, consolidation as con, staging, statements as st, variance as var
-from ..plans import constants as K
+from ..operators import consolidation as con, statements as st, variance as var
 from .oracle_tables import dec, ratio as sql_ratio
 from .registry import query
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import period_of_date
 from ..functions.text import fingerprint, parse_comma_decimal
-from ..operators import fx, staging
+from ..operators import fx
 from ..plans import constants as K
 from ..sources import files
 from ..streaming import jobs as J

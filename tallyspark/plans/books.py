@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.money import TIE_NUDGE, amount
-from ..functions.periods import month_index, period_of_date, period_of_index
+from ..functions.periods import month_index, period_of_date
 from ..operators import accounts as acc, fx as fx_ops, kpi, staging, statements as st
 from ..session import fresh_path
 from . import constants as K

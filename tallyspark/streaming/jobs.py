@@ -6,7 +6,7 @@ overwrites nothing; the last folder is the answer. State is per window, session
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F

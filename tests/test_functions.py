@@ -46,7 +46,7 @@ def test_comma_decimals(spark):
 
 
 def test_guards(spark):
-    assert one(spark, T.is_uuid(F.lit("123e4567-e89b-12d3-a456-426614174000")), T.is_uuid(F.lit("x")), T.is_entity_code(F.lit("ACME_HU-1")), T.is_entity_code(F.lit("a b")),
+    assert one(spark, T.is_uuid(F.lit("123e4567-e89b-12d3-a456-426614174000")), T.is_uuid(F.lit("x")), T.is_entity_code(F.lit("NATION_1-A")), T.is_entity_code(F.lit("a b")),
                P.is_valid_period(F.lit(202613)), P.is_valid_period(F.lit(202612))) == [True, False, True, False, False, True]
 
 
