@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import pieces, simhash, suffix
+from . import langid, pieces, simhash, suffix
 from .registry import query, table
 
 
@@ -26,3 +26,10 @@ def op3_suffix(spark, sf_dir):
 def op7_pieces(spark, sf_dir):
     import public_tokenizers
     return pieces.token_digests(pieces.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("op8_langid")
+def op8_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, "doc_id", "held_out").drop("rejected")

@@ -54,17 +54,18 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp), fp as a signed 64-bit integer."""
+    """(doc_id, text_hash, fp), fp as a signed 64-bit integer."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             values = np.array([fingerprint(t, words) for t in batch["text"]], dtype=np.uint64).astype(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "fp": values})
 
     # ids go through as text, so that null ids stay what they are
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), "text").mapInPandas(run, "doc_id string, fp bigint")
-    return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "fp")
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = rows.mapInPandas(run, "doc_id string, text_hash bigint, fp bigint")
+    return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "text_hash", "fp")
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -215,15 +216,28 @@ def fingerprint_links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of `docs`; component_id is the smallest doc_id that links reach."""
+    """(doc_id, text_hash, fp, root, component_id): one row per row of `docs`; component_id is the smallest doc_id that links reach."""
     fps = cut_lineage(fingerprints(docs, words, id_col), "fingerprints")
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint-classes")
     roots = connected_components(fingerprint_links(distinct, bits))
     classed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     classed = cut_lineage(classed, "fingerprint-roots")
     least = cut_lineage(classed.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids")
-    named = cut_lineage(classed.join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = cut_lineage(classed.join(least, "root").select("fp", "root", "component_id"), "fingerprint-components")
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def keep_one_each(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
+    """`docs` (with doc_id) with one row left of each component: the smallest id, of equal ids the smallest text hash, of equal rows one."""
+    found = near_duplicates(docs, words, bits)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    kept = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.min(F.struct(row.alias("r"), "n")).alias("k"))
+    kept = cut_lineage(kept.select(F.col("k.r.doc_id").alias("__id"), F.col("k.r.text_hash").alias("__hash"), F.col("k.n").alias("__n")), "kept-ids")
+    hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
+    left = hashed.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_semi")
+    if not kept.where("__n > 1").isEmpty():
+        left = left.dropDuplicates(["doc_id", "__text_hash"])
+    return left.drop("__text_hash")
 
 
 def as_hex(fp):

@@ -462,3 +462,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = chunks.join(answers, "chunk").join(marks, "chunk", "left")
     cut = _cut(buckets, to_arrow_schema(schema), text_col, docs.columns, with_text)
     return whole.mapInArrow(cut, schema)
+
+
+def keep_first_occurrences(docs: DataFrame) -> DataFrame:
+    """`docs` (doc_id, text and any other columns) with repeated bytes cut from the texts; n_chars, where there is one, is that of the new text."""
+    cut = remove_repeats(docs)
+    values = {"text": F.col("__kept")}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.length("__kept").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
