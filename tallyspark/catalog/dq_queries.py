@@ -7,7 +7,7 @@ from ..functions.periods import period_of_date
 from ..operators import dq, fx, staging
 from ..operators.statements import KEY, balance_check
 from ..plans import constants as K
-from .oracle_tables import TABLES, dec, eur, ratio as sql_ratio
+from .oracle_tables import TABLES, dec, over, ratio as sql_ratio
 from .registry import query
 
 n = F.count("*").alias("n")
@@ -112,7 +112,7 @@ def fx_direction(b):
 
 _R = "coalesce(1 / cast(rate_to_huf as double), 1.0::double / 400)"
 query("dq_fx_direction", f"""select currency_code, count(*) n, count(case when abs(cast(net as double) * r - cast(e as double)) > 1 then 1 end) off_by_more_than_one,
- count(case when e <> 0 and not (cast(net as double) / cast(e as double) between 200 and 600) then 1 end) implausible_rate from (select g.currency_code, net, {_R} r, {eur('net', _R)} e from gl g left join rates x on x.rate_date = posting_date and x.currency_code = 'EUR') group by all""")(fx_direction)
+ count(case when e <> 0 and not (cast(net as double) / cast(e as double) between 200 and 600) then 1 end) implausible_rate from (select g.currency_code, net, {_R} r, {over('net', 'coalesce(rate_to_huf, 400)')} e from gl g left join rates x on x.rate_date = posting_date and x.currency_code = 'EUR') group by all""")(fx_direction)
 query("dq_huf_passthrough", f"select currency_code is null or currency_code = 'HUF' is_home, count(*) n, cast(0 as bigint) changed, {dec('sum(net)')} net from up where currency_code is null or currency_code = 'HUF' group by all")(
     lambda b: fx.convert_exact_date(uploaded(b), b.fx_rates).where("currency_code IS NULL OR currency_code = 'HUF'").groupBy(F.lit(True).alias("is_home")).agg(
         n, F.count(F.when(F.col("net_lcy_fx_adjusted") != F.col("net"), 1)).alias("changed"), *summed("net")))

@@ -7,7 +7,7 @@ from ..operators import access, accounts as acc, dims, fx, intercompany as ic
 from ..operators.statements import KEY
 from ..plans import constants as K
 from ..plans.books import Books
-from .oracle_tables import TABLES, dec, eur
+from .oracle_tables import TABLES, crossed, dec, over, times
 from .registry import query
 
 n = F.count("*").alias("n")
@@ -37,8 +37,8 @@ query("quarantine_unmapped", "select transaction_id, entity_code, account_code,
 
 # ---- exchange rates -------------------------------------------------------------------------------------------
 query("fx_exact_date", f"""select currency_code, period_key, count(*) n, {dec('sum(net_eur)')} net_eur, {dec('sum(adj)')} net_lcy_fx_adjusted, count(case when fe then 1 end) eur_fallbacks, count(case when ff then 1 end) fcy_fallbacks from (
- select g.currency_code, period_key, {eur('net', 'coalesce(1 / cast(e.rate_to_huf as double), 1.0::double / 400)')} net_eur, e.rate_date is null fe, g.currency_code <> 'HUF' and f.rate_date is null ff,
- case when g.currency_code = 'HUF' then net else {eur('(debit_fcy - credit_fcy)', 'coalesce(cast(f.rate_to_huf as double), 1.0::double)')} end adj
+ select g.currency_code, period_key, {over('net', 'coalesce(e.rate_to_huf, 400)')} net_eur, e.rate_date is null fe, g.currency_code <> 'HUF' and f.rate_date is null ff,
+ case when g.currency_code = 'HUF' then net else {times('(debit_fcy - credit_fcy)', 'coalesce(f.rate_to_huf, 1)')} end adj
  from gl g left join rates e on e.rate_date = posting_date and e.currency_code = 'EUR' left join rates f on f.rate_date = posting_date and f.currency_code = g.currency_code) group by all""")(
     lambda b: fx.convert_exact_date(b.ledger(), b.fx_rates).groupBy("currency_code", "period_key").agg(
         n, *summed("net_eur", "net_lcy_fx_adjusted"), F.count(F.when(F.col("used_fallback_eur_rate"), 1)).alias("eur_fallbacks"),
@@ -51,7 +51,7 @@ query("fx_asof", f"""select s.currency_code, posting_date, coalesce(d.rate_to_hu
     lambda b: fx.attach_asof(events_by_day(b), b.fx_daily, b.fx_rates, "posting_date", "currency_code").groupBy("currency_code", "posting_date", "rate_to_huf").agg(
         n, F.sum("a_sale").alias("amount")))
 query("fx_fcy_to_huf", f"""select currency_code, period_key, {dec('sum(huf)')} amount_huf, count(*) n from (select g.currency_code, period_key,
- case when g.currency_code = 'HUF' then debit_fcy else {eur('debit_fcy', 'coalesce(cast(d.rate_to_huf as double), 1.0::double)')} end huf from gl g left join fxday d on d.currency_code = g.currency_code and d."day" = posting_date) group by all""")(
+ case when g.currency_code = 'HUF' then debit_fcy else {times('debit_fcy', 'coalesce(d.rate_to_huf, 1)')} end huf from gl g left join fxday d on d.currency_code = g.currency_code and d."day" = posting_date) group by all""")(
     lambda b: fx.fcy_to_huf(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_huf"), n))
 query("fx_period_end", """select p.period_key, c.currency_code, last_day(make_date(p.period_key // 100, p.period_key % 100, 1)) period_end, coalesce(d.rate_to_huf, l.latest_rate) rate_to_huf
  from (select distinct period_key from tb) p cross join (select distinct currency_code from rates) c left join fxlast l on l.currency_code = c.currency_code
@@ -59,8 +59,9 @@ query("fx_period_end", """select p.period_key, c.currency_code, last_day(make_da
     lambda b: fx.period_end_rates(
         b.trial_balance.select("period_key").distinct().withColumn("currency_code", F.explode(F.array(*[F.lit(c[0]) for c in K.CURRENCIES if c[0] != "HUF"]))),
         b.fx_daily, b.fx_rates).select("period_key", "currency_code", "period_end", "rate_to_huf"))
+_OWN = "case when g.currency_code = 'HUF' then 1 else o.rate_to_huf end"
 _CROSS = "(case when g.currency_code = 'HUF' then 1.0::double else cast(o.rate_to_huf as double) end / cast(e.rate_to_huf as double))"
-query("fx_cross_to_eur", f"""select g.currency_code, period_key, {dec(f"sum({eur('debit_fcy', _CROSS)})")} amount_eur, count(*) n, count({_CROSS}) rated from gl g left join fxday o on o.currency_code = g.currency_code and o."day" = posting_date
+query("fx_cross_to_eur", f"""select g.currency_code, period_key, {dec(f"sum({crossed('debit_fcy', _OWN, 'e.rate_to_huf')})")} amount_eur, count(*) n, count({_CROSS}) rated from gl g left join fxday o on o.currency_code = g.currency_code and o."day" = posting_date
  left join (select * from fxday where currency_code = 'EUR') e on e."day" = posting_date group by all""")(
     lambda b: fx.cross_to_eur(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_eur"), n, F.count("rate_to_eur").alias("rated")))
 query("fx_availability_range", """select currency_code, posting_date, count(*) n from gl g where currency_code <> 'HUF' and not exists (select 1 from rates r where r.currency_code = g.currency_code

@@ -20,8 +20,25 @@ def dec(expr):
     return f"cast({expr} as decimal(38,2))"
 
 
-def eur(expr, rate):
-    return f"cast(round(cast({expr} as double) * {rate} * {TIE}, 2) as decimal(18,2))"
+def times(expr, rate):
+    return f"cast(round(cast({expr} as decimal(18,2)) * cast({rate} as decimal(16,6)), 2) as decimal(18,2))"
+
+
+def _hundredths(expr):
+    return f"cast(cast({expr} as decimal(18,2)) * 100 as hugeint)"
+
+
+def _in_whole_numbers(expr, product, rate):
+    by = f"cast(cast({rate} as decimal(16,6)) * 1000000 as hugeint)"
+    return f"cast(cast(sign({expr}) * ((2 * {product} + {by}) // (2 * {by})) as decimal(20,0)) * 0.01::decimal(3,2) as decimal(18,2))"
+
+
+def over(expr, rate):
+    return _in_whole_numbers(expr, f"abs({_hundredths(expr)}) * 1000000", rate)
+
+
+def crossed(expr, own, target):
+    return _in_whole_numbers(expr, f"abs({_hundredths(expr)}) * cast(cast({own} as decimal(16,6)) * 1000000 as hugeint)", target)
 
 
 def _values(rows, cols):
@@ -89,15 +106,15 @@ TABLES["gl"] = f"""select cast(orderkey as varchar) || '-' || cast(linenumber as
  cast(debit - credit as decimal(18,2)) net, posting_date, document_date, cast(posting_date + cast(partkey % 40 as integer) as date) ingestion_date, period_key,
  cast(partkey % 24 as integer) posting_hour, cast(orderkey as varchar) document_number, cast(period_key as varchar) || '-' || entity_code batch_id,
  case suppkey % 3 when 0 then 'COBALT' when 1 then 'SAP_B1' else 'SZAMLAZZ' end source_system, currency_code,
- cast(round(cast(debit as double) / base_rate * {TIE}, 2) as decimal(18,2)) debit_fcy,
- cast(round(cast(credit as double) / base_rate * {TIE}, 2) as decimal(18,2)) credit_fcy,
+ {over('debit', 'base_rate')} debit_fcy,
+ {over('credit', 'base_rate')} credit_fcy,
  is_intercompany, (returnflag = 'R' and linenumber = 7) is_reversal, partkey, cost_centre, project
  from ({_legs()}) join ccy on region_key = buyer_region"""
 TABLES["tb"] = f"""select entity_key, period_key, account_code, is_intercompany, sum(debit) debit, sum(credit) credit, sum(net) net,
- sum({eur('net', 'coalesce(1 / cast(rate_to_huf as double), 1.0::double / 400)')}) net_eur, count(*) postings
+ sum({over('net', 'coalesce(rate_to_huf, 400)')}) net_eur, count(*) postings
  from gl left join rates r on r.rate_date = posting_date and r.currency_code = 'EUR' group by all"""
 TABLES["tbx"] = f"""select entity_key, period_key, account_code, is_intercompany, cost_centre, project, sum(debit) debit, sum(credit) credit, sum(net) net,
- sum({eur('net', 'coalesce(1 / cast(rate_to_huf as double), 1.0::double / 400)')}) net_eur, count(*) postings
+ sum({over('net', 'coalesce(rate_to_huf, 400)')}) net_eur, count(*) postings
  from gl left join rates r on r.rate_date = posting_date and r.currency_code = 'EUR' group by all"""
 TABLES["tbm"] = """select t.*, c.* exclude (account_code),
  case when account_type = 'Revenue' then -net else net end signed from tb t join coa c on t.account_code = c.account_code"""

@@ -8,7 +8,7 @@ from ..operators import fx
 from ..plans import constants as K
 from ..sources import files
 from ..streaming import jobs as J
-from .oracle_tables import TABLES, dec
+from .oracle_tables import TABLES, dec, times
 from .registry import query
 from .source_queries import EXPORT, export_csv
 
@@ -96,7 +96,7 @@ def enriched(b):
 
 
 query("stream_static_enrich", f"""select s.currency_code, l1_category, period_key, count(*) n, {dec('sum(h)')} amount_huf from (select c.currency_code, period_key, case returnflag when 'A' then 'Revenue' when 'R' then 'OPEX' end l1_category,
- case when c.currency_code = 'HUF' then net else cast(round(cast(net as double) * coalesce(cast(d.rate_to_huf as double), 1.0::double) * (1 + 1e-12), 2) as decimal(18,2)) end h from sl join ccy c on region_key = buyer_region left join fxday d on d.currency_code = c.currency_code and d."day" = posting_date) s group by all""")(
+ case when c.currency_code = 'HUF' then net else {times('net', 'coalesce(d.rate_to_huf, 1)')} end h from sl join ccy c on region_key = buyer_region left join fxday d on d.currency_code = c.currency_code and d."day" = posting_date) s group by all""")(
     lambda b: enriched(b).groupBy("currency_code", "l1_category", "period_key").agg(n, F.sum("amount_huf").alias("amount_huf")))
 
 

@@ -1,4 +1,4 @@
-"""Amount and ratio columns. Ratios are doubles, nudged before rounding so that ties round away from zero."""
+"""Amount and ratio columns. Amounts are exact; ratios are doubles, nudged before rounding so that ties round away from zero."""
 
 from pyspark.sql import Column, functions as F
 
@@ -9,6 +9,40 @@ def amount(c) -> Column:
     return F.col(c).cast("decimal(18,2)") if isinstance(c, str) else c.cast("decimal(18,2)")
 
 
+MILLION = 1_000_000
+
+
+def cents(c) -> Column:
+    """An amount as a whole number of hundredths."""
+    return (amount(c) * 100).cast("bigint")
+
+
+def from_cents(c, kind: str = "decimal(18,2)") -> Column:
+    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
+
+
+def millionths(rate) -> Column:
+    """A rate of six decimals as a whole number; rates up to about four million keep every step within 64 bits."""
+    return ((F.col(rate) if isinstance(rate, str) else rate).cast("decimal(16,6)") * MILLION).cast("bigint")
+
+
+def _whole(x: Column, y: Column) -> Column:
+    return F.call_function("div", x, y)
+
+
+def cents_times(c: Column, rate: Column) -> Column:
+    """Hundredths times a rate in millionths, halves away from zero; in whole numbers, so exact."""
+    x = F.abs(c)
+    million = F.lit(MILLION).cast("bigint")
+    return F.sign(c).cast("bigint") * (_whole(x, million) * rate + _whole(2 * (x % million) * rate + million, 2 * million))
+
+
+def cents_over(c: Column, rate: Column) -> Column:
+    """Hundredths divided by a rate in millionths, halves away from zero; null for a rate of zero."""
+    x, by = F.abs(c), F.when(rate != 0, rate)
+    return F.sign(c).cast("bigint") * (_whole(x, by) * MILLION + _whole(2 * (x % by) * MILLION + by, 2 * by))
+
+
 def dbl(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 

@@ -6,10 +6,10 @@ bounded by the calendar, and then joined on equality. Spark broadcasts it when i
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.money import TIE_NUDGE
+from ..functions.money import cents, cents_over, cents_times, from_cents, millionths
 from ..functions.periods import period_end_date
 
-EUR_FALLBACK = 1.0 / 400.0
+EUR_FALLBACK = 400
 
 
 def densify(rates: DataFrame, until: str) -> DataFrame:
@@ -45,9 +45,22 @@ def attach_asof(df: DataFrame, rates_daily: DataFrame, rates: DataFrame, day: st
     )
 
 
-def times(amount_col, rate: Column) -> Column:
-    a = F.col(amount_col) if isinstance(amount_col, str) else amount_col
-    return F.round(a.cast("double") * rate * F.lit(TIE_NUDGE), 2).cast("decimal(18,2)")
+def times(amount_col, rate) -> Column:
+    """Amount times rate, rounded to cents without a detour over doubles."""
+    return from_cents(cents_times(cents(amount_col), millionths(rate)))
+
+
+def over(amount_col, rate) -> Column:
+    """Amount divided by rate, rounded to cents without a detour over doubles."""
+    return from_cents(cents_over(cents(amount_col), millionths(rate)))
+
+
+def crossed(amount_col, own: Column, target: Column) -> Column:
+    """Amount times one rate over another, rounded once."""
+    a, digits = cents(amount_col).cast("decimal(19,0)"), "decimal(38,0)"
+    product = (F.abs(a) * millionths(own).cast("decimal(16,0)")).cast(digits)
+    by = millionths(target).cast("decimal(16,0)")
+    return from_cents(F.sign(a).cast("bigint") * F.call_function("div", (2 * product + by).cast(digits), F.when(by != 0, 2 * by)))
 
 
 def convert_exact_date(df: DataFrame, rates: DataFrame) -> DataFrame:
@@ -59,14 +72,14 @@ def convert_exact_date(df: DataFrame, rates: DataFrame) -> DataFrame:
         df.join(eur, F.col("posting_date") == F.col("_ed"), "left")
         .join(fcy, (F.col("posting_date") == F.col("_fd")) & (F.col("currency_code") == F.col("_fc")), "left")
         .withColumns({
-            "huf_to_eur_rate": F.coalesce(1 / F.col("_er").cast("double"), F.lit(EUR_FALLBACK)),
+            "huf_to_eur_rate": 1 / F.coalesce(F.col("_er").cast("double"), F.lit(float(EUR_FALLBACK))),
             "used_fallback_eur_rate": F.col("_ed").isNull(),
             "used_fallback_fcy_rate": ~home & F.col("_fd").isNull(),
         })
         .withColumns({
-            "net_eur": times("net", F.col("huf_to_eur_rate")),
+            "net_eur": over("net", F.coalesce("_er", F.lit(EUR_FALLBACK).cast("decimal(16,6)"))),
             "net_lcy_fx_adjusted": F.when(home, F.col("net")).otherwise(
-                times(F.col("debit_fcy") - F.col("credit_fcy"), F.coalesce(F.col("_fr").cast("double"), F.lit(1.0)))),
+                times(F.col("debit_fcy") - F.col("credit_fcy"), F.coalesce("_fr", F.lit(1).cast("decimal(16,6)")))),
         })
         .drop("_ed", "_er", "_fd", "_fc", "_fr")
     )
@@ -79,7 +92,7 @@ def fcy_to_huf(df: DataFrame, rates_daily: DataFrame, amount_col: str, day: str
     return (
         df.join(daily, (F.col("currency_code") == F.col("_c")) & (F.col(day) == F.col("_d")), "left")
         .withColumn("amount_huf", F.when(home, F.col(amount_col).cast("decimal(18,2)")).otherwise(
-            times(amount_col, F.coalesce(F.col("_r").cast("double"), F.lit(1.0)))))
+            times(amount_col, F.coalesce("_r", F.lit(1).cast("decimal(16,6)")))))
         .drop("_c", "_d", "_r")
     )
 
@@ -93,12 +106,12 @@ def cross_to_eur(df: DataFrame, rates_daily: DataFrame, amount_col: str, day: st
     """Foreign amount to EUR through the HUF cross rate, both legs as-of the same day."""
     own = rates_daily.select(F.col("currency_code").alias("_c"), F.col("day").alias("_d"), F.col("rate_to_huf").alias("_r"))
     eur = rates_daily.where("currency_code = 'EUR'").select(F.col("day").alias("_ed"), F.col("rate_to_huf").alias("_er"))
-    own_rate = F.when(F.col("currency_code") == "HUF", F.lit(1.0)).otherwise(F.col("_r").cast("double"))
+    own_rate = F.when(F.col("currency_code") == "HUF", F.lit(1).cast("decimal(16,6)")).otherwise(F.col("_r"))
     return (
         df.join(own, (F.col("currency_code") == F.col("_c")) & (F.col(day) == F.col("_d")), "left")
         .join(eur, F.col(day) == F.col("_ed"), "left")
-        .withColumn("rate_to_eur", own_rate / F.col("_er").cast("double"))
-        .withColumn("amount_eur", times(amount_col, F.col("rate_to_eur")))
+        .withColumn("rate_to_eur", own_rate.cast("double") / F.col("_er").cast("double"))
+        .withColumn("amount_eur", crossed(amount_col, own_rate, F.col("_er")))
         .drop("_c", "_d", "_r", "_ed", "_er")
     )
 

@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.money import TIE_NUDGE, amount
+from ..functions.money import MILLION, amount, cents, cents_over, from_cents, millionths
 from ..functions.periods import month_index, period_of_date
 from ..operators import accounts as acc, fx as fx_ops, kpi, staging, statements as st
 from ..session import fresh_path
@@ -204,7 +204,7 @@ class Books:
         if accounts is not None:
             unfolded = unfolded.where(F.col("y.account_code").isin(accounts))
         source_id = F.concat_ws("-", "orderkey", "linenumber")
-        fcy = lambda c: F.round(F.col(c).cast("double") / F.col("base_rate") * F.lit(TIE_NUDGE), 2).cast("decimal(18,2)")
+        fcy = lambda c: fx_ops.over(c, "base_rate")
         return unfolded.select(
             F.concat_ws("-", source_id, "partkey", "suppkey", "leg", "y.side").alias("transaction_id"), source_id.alias("source_id"),
             "leg", F.col("y.side").alias("side"), "entity_key", "entity_code", "counterparty_key",
@@ -224,17 +224,19 @@ class Books:
         """Monthly sums per (entity, account, intercompany flag[, dims]) without ever shuffling exploded postings."""
         base = self.base(bool(dims))
         eur = self.fx_rates.where("currency_code = 'EUR'").select(
-            F.col("rate_date").alias("posting_date"), (1 / F.col("rate_to_huf").cast("double")).alias("to_eur"))
-        base = base.join(eur, "posting_date", "left").withColumn("to_eur", F.coalesce("to_eur", F.lit(1.0 / 400.0)))
-        in_eur = lambda a: F.round(F.col(a).cast("double") * F.col("to_eur") * F.lit(TIE_NUDGE), 2).cast("decimal(18,2)")
+            F.col("rate_date").alias("posting_date"), millionths("rate_to_huf").alias("per_eur"))
+        base = base.join(eur, "posting_date", "left").withColumn("per_eur", F.coalesce("per_eur", F.lit(fx_ops.EUR_FALLBACK * MILLION).cast("bigint")))
+        # sums are of whole cents: 64-bit additions instead of wide decimals
+        base = base.withColumns({a: cents(a) for a in AMOUNTS})
+        in_eur = lambda a: cents_over(F.col(a), F.col("per_eur"))
         # one row per posting company of a line: the seller with its legs, and the buyer of an intercompany line with the mirrored leg
         of = {poster: [leg[6] for leg in K.LEGS if leg[1] == poster] for poster in ("seller", "buyer")}
-        nothing = F.lit(None).cast("decimal(18,2)")
+        nothing = F.lit(None).cast("bigint")
         party = lambda poster: F.struct(F.col(f"{poster}_key").alias("entity_key"), *[
             (F.col(a) if a in of[poster] else nothing).alias(a) for a in AMOUNTS])
         parties = F.when(F.col("is_intercompany"), F.array(party("seller"), party("buyer"))).otherwise(F.array(party("seller")))
-        rows = base.select("period_key", "is_intercompany", "to_eur", *dims, F.explode(parties).alias("p")).select(
-            "period_key", "is_intercompany", "to_eur", *dims, "p.*")
+        rows = base.select("period_key", "is_intercompany", "per_eur", *dims, F.explode(parties).alias("p")).select(
+            "period_key", "is_intercompany", "per_eur", *dims, "p.*")
         sums = []
         for a in AMOUNTS:
             sums += [F.sum(a).alias(a), F.count(a).alias(f"n_{a}"), F.sum(in_eur(a)).alias(f"e_{a}")]
@@ -244,7 +246,7 @@ class Books:
         zero = F.lit(0).cast("decimal(28,2)")
         legs = []
         for _, _, debit, credit, debit_ic, credit_ic, a in K.LEGS:
-            value, eur_value = F.col(a).cast("decimal(28,2)"), F.col(f"e_{a}").cast("decimal(28,2)")
+            value, eur_value = from_cents(a, "decimal(28,2)"), from_cents(f"e_{a}", "decimal(28,2)")
             for side, account, account_ic in (("D", debit, debit_ic), ("C", credit, credit_ic)):
                 legs.append(F.struct(
                     F.when(ic, account_ic).otherwise(account).alias("account_code"),
