@@ -13,102 +13,93 @@ from .registry import query
 from .source_queries import EXPORT, export_csv
 
 n = F.count("*").alias("n")
+#: Rows of a landed file, and files that a batch takes: several batches even for small tables.
+EVENTS, POSTINGS, ALERTS, FILES = 2_000, 400_000, 5_000, 2
 
 
 def event_stream(b):
     log = b.access_log
-    return J.read_landed(b.spark, J.land(log, "events"), log.schema)
+    return J.read_landed(b.spark, J.land(log, "events", EVENTS), log.schema, FILES)
 
 
-def line_stream(b, extra=()):
-    lines = b.base().select("orderkey", "linenumber", "partkey", "suppkey", "returnflag", "posting_date", "period_key", F.col("seller_key").alias("entity_key"),
-                            F.col("seller_code").alias("entity_code"), "buyer_region", F.col("a_sale").alias("net"), *extra)
-    return J.read_landed(b.spark, J.land(lines, "lines"), lines.schema)
-
-
-TABLES["sl"] = "select orderkey, linenumber, partkey, suppkey, returnflag, posting_date, period_key, seller_key entity_key, seller_code entity_code, buyer_region, a_sale net from base_lines"
+def posting_stream(b):
+    rows = b.ledger().select("transaction_id", "entity_key", "entity_code", "account_code", "net", "posting_date", "ingestion_date", "period_key", "currency_code")
+    return J.read_landed(b.spark, J.land(rows, "postings", POSTINGS), rows.schema, FILES)
 
 
 def bronze(b):
-    raw = b.spark.readStream.schema(files.text_schema(EXPORT)).options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxFilesPerTrigger=4).csv(export_csv(b))
+    raw = b.spark.readStream.schema(files.text_schema(EXPORT)).options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxFilesPerTrigger=FILES).csv(export_csv(b))
     typed = raw.select("transaction_id", "company_id", F.to_date("posting_date").alias("posting_date"), parse_comma_decimal("debit_amount").alias("debit"),
                        F.col("_metadata.file_name").alias("file_name"))
     return J.append_table(typed, "bronze")
 
 
-query("stream_bronze_ingest", f"select entity_code company_id, period_key, count(*) n, {dec('sum(net)')} debit from sl group by all")(
+query("stream_bronze_ingest", f"select seller_code company_id, period_key, count(*) n, {dec('sum(a_sale)')} debit from base_lines group by all")(
     lambda b: bronze(b).groupBy("company_id", period_of_date("posting_date").alias("period_key")).agg(n, F.sum("debit").alias("debit")))
 
 
 def deduped(b):
     s = event_stream(b).withColumn("fp", fingerprint("user_id", "action", F.to_date("event_ts")))
-    return J.append_table(J.dedupe(s, "event_ts", ["fp"], "60 days"), "deduped")
-
-
-query("stream_dedupe", "select user_id, action, count(distinct cast(event_ts as date)) n from accesslog group by all")(lambda b: deduped(b).groupBy("user_id", "action").agg(n))
-
-
-def tumbling(b):
-    s = line_stream(b).withColumn("ts", F.col("posting_date").cast("timestamp"))
-    return J.complete_table(J.tumbling_counts(s, "ts", ["entity_key"], "1 day", "4000 days"), "velocity")
+    return J.dedupe_table(s, "deduped", "event_ts", ["fp"])
 
 
-query("stream_tumbling_velocity", "select posting_date window_day, entity_key, count(*) n from sl group by all having count(*) > 2")(
-    lambda b: tumbling(b).where("n > 2").select(F.to_date("window_start").alias("window_day"), "entity_key", "n"))
+query("stream_dedupe", "select user_id, action, count(distinct cast(event_ts as date)) n, min(event_ts) first_ts from accesslog group by all")(
+    lambda b: deduped(b).groupBy("user_id", "action").agg(n, F.min("event_ts").alias("first_ts")))
+query("stream_tumbling_velocity", "select posting_date window_day, entity_key, count(*) n from gl group by all having count(*) > 2")(
+    lambda b: J.tumbling_counts(posting_stream(b).withColumn("ts", F.col("posting_date").cast("timestamp")), "velocity", "ts", ["entity_key"], "1 day").where("n > 2").select(
+        F.to_date("window_start").alias("window_day"), "entity_key", "n"))
 query("stream_hourly_velocity", "select cast(event_ts as date) d, cast(hour(event_ts) as integer) h, action, count(*) n from accesslog group by all having count(*) > 2")(
-    lambda b: J.complete_table(J.tumbling_counts(event_stream(b), "event_ts", ["action"], "1 hour"), "hourly").where("n > 2").select(
+    lambda b: J.tumbling_counts(event_stream(b), "hourly", "event_ts", ["action"], "1 hour").where("n > 2").select(
         F.to_date("window_start").alias("d"), F.hour("window_start").alias("h"), "action", "n"))
 query("stream_sliding_activity", "select cast(cast(event_ts as date) - cast(k as integer) as date) window_day, user_id, action, count(*) n from accesslog, unnest([0, 1, 2, 3, 4, 5, 6]) t(k) group by all")(
-    lambda b: J.complete_table(J.sliding_counts(event_stream(b), "event_ts", ["user_id", "action"], "7 days", "1 day"), "sliding").select(
+    lambda b: J.sliding_counts(event_stream(b), "sliding", "event_ts", ["user_id", "action"], "7 days", "1 day").select(
         F.to_date("window_start").alias("window_day"), "user_id", "action", "n"))
 query("stream_session_activity", """select user_id, count(*) n, (epoch_us(max(event_ts)) - epoch_us(min(event_ts))) // 1000000 + 1800 duration_s, cast(min(event_ts) as date) d from (
  select *, sum(brk) over (partition by user_id order by event_ts, event_id) sid from (select *, case when event_ts - lag(event_ts) over (partition by user_id order by event_ts, event_id) < interval 30 minute then 0 else 1 end brk from accesslog))
  group by user_id, sid""")(
-    lambda b: J.complete_table(J.sessions(event_stream(b), "event_ts", ["user_id"], "30 minutes"), "sessions").select(
+    lambda b: J.sessions(event_stream(b), "sessions", "event_ts", ["user_id"], "30 minutes").select(
         "user_id", "n", F.expr("(unix_micros(session_end) - unix_micros(session_start)) DIV 1000000").alias("duration_s"), F.to_date("session_start").alias("d")))
 
 
 def late_split(b):
-    s = line_stream(b).withColumn("is_late", F.date_diff(F.date_add("posting_date", (F.col("partkey") % 40).cast("int")), F.last_day("posting_date")) > K.LATE_AFTER_DAYS)
+    s = posting_stream(b).withColumn("is_late", F.date_diff("ingestion_date", F.last_day("posting_date")) > K.LATE_AFTER_DAYS)
     return J.append_table(s, "late-split", ["is_late"])
 
 
-query("stream_late_split", f"select date_diff('day', last_day(posting_date), cast(posting_date + cast(partkey % 40 as integer) as date)) > 5 is_late, period_key, count(*) n, {dec('sum(net)')} net from sl group by all")(
+query("stream_late_split", f"select date_diff('day', last_day(posting_date), ingestion_date) > 5 is_late, period_key, count(*) n, {dec('sum(net)')} net from gl group by all")(
     lambda b: late_split(b).groupBy("is_late", "period_key").agg(n, F.sum("net").alias("net")))
 
 
 def incremental_fact(b):
-    s = line_stream(b).withColumn("transaction_id", F.concat_ws("-", "orderkey", "linenumber", "partkey", "suppkey")).select(
-        "transaction_id", "entity_key", "net", "period_key")
-    return J.merge_table(s, "fact", ["transaction_id"], "period_key", ["entity_key"])
+    s = posting_stream(b).select("transaction_id", "entity_key", "account_code", "net", "period_key")
+    return J.merge_table(s, "fact", ["transaction_id"], "period_key", ["entity_key", "account_code"])
 
 
-query("stream_incremental_fact", f"select period_key, count(distinct concat_ws('-', orderkey, linenumber, partkey, suppkey)) n, {dec('sum(net)')} net from sl group by all")(
-    lambda b: incremental_fact(b).groupBy("period_key").agg(F.countDistinct("transaction_id").alias("n"), F.sum("net").alias("net")))
+query("stream_incremental_fact", f"select period_key, account_code, count(distinct transaction_id) n, {dec('sum(net)')} net from gl group by all")(
+    lambda b: incremental_fact(b).groupBy("period_key", "account_code").agg(F.countDistinct("transaction_id").alias("n"), F.sum("net").alias("net")))
 
 
 def enriched(b):
     """Posting stream against the static account plan and the static daily rates."""
-    currency = b.currencies.select(F.col("region_key").alias("buyer_region"), "currency_code")
-    s = line_stream(b).withColumn("account_code", F.when(F.col("returnflag") == "A", "971").when(F.col("returnflag") == "R", "58").otherwise("999"))
-    s = s.join(currency, "buyer_region").join(b.accounts.select("account_code", "l1_category"), "account_code", "left")
+    s = posting_stream(b).join(b.accounts.select("account_code", "l1_category"), "account_code", "left")
     return J.append_table(fx.fcy_to_huf(s, b.fx_daily, "net"), "enriched")
 
 
-query("stream_static_enrich", f"""select s.currency_code, l1_category, period_key, count(*) n, {dec('sum(h)')} amount_huf from (select c.currency_code, period_key, case returnflag when 'A' then 'Revenue' when 'R' then 'OPEX' end l1_category,
- case when c.currency_code = 'HUF' then net else {times('net', 'coalesce(d.rate_to_huf, 1)')} end h from sl join ccy c on region_key = buyer_region left join fxday d on d.currency_code = c.currency_code and d."day" = posting_date) s group by all""")(
+query("stream_static_enrich", f"""select s.currency_code, l1_category, period_key, count(*) n, {dec('sum(h)')} amount_huf from (select g.currency_code, period_key, l1_category,
+ case when g.currency_code = 'HUF' then net else {times('net', 'coalesce(d.rate_to_huf, 1)')} end h from gl g left join coa a on a.account_code = g.account_code
+ left join fxday d on d.currency_code = g.currency_code and d."day" = posting_date) s group by all""")(
     lambda b: enriched(b).groupBy("currency_code", "l1_category", "period_key").agg(n, F.sum("amount_huf").alias("amount_huf")))
 
 
 def cooled(b):
     large = b.base().where("a_sale > 90000").select(
         F.lit("LARGE_GL_POSTING").alias("rule_code"), F.col("seller_code").alias("entity_code"),
-        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"))).alias("raised_at"))
-    stream = J.read_landed(b.spark, J.land(large, "alerts", 4), large.schema, 4)
-    return J.append_table(J.cooldown(stream, 48), "cooled")
+        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"), mins=(F.col("suppkey") % 60).cast("int"))).alias("raised_at"))
+    return J.cooldown_table(J.read_landed(b.spark, J.land(large, "alerts", ALERTS), large.schema, FILES), "candidates", 48)
 
 
-query("stream_alert_cooldown", """with recursive fired as (select entity_code, min(raised_at) t from lp group by all union all
- select f.entity_code, min(l.raised_at) from fired f join lp l on l.entity_code = f.entity_code and l.raised_at >= f.t + interval 48 hour group by f.entity_code, f.t)
- select 'LARGE_GL_POSTING' rule_code, entity_code, cast(t as date) fired_on, cast(hour(t) as integer) fired_hour from fired""")(
-    lambda b: cooled(b).select("rule_code", "entity_code", F.to_date("raised_at").alias("fired_on"), F.hour("raised_at").alias("fired_hour")))
+query("stream_alert_cooldown", """with recursive a as (select seller_code entity_code, posting_date + to_hours(cast(partkey % 24 as integer)) + to_minutes(cast(suppkey % 60 as integer)) raised_at from base_lines where a_sale > 90000),
+ fired as (select entity_code, min(raised_at) t from a group by all union all
+ select f.entity_code, min(l.raised_at) from fired f join a l on l.entity_code = f.entity_code and l.raised_at >= f.t + interval 48 hour group by f.entity_code, f.t)
+ select 'LARGE_GL_POSTING' rule_code, entity_code, cast(t as date) fired_on, cast(hour(t) as integer) fired_hour, cast(minute(t) as integer) fired_minute from fired""")(
+    lambda b: cooled(b).select("rule_code", "entity_code", F.to_date("raised_at").alias("fired_on"), F.hour("raised_at").alias("fired_hour"), F.minute("raised_at").alias("fired_minute")))

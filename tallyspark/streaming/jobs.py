@@ -1,7 +1,8 @@
 """Incremental jobs. Each runs over landed files until they are used up, with its own checkpoint, and leaves a parquet table.
 
-Row jobs use the file sink (exactly once). Windowed jobs write the whole result of a batch to a new folder, so a repeated batch
-overwrites nothing; the last folder is the answer. State is per window, session or rule and company, never per posting.
+Files may arrive in any order, so no job drops or misjudges a row for being late. Row jobs use the file sink (exactly once). Counting jobs
+write what a batch adds to a folder of that batch: a repeated batch overwrites its own folder, counts of the same window add up when
+the table is read, and sessions that touch are joined then. No job keeps state between batches besides its tables.
 """
 
 from __future__ import annotations
@@ -9,21 +10,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..operators.windows import first_per_key
 from ..session import fresh_path
 from ..sources import sinks
 
+EPOCH = "__epoch"
 
-def land(df: DataFrame, label: str, files: int = 8) -> str:
-    """Put a table down as several landed files."""
+
+def land(df: DataFrame, label: str, rows_per_file: int) -> str:
+    """Put a table down as landed files of at most so many rows."""
     path = fresh_path(df.sparkSession, f"landing-{label}")
-    df.repartition(files).write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return path
 
 
-def read_landed(spark: SparkSession, path: str, schema, files_per_batch: int = 4) -> DataFrame:
+def read_landed(spark: SparkSession, path: str, schema, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
@@ -38,19 +41,32 @@ def append_table(stream: DataFrame, label: str, partition: list[str] = ()) -> Da
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def complete_table(stream: DataFrame, label: str) -> DataFrame:
-    """Run a windowed aggregate to the end; every batch writes its full result to a folder of its own."""
+def batch_table(stream: DataFrame, label: str, per_batch, partition: str | None = None) -> DataFrame:
+    """Run the stream to the end; `per_batch(batch, before)` gives the rows that a batch adds, `before` being the table up to there.
+
+    Every batch has a folder of its own, which a repetition overwrites; `before` leaves that folder out.
+    """
     spark = stream.sparkSession
     out = fresh_path(spark, label)
-    latest: list[int] = []
+    nothing = per_batch(spark.createDataFrame([], stream.schema), None)
+
+    def put(rows: DataFrame, epoch: int) -> None:
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{out}/{EPOCH}={epoch}")
+
+    put(nothing, -1)
+    schema = T.StructType([*nothing.schema.fields, T.StructField(EPOCH, T.LongType())])
+
+    def table():
+        return spark.read.schema(schema).option("basePath", out).parquet(out)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch-{epoch}")
-        latest.append(epoch)
+        before = table().where(F.col(EPOCH) < epoch).drop(EPOCH) if epoch else None
+        put(per_batch(batch.select(*stream.columns), before), epoch)
 
-    (stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint"))
+    (stream.writeStream.foreachBatch(write).option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint"))
      .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(stream.schema).parquet(f"{out}/epoch-{max(latest)}")
+    return table().drop(EPOCH)
 
 
 def merge_table(stream: DataFrame, label: str, keys: list[str], partition: str, cluster: list[str]) -> DataFrame:
@@ -64,46 +80,86 @@ def merge_table(stream: DataFrame, label: str, keys: list[str], partition: str,
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def dedupe(stream: DataFrame, time: str, keys: list[str], watermark: str) -> DataFrame:
-    return stream.withWatermark(time, watermark).dropDuplicatesWithinWatermark(keys)
+def dedupe_table(stream: DataFrame, label: str, time: str, keys: list[str]) -> DataFrame:
+    """One row per key, whatever the order and distance of the files: keys belong to one day of `time`, so a batch is compared with the
+    days that it touches, read by partition. The days of a batch are read to the driver; the calendar bounds them."""
+    day = "event_day"
+
+    def new(batch: DataFrame, before: DataFrame | None) -> DataFrame:
+        rows = first_per_key(batch.withColumn(day, F.to_date(time)), [day, *keys], [time])
+        if before is None:
+            return rows
+        days = [r[0] for r in rows.select(day).distinct().collect()]
+        known = before.where(F.col(day).isin(days)) if days else before.limit(0)
+        return rows.join(known.select(day, *keys), [day, *keys], "left_anti").select(*rows.columns)
+
+    return batch_table(stream, label, new, day)
+
+
+def window_counts(stream: DataFrame, label: str, window: Column, keys: list[str]) -> DataFrame:
+    """Rows per window and keys. A batch adds its own counts; they are summed when read."""
+    def counted(batch, _):
+        return batch.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
+
+    return batch_table(stream, label, counted).groupBy("window_start", *keys).agg(F.sum("n").alias("n"))
+
+
+def tumbling_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str) -> DataFrame:
+    return window_counts(stream, label, F.window(time, size), keys)
+
+
+def sliding_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str, slide: str) -> DataFrame:
+    return window_counts(stream, label, F.window(time, size, slide), keys)
+
 
+def sessions(stream: DataFrame, label: str, time: str, keys: list[str], gap: str) -> DataFrame:
+    """Sessions per keys. A batch adds the sessions of its own rows; those that touch across batches become one when read."""
+    def found(batch, _):
+        return batch.groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n")).select(
+            F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n")
 
-def tumbling_counts(stream: DataFrame, time: str, keys: list[str], size: str, watermark: str = "90 days") -> DataFrame:
-    return stream.withWatermark(time, watermark).groupBy(F.window(time, size).alias("w"), *keys).agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("window_start"), *keys, "n")
+    return join_sessions(batch_table(stream, label, found), keys)
 
 
-def sliding_counts(stream: DataFrame, time: str, keys: list[str], size: str, slide: str, watermark: str = "90 days") -> DataFrame:
-    return stream.withWatermark(time, watermark).groupBy(F.window(time, size, slide).alias("w"), *keys).agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("window_start"), *keys, "n")
+def join_sessions(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sessions that overlap (an end is a row's time plus the gap) as one."""
+    order = Window.partitionBy(*keys).orderBy("session_start", "session_end")
+    reach = F.max("session_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = parts.withColumn("begins", F.coalesce(F.col("session_start") >= reach, F.lit(True)).cast("int"))
+    numbered = marked.withColumn("session", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "session").agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("n").alias("n")).select(
+        "session_start", "session_end", *keys, "n")
 
 
-def sessions(stream: DataFrame, time: str, keys: list[str], gap: str, watermark: str = "90 days") -> DataFrame:
-    return stream.withWatermark(time, watermark).groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n")
+def cooldown_table(stream: DataFrame, label: str, hours: int) -> DataFrame:
+    """Alerts that fire out of all candidates of the stream. Candidates are kept as they come; which of them fire is decided in the order
+    of their times, not of their arrival."""
+    return fired(append_table(stream.select("rule_code", "entity_code", "raised_at"), label), hours)
 
 
-def cooldown(stream: DataFrame, hours: int) -> DataFrame:
-    """Alerts that fire: per rule and company, the first one and then each that comes at least `hours` after the last fired.
+def fired(candidates: DataFrame, hours: int) -> DataFrame:
+    """Per rule and company the first candidate and then each first one at least `hours` after the last that fired.
 
-    Candidates are folded to the earliest of each clock hour while the batches come in, so memory follows the hours of a batch.
+    Rows stream past in order, and a task holds one batch and the last firing. One rule and company is one chain, in one task.
     """
+    keys = ["rule_code", "entity_code"]
     gap = pd.Timedelta(hours=hours)
 
-    def fire(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        earliest: dict[pd.Timestamp, pd.Timestamp] = {}
-        for pdf in frames:
-            for hour, first in pdf.groupby(pdf.raised_at.dt.floor("h")).raised_at.min().items():
-                earliest[hour] = min(first, earliest.get(hour, first))
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        fired = []
-        for t in sorted(earliest.values()):
-            if last is None or t >= last + gap:
-                fired.append(t)
-                last = t
-        if last is not None:
-            state.update((int(last.value // 1000),))
-        yield pd.DataFrame({"rule_code": [key[0]] * len(fired), "entity_code": [key[1]] * len(fired), "raised_at": fired})
-
-    return stream.groupBy("rule_code", "entity_code").applyInPandasWithState(
-        fire, "rule_code string, entity_code string, raised_at timestamp", "last_us long", "append", GroupStateTimeout.NoTimeout)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, last = None, None
+        for batch in batches:
+            out = []
+            for name, group in batch.groupby(keys, sort=False, dropna=False):
+                times = group.raised_at.reset_index(drop=True)
+                name = tuple(None if pd.isna(x) else x for x in name)
+                if name != key:
+                    key, last = name, None
+                at = 0 if last is None else int(times.searchsorted(last + gap))
+                while at < len(times):
+                    last = times[at]
+                    out.append((*name, last))
+                    at = int(times.searchsorted(last + gap))
+            yield pd.DataFrame(out, columns=[*keys, "raised_at"])
+
+    ordered = candidates.select(*keys, "raised_at").where("raised_at IS NOT NULL").repartition(*keys).sortWithinPartitions(*keys, "raised_at")
+    return ordered.mapInPandas(run, "rule_code string, entity_code string, raised_at timestamp")
