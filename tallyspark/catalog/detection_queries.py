@@ -40,9 +40,9 @@ def storno_mapped(b):
 
 query("anomaly_revenue_debit", f"select entity_key, period_key, count(*) as \"rows\", {dec('sum(-net)')} total from storno s join coa c on c.account_code = s.account_code where l1_category = 'Revenue' and -net < 0 group by all")(
     lambda b: A.revenue_debits(storno_mapped(b)))
-TABLES["fpz"] = """select transaction_id, entity_code, account_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl where leg in ('S4', 'S3')"""
+TABLES["fpz"] = """select transaction_id, entity_code, account_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl"""
 query("anomaly_duplicate_hash", "select entity_code, row_hash, duplicate_count, count(*) n from (select *, count(*) over (partition by entity_code, row_hash) duplicate_count from fpz) where duplicate_count > 1 group by all")(
-    lambda b: dq.duplicate_postings(b.ledger().where("leg IN ('S3', 'S4')"), ["entity_code", "account_code", "period_key", "debit", "credit"])
+    lambda b: dq.duplicate_postings(b.ledger(), ["entity_code", "account_code", "period_key", "debit", "credit"])
     .groupBy("entity_code", "row_hash", "duplicate_count").agg(n))
 query("anomaly_bs_imbalance", """select period_key, entity_key, total_assets, total_liabilities_equity, total_assets - total_liabilities_equity gap from (select period_key, entity_key, cast(sum(case when account_type = 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_assets,
  cast(sum(case when account_type <> 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_liabilities_equity from bs_nodes group by all) where abs(total_assets - total_liabilities_equity) >= 1""")(
@@ -72,16 +72,14 @@ query("anomaly_queue", f"""with q as (select entity_key, 'STATISTICAL' anomaly_c
     lambda b: anomaly_queue(b).groupBy("anomaly_class", "detection_method", "severity", "kpi_affected", "status").agg(n, F.countDistinct("entity_key").alias("entities")))
 
 # ---- forecasts ------------------------------------------------------------------------------------------------
-# companies that joined late have short histories
 TABLES["ser"] = """select s.*, (period_key // 100) * 12 + period_key % 100 - 1 mi from (select period_key, entity_key, unnest(['revenue', 'cogs', 'gross_profit', 'ebitda', 'net_profit', 'operating_cash_flow']) kpi,
   unnest([revenue, cogs, gross_profit, ebitda, net_profit, ocf]) "value" from (select p.*, operating_cash_flow ocf from t_pl p left join (select period_key pk, entity_key ek, consolidation_scope cs, operating_cash_flow from t_cf) c on pk = p.period_key and ek = p.entity_key and cs = p.consolidation_scope
-  where consolidation_scope = 'entity')) s where "value" is not null and period_key >= case entity_key % 5 when 0 then 200104 when 1 then 200109 else 0 end"""
+  where consolidation_scope = 'entity')) s where "value" is not null"""
 TABLES["mch"] = "select entity_key, kpi, count(*) as \"months\", cast(min(mi) as integer) first_mi, cast(max(mi) as integer) last_mi, case when count(*) >= 12 then 'SEASONAL' when count(*) >= 6 then 'DRIFT' else 'SKIP' end \"method\" from ser group by all"
 
 
 def monthly_series(b):
-    start = F.when(F.col("entity_key") % 5 == 0, 200104).when(F.col("entity_key") % 5 == 1, 200109).otherwise(0)
-    return P.series(b.pl, b.cashflow).where(F.col("period_key") >= start)
+    return P.series(b.pl, b.cashflow)
 
 
 TABLES["tr0"] = """select s.entity_key, s.kpi, first_mi, last_mi, cast(count(*) as double) n, cast(sum(mi - first_mi) as double) st, cast(sum((mi - first_mi) * (mi - first_mi)) as double) stt, cast(sum("value") as double) sy, cast(sum("value" * (mi - first_mi)) as double) sty
@@ -96,12 +94,12 @@ _r = lambda e: f"round(({e}) * (1 + 1e-12), 2)"
 TABLES["fseas"] = f"""select entity_key, kpi, {_P('fi')} period_key, 'SEASONAL' "method", {_r('yhat - spread')} p10, {_r('yhat')} p50, {_r('yhat + spread')} p90 from (select f.*, (intercept + slope * (fi - first_mi)) * coalesce(season, 1.0::double) yhat, sigma * 1.2816::double spread
  from (select *, last_mi + unnest(range(1, 13)) fi from tr) f left join sea e on e.entity_key = f.entity_key and e.kpi = f.kpi and e.m = fi % 12 join sig g on g.entity_key = f.entity_key and g.kpi = f.kpi)"""
 TABLES["fdrift"] = f"""select entity_key, kpi, {_P('last_mi + step')} period_key, 'DRIFT' "method", {_r('yhat - spread')} p10, {_r('yhat')} p50, {_r('yhat + spread')} p90 from (select *, lv + step * (lv - fv) / k yhat, sigma * 1.2816::double * sqrt(step) spread from (select *, unnest(range(1, 13)) step from (
- select entity_key, kpi, cast(max_by("value", mi) as double) lv, cast(min_by("value", mi) as double) fv, count(*) - 1 k, stddev_samp(d) sigma, max(mi) last_mi from (select s.*, cast("value" - lag("value") over (partition by s.entity_key, s.kpi order by mi) as double) d from ser s join mch c on c.entity_key = s.entity_key and c.kpi = s.kpi where "method" = 'DRIFT') group by 1, 2)))"""
+ select entity_key, kpi, cast(max_by("value", mi) as double) lv, cast(min_by("value", mi) as double) fv, count(*) - 1 k, stddev_samp(d) sigma, max(mi) last_mi from (select s.*, cast("value" - lag("value") over (partition by s.entity_key, s.kpi order by mi) as double) d from ser s join mch c on c.entity_key = s.entity_key and c.kpi = s.kpi where "method" <> 'SKIP') group by 1, 2)))"""
 query("forecast_method_choice", "select * from mch")(lambda b: P.method_choice(monthly_series(b)))
 query("forecast_grid", f"select entity_key, kpi, {_P('last_mi + step')} period_key, cast(step as integer) step from (select *, unnest(range(1, 13)) step from mch where \"method\" <> 'SKIP')")(
     lambda b: P.grid(P.method_choice(monthly_series(b)).where("method <> 'SKIP'")).select(*P.KEYS, "period_key", "step"))
 query("forecast_seasonal", "select * from fseas")(lambda b: P.seasonal(monthly_series(b)))
-query("forecast_drift", "select * from fdrift")(lambda b: P.drift(monthly_series(b)))
+query("forecast_drift", "select * from fdrift")(lambda b: P.drift(monthly_series(b), methods=("SEASONAL", "DRIFT")))
 
 
 def forecast_upsert(b):
@@ -111,7 +109,7 @@ def forecast_upsert(b):
     return sinks.merged(old, new, ["entity_key", "period_key", "kpi", "source"])
 
 
-query("forecast_upsert", "with f as (select * from fseas union all select * from fdrift) select *, 'RUN' source from f union all select *, 'MANUAL' from f where entity_key % 3 = 0")(forecast_upsert)
+query("forecast_upsert", """with f as (select * from fseas union all select d.* from fdrift d join mch c on c.entity_key = d.entity_key and c.kpi = d.kpi where c."method" = 'DRIFT') select *, 'RUN' source from f union all select *, 'MANUAL' from f where entity_key % 3 = 0""")(forecast_upsert)
 
 # ---- retrieval, profile ---------------------------------------------------------------------------------------
 QUERY = [((i * 37) % 11 - 5) / 10 for i in range(64)]

@@ -47,8 +47,8 @@ query("dq006_currency", f"select entity_code, currency_code, count(*) n from up
 TABLES["cover"] = """select distinct currency_code cc, cast(unnest(generate_series(cast(rate_date - 1 as date), cast(rate_date + 3 as date), interval 1 day)) as date) cd from rates"""
 query("dq007_fx_available", "select entity_code, currency_code, count(*) n, min(posting_date) first_date from up left join cover on cc = currency_code and cd = posting_date where currency_code <> 'HUF' and cc is null group by all")(
     lambda b: dq.run("DQ-007", uploaded(b), rates=b.fx_rates)[0].groupBy("entity_code", "currency_code").agg(n, F.min("posting_date").alias("first_date")))
-query("dq008_duplicate_source", """select entity_code, source_system, source_id, count(*) occurrences, min(batch_id) first_batch, max(batch_id) last_batch, min(posting_date) first_date, max(posting_date) last_date
- from up where leg = 'S1' and side = 'D' group by all having count(*) > 1""")(lambda b: dq.duplicate_sources(uploaded(b).where("leg = 'S1' AND side = 'D'")))
+query("dq008_duplicate_source", """select entity_code, source_system, source_id, leg, side, count(*) occurrences, min(batch_id) first_batch, max(batch_id) last_batch, min(posting_date) first_date, max(posting_date) last_date
+ from up group by all having count(*) > 1""")(lambda b: dq.duplicate_sources(uploaded(b)))
 TABLES["fp"] = """select transaction_id, entity_code, account_code, posting_date, net, sha256(entity_code || '|' || account_code || '|' || cast(posting_date as varchar) || '|' || document_number || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl"""
 FP = ["transaction_id", "entity_code", "account_code", "row_hash", "duplicate_count"]
 query("dq_duplicate_postings", "select transaction_id, entity_code, account_code, row_hash, duplicate_count from (select *, count(*) over (partition by entity_code, row_hash) duplicate_count from fp) where duplicate_count > 1")(
@@ -127,7 +127,7 @@ _RULES = {"DQ-002": "account_code not in (select account_code from coa)", "DQ-00
 TABLES["dqlog0"] = " union all ".join(
     [f"select '{r}' rule_id, entity_code, count(*) records_checked, count(case when {c} then 1 end) records_failed from dq5 left join cover on cc = currency_code and cd = posting_date group by all" for r, c in _RULES.items()]
     + ["select 'DQ-001', entity_code, count(*), count(case when check_result = 'FAIL' then 1 end) from dq1 group by all",
-       "select 'DQ-008', entity_code, cast(sum(n) as bigint), count(case when n > 1 then 1 end) from (select entity_code, source_system, source_id, count(*) n from up where leg = 'S1' and side = 'D' group by all) group by all"])
+       "select 'DQ-008', entity_code, cast(sum(n) as bigint), count(case when n > 1 then 1 end) from (select entity_code, source_system, source_id, leg, side, count(*) n from up group by all) group by all"])
 TABLES["dqlog"] = f"""select *, {sql_ratio('records_failed', 'records_checked', 4, 100)} failure_rate_pct, case when records_failed = 0 then 'PASS' when rule_id in ('DQ-004', 'DQ-007', 'DQ-010') then 'WARN' else 'FAIL' end check_result,
  case when records_failed = 0 then 'NONE' when rule_id in ('DQ-001', 'DQ-002') then 'QUARANTINE' when rule_id in ('DQ-004', 'DQ-007', 'DQ-010') then 'WARN' else 'BLOCK' end action_taken from dqlog0"""
 log = lambda b: b.stored("dq_log", lambda: dq.dq_log(uploaded(b), b.accounts, b.fx_rates))
@@ -154,20 +154,17 @@ query("dq_gate", """select rule_id, count(case when check_result = 'FAIL' then 1
  from dqlog where rule_id in ('DQ-001', 'DQ-002') group by all""")(gate_decision)
 query("dq_detail_json", f"""select entity_code, count(*) invalid_count, cast(to_json({{'rule_id': 'DQ-006', 'invalid_count': count(*), 'samples': list({{'transaction_id': transaction_id, 'account_code': account_code, 'net': cast(net as varchar)}} order by transaction_id)[1:10]}}) as varchar) failure_detail
  from up where currency_code is null or currency_code not in ({KNOWN}) group by all""")(lambda b: dq.detail_json(dq.run("DQ-006", uploaded(b))[0], "DQ-006", ["transaction_id", "account_code", "net"], ["transaction_id"]))
-VIOL = [("DQ-004", "is_zero_amount", "transaction_id"), ("DQ-006", "is_unknown_currency", "transaction_id")]
-
-
 def violations(b):
     u = uploaded(b)
     text = lambda rule, df, key, detail: df.select(F.lit(rule).alias("rule_id"), "entity_code", F.col(key).cast("string").alias("violating_key"), detail.cast("string").alias("detail"))
     return text("DQ-001", dq.batch_balance(u).where("check_result = 'FAIL'"), "batch_id", F.col("imbalance").cast("decimal(38,2)")).unionByName(
         text("DQ-002", dq.run("DQ-002", u, b.accounts)[0], "transaction_id", F.col("account_code"))).unionByName(
-        text("DQ-008", dq.duplicate_sources(u.where("leg = 'S1' AND side = 'D'")), "source_id", F.col("occurrences")))
+        text("DQ-008", dq.duplicate_sources(u), "source_id", F.col("occurrences")))
 
 
 query("violations_union", """select 'DQ-001' rule_id, entity_code, batch_id violating_key, cast(imbalance as varchar) detail from dq1 where check_result = 'FAIL' union all
  select 'DQ-002', entity_code, transaction_id, account_code from up where account_code not in (select account_code from coa) union all
- select 'DQ-008', entity_code, source_id, cast(count(*) as varchar) from up where leg = 'S1' and side = 'D' group by entity_code, source_system, source_id having count(*) > 1""")(violations)
+ select 'DQ-008', entity_code, source_id, cast(count(*) as varchar) from up group by entity_code, source_system, source_id, leg, side having count(*) > 1""")(violations)
 
 # ---- quarantine queue -----------------------------------------------------------------------------------------
 TABLES["quar"] = """select transaction_id, batch_id, entity_code, account_code, net, ingestion_date quarantined_on, case when partkey % 3 = 0 then 'RESOLVED' else 'OPEN' end resolution_status from gl where account_code not in (select account_code from coa)"""

@@ -100,10 +100,9 @@ query("alert_unmatched_rules", "select rule_code, kpi_name from rules_ where kpi
     lambda b: A.unmatched_rules(rules(b), kpi_long(b)).select("rule_code", "kpi_name"))
 SEV = "case severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 when 'LOW' then 4 when 'INFO' then 5 else 6 end"
 query("alert_summary", f"select entity_key, severity, count(*) open_alerts, min(period_key) oldest_period, {SEV} severity_order from alog where status = 'OPEN' group by all")(lambda b: A.summary(logged(b)))
-query("severity_order", f"select rule_code, severity, {SEV} severity_order, row_number() over (order by {SEV}, period_key, entity_key, rule_code) place from (select * from alog where status = 'OPEN') order by place limit 200")(
-    lambda b: __import__("tallyspark.operators.access", fromlist=["x"]).numbered_top(
-        logged(b).where("status = 'OPEN'").withColumn("severity_order", A.severity_rank()), [F.col("severity_order"), F.col("period_key"), F.col("entity_key"), F.col("rule_code")], 200
-    ).select("rule_code", "severity", "severity_order", "place"))
+query("severity_order", f"select rule_code, severity, {SEV} severity_order, period_key, entity_key from alog where status = 'OPEN'")(
+    lambda b: logged(b).where("status = 'OPEN'").select("rule_code", "severity", A.severity_rank().alias("severity_order"), "period_key", "entity_key").orderBy(
+        "severity_order", "period_key", "entity_key", "rule_code"))
 query("m_open_critical_alerts", "select entity_key, count(*) open_critical_alerts from alog where status = 'OPEN' and severity = 'CRITICAL' group by all")(
     lambda b: logged(b).where("status = 'OPEN' AND severity = 'CRITICAL'").groupBy("entity_key").agg(F.count("*").alias("open_critical_alerts")))
 TABLES["lp"] = "select orderkey, seller_code entity_code, 'LARGE_GL_POSTING' rule_code, posting_date + to_hours(cast(partkey % 24 as integer)) raised_at, 48 cooldown_hours, case orderkey % 3 when 0 then 'OPEN' when 1 then 'ACKNOWLEDGED' else 'CLOSED' end status from base_lines where a_sale > 90000"

@@ -161,8 +161,8 @@ query("top_cost_centres", f"""select * from (select entity_key, cost_centre, cos
  select entity_key, cost_centre, {dec('sum(net)')} cost from tbx t join coa c on c.account_code = t.account_code where account_type = 'Expense' group by all)) where place <= 3""")(
     lambda b: access.top_per_group(b.cost_balance.join(b.accounts.where("account_type = 'Expense'").select("account_code"), "account_code").groupBy("entity_key", "cost_centre").agg(
         F.sum("net").alias("cost")), ["entity_key"], [F.col("cost").desc(), F.col("cost_centre")], 3))
-query("nulls_last_order", """select period_key, entity_key, revenue_yoy_pct, row_number() over () place from (select * from t_pl where consolidation_scope = 'entity' order by revenue_yoy_pct desc nulls last, period_key, entity_key limit 500)""")(
-    lambda b: access.numbered_top(b.pl.where("consolidation_scope = 'entity'").select(*KEY, "revenue_yoy_pct"), [F.col("revenue_yoy_pct").desc_nulls_last(), F.col("period_key"), F.col("entity_key")], 500))
+query("nulls_last_order", "select period_key, entity_key, revenue_yoy_pct from t_pl where consolidation_scope = 'entity'")(
+    lambda b: b.pl.where("consolidation_scope = 'entity'").select(*KEY, "revenue_yoy_pct").orderBy(F.col("revenue_yoy_pct").desc_nulls_last(), "period_key", "entity_key"))
 query("latest_period_per_entity", f"select entity_key, max(period_key) latest_period, max_by(revenue, period_key) revenue from t_act where consolidation_scope = 'entity' group by all")(
     lambda b: b.pl.where("consolidation_scope = 'entity'").groupBy("entity_key").agg(F.max("period_key").alias("latest_period"), F.max_by("revenue", "period_key").alias("revenue")))
 query("reconcile_gold_to_master", f"""with m as (select entity_key, account_code, closing_balance master_balance from bs_up where period_year = 2001 and period_month = 12),

@@ -62,11 +62,6 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, out: str
     return df.withColumn(out, place.over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(out) <= k)
 
 
-def numbered_top(df: DataFrame, order: list, k: int) -> DataFrame:
-    """First k rows in order with their place; only the k survivors are numbered."""
-    return df.orderBy(*order).limit(k).withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))
-
-
 def reconcile(b, k: int = 100, tolerance: float = 0.001) -> DataFrame:
     """Ledger totals against the uploaded year-end balances, largest accounts first."""
     account = F.when(F.substring("account_code", 1, 1).isin("1", "2", "3", "4"), F.col("account_code")).otherwise(F.lit("419"))

@@ -31,12 +31,6 @@ class Books:
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose few row groups would leave cores idle is dealt out to all of them; a large table is read as it is."""
-        df = self.t(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def values(self, rows, columns) -> DataFrame:
         return K.frame(self.spark, rows, columns)
 
@@ -134,10 +128,10 @@ class Books:
                   F.col("o_custkey") == F.col("c_custkey"))
         )
         lines = (
-            self.spread("lineitem")
+            self.t("lineitem")
             .join(self.t("supplier").select("s_suppkey", F.col("s_nationkey").cast("int").alias("seller_key")),
                   F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(seller, "seller_key").join(buyer, "buyer_key")
         )
         if dims:

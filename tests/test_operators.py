@@ -1,6 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +9,7 @@ from tallyspark.operators import access, alerts, anomaly, dims, dq, forecast, fx
 from tallyspark.plans import constants as K
 from tallyspark.sources import files, sinks
 from tallyspark.session import fresh_path
+from tallyspark.streaming import jobs
 
 
 def test_ledger_always_balances(books):
@@ -201,3 +202,95 @@ def test_gate_halts_the_close(spark, books):
     from tallyspark.plans.close import run_close
     broken = books.ledger().where("NOT (side = 'C' AND leg = 'S4')")
     assert run_close(spark, books.dir, 200106, raw=broken).status == "HALTED"
+
+
+def test_conversion_of_large_amounts_is_exact(spark):
+    amounts = ["12345678901.23", "1234567890123.45", "9999999999999999.99", "-9999999999999999.99", "0.01", "-0.01", "0.00", None]
+    rates = ["1.000000", "380.125000", "0.000001", "999.999999", "400.000000"]
+    rows = [(None if a is None else Decimal(a), Decimal(r)) for a in amounts for r in rates]
+    df = spark.createDataFrame(rows, "a decimal(18,2), r decimal(16,6)")
+    cent = Decimal("0.01")
+    fits = lambda x: x is None or abs(x) < Decimal(10) ** 16
+    for a, r, times, over in df.where("abs(a) * r < 1e16").select("a", "r", fx.times("a", "r").alias("t"), F.lit(None)).collect() + df.where("abs(a) / r < 1e16 OR a IS NULL").select(
+            "a", "r", F.lit(None), fx.over("a", "r").alias("o")).collect():
+        with localcontext() as c:
+            c.prec = 60
+            if times is not None:
+                assert times == (a * r).quantize(cent, ROUND_HALF_UP)
+            if over is not None:
+                assert over == (a / r).quantize(cent, ROUND_HALF_UP)
+            assert fits(times) and fits(over)
+    one = df.where("r = 1").select("a", fx.times("a", "r").alias("t"), fx.over("a", "r").alias("o"), fx.crossed("a", F.col("r"), F.col("r")).alias("c")).collect()
+    assert len(one) == len(amounts) and all(x.a == x.t == x.o == x.c for x in one)
+
+
+def landed(spark, path, frames):
+    """Files that arrive in the given order, one per batch."""
+    import os
+    import time
+    for i, df in enumerate(frames):
+        df.coalesce(1).write.mode("append").parquet(str(path))
+        for f in path.glob("part-*"):
+            if not (path / f".seen-{f.name}").exists():
+                (path / f".seen-{f.name}").touch()
+                os.utime(f, (time.time() - 1000 + i, time.time() - 1000 + i))
+    return jobs.read_landed(spark, str(path), frames[0].schema, 1)
+
+
+def test_stream_dedupe_keeps_every_first_row(spark, tmp_path):
+    """Over 166 days, latest files first: nothing is too late."""
+    rows = [(i % 2000, datetime(2024, 1, 1, 12) + timedelta(hours=i % 2000 * 2, minutes=i // 2000)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k long, t timestamp")
+    files = [df.where(F.col("k").between(400 * i, 400 * i + 500)) for i in reversed(range(5))]
+    out = jobs.dedupe_table(landed(spark, tmp_path / "in", files), "first", "t", ["k"]).collect()
+    assert len(out) == 2000 == len({r.k for r in out}) and all(r.t.minute == 0 for r in out)
+
+
+def test_stream_cooldown_follows_event_time(spark, tmp_path):
+    at = lambda *x: datetime(2024, 1, *x)
+    early = [("r", "e", at(1, 10, 30)), ("r", "e", at(1, 10, 40)), (None, "e", at(1, 0, 0)), ("r", "f", at(2, 0, 0))]
+    late = [("r", "e", at(3, 10, 10)), ("r", "e", at(3, 10, 40)), ("r", "e", None), ("r", "f", at(1, 0, 0)), ("r", "f", at(3, 0, 0))]
+    schema = "rule_code string, entity_code string, raised_at timestamp"
+    stream = landed(spark, tmp_path / "in", [spark.createDataFrame(x, schema) for x in (late, early)])
+    got = sorted(map(tuple, jobs.cooldown_table(stream, "fired", 48).collect()), key=str)
+    assert got == sorted([("r", "e", at(1, 10, 30)), ("r", "e", at(3, 10, 40)), (None, "e", at(1, 0, 0)), ("r", "f", at(1, 0, 0)), ("r", "f", at(3, 0, 0))], key=str)
+
+
+def test_cooldown_in_small_batches(spark):
+    import random
+    rng = random.Random(4)
+    rows = [("r", rng.choice("ab"), datetime(2024, 1, 1) + timedelta(minutes=rng.randint(0, 200_000))) for _ in range(3000)]
+    want = []
+    for e in "ab":
+        last = None
+        for t in sorted(t for _, x, t in rows if x == e):
+            if last is None or t >= last + timedelta(hours=48):
+                want.append(("r", e, t))
+                last = t
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = jobs.fired(spark.createDataFrame(rows, "rule_code string, entity_code string, raised_at timestamp"), 48).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_sessions_join_across_batches(spark, tmp_path):
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    schema = "u int, t timestamp"
+    files = [[(1, at(0)), (1, at(50)), (2, at(5))], [(1, at(25)), (1, at(200))], [(1, at(75)), (2, at(35))]]
+    stream = landed(spark, tmp_path / "in", [spark.createDataFrame(f, schema) for f in files])
+    got = sorted((r.u, r.n, (r.session_start - at(0)).seconds // 60, (r.session_end - at(0)).seconds // 60) for r in jobs.sessions(stream, "s", "t", ["u"], "30 minutes").collect())
+    assert got == [(1, 1, 200, 230), (1, 4, 0, 105), (2, 1, 5, 35), (2, 1, 35, 65)]
+
+
+def test_merge_leaves_other_months_alone(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = spark.createDataFrame([(i, 200001 + i % 3, i) for i in range(30)], "id int, period_key int, v int")
+    sinks.write_partitioned(rows, path, "period_key", ["id"])
+    stamps = lambda m: sorted((f.name, f.stat().st_mtime_ns) for f in (tmp_path / "fact" / f"period_key={m}").glob("*.parquet"))
+    before = {m: stamps(m) for m in (200001, 200002, 200003)}
+    update = spark.createDataFrame([(1, 200002, 100), (99, 200002, 7)], "id int, period_key int, v int")
+    out = {r.id: r.v for r in sinks.merge_partitions(path, update, ["id"], "period_key", ["id"]).collect()}
+    assert out == {i: i for i in range(30)} | {1: 100, 99: 7}
+    assert stamps(200001) == before[200001] and stamps(200003) == before[200003] and stamps(200002) != before[200002]
