@@ -69,8 +69,8 @@ query("fx_availability_range", """select currency_code, posting_date, count(*) n
     lambda b: fx.without_rate(b.ledger(), b.fx_rates, 3, 1).groupBy("currency_code", "posting_date").agg(n))
 
 # ---- intercompany ---------------------------------------------------------------------------------------------
-query("ic_flag_transactions", f"""with s as (select distinct seller_key entity_key, seller_account account_code, 'SELLER' ic_side from reg where is_active union select distinct buyer_key, buyer_account, 'BUYER' from reg where is_active)
- select g.entity_key, g.account_code, ic_side is not null is_ic_transaction, ic_side, case when ic_side is null then 'NON_IC' else 'GOODS_SALE' end ic_transaction_type, count(*) n, {dec('sum(net)')} net
+query("ic_flag_transactions", f"""with s as (select distinct seller_key entity_key, seller_account account_code, 'SELLER' ic_side, transaction_type from reg where is_active union select distinct buyer_key, buyer_account, 'BUYER', transaction_type from reg where is_active)
+ select g.entity_key, g.account_code, ic_side is not null is_ic_transaction, ic_side, coalesce(transaction_type, 'NON_IC') ic_transaction_type, count(*) n, {dec('sum(net)')} net
  from gl g left join s on s.entity_key = g.entity_key and s.account_code = g.account_code group by all""")(
     lambda b: ic.flag_transactions(b.ledger(), b.registry).groupBy("entity_key", "account_code", "is_ic_transaction", "ic_side", "ic_transaction_type").agg(n, *summed("net")))
 query("ic_flag_effective_dated", f"""with s as (select seller_key e, seller_account a, buyer_key c, * from reg where is_active union all select buyer_key, buyer_account, seller_key, * from reg where is_active)

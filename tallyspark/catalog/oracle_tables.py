@@ -71,10 +71,6 @@ TABLES["ents"] = """select cast(n_nationkey as integer) entity_key, n_name entit
  case when n_nationkey % 11 = 5 then 'EQUITY' when n_nationkey % 7 = 3 then 'PROPORTIONAL' else 'FULL' end method,
  case when n_nationkey % 11 = 5 then 0.0::double when n_nationkey % 7 = 3 then 0.5::double else 1.0::double end share
  from (select *, min(n_nationkey) over (partition by n_regionkey) parent from nation) join region on n_regionkey = r_regionkey"""
-TABLES["reg"] = """select s.entity_key * 1000 + b.entity_key pair_id, s.entity_key seller_key, b.entity_key buyer_key, '9711' seller_account,
- '511' buyer_account, 'GOODS_SALE' transaction_type, 'REVENUE_EXPENSE' elimination_type, (s.entity_key + b.entity_key) % 9 <> 0 is_active,
- make_date(1995 + s.entity_key % 3, 1, 1) valid_from, case when b.entity_key % 4 = 0 then date '1999-12-31' end valid_to
- from ents s join ents b on s.region_key = b.region_key and s.entity_key <> b.entity_key"""
 TABLES["quotes"] = """select cast(o_orderdate as date) rate_date, currency_code, o_orderkey, base_rate
  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join ccy on region_key = n_regionkey
  where currency_code <> 'HUF' and isodow(o_orderdate) < 6 and not (currency_code = 'USD' and dayofyear(o_orderdate) between 100 and 104)"""
@@ -101,6 +97,10 @@ TABLES["base_lines"] = f"""select l.l_orderkey orderkey, l.l_linenumber linenumb
  from lineitem l join orders o on l.l_orderkey = o.o_orderkey join customer c on o.o_custkey = c.c_custkey
  join supplier s on l.l_suppkey = s.s_suppkey join nation ns on s.s_nationkey = ns.n_nationkey join nation nb on c.c_nationkey = nb.n_nationkey
  left join part p on l.l_partkey = p.p_partkey"""
+TABLES["reg"] = f"""select seller_key * 10000 + buyer_key * 10 + no pair_id, seller_key, buyer_key, seller_account, buyer_account, transaction_type, elimination_type,
+ (seller_key + buyer_key) % 9 <> 0 is_active, make_date(1995 + seller_key % 3, 1, 1) valid_from, case when buyer_key % 4 = 0 then date '1999-12-31' end valid_to
+ from (select distinct seller_key, buyer_key from base_lines where is_intercompany),
+ (values {', '.join(str((i, *t)) for i, t in enumerate(K.IC_TYPES))}) t(no, transaction_type, elimination_type, seller_account, buyer_account)"""
 TABLES["gl"] = f"""select cast(orderkey as varchar) || '-' || cast(linenumber as varchar) || '-' || cast(partkey as varchar) || '-' || cast(suppkey as varchar) || '-' || leg || '-' || side transaction_id,
  cast(orderkey as varchar) || '-' || cast(linenumber as varchar) source_id, leg, side, entity_key, entity_code, counterparty_key, account_code, debit, credit,
  cast(debit - credit as decimal(18,2)) net, posting_date, document_date, cast(posting_date + cast(partkey % 40 as integer) as date) ingestion_date, period_key,

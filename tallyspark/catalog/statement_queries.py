@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import consolidation as con, statements as st, variance as var
+from ..plans import constants as K
 from .oracle_tables import dec, ratio as sql_ratio
 from .registry import query
 
@@ -89,28 +90,27 @@ query("entity_subtotals", f"""select case when grouping(consolidation_group) = 1
  {dec('sum(revenue)')} revenue, {dec('sum(net_profit)')} net_profit from t_pl p join ents e on p.entity_key = e.entity_key where consolidation_scope = 'entity'
  group by rollup (e.consolidation_group, e.entity_code)""")(
     lambda b: con.entity_subtotals(b.pl.where("consolidation_scope = 'entity'"), b.entities))
-ELIM = """with pairs as (select period_key, case when account_code = '9711' then entity_key else counterparty_key end seller_key,
-  case when account_code = '9711' then counterparty_key else entity_key end buyer_key, account_code, net from gl where account_code in ('9711', '511')),
- elim as (select p.period_key, r.pair_id, r.seller_key, r.buyer_key, case when account_code = '9711' then 'Revenue' else 'COGS' end pl_line_item,
-  cast(sum(case when account_code = '9711' then -net else net end) as decimal(38,2)) eliminated_amount, count(*) postings
-  from pairs p join reg r on p.seller_key = r.seller_key and p.buyer_key = r.buyer_key where is_active group by all)"""
-query("ic_eliminations", ELIM + " select * from elim")(lambda b: con.ic_eliminations(b.ledger(accounts=["9711", "511"]), b.registry))
+ELIM = """with sides as (select *, seller_key e, seller_account a, buyer_key c, case elimination_type when 'REVENUE_EXPENSE' then 'Revenue' else 'Receivable' end pl_line_item,
+  case elimination_type when 'REVENUE_EXPENSE' then -1 else 1 end sgn from reg where is_active union all
+  select *, buyer_key, buyer_account, seller_key, case elimination_type when 'REVENUE_EXPENSE' then 'COGS' else 'Payable' end, case elimination_type when 'REVENUE_EXPENSE' then 1 else -1 end from reg where is_active),
+ elim as (select period_key, pair_id, seller_key, buyer_key, transaction_type, elimination_type, pl_line_item, cast(sum(net * sgn) as decimal(38,2)) eliminated_amount, count(*) postings
+  from gl g join sides on e = g.entity_key and a = g.account_code and c = g.counterparty_key group by all)"""
+query("ic_eliminations", ELIM + " select * from elim")(lambda b: con.ic_eliminations(b.ledger(accounts=K.IC_ACCOUNTS), b.registry))
 query("consolidated_pl", ELIM + f""", el as (select period_key, consolidation_group, sum(case when pl_line_item = 'Revenue' then eliminated_amount else 0 end) ic_revenue_eliminated,
-  sum(case when pl_line_item = 'COGS' then eliminated_amount else 0 end) ic_cogs_eliminated, count(distinct pair_id) pair_count from elim join ents on entity_key = seller_key group by all),
+  sum(case when pl_line_item = 'COGS' then eliminated_amount else 0 end) ic_cogs_eliminated, count(distinct pair_id) pair_count from elim join ents on entity_key = seller_key where elimination_type = 'REVENUE_EXPENSE' group by all),
  g as (select period_key, consolidation_group, count(distinct p.entity_key) entity_count, sum(revenue) revenue, sum(cogs) cogs, sum(opex_total) opex_total, sum(net_profit) net_profit
   from t_pl p join ents e on p.entity_key = e.entity_key where consolidation_scope = 'entity' group by all)
  select g.period_key, g.consolidation_group, entity_count, coalesce(pair_count, 0) pair_count, {dec('revenue')} gross_revenue, {dec('coalesce(ic_revenue_eliminated, 0)')} ic_revenue_eliminated, {dec('revenue - coalesce(ic_revenue_eliminated, 0)')} consolidated_revenue,
  {dec('cogs - coalesce(ic_cogs_eliminated, 0)')} consolidated_cogs, {dec('opex_total')} opex_total, {dec('net_profit')} net_profit,
  {sql_ratio('(revenue - coalesce(ic_revenue_eliminated, 0) - cogs + coalesce(ic_cogs_eliminated, 0))', '(revenue - coalesce(ic_revenue_eliminated, 0))', 4, 100)} gross_margin_pct
  from g left join el on g.period_key = el.period_key and g.consolidation_group = el.consolidation_group""")(
-    lambda b: con.consolidated_pl(b.pl, b.entities, con.ic_eliminations(b.ledger(accounts=["9711", "511"]), b.registry)))
+    lambda b: con.consolidated_pl(b.pl, b.entities, con.ic_eliminations(b.ledger(accounts=K.IC_ACCOUNTS), b.registry)))
 query("consolidation_by_method", """select period_key, consolidation_group, method, count(*) entities, round(sum(round(cast(revenue as double) * share * (1 + 1e-12), 2)), 2) consolidated_revenue,
  round(sum(round(cast(net_profit as double) * share * (1 + 1e-12), 2)), 2) consolidated_net_profit, round(sum(case when method = 'PROPORTIONAL' then round(cast(net_profit as double) * (1 - share) * (1 + 1e-12), 2) else 0 end), 2) minority_interest
  from t_pl p join ents e on p.entity_key = e.entity_key where consolidation_scope = 'entity' and method <> 'EQUITY' group by all""")(
     lambda b: con.consolidation_by_method(b.pl, b.entities))
-query("ic_pair_completeness", """with s as (select entity_key seller_key, counterparty_key buyer_key, sum(-net) sold, count(*) n from gl where account_code = '9711' group by all),
- p as (select counterparty_key seller_key, entity_key buyer_key, sum(net) bought, count(*) n from gl where account_code = '511' group by all)
- select r.pair_id, cast(coalesce(sold, 0) as decimal(38,2)) sold, cast(coalesce(bought, 0) as decimal(38,2)) bought, cast((s.n is not null)::int + (p.n is not null)::int as integer) sides_present,
- case when s.n is not null and p.n is not null and abs(sold - bought) < 1 then 'OK' when s.n is null and p.n is null then 'NO_ACTIVITY' else 'OUT_OF_BALANCE' end status
- from reg r left join s on r.seller_key = s.seller_key and r.buyer_key = s.buyer_key left join p on r.seller_key = p.seller_key and r.buyer_key = p.buyer_key where is_active""")(
-    lambda b: con.ic_pair_completeness(b.ledger(accounts=["9711", "511"]), b.registry))
+query("ic_pair_completeness", ELIM + """, t as (select pair_id, sum(case when pl_line_item in ('Revenue', 'Receivable') then eliminated_amount end) sold, sum(case when pl_line_item in ('COGS', 'Payable') then eliminated_amount end) bought from elim group by all)
+ select r.pair_id, r.transaction_type, cast(coalesce(sold, 0) as decimal(38,2)) sold, cast(coalesce(bought, 0) as decimal(38,2)) bought, cast((sold is not null)::int + (bought is not null)::int as integer) sides_present,
+ case when sold is not null and bought is not null and abs(sold - bought) < 1 then 'OK' when sold is null and bought is null then 'NO_ACTIVITY' else 'OUT_OF_BALANCE' end status
+ from reg r left join t on t.pair_id = r.pair_id where is_active""")(
+    lambda b: con.ic_pair_completeness(b.ledger(accounts=K.IC_ACCOUNTS), b.registry))

@@ -30,20 +30,32 @@ def entity_subtotals(pl: DataFrame, entities: DataFrame) -> DataFrame:
              F.when(F.col("level") >= 1, "TOTAL").otherwise(F.col("entity_code")).alias("entity_code"), "level", "revenue", "net_profit")
 
 
-def _pair_sides(ledger: DataFrame) -> DataFrame:
-    """Intercompany income and cost per (period, seller, buyer): both parties are known on the posting."""
-    income = F.col("account_code") == "9711"
-    return ledger.where(F.col("account_code").isin("9711", "511")).groupBy(
-        "period_key", F.when(income, F.col("entity_key")).otherwise(F.col("counterparty_key")).alias("seller_key"),
-        F.when(income, F.col("counterparty_key")).otherwise(F.col("entity_key")).alias("buyer_key"),
-        F.when(income, "Revenue").otherwise("COGS").alias("pl_line_item"),
-    ).agg(F.sum(F.when(income, -F.col("net")).otherwise(F.col("net"))).alias("eliminated_amount"), F.count("*").alias("postings"))
+#: Per elimination type: what the seller's and the buyer's side are called, and the sign that makes a posting's net a positive amount.
+SIDES = {"REVENUE_EXPENSE": (("Revenue", -1), ("COGS", 1)), "RECEIVABLE_PAYABLE": (("Receivable", 1), ("Payable", -1)),
+         "INVESTMENT_EQUITY": (("Investment", 1), ("Equity", -1))}
+
+
+def _sides(registry: DataFrame) -> DataFrame:
+    """Active relations as (entity, account, counterparty) rows. Of relations with the same accounts the first counts, so a posting matches one."""
+    def of(side, key, account, other):
+        of_type = lambda k: F.create_map(*[F.lit(x) for t, names in SIDES.items() for x in (t, names[side][k])])[F.col("elimination_type")]
+        return F.struct(F.col(key).alias("entity_key"), F.col(account).alias("account_code"), F.col(other).alias("counterparty_key"),
+                        F.lit(side).alias("side_no"), of_type(0).alias("pl_line_item"), of_type(1).alias("sign"))
+
+    both = F.array(of(0, "seller_key", "seller_account", "buyer_key"), of(1, "buyer_key", "buyer_account", "seller_key"))
+    named = ["pair_id", "seller_key", "buyer_key", "transaction_type", "elimination_type"]
+    rows = registry.where("is_active").select(F.struct(*named).alias("r"), F.explode(both).alias("s"))
+    keys = ["entity_key", "account_code", "counterparty_key"]
+    return rows.groupBy(*[F.col(f"s.{k}").alias(k) for k in keys]).agg(F.min(F.struct("r", "s")).alias("m")).select(
+        *keys, *[F.col(f"m.r.{c}").alias(c) for c in named], "m.s.side_no", "m.s.pl_line_item", "m.s.sign")
 
 
 def ic_eliminations(ledger: DataFrame, registry: DataFrame) -> DataFrame:
-    pairs = registry.where("is_active").select("pair_id", "seller_key", "buyer_key")
-    return _pair_sides(ledger).join(pairs, ["seller_key", "buyer_key"]).select(
-        "period_key", "pair_id", "seller_key", "buyer_key", "pl_line_item", "eliminated_amount", "postings")
+    """Amount to eliminate per month, relation and side. Postings are summed per (company, account, counterparty) before they meet the registry."""
+    keys = ["entity_key", "account_code", "counterparty_key"]
+    monthly = ledger.groupBy("period_key", *keys).agg(F.sum("net").alias("net"), F.count("*").alias("postings"))
+    return monthly.join(_sides(registry), keys).groupBy("period_key", "pair_id", "seller_key", "buyer_key", "transaction_type", "elimination_type", "pl_line_item").agg(
+        F.sum(F.col("net") * F.col("sign")).alias("eliminated_amount"), F.sum("postings").alias("postings"))
 
 
 def consolidated_pl(pl: DataFrame, entities: DataFrame, eliminations: DataFrame) -> DataFrame:
@@ -52,6 +64,7 @@ def consolidated_pl(pl: DataFrame, entities: DataFrame, eliminations: DataFrame)
     gross = pl.where("consolidation_scope = 'entity'").join(group, "entity_key").groupBy(*keys).agg(
         F.countDistinct("entity_key").alias("entity_count"), *[F.sum(x).alias(x) for x in ("revenue", "cogs", "opex_total", "net_profit")])
     line = F.col("pl_line_item")
+    eliminations = eliminations.where("elimination_type = 'REVENUE_EXPENSE'")
     elim = eliminations.join(group, F.col("seller_key") == F.col("entity_key")).groupBy(*keys).agg(
         sum_where(line == "Revenue", "eliminated_amount").alias("ic_revenue"), sum_where(line == "COGS", "eliminated_amount").alias("ic_cogs"),
         F.countDistinct("pair_id").alias("pair_count"))
@@ -74,14 +87,15 @@ def consolidation_by_method(pl: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def ic_pair_completeness(ledger: DataFrame, registry: DataFrame, tolerance: float = 1.0) -> DataFrame:
-    side = F.col("pl_line_item")
-    totals = _pair_sides(ledger).groupBy("seller_key", "buyer_key").agg(
-        F.sum(F.when(side == "Revenue", F.col("eliminated_amount"))).alias("sold"), F.sum(F.when(side == "COGS", F.col("eliminated_amount"))).alias("bought"))
-    j = registry.where("is_active").join(totals, ["seller_key", "buyer_key"], "left")
+    """Whether both sides of each active relation are posted, and by the same amount."""
+    amount = lambda side: F.sum(F.when(F.col("side_no") == side, F.col("eliminated_amount")))
+    sides = _sides(registry).select("pair_id", "pl_line_item", "side_no")
+    totals = ic_eliminations(ledger, registry).join(sides, ["pair_id", "pl_line_item"]).groupBy("pair_id").agg(amount(0).alias("sold"), amount(1).alias("bought"))
+    j = registry.where("is_active").join(totals, "pair_id", "left")
     both = F.col("sold").isNotNull() & F.col("bought").isNotNull()
     none = F.col("sold").isNull() & F.col("bought").isNull()
     zero = F.lit(0).cast("decimal(28,2)")
     return j.select(
-        "pair_id", F.coalesce("sold", zero).alias("sold"), F.coalesce("bought", zero).alias("bought"),
+        "pair_id", "transaction_type", F.coalesce("sold", zero).alias("sold"), F.coalesce("bought", zero).alias("bought"),
         (F.col("sold").isNotNull().cast("int") + F.col("bought").isNotNull().cast("int")).alias("sides_present"),
         F.when(both & (F.abs(F.col("sold") - F.col("bought")) < tolerance), "OK").when(none, "NO_ACTIVITY").otherwise("OUT_OF_BALANCE").alias("status"))

@@ -22,15 +22,20 @@ def flag_transactions(postings: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def flag_effective_dated(postings: DataFrame, registry: DataFrame) -> DataFrame:
-    """Pair and counterparty from registry rows valid on the posting date; the counterparty on the posting makes the match unique."""
-    active = registry.where("is_active").select("pair_id", "elimination_type", "valid_from", "valid_to", F.explode(F.array(
+    """Relation from the registry rows valid on the posting date, by company, account and counterparty.
+
+    Relations of one such key are kept in a list, of which the first valid one counts: a posting stays one row.
+    """
+    relation = F.struct("pair_id", "elimination_type", "valid_from", "valid_to")
+    active = registry.where("is_active").select(relation.alias("_r"), F.explode(F.array(
         F.struct(F.col("seller_key").alias("_e"), F.col("seller_account").alias("_a"), F.col("buyer_key").alias("_c")),
-        F.struct(F.col("buyer_key").alias("_e"), F.col("buyer_account").alias("_a"), F.col("seller_key").alias("_c")))).alias("s")).select(
-        "pair_id", "elimination_type", "valid_from", "valid_to", "s.*")
+        F.struct(F.col("buyer_key").alias("_e"), F.col("buyer_account").alias("_a"), F.col("seller_key").alias("_c")))).alias("s"))
+    known = active.groupBy("s._e", "s._a", "s._c").agg(F.sort_array(F.collect_list("_r")).alias("_known"))
     day = F.col("posting_date")
-    return postings.join(active, (F.col("entity_key") == F.col("_e")) & (F.col("account_code") == F.col("_a")) & (F.col("counterparty_key") == F.col("_c"))
-                         & (day >= F.col("valid_from")) & (F.col("valid_to").isNull() | (day <= F.col("valid_to"))), "left").withColumn(
-        "is_ic_effective", F.col("pair_id").isNotNull()).drop("_e", "_a", "_c", "valid_from", "valid_to")
+    valid = F.filter("_known", lambda r: (day >= r["valid_from"]) & (r["valid_to"].isNull() | (day <= r["valid_to"])))
+    matched = postings.join(known, (F.col("entity_key") == F.col("_e")) & (F.col("account_code") == F.col("_a")) & (F.col("counterparty_key") == F.col("_c")), "left")
+    return matched.withColumn("_r", F.get(valid, F.lit(0))).withColumns(
+        {"pair_id": F.col("_r.pair_id"), "elimination_type": F.col("_r.elimination_type"), "is_ic_effective": F.col("_r").isNotNull()}).drop("_e", "_a", "_c", "_known", "_r")
 
 
 def flag_mismatches(postings: DataFrame, accounts: DataFrame, registry: DataFrame) -> DataFrame:

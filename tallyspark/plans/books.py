@@ -72,14 +72,13 @@ class Books:
 
     @cached_property
     def registry(self) -> DataFrame:
-        """Intercompany registry: each ordered pair of companies of one group."""
-        e = self.entities.select("entity_key", "region_key")
-        s = e.select(F.col("entity_key").alias("seller_key"), "region_key")
-        b = e.select(F.col("entity_key").alias("buyer_key"), "region_key")
-        return s.join(b, "region_key").where("seller_key <> buyer_key").select(
-            (F.col("seller_key") * 1000 + F.col("buyer_key")).alias("pair_id"), "seller_key", "buyer_key",
-            F.lit("9711").alias("seller_account"), F.lit("511").alias("buyer_account"),
-            F.lit("GOODS_SALE").alias("transaction_type"), F.lit("REVENUE_EXPENSE").alias("elimination_type"),
+        """Intercompany registry: a row per relation of each ordered pair of companies of one group that trade with each other."""
+        pairs = self.stored("trading_pairs", lambda: self.base().where("is_intercompany").select("seller_key", "buyer_key").distinct())
+        types = F.array(*[F.struct(F.lit(i).alias("no"), *[F.lit(v).alias(c) for c, v in zip(
+            ("transaction_type", "elimination_type", "seller_account", "buyer_account"), t)]) for i, t in enumerate(K.IC_TYPES)])
+        return pairs.withColumn("t", F.explode(types)).select(
+            (F.col("seller_key") * 10000 + F.col("buyer_key") * 10 + F.col("t.no")).alias("pair_id"), "seller_key", "buyer_key",
+            "t.seller_account", "t.buyer_account", "t.transaction_type", "t.elimination_type",
             ((F.col("seller_key") + F.col("buyer_key")) % 9 != 0).alias("is_active"),
             F.make_date(F.lit(1995) + (F.col("seller_key") % 3), F.lit(1), F.lit(1)).alias("valid_from"),
             F.when(F.col("buyer_key") % 4 == 0, F.to_date(F.lit("1999-12-31"))).alias("valid_to"),

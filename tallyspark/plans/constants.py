@@ -67,6 +67,10 @@ LEGS = [
     ("B1", "buyer", "511", "455", "511", "455", "a_icbuy"),
 ]
 
+# intercompany relations: transaction type, elimination type, account of the seller, account of the buyer
+IC_TYPES = [("GOODS_SALE", "REVENUE_EXPENSE", "9711", "511"), ("LOAN", "RECEIVABLE_PAYABLE", "314", "455"), ("MANAGEMENT_FEE", "REVENUE_EXPENSE", "9712", "512")]
+IC_ACCOUNTS = sorted({a for t in IC_TYPES for a in t[2:]})
+
 # currency of a nation by its region number, with the base quote in HUF
 CURRENCIES = [("HUF", 0, 1), ("USD", 1, 340), ("EUR", 2, 380), ("GBP", 3, 450), ("CHF", 4, 390)]
 KNOWN_CURRENCIES = ["HUF", "EUR", "USD", "GBP", "CHF", "CZK", "PLN", "RON", "RSD"]

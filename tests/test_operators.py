@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal, localcontext
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import access, alerts, anomaly, dims, dq, forecast, fx, history as H, intercompany, windows as W
+from tallyspark.operators import access, alerts, anomaly, consolidation, dims, dq, forecast, fx, history as H, intercompany, windows as W
 from tallyspark.plans import constants as K
 from tallyspark.sources import files, sinks
 from tallyspark.session import fresh_path
@@ -294,3 +294,23 @@ def test_merge_leaves_other_months_alone(spark, tmp_path):
     out = {r.id: r.v for r in sinks.merge_partitions(path, update, ["id"], "period_key", ["id"]).collect()}
     assert out == {i: i for i in range(30)} | {1: 100, 99: 7}
     assert stamps(200001) == before[200001] and stamps(200003) == before[200003] and stamps(200002) != before[200002]
+
+
+def test_several_relations_of_a_pair_do_not_double(spark):
+    """One amount, one elimination, although the pair has relations of three types with accounts of their own."""
+    registry = spark.createDataFrame(
+        [(1, 1, 2, "9711", "511", "GOODS_SALE", "REVENUE_EXPENSE", True, None, None), (2, 1, 2, "314", "455", "LOAN", "RECEIVABLE_PAYABLE", True, None, None),
+         (3, 1, 2, "962", "513", "SERVICE", "REVENUE_EXPENSE", True, None, None), (4, 1, 2, "06", "411", "DIVIDEND", "INVESTMENT_EQUITY", True, None, None),
+         (5, 2, 1, "9711", "511", "GOODS_SALE", "REVENUE_EXPENSE", False, None, None), (6, 1, 2, "9711", "511", "SERVICE", "REVENUE_EXPENSE", True, None, None)],
+        "pair_id int, seller_key int, buyer_key int, seller_account string, buyer_account string, transaction_type string, elimination_type string, is_active boolean, valid_from date, valid_to date")
+    net = lambda x: Decimal(x)
+    ledger = spark.createDataFrame(
+        [(200001, 1, "9711", 2, net("-100.00")), (200001, 2, "511", 1, net("100.00")), (200001, 1, "314", 2, net("40.00")), (200001, 2, "455", 1, net("-40.00")),
+         (200001, 1, "962", 2, net("-7.00")), (200001, 2, "9711", 1, net("-5.00")), (200001, 1, "9711", 3, net("-9.00")), (200001, 1, "06", 2, net("3.00"))],
+        "period_key int, entity_key int, account_code string, counterparty_key int, net decimal(18,2)")
+    got = {(r.pair_id, r.pl_line_item): r.eliminated_amount for r in consolidation.ic_eliminations(ledger, registry).collect()}
+    assert got == {(1, "Revenue"): 100, (1, "COGS"): 100, (2, "Receivable"): 40, (2, "Payable"): 40, (3, "Revenue"): 7, (4, "Investment"): 3}
+    assert {(r.pair_id, r.sides_present, r.status) for r in consolidation.ic_pair_completeness(ledger, registry).collect()} == {
+        (1, 2, "OK"), (2, 2, "OK"), (3, 1, "OUT_OF_BALANCE"), (4, 1, "OUT_OF_BALANCE"), (6, 0, "NO_ACTIVITY")}
+    dated = registry.withColumns({"valid_from": F.to_date(F.lit("1999-01-01"))})
+    assert intercompany.flag_effective_dated(ledger.withColumn("posting_date", F.to_date(F.lit("2000-01-05"))), dated).count() == 8
