@@ -102,20 +102,27 @@ def reversal_pairs(b: Books):
 
 # ---- dimensions -----------------------------------------------------------------------------------------------
 def dim_of(frame, natural, key):
-    return dims.surrogate_key(frame.distinct(), natural, key)
+    return dims.issue_keys(None, frame.distinct(), natural, key)
+
+
+def account_dim(b):
+    """Loaded twice: the accounts with postings before April 1995 first, then all; the first load's keys stay."""
+    rows = b.trial_balance.join(b.entities, "entity_key").join(b.accounts, "account_code")
+    columns, natural = ["entity_code", "account_code", "universal_node", "account_type"], ["entity_code", "account_code"]
+    first = dims.issue_keys(None, rows.where("period_key < 199504").select(*columns).distinct(), natural, "account_key")
+    return dims.issue_keys(first, rows.select(*columns).distinct(), natural, "account_key")
 
 
 entity_dim = lambda b: dim_of(b.entities.select("entity_code", "consolidation_group", "method"), ["entity_code"], "entity_sk")
-account_dim = lambda b: dim_of(b.trial_balance.join(b.entities, "entity_key").join(b.accounts, "account_code").select("entity_code", "account_code", "universal_node", "account_type"), ["entity_code", "account_code"], "account_key")
 centre_dim = lambda b: dim_of(b.t("part").select(F.col("p_type").alias("cost_centre")), ["cost_centre"], "cost_centre_key")
 project_dim = lambda b: dim_of(b.t("part").select(F.col("p_brand").alias("project")), ["project"], "project_key")
 currency_dim = lambda b: dim_of(b.fx_rates.select("currency_code"), ["currency_code"], "currency_key")
-TABLES["d_entity"] = "select entity_code, consolidation_group, method, cast(row_number() over (order by substr(md5(entity_code), 1, 2), entity_code) as integer) entity_sk from ents"
-TABLES["d_account"] = """select *, cast(row_number() over (order by substr(md5(entity_code || '|' || account_code), 1, 2), entity_code, account_code) as integer) account_key from (
- select distinct entity_code, t.account_code, universal_node, account_type from tb t join ents e on e.entity_key = t.entity_key join coa c on c.account_code = t.account_code)"""
+TABLES["d_entity"] = "select entity_code, consolidation_group, method, row_number() over (order by md5(entity_code)) entity_sk from ents"
+TABLES["d_account"] = """select entity_code, account_code, universal_node, account_type, row_number() over (order by first_period >= 199504, md5(entity_code || '|' || account_code)) account_key from (
+ select entity_code, t.account_code, universal_node, account_type, min(period_key) first_period from tb t join ents e on e.entity_key = t.entity_key join coa c on c.account_code = t.account_code group by all)"""
 for _n, _c, _col in (("d_centre", "cost_centre", "p_type"), ("d_project", "project", "p_brand")):
-    TABLES[_n] = f"select *, cast(row_number() over (order by substr(md5({_c}), 1, 2), {_c}) as integer) {_c}_key from (select distinct {_col} {_c} from part)"
-TABLES["d_currency"] = "select *, cast(row_number() over (order by substr(md5(currency_code), 1, 2), currency_code) as integer) currency_key from (select distinct currency_code from rates)"
+    TABLES[_n] = f"select *, row_number() over (order by md5({_c})) {_c}_key from (select distinct {_col} {_c} from part)"
+TABLES["d_currency"] = "select *, row_number() over (order by md5(currency_code)) currency_key from (select distinct currency_code from rates)"
 query("dim_entity", "select * from d_entity")(entity_dim)
 query("dim_account", "select * from d_account")(account_dim)
 query("dim_cost_centre", "select * from d_centre")(centre_dim)
@@ -137,7 +144,11 @@ query("resolve_dimensions", f"""select entity_sk, coalesce(account_key, -1) acco
  left join d_centre cc on cc.cost_centre = g.cost_centre left join d_project p on p.project = g.project left join d_currency cu on cu.currency_code = g.currency_code group by all""")(
     lambda b: star(b).groupBy("entity_sk", "account_key", "cost_centre_key", "project_key", "currency_key").agg(n, *summed("net"), F.min("date_key").alias("first_date_key")))
 order_days = lambda b: dims.calendar_of(b.t("orders").select(F.to_date("o_orderdate").alias("d")), "d")
-HOL = " or ".join(f"(month(d) = {m} and day(d) = {x})" for m, x in K.FIXED_HOLIDAYS)
+# movable days by the rule for 1900 to 2099
+_GD = "((19 * (year(d) % 19) + 24) % 30)"
+_GE = f"((2 * (year(d) % 4) + 4 * (year(d) % 7) + 6 * {_GD} + 5) % 7)"
+_EASTER = f"make_date(year(d), 3, 22) + cast({_GD} + {_GE} - case when {_GD} + {_GE} = 35 or ({_GD} = 28 and {_GE} = 6 and year(d) % 19 > 10) then 7 else 0 end as integer)"
+HOL = " or ".join([f"(month(d) = {m} and day(d) = {x})" for m, x in K.FIXED_HOLIDAYS] + [f"d = {_EASTER} + {n_}" for n_ in K.DAYS_AFTER_EASTER])
 TABLES["cal"] = f"""select *, sum(tr) over (partition by period_key order by d rows unbounded preceding) tn, sum(tr) over (partition by period_key) tm from (
  select d, cast(year(d) * 100 + month(d) as integer) period_key, {HOL} hol, case when isodow(d) < 6 and not ({HOL}) then 1 else 0 end tr from (
  select cast(unnest(generate_series(make_date(year(min(o_orderdate)), 1, 1), make_date(year(max(o_orderdate)), 12, 31), interval 1 day)) as date) d from orders))"""

@@ -8,21 +8,39 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.periods import fiscal_period_of, fiscal_quarter_of, fiscal_year_of, period_of_date, prior_period_key, prior_year_key
 from ..plans import constants as K
+from ..session import cut_lineage
 
 UNKNOWN = -1
 
 
-def surrogate_key(df: DataFrame, natural: list[str], out: str) -> DataFrame:
-    """Dense integer keys without sorting everything in one task.
+BUCKET_DIGITS = 3
 
-    Rows are numbered inside 256 hash buckets; each bucket starts after the rows of the buckets before it (256 counts at most).
+
+def surrogate_key(df: DataFrame, natural: list[str], out: str, after: int = 0) -> DataFrame:
+    """Dense integer keys from `after` + 1 on, in the order of the natural key's hash, without sorting everything in one task.
+
+    Rows are numbered inside buckets of the hash's first digits; each bucket starts after the rows of the buckets before it. The number of
+    buckets is bounded by the digits, and does not change the numbers.
     """
-    code = F.md5(F.concat_ws("|", *natural))
-    buckets = df.withColumn("_b", F.substring(code, 1, 2))
+    buckets = df.withColumn("_h", F.md5(F.concat_ws("|", *natural))).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
     counts = buckets.groupBy("_b").agg(F.count("*").alias("_n"))
     start = counts.select("_b", (F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_s"))
-    number = F.row_number().over(Window.partitionBy("_b").orderBy(*natural))
-    return buckets.withColumn("_r", number).join(start, "_b").withColumn(out, (F.col("_s") + F.col("_r")).cast("int")).drop("_b", "_r", "_s")
+    number = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *natural))
+    return buckets.withColumn("_r", number).join(start, "_b").withColumn(out, F.col("_s") + F.col("_r") + F.lit(after).cast("bigint")).drop("_h", "_b", "_r", "_s")
+
+
+def issue_keys(issued: DataFrame | None, members: DataFrame, natural: list[str], out: str) -> DataFrame:
+    """The dimension after a load: issued members keep their keys and take the load's attributes, new ones are numbered after the largest
+    key so far, and members that the load lacks stay as they are."""
+    if issued is None:
+        return surrogate_key(members, natural, out)
+    issued = cut_lineage(issued, "issued-keys")
+    largest = issued.agg(F.max(out)).first()[0] or 0
+    keys = issued.select(*natural, out)
+    new = surrogate_key(members.join(keys, natural, "left_anti"), natural, out, largest)
+    known = members.join(keys, natural)
+    gone = issued.join(members.select(*natural), natural, "left_anti")
+    return new.unionByName(known).unionByName(gone.select(*new.columns))
 
 
 def resolve(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str) -> DataFrame:
@@ -32,8 +50,20 @@ def resolve(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str) -> Da
     return fact.join(d, cond, "left").withColumn(key, F.coalesce("_k", F.lit(UNKNOWN))).drop("_k", *[f"_d{i}" for i in range(len(on))])
 
 
+def easter_sunday(year: Column) -> Column:
+    """Date of Easter in the Gregorian calendar, by the century-safe integer rule."""
+    div = lambda a, b: F.floor(a / b).cast("int")
+    a, b, c = year % 19, div(year, 100), year % 100
+    epact = (19 * a + b - div(b, 4) - div(b - div(b + 8, 25) + 1, 3) + 15) % 30
+    weekday = (32 + 2 * (b % 4) + 2 * div(c, 4) - epact - c % 4) % 7
+    days = epact + weekday - 7 * div(a + 11 * epact + 22 * weekday, 451)
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), days.cast("int"))
+
+
 def holiday_flag(day: Column) -> Column:
-    return reduce(lambda a, x: a | x, [(F.month(day) == m) & (F.dayofmonth(day) == d) for m, d in K.FIXED_HOLIDAYS])
+    fixed = [(F.month(day) == m) & (F.dayofmonth(day) == d) for m, d in K.FIXED_HOLIDAYS]
+    easter = easter_sunday(F.year(day))
+    return reduce(lambda a, x: a | x, fixed + [day == F.date_add(easter, n) for n in K.DAYS_AFTER_EASTER])
 
 
 HUNGARIAN_MONTHS = ["január", "február", "március", "április", "május", "június", "július", "augusztus", "szeptember", "október",

@@ -105,6 +105,7 @@ SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO"]
 
 # public holidays with a fixed day: month, day
 FIXED_HOLIDAYS = [(1, 1), (3, 15), (5, 1), (8, 20), (10, 23), (11, 1), (12, 25), (12, 26)]
+DAYS_AFTER_EASTER = [-2, 1, 50]  # Good Friday, Easter Monday, Whit Monday
 
 BRIDGE_STEPS = [
     (1, "Revenue", "start"), (2, "Other Operating Income", "add"), (3, "COGS", "subtract"), (4, "Gross Profit", "subtotal"),

@@ -166,6 +166,24 @@ def test_surrogate_keys_are_dense(spark):
     assert got == list(range(1, 5001))
 
 
+def test_issued_keys_stay(spark):
+    member = lambda ids, v: spark.createDataFrame([(f"c{i}", v) for i in ids], "code string, v string")
+    first = {r.code: r.k for r in dims.issue_keys(None, member(range(50), "a"), ["code"], "k").collect()}
+    issued = dims.issue_keys(None, member(range(50), "a"), ["code"], "k")
+    second = {r.code: (r.k, r.v) for r in dims.issue_keys(issued, member(range(5, 60), "b"), ["code"], "k").collect()}
+    assert all(second[c][0] == k for c, k in first.items()) and sorted(k for k, _ in second.values()) == list(range(1, 61))
+    assert second["c3"][1] == "a" and second["c7"][1] == "b" and sorted(second[f"c{i}"][0] for i in range(50, 60)) == list(range(51, 61))
+
+
+def test_movable_holidays(spark):
+    known = [(2024, date(2024, 3, 31)), (2025, date(2025, 4, 20)), (2026, date(2026, 4, 5)), (2027, date(2027, 3, 28)), (1954, date(1954, 4, 18)), (1981, date(1981, 4, 19)),
+             (2049, date(2049, 4, 18)), (1818, date(1818, 3, 22)), (2285, date(2285, 3, 22))]
+    got = spark.createDataFrame([(y,) for y, _ in known], "y int").select("y", dims.easter_sunday(F.col("y")).alias("e")).collect()
+    assert [(r.y, r.e) for r in got] == known
+    days = spark.createDataFrame([(date(2024, 3, 29),), (date(2024, 4, 1),), (date(2024, 5, 20),), (date(2024, 5, 21),)], "d date").select(dims.holiday_flag(F.col("d")).alias("h")).collect()
+    assert [r.h for r in days] == [True, True, True, False]
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z")], "k string, o int, v string")
     assert sorted(map(tuple, W.first_per_key(df, ["k"], ["o"]).collect())) == [("a", 1, "y"), ("b", 5, "z")]
