@@ -11,8 +11,8 @@ from .registry import query
 n = F.count("*").alias("n")
 CURRENT = 200106
 E = "consolidation_scope = 'entity'"
-TABLES["hist"] = f"""select p.period_key, p.entity_key, revenue, ebitda, ebitda_margin_pct, gross_margin_pct, net_profit, revenue_variance_pct, current_ratio, dso_days, free_cash_flow
- from t_prof p left join (select period_key pk, entity_key ek, current_ratio, dso_days from t_liq where {E}) l on pk = p.period_key and ek = p.entity_key
+TABLES["hist"] = f"""select p.period_key, p.entity_key, revenue, ebitda, ebitda_margin_pct, gross_margin_pct, net_profit, revenue_variance_pct, current_ratio, dso_days, dpo_days, net_debt_ebitda, free_cash_flow
+ from t_prof p left join (select period_key pk, entity_key ek, current_ratio, dso_days, dpo_days, net_debt_ebitda from t_liq where {E}) l on pk = p.period_key and ek = p.entity_key
  left join (select period_key pk2, entity_key ek2, free_cash_flow from t_ck where {E}) c on pk2 = p.period_key and ek2 = p.entity_key where {E} and p.period_key > 199906 and p.period_key <= {CURRENT}"""
 TABLES["histl"] = " union all ".join(f"select entity_key, period_key, '{k}' kpi, cast({k} as double) \"value\" from hist where {k} is not null" for k in A.KPI_COLUMNS)
 history = lambda b: A.kpi_history(b.profitability, b.liquidity, b.cash_kpis, CURRENT)
@@ -59,17 +59,33 @@ query("anomaly_velocity", "select posting_date, universal_node, count(*) daily_c
     lambda b: A.velocity(acc.map_accounts(b.ledger(), b.accounts)))
 
 
-def anomaly_queue(b):
-    return A.build_queue(history(b), CURRENT, b.ledger(), storno_mapped(b), balance_check(b.nodes))
-
-
-query("anomaly_queue", f"""with q as (select entity_key, 'STATISTICAL' anomaly_class, 'ZSCORE' detection_method, severity, kpi kpi_affected from zs where abs(z) > 2.5
- union all select entity_key, 'STATISTICAL', 'BUDGET_GATE', 'HIGH', 'revenue_variance_pct' from hist where revenue_variance_pct < -15 and period_key = {CURRENT}
- union all select distinct entity_key, 'STRUCTURAL', 'RULE_ENGINE', 'HIGH', 'REVENUE_ACCOUNTS' from storno s join coa c on c.account_code = s.account_code where l1_category = 'Revenue' and net > 0 and period_key = {CURRENT}
- union all select entity_key, 'STRUCTURAL', 'RULE_ENGINE', 'CRITICAL', 'BALANCE_SHEET_EQUATION' from bs_nodes where period_key = {CURRENT} group by entity_key having abs(sum(case when account_type = 'Asset' then closing_balance else -closing_balance end)) >= 1
- union all select entity_key, 'BEHAVIOURAL', 'RULE_ENGINE', 'MEDIUM', 'OFF_HOURS_POSTINGS' from gl where ({OFF}) and period_key = {CURRENT} group by entity_key having count(*) > 5)
- select anomaly_class, detection_method, severity, kpi_affected, 'OPEN' status, count(*) n, count(distinct entity_key) entities from q group by all""")(
-    lambda b: anomaly_queue(b).groupBy("anomaly_class", "detection_method", "severity", "kpi_affected", "status").agg(n, F.countDistinct("entity_key").alias("entities")))
+LARGE, FAST = 100_000, 5
+
+
+def anomaly_queue(b, with_forest):
+    mapped = acc.map_accounts(b.ledger(), b.accounts)
+    same = dq.duplicate_postings(b.ledger(), ["entity_code", "account_code", "period_key", "debit", "credit"])
+    return A.build_queue(history(b), CURRENT, b.ledger(), storno_mapped(b), balance_check(b.nodes), mapped, same, LARGE, FAST, with_forest)
+
+
+# the forest's rows have a query of their own above; all others are compared row by row
+_FOUND = "cast(count(*) as double)"
+query("anomaly_queue", f"""with f as (select *, count(*) over (partition by entity_code, row_hash) c from (select entity_key, entity_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl)),
+ gm as (select g.*, universal_node from gl g join coa c on c.account_code = g.account_code where period_key = {CURRENT}),
+ q as (select entity_key, 'STATISTICAL' anomaly_class, 'ZSCORE' detection_method, severity, kpi kpi_affected, "value" current_value, m historical_mean, s historical_std, z z_score from zs where abs(z) > 2.5
+ union all select entity_key, 'STATISTICAL', 'BUDGET_GATE', 'HIGH', 'revenue_variance_pct', cast(revenue_variance_pct as double), null, null, null from hist where revenue_variance_pct < -15 and period_key = {CURRENT}
+ union all select entity_key, 'STRUCTURAL', 'RULE_ENGINE', 'HIGH', 'REVENUE_ACCOUNTS', {_FOUND}, null, null, null from storno s join coa c on c.account_code = s.account_code where l1_category = 'Revenue' and net > 0 and period_key = {CURRENT} group by entity_key
+ union all select entity_key, 'STRUCTURAL', 'RULE_ENGINE', 'CRITICAL', 'BALANCE_SHEET_EQUATION', cast(sum(case when account_type = 'Asset' then closing_balance else -closing_balance end) as double), null, null, null from bs_nodes where period_key = {CURRENT} group by entity_key
+  having abs(sum(case when account_type = 'Asset' then closing_balance else -closing_balance end)) >= 1
+ union all select entity_key, 'BEHAVIOURAL', 'RULE_ENGINE', 'MEDIUM', 'OFF_HOURS_POSTINGS', {_FOUND}, null, null, null from gl where ({OFF}) and period_key = {CURRENT} group by entity_key having count(*) > 5
+ union all select entity_key, 'STRUCTURAL', 'RULE_ENGINE', 'HIGH', 'DUPLICATE_POSTINGS', {_FOUND}, null, null, null from f where c > 1 and period_key = {CURRENT} group by entity_key
+ union all select entity_key, 'BEHAVIOURAL', 'RULE_ENGINE', 'HIGH', 'LARGE_POSTINGS', {_FOUND}, null, null, null from gm where abs(net) > {LARGE} group by entity_key
+ union all select entity_key, 'BEHAVIOURAL', 'RULE_ENGINE', 'MEDIUM', 'POSTING_VELOCITY', cast(max(n) as double), null, null, null from (select entity_key, posting_date, universal_node, count(*) n from gm group by all having count(*) > {FAST}) group by entity_key)
+ select entity_key, {CURRENT} period_key, anomaly_class, detection_method, severity, kpi_affected, round(current_value * (1 + 1e-12), 2) current_value, round(historical_mean * (1 + 1e-12), 2) historical_mean,
+ round(historical_std * (1 + 1e-12), 2) historical_std, round(z_score * (1 + 1e-12), 4) z_score, cast(null as double) anomaly_score, 'OPEN' status from q""")(
+    lambda b: anomaly_queue(b, False).select(
+        "entity_key", "period_key", "anomaly_class", "detection_method", "severity", "kpi_affected", *[F.round(F.col(c) * (1 + 1e-12), 2).alias(c) for c in A.EVIDENCE[:3]],
+        R4("z_score", "z_score"), "anomaly_score", "status"))
 
 # ---- forecasts ------------------------------------------------------------------------------------------------
 TABLES["ser"] = """select s.*, (period_key // 100) * 12 + period_key % 100 - 1 mi from (select period_key, entity_key, unnest(['revenue', 'cogs', 'gross_profit', 'ebitda', 'net_profit', 'operating_cash_flow']) kpi,

@@ -260,13 +260,16 @@ query("variance_fact_pack", f"""select p.period_key, p.entity_key, cast(to_json(
 
 
 def monthly_close(b):
-    """The whole chain for one month; the result counts what each gold table holds for it."""
+    """Two closes into one target, the second a month later; the result counts what each table holds for the second month."""
     from ..plans.close import run_close
-    result = run_close(b.spark, b.dir, 200106, enforce_gate=False)
-    counted = [b.spark.read.parquet(path).where("period_key = 200106").agg(n).select(F.lit(name).alias("table_name"), "n")
-               for name, path in result.tables.items() if name in ("fact", "pl_monthly", "balance_sheet", "cashflow")]
-    return reduce(lambda x, y: x.unionByName(y), counted)
+    target = fresh_path(b.spark, "monthly-close")
+    run_close(b.spark, b.dir, 200105, target)
+    result = run_close(b.spark, b.dir, 200106, target)
+    names = ("fact", "quarantine", "pl_monthly", "balance_sheet", "cashflow")
+    counted = [b.spark.read.parquet(result.tables[name]).where("period_key = 200106").agg(n).select(F.lit(name).alias("table_name"), "n") for name in names]
+    return reduce(lambda x, y: x.unionByName(y), counted).withColumns({"status": F.lit(result.status), "changed_batches": F.lit(result.changed_batches)})
 
 
-query("monthly_close", """select 'fact' table_name, count(*) n from gl where period_key = 200106 union all select 'pl_monthly', count(*) from t_pl where period_key = 200106
- union all select 'balance_sheet', count(*) from bs_nodes where period_key = 200106 union all select 'cashflow', count(*) from t_cf where period_key = 200106""")(monthly_close)
+query("monthly_close", """with e as (select *, bool_or(account_code not in (select account_code from coa)) over (partition by source_id, partkey, entity_key, leg, transaction_id[:-2]) bad from gl where period_key = 200106)
+ select *, 'COMPLETED' status, (select cast(count(distinct batch_id) as integer) from gl where period_key = 200106) changed_batches from (select 'fact' table_name, count(*) n from e where not bad union all select 'quarantine', count(*) from e where bad
+ union all select 'pl_monthly', count(*) from t_pl where period_key = 200106 union all select 'balance_sheet', count(*) from bs_nodes where period_key = 200106 union all select 'cashflow', count(*) from t_cf where period_key = 200106)""")(monthly_close)

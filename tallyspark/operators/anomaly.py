@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.periods import month_index, period_add
 from .statements import KEY
 
-KPI_COLUMNS = ["revenue", "ebitda", "ebitda_margin_pct", "gross_margin_pct", "net_profit", "current_ratio", "dso_days", "free_cash_flow"]
+KPI_COLUMNS = ["revenue", "ebitda", "ebitda_margin_pct", "gross_margin_pct", "net_profit", "current_ratio", "dso_days", "dpo_days", "net_debt_ebitda",
+               "free_cash_flow"]
 Z_LIMIT, BUDGET_GATE_PCT, LARGE_POSTING, VELOCITY_LIMIT, OFF_HOURS_LIMIT = 2.5, -15.0, 50_000_000, 50, 5
-TREES, CONTAMINATION, SEED = 200, 0.05, 42
+TREES, ROWS_PER_TREE, CONTAMINATION, SEED = 200, 256, 0.05, 42
 
 
 def kpi_history(prof: DataFrame, liq: DataFrame, cash: DataFrame, current: int, months: int = 24) -> DataFrame:
     """KPI columns of the last `months` months up to the current one."""
     E = "consolidation_scope = 'entity'"
     joined = (prof.where(E).select(*KEY, "revenue", "ebitda", "ebitda_margin_pct", "gross_margin_pct", "net_profit", "revenue_variance_pct")
-              .join(liq.where(E).select(*KEY, "current_ratio", "dso_days"), KEY, "left").join(cash.where(E).select(*KEY, "free_cash_flow"), KEY, "left"))
+              .join(liq.where(E).select(*KEY, "current_ratio", "dso_days", "dpo_days", "net_debt_ebitda"), KEY, "left").join(cash.where(E).select(*KEY, "free_cash_flow"), KEY, "left"))
     return joined.where((F.col("period_key") > period_add(F.lit(current), -months)) & (F.col("period_key") <= current))
 
 
@@ -50,9 +51,9 @@ def zscores_rolling(history: DataFrame, window: int = 12, limit: float = Z_LIMIT
         F.abs("z_score") > limit).withColumn("severity", _severity(F.col("z_score"))).drop("m", "s")
 
 
-def _path_lengths(x: np.ndarray, rng: np.random.Generator, trees: int) -> np.ndarray:
+def _path_lengths(x: np.ndarray, rng: np.random.Generator, trees: int, rows_per_tree: int) -> np.ndarray:
     """Mean isolation depth of each row over random axis-parallel splits."""
-    sample = min(256, len(x))
+    sample = min(rows_per_tree, len(x))
     limit = int(np.ceil(np.log2(max(sample, 2))))
     average = lambda m: 0.0 if m <= 1 else 1.0 if m == 2 else 2.0 * (np.log(m - 1) + 0.5772156649) - 2.0 * (m - 1) / m
     total = np.zeros(len(x))
@@ -74,15 +75,17 @@ def _path_lengths(x: np.ndarray, rng: np.random.Generator, trees: int) -> np.nda
     return np.power(2.0, -(total / trees) / max(average(sample), 1e-9))
 
 
-def isolation_forest(history: DataFrame, current: int, trees: int = TREES, contamination: float = CONTAMINATION) -> DataFrame:
-    """Outlier verdict on the current month of each company. A group is one company's months, so its size is bounded by the history."""
+def isolation_forest(history: DataFrame, current: int, trees: int = TREES, contamination: float = CONTAMINATION,
+                     rows_per_tree: int = ROWS_PER_TREE) -> DataFrame:
+    """Outlier verdict on the current month of each company. A group is one company's months, so its size is bounded by the history; a tree
+    grows on at most `rows_per_tree` of them, and all are scored."""
     features = history.select(*KEY, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in KPI_COLUMNS])
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("period_key")
         if len(pdf) < 3 or not (pdf.period_key == current).any():
             return pd.DataFrame({"entity_key": [], "period_key": [], "anomaly_score": [], "is_outlier": []})
-        s = _path_lengths(pdf[KPI_COLUMNS].to_numpy(float), np.random.default_rng(SEED + int(pdf.entity_key.iloc[0])), trees)
+        s = _path_lengths(pdf[KPI_COLUMNS].to_numpy(float), np.random.default_rng(SEED + int(pdf.entity_key.iloc[0])), trees, rows_per_tree)
         cut = np.quantile(s, 1 - contamination)
         out = pd.DataFrame({"entity_key": pdf.entity_key, "period_key": pdf.period_key, "anomaly_score": s, "is_outlier": s > cut})
         return out[out.period_key == current]
@@ -124,24 +127,47 @@ def velocity(mapped: DataFrame, limit: int = VELOCITY_LIMIT) -> DataFrame:
     return mapped.groupBy("posting_date", "universal_node").agg(F.count("*").alias("daily_count")).where(F.col("daily_count") > limit)
 
 
-QUEUE = ["entity_key", "period_key", "anomaly_class", "detection_method", "severity", "kpi_affected", "description"]
+EVIDENCE = ["current_value", "historical_mean", "historical_std", "z_score", "anomaly_score"]
 
 
-def queue_rows(df: DataFrame, cls: str, method: str, severity, kpi, description) -> DataFrame:
+def queue_rows(df: DataFrame, cls: str, method: str, severity, kpi, description, action, **evidence) -> DataFrame:
+    """A detector's rows in the queue layout; evidence that a detector doesn't have stays null."""
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
     return df.select("entity_key", "period_key", F.lit(cls).alias("anomaly_class"), F.lit(method).alias("detection_method"), lit(severity).alias("severity"),
-                     lit(kpi).alias("kpi_affected"), lit(description).alias("description"))
+                     lit(kpi).alias("kpi_affected"), lit(description).alias("description"), lit(action).alias("recommended_action"),
+                     *[evidence.get(c, F.lit(None)).cast("double").alias(c) for c in EVIDENCE])
 
 
-def build_queue(history: DataFrame, current: int, postings: DataFrame, mapped_movements: DataFrame, check: DataFrame) -> DataFrame:
-    """All detector results in the queue layout, every row open."""
+def build_queue(history: DataFrame, current: int, postings: DataFrame, mapped_movements: DataFrame, check: DataFrame, mapped: DataFrame, duplicates: DataFrame,
+                large: float = LARGE_POSTING, fast: int = VELOCITY_LIMIT, with_forest: bool = True) -> DataFrame:
+    """All detector results for the current month in the queue layout, every row open: one row per company and finding.
+
+    `duplicates`: rows that share a fingerprint (see dq.duplicate_postings); `mapped`: postings with their account's node.
+    """
     z = zscores(history, current)
+    now = F.col("period_key") == current
+    per_company = lambda df: df.where(now).groupBy("entity_key", "period_key").agg(F.count("*").alias("found"))
+    busy = mapped.where(now).groupBy("entity_key", "period_key", "posting_date", "universal_node").agg(F.count("*").alias("daily_count")).where(F.col("daily_count") > fast)
+    forest = isolation_forest(history, current).where("is_outlier") if with_forest else None
+    review = "Review the postings"
     parts = [
-        queue_rows(z, "STATISTICAL", "ZSCORE", F.col("severity"), F.col("kpi"), F.concat(F.col("kpi"), F.when(F.col("z_score") > 0, " above average").otherwise(" below average"))),
-        queue_rows(budget_gate(history.where(F.col("period_key") == current)), "STATISTICAL", "BUDGET_GATE", "HIGH", "revenue_variance_pct", "Revenue far below budget"),
-        queue_rows(revenue_debits(mapped_movements.where(F.col("period_key") == current)), "STRUCTURAL", "RULE_ENGINE", "HIGH", "REVENUE_ACCOUNTS", "Revenue accounts with debit postings"),
-        queue_rows(check.where(~F.col("is_balanced") & (F.col("period_key") == current)), "STRUCTURAL", "RULE_ENGINE", "CRITICAL", "BALANCE_SHEET_EQUATION", "Balance sheet does not balance"),
-        queue_rows(off_hours(postings.where(F.col("period_key") == current)), "BEHAVIOURAL", "RULE_ENGINE", "MEDIUM", "OFF_HOURS_POSTINGS", "Postings outside business hours"),
+        queue_rows(per_company(duplicates), "STRUCTURAL", "RULE_ENGINE", "HIGH", "DUPLICATE_POSTINGS", "Postings with the same fingerprint", review, current_value=F.col("found")),
+        queue_rows(per_company(large_postings(mapped, large)), "BEHAVIOURAL", "RULE_ENGINE", "HIGH", "LARGE_POSTINGS", "Postings above the limit", review, current_value=F.col("found")),
+        queue_rows(busy.groupBy("entity_key", "period_key").agg(F.max("daily_count").alias("found")), "BEHAVIOURAL", "RULE_ENGINE", "MEDIUM", "POSTING_VELOCITY",
+                   "Many postings on one day and account group", review, current_value=F.col("found")),
+        *([queue_rows(forest, "STATISTICAL", "ISOLATION_FOREST", "HIGH", "MULTI_KPI", "The month's KPIs together are unusual", "Review all KPIs against earlier months",
+                      anomaly_score=F.col("anomaly_score"))] if with_forest else []),
+        queue_rows(z, "STATISTICAL", "ZSCORE", F.col("severity"), F.col("kpi"), F.concat(F.col("kpi"), F.when(F.col("z_score") > 0, " above average").otherwise(" below average")),
+                   F.concat(F.lit("Investigate "), F.col("kpi")), current_value=F.col("value"), historical_mean=F.col("historical_mean"),
+                   historical_std=F.col("historical_std"), z_score=F.col("z_score")),
+        queue_rows(budget_gate(history.where(F.col("period_key") == current)), "STATISTICAL", "BUDGET_GATE", "HIGH", "revenue_variance_pct", "Revenue far below budget", "Explain the variance",
+                   current_value=F.col("revenue_variance_pct")),
+        queue_rows(revenue_debits(mapped_movements.where(F.col("period_key") == current)), "STRUCTURAL", "RULE_ENGINE", "HIGH", "REVENUE_ACCOUNTS", "Revenue accounts with debit postings", review,
+                   current_value=F.col("rows")),
+        queue_rows(check.where(~F.col("is_balanced") & (F.col("period_key") == current)), "STRUCTURAL", "RULE_ENGINE", "CRITICAL", "BALANCE_SHEET_EQUATION", "Balance sheet does not balance",
+                   "Stop the close and find the difference", current_value=F.col("balance_difference")),
+        queue_rows(off_hours(postings.where(F.col("period_key") == current)), "BEHAVIOURAL", "RULE_ENGINE", "MEDIUM", "OFF_HOURS_POSTINGS", "Postings outside business hours", review,
+                   current_value=F.col("off_hours_postings")),
     ]
     out = parts[0]
     for p in parts[1:]:

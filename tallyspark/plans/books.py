@@ -19,6 +19,7 @@ from ..session import fresh_path
 from . import constants as K
 
 AMOUNTS = [leg[6] for leg in K.LEGS]
+SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 _STORE: dict[tuple, str] = {}
 _LOCK = threading.RLock()
 
@@ -31,12 +32,19 @@ class Books:
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    @cached_property
+    def source_state(self) -> tuple:
+        """A checksum over the source files' paths, sizes and times; contents are not read."""
+        files = self.spark.read.format("binaryFile").load([f"{self.dir}/{t}.parquet" for t in SOURCES])
+        parts = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        return tuple(files.agg(F.sum(parts), F.count("*")).first())
+
     def values(self, rows, columns) -> DataFrame:
         return K.frame(self.spark, rows, columns)
 
     def stored(self, name: str, build) -> DataFrame:
-        """A gold table: written once per application to the shared folder, then read with exact size statistics."""
-        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        """A gold table: written once for each state of the source files to the shared folder, then read with exact size statistics."""
+        key = (self.spark.sparkContext.applicationId, self.dir, self.source_state, name)
         with _LOCK:
             if key not in _STORE:
                 path = fresh_path(self.spark, name)

@@ -2,14 +2,17 @@ import random
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import access, alerts, anomaly, consolidation, dims, dq, forecast, fx, history as H, intercompany, windows as W
 from tallyspark.plans import constants as K
+from tallyspark.plans.books import SOURCES, Books
 from tallyspark.sources import files, sinks
 from tallyspark.session import fresh_path
 from tallyspark.streaming import jobs
+from tests.conftest import SF
 
 
 def test_ledger_always_balances(books):
@@ -222,6 +225,45 @@ def test_gate_halts_the_close(spark, books):
     assert run_close(spark, books.dir, 200106, raw=broken).status == "HALTED"
 
 
+def test_closes_take_new_and_changed_batches_only(spark, books, tmp_path):
+    """Two months, then late rows of the first, then nothing new."""
+    from tallyspark.plans.close import run_close
+    ledger = books.ledger().where("period_key <= 199508").cache()
+    first, second = [r[0] for r in ledger.select("period_key").distinct().sort("period_key").tail(2)]
+    early = ledger.where(f"NOT (period_key = {first} AND partkey % 10 = 0)")
+    target = str(tmp_path / "close")
+    close = lambda period, rows: run_close(spark, books.dir, period, target, rows)
+    fact = lambda: spark.read.parquet(f"{target}/fact")
+    mapped = lambda rows, until: rows.where((F.col("leg") != "S3U") & (F.col("period_key") <= until))
+    total = lambda rows: rows.groupBy("period_key").agg(F.count("*").alias("n"), F.sum("debit").alias("d")).sort("period_key").collect()
+
+    one = close(first, early)
+    assert one.status == "COMPLETED" and total(fact()) == total(mapped(early, first))
+    two = close(second, early)
+    assert two.changed_batches == early.where(F.col("period_key") == second).select("batch_id").distinct().count()
+    assert total(fact()) == total(mapped(early, second))
+    assert spark.read.parquet(f"{target}/quarantine").where("leg <> 'S3U'").isEmpty()
+    pl = lambda: spark.read.parquet(f"{target}/pl_monthly").where(f"period_key = {first} AND consolidation_scope = 'entity'").agg(F.sum("revenue")).first()[0]
+    before = pl()
+    three = close(second, ledger)
+    late = ledger.where(f"period_key = {first} AND partkey % 10 = 0")
+    assert 0 < three.changed_batches == late.select("batch_id").distinct().count()
+    assert total(fact()) == total(mapped(ledger, second)) and pl() != before
+    stamp = (tmp_path / "close" / "fact").stat().st_mtime_ns
+    assert close(second, ledger).status == "UNCHANGED" and (tmp_path / "close" / "fact").stat().st_mtime_ns == stamp
+    ledger.unpersist()
+
+
+def test_gold_tables_follow_their_sources(spark, tmp_path):
+    import shutil
+    for f in SOURCES:
+        shutil.copyfile(f"{SF}/{f}.parquet", tmp_path / f"{f}.parquet")
+    postings = lambda: Books(spark, str(tmp_path)).trial_balance.agg(F.sum("postings")).first()[0]
+    before = postings()
+    pq.write_table(pq.read_table(f"{SF}/lineitem.parquet").slice(0, 3000), tmp_path / "lineitem.parquet")
+    assert 0 < postings() < before
+
+
 def test_conversion_of_large_amounts_is_exact(spark):
     amounts = ["12345678901.23", "1234567890123.45", "9999999999999999.99", "-9999999999999999.99", "0.01", "-0.01", "0.00", None]
     rates = ["1.000000", "380.125000", "0.000001", "999.999999", "400.000000"]
