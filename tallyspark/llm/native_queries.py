@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import chat, mixing, urls, warc
-from .registry import query, table
+from .registry import query, table, values
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 ASIDE = "<|im_end|><|im_start|>assistant ok"
@@ -71,7 +71,7 @@ def op4_mixing(spark, sf_dir):
 @query("op5_chat", OP5)
 def op5_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    aside = spark.createDataFrame([(-1, 0, "user", ASIDE), (-1, 1, "assistant", ASIDE)], turns.schema)
+    aside = values(spark, "conv_id bigint, turn bigint, role string, text string", [(-1, 0, "user", ASIDE), (-1, 1, "assistant", ASIDE)])
     typed = turns.unionByName(aside).select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))
     read = chat.format_chats(typed).select("conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"),
                                            F.transform(chat.read_back(F.col("formatted")), lambda t: F.struct(
@@ -85,5 +85,5 @@ def op5_chat(spark, sf_dir):
 
 @query("op9_urls", OP9)
 def op9_urls(spark, sf_dir):
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = values(spark, "host string, path string, verdict string", RULES)
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
