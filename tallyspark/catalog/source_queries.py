@@ -1,5 +1,7 @@
 """Scans, manifests and sinks. Files are written from the books to the shared folder and read back."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..functions.money import amount
@@ -30,10 +32,10 @@ TABLES["sale_rows"] = """select cast(orderkey as varchar) || '-' || cast(linenum
  a_sale debit, is_intercompany, suppkey, partkey, returnflag, coalesce(a_other, a_unmapped) vat from base_lines"""
 
 
-def export_csv(b):
+def export_csv(b, rows=None, path=None):
     """ERP text export: semicolons, comma decimals, quoted text with separators inside, empty fields."""
-    path = fresh_path(b.spark, "erp-csv")
-    out = sales(b).select(
+    path = path or fresh_path(b.spark, "erp-csv")
+    out = (sales(b) if rows is None else rows).select(
         F.col("source_id").alias("transaction_id"), F.col("company").alias("company_id"), F.lit("311").alias("local_account_code"),
         F.date_format("posting_date", "yyyy-MM-dd").alias("posting_date"), "document_number", comma("debit").alias("debit_amount"),
         comma("credit").alias("credit_amount"), F.lit("HUF").alias("currency_code"),
@@ -65,12 +67,16 @@ query("scan_partition_path", f"select consolidation_group entity, cast(year(post
 
 
 def modified_since(b):
-    path = export_csv(b)
-    newest = M.scan_files(b.spark, path).agg(F.date_format(F.max("modificationTime") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    return S.read_since(b.spark, path, EXPORT, newest).groupBy("company_id").agg(n, F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"))
+    """Two exports into one folder, a moment apart; only the files of the second are read."""
+    rows = sales(b)
+    path = export_csv(b, rows.where("posting_date < '1998-01-01'"))
+    first = M.scan_files(b.spark, path).agg(F.date_format(F.max("modificationTime") + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    time.sleep(2.1)  # the cut-off has whole seconds
+    export_csv(b, rows.where("posting_date >= '1998-01-01'"), path)
+    return S.read_since(b.spark, path, EXPORT, first).groupBy("company_id").agg(n, F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"))
 
 
-query("scan_modified_since", f"select company company_id, count(*) n, {dec('sum(debit)')} debit from sale_rows group by all")(modified_since)
+query("scan_modified_since", f"select company company_id, count(*) n, {dec('sum(debit)')} debit from sale_rows where posting_date >= date '1998-01-01' group by all")(modified_since)
 
 
 def journals(b):

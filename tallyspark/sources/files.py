@@ -16,7 +16,7 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], **options
 
 
 def write_delimited(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    df.write.options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxRecordsPerFile=max_rows).csv(path)
+    df.write.mode("append").options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxRecordsPerFile=max_rows).csv(path)
 
 
 def with_path_columns(df: DataFrame) -> DataFrame:
