@@ -37,6 +37,7 @@ CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 SLICE = 1 << 18
 RUN = 32  # windows of a segment at most
+SEGMENTS_AT_ONCE = 1 << 15
 NO_ID = np.iinfo(np.int64).max
 
 CHUNK_SCHEMA = "chunk bigint, rest binary, owner binary, ids binary, lengths binary, digests binary, data binary"
@@ -362,12 +363,24 @@ def _mark(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=_arrow(MARK_SCHEMA))
 
 
-def removed_spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of bytes under windows that begin at the sorted `starts`."""
+def removed_spans(starts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end) of the maximal runs of bytes under windows that begin at the sorted `starts`, text by text."""
     if not len(starts):
-        return starts, starts
-    cut = np.flatnonzero(np.diff(starts) > MATCH)
-    return starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]] + MATCH
+        return text, starts, starts
+    cut = np.flatnonzero((np.diff(starts) > MATCH) | (text[1:] != text[:-1]))
+    first, last = np.r_[0, cut + 1], np.r_[cut, len(starts) - 1]
+    return text[first], starts[first], starts[last] + MATCH
+
+
+def joined_spans(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of consecutive parts of the windows, those that touch across parts as one."""
+    if not parts:
+        return (np.empty(0, np.int64),) * 3
+    text, begin, end = (np.concatenate(x) for x in zip(*parts))
+    if not len(text):
+        return text, begin, end
+    new = np.r_[True, (begin[1:] > end[:-1]) | (text[1:] != text[:-1])]
+    return text[new], begin[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
 
 
 def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], with_text: bool):
@@ -384,19 +397,20 @@ def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], wit
             flags[at[i]:at[j]] = _unbits(marks[b], int(at[j] - at[i]))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        begin = at[:-1][place[which]] if len(first) else np.empty(0, np.int64)
-        n = c.counts[chosen]
-        spread = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        behind = c.least[c.text[chosen]] > (low[which] if len(first) else 0)
-        gone = flags[np.repeat(begin, n) + spread] | np.repeat(behind, n)
-        windows = (np.repeat(c.starts[chosen], n) + spread)[gone]
-        owner = np.repeat(c.text[chosen], n)[gone]
+        found = []
+        for i in range(0, len(chosen), SEGMENTS_AT_ONCE):
+            rows = slice(i, i + SEGMENTS_AT_ONCE)
+            n, text = c.counts[chosen[rows]], c.text[chosen[rows]]
+            spread = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            behind = c.least[text] > low[which[rows]]
+            gone = flags[np.repeat(at[:-1][place[which[rows]]], n) + spread] | np.repeat(behind, n)
+            found.append(removed_spans((np.repeat(c.starts[chosen[rows]], n) + spread)[gone], np.repeat(text, n)[gone]))
+        owner, begin, end = joined_spans(found)
         spans = [None] * len(c.lengths)
         edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, np.int64)
         for i, j in zip(edges, np.r_[edges[1:], len(owner)].astype(np.int64)):
             t = owner[i]
-            a, b = removed_spans(windows[i:j] - c.begins[t])
-            spans[t] = (a.tolist(), b.tolist())
+            spans[t] = ((begin[i:j] - c.begins[t]).tolist(), (end[i:j] - c.begins[t]).tolist())
         return spans, least
 
     def run(batches):
