@@ -105,19 +105,21 @@ query("severity_order", f"select rule_code, severity, {SEV} severity_order, peri
         "severity_order", "period_key", "entity_key", "rule_code"))
 query("m_open_critical_alerts", "select entity_key, count(*) open_critical_alerts from alog where status = 'OPEN' and severity = 'CRITICAL' group by all")(
     lambda b: logged(b).where("status = 'OPEN' AND severity = 'CRITICAL'").groupBy("entity_key").agg(F.count("*").alias("open_critical_alerts")))
-TABLES["lp"] = "select orderkey, seller_code entity_code, 'LARGE_GL_POSTING' rule_code, posting_date + to_hours(cast(partkey % 24 as integer)) raised_at, 48 cooldown_hours, case orderkey % 3 when 0 then 'OPEN' when 1 then 'ACKNOWLEDGED' else 'CLOSED' end status from base_lines where a_sale > 90000"
+TABLES["lp"] = "select orderkey, seller_code entity_code, rule_code, posting_date + to_hours(cast(partkey % 24 as integer)) raised_at, cooldown_hours, case orderkey % 3 when 0 then 'OPEN' when 1 then 'ACKNOWLEDGED' else 'CLOSED' end status from base_lines join rules_ on rule_code = 'LARGE_SALE_LINE' and a_sale > threshold_value"
 
 
 def large_postings(b):
+    """Candidates of one rule, whose row gives the threshold and the cooldown."""
     ok = F.col("orderkey")
-    return b.base().where("a_sale > 90000").select(
-        "orderkey", F.col("seller_code").alias("entity_code"), F.lit("LARGE_GL_POSTING").alias("rule_code"),
-        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"))).alias("raised_at"), F.lit(48).alias("cooldown_hours"),
+    lines = b.base().withColumn("rule_code", F.lit("LARGE_SALE_LINE")).join(rules(b).select("rule_code", "threshold_value", "cooldown_hours"), "rule_code")
+    return lines.where(F.col("a_sale") > F.col("threshold_value")).select(
+        "orderkey", F.col("seller_code").alias("entity_code"), "rule_code",
+        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"))).alias("raised_at"), "cooldown_hours",
         F.when(ok % 3 == 0, "OPEN").when(ok % 3 == 1, "ACKNOWLEDGED").otherwise("CLOSED").alias("status"))
 
 
 query("alert_cooldown", """select entity_code, rule_code, cast(raised_at as date) raised_on, count(*) n from lp c where orderkey % 2 = 0 and not exists (select 1 from lp l where l.orderkey % 2 = 1 and l.status <> 'CLOSED' and l.entity_code = c.entity_code and l.rule_code = c.rule_code
- and l.raised_at <= c.raised_at and c.raised_at < l.raised_at + interval 48 hour) group by all""")(
+ and l.raised_at <= c.raised_at and c.raised_at < l.raised_at + to_hours(l.cooldown_hours)) group by all""")(
     lambda b: A.after_cooldown(large_postings(b).where("orderkey % 2 = 0"), large_postings(b).where("orderkey % 2 = 1")).groupBy("entity_code", "rule_code", F.to_date("raised_at").alias("raised_on")).agg(n))
 
 # ---- versioned mapping ----------------------------------------------------------------------------------------

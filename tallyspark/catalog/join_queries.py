@@ -93,11 +93,10 @@ query("reversal_pairs", f"""with s as (select source_id, entity_key, seller_key,
 def reversal_pairs(b: Books):
     """Returned lines give a reversing posting that names the posting it cancels; both are matched by the source id."""
     s = b.base().select(F.concat_ws("-", "orderkey", "linenumber").alias("source_id"), "returnflag", "a_sale")
-    reversals = s.where("returnflag = 'R'").select(F.col("source_id").alias("reversal_of"), (-F.col("a_sale")).alias("amount"))
-    originals = s.groupBy("source_id").agg(F.count("*").alias("postings"), F.sum("a_sale").alias("amount"))
-    cancelled = reversals.groupBy(F.col("reversal_of").alias("source_id")).agg(F.sum("amount").alias("reversed_amount"))
+    reversal = F.when(F.col("returnflag") == "R", -F.col("a_sale"))
+    matched = s.groupBy("source_id").agg(F.count("*").alias("postings"), F.sum("a_sale").alias("amount"), F.sum(reversal).alias("reversed_amount")).where("reversed_amount IS NOT NULL")
     net = F.col("amount") + F.col("reversed_amount")
-    return originals.join(cancelled, "source_id").select("source_id", "postings", "amount", "reversed_amount", net.alias("net_amount"), (net == 0).alias("fully_reversed"))
+    return matched.select("source_id", "postings", "amount", "reversed_amount", net.alias("net_amount"), (net == 0).alias("fully_reversed"))
 
 
 # ---- dimensions -----------------------------------------------------------------------------------------------

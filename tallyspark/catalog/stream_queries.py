@@ -91,15 +91,18 @@ query("stream_static_enrich", f"""select s.currency_code, l1_category, period_ke
     lambda b: enriched(b).groupBy("currency_code", "l1_category", "period_key").agg(n, F.sum("amount_huf").alias("amount_huf")))
 
 
+RULE = next(dict(zip(K.RULE_COLUMNS, r)) for r in K.LOCAL_RULES if r[0] == "LARGE_SALE_LINE")
+
+
 def cooled(b):
-    large = b.base().where("a_sale > 90000").select(
-        F.lit("LARGE_GL_POSTING").alias("rule_code"), F.col("seller_code").alias("entity_code"),
+    large = b.base().where(F.col("a_sale") > RULE["threshold_value"]).select(
+        F.lit(RULE["rule_code"]).alias("rule_code"), F.col("seller_code").alias("entity_code"),
         (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"), mins=(F.col("suppkey") % 60).cast("int"))).alias("raised_at"))
-    return J.cooldown_table(J.read_landed(b.spark, J.land(large, "alerts", ALERTS), large.schema, FILES), "candidates", 48)
+    return J.cooldown_table(J.read_landed(b.spark, J.land(large, "alerts", ALERTS), large.schema, FILES), "candidates", RULE["cooldown_hours"])
 
 
-query("stream_alert_cooldown", """with recursive a as (select seller_code entity_code, posting_date + to_hours(cast(partkey % 24 as integer)) + to_minutes(cast(suppkey % 60 as integer)) raised_at from base_lines where a_sale > 90000),
+query("stream_alert_cooldown", f"""with recursive a as (select seller_code entity_code, posting_date + to_hours(cast(partkey % 24 as integer)) + to_minutes(cast(suppkey % 60 as integer)) raised_at from base_lines where a_sale > {RULE["threshold_value"]}),
  fired as (select entity_code, min(raised_at) t from a group by all union all
- select f.entity_code, min(l.raised_at) from fired f join a l on l.entity_code = f.entity_code and l.raised_at >= f.t + interval 48 hour group by f.entity_code, f.t)
- select 'LARGE_GL_POSTING' rule_code, entity_code, cast(t as date) fired_on, cast(hour(t) as integer) fired_hour, cast(minute(t) as integer) fired_minute from fired""")(
+ select f.entity_code, min(l.raised_at) from fired f join a l on l.entity_code = f.entity_code and l.raised_at >= f.t + interval {RULE["cooldown_hours"]} hour group by f.entity_code, f.t)
+ select '{RULE["rule_code"]}' rule_code, entity_code, cast(t as date) fired_on, cast(hour(t) as integer) fired_hour, cast(minute(t) as integer) fired_minute from fired""")(
     lambda b: cooled(b).select("rule_code", "entity_code", F.to_date("raised_at").alias("fired_on"), F.hour("raised_at").alias("fired_hour"), F.minute("raised_at").alias("fired_minute")))

@@ -100,6 +100,7 @@ LOCAL_RULES = [
     ("REVENUE_BELOW_BUDGET_SHARE", "revenue", "ALL", "<", 0.9, "PCT_OF_BUDGET", "HIGH", 24),
     ("REVENUE_BELOW_PY_SHARE", "revenue", "NATION_3", "<=", 0.95, "PCT_OF_PY", "MEDIUM", 24),
     ("EBITDA_NEGATIVE", "ebitda", "NOWHERE", "<", 0.0, "ABSOLUTE", "HIGH", 24),
+    ("LARGE_SALE_LINE", "sale_line_amount", "ALL", ">", 90000.0, "ABSOLUTE", "LOW", 48),
 ]
 SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO"]
 
