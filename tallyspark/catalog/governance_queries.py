@@ -110,11 +110,11 @@ TABLES["lp"] = "select orderkey, seller_code entity_code, rule_code, posting_dat
 
 def large_postings(b):
     """Candidates of one rule, whose row gives the threshold and the cooldown."""
-    ok = F.col("orderkey")
-    lines = b.base().withColumn("rule_code", F.lit("LARGE_SALE_LINE")).join(rules(b).select("rule_code", "threshold_value", "cooldown_hours"), "rule_code")
-    return lines.where(F.col("a_sale") > F.col("threshold_value")).select(
-        "orderkey", F.col("seller_code").alias("entity_code"), "rule_code",
-        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"))).alias("raised_at"), "cooldown_hours",
+    ok, rule = F.col("orderkey"), K.rule("LARGE_SALE_LINE")
+    return b.base().where(F.col("a_sale") > rule["threshold_value"]).select(
+        "orderkey", F.col("seller_code").alias("entity_code"), F.lit(rule["rule_code"]).alias("rule_code"),
+        (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"))).alias("raised_at"),
+        F.lit(rule["cooldown_hours"]).alias("cooldown_hours"),
         F.when(ok % 3 == 0, "OPEN").when(ok % 3 == 1, "ACKNOWLEDGED").otherwise("CLOSED").alias("status"))
 
 

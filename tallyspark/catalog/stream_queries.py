@@ -91,7 +91,7 @@ query("stream_static_enrich", f"""select s.currency_code, l1_category, period_ke
     lambda b: enriched(b).groupBy("currency_code", "l1_category", "period_key").agg(n, F.sum("amount_huf").alias("amount_huf")))
 
 
-RULE = next(dict(zip(K.RULE_COLUMNS, r)) for r in K.LOCAL_RULES if r[0] == "LARGE_SALE_LINE")
+RULE = K.rule("LARGE_SALE_LINE")
 
 
 def cooled(b):

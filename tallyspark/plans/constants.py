@@ -102,6 +102,12 @@ LOCAL_RULES = [
     ("EBITDA_NEGATIVE", "ebitda", "NOWHERE", "<", 0.0, "ABSOLUTE", "HIGH", 24),
     ("LARGE_SALE_LINE", "sale_line_amount", "ALL", ">", 90000.0, "ABSOLUTE", "LOW", 48),
 ]
+
+
+def rule(code: str) -> dict:
+    return next(dict(zip(RULE_COLUMNS, r)) for r in ALERT_RULES + LOCAL_RULES if r[0] == code)
+
+
 SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO"]
 
 # public holidays with a fixed day: month, day
