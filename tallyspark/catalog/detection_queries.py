@@ -8,7 +8,7 @@ from ..sources import sinks
 from .oracle_tables import TABLES, dec
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 CURRENT = 200106
 E = "consolidation_scope = 'entity'"
 TABLES["hist"] = f"""select p.period_key, p.entity_key, revenue, ebitda, ebitda_margin_pct, gross_margin_pct, net_profit, revenue_variance_pct, current_ratio, dso_days, dpo_days, net_debt_ebitda, free_cash_flow
@@ -43,7 +43,7 @@ query("anomaly_revenue_debit", f"select entity_key, period_key, count(*) as \"ro
 TABLES["fpz"] = """select transaction_id, entity_code, account_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl"""
 query("anomaly_duplicate_hash", "select entity_code, row_hash, duplicate_count, count(*) n from (select *, count(*) over (partition by entity_code, row_hash) duplicate_count from fpz) where duplicate_count > 1 group by all")(
     lambda b: dq.duplicate_postings(b.ledger(), ["entity_code", "account_code", "period_key", "debit", "credit"])
-    .groupBy("entity_code", "row_hash", "duplicate_count").agg(n))
+    .groupBy("entity_code", "row_hash", "duplicate_count").agg(n()))
 query("anomaly_bs_imbalance", """select period_key, entity_key, total_assets, total_liabilities_equity, total_assets - total_liabilities_equity gap from (select period_key, entity_key, cast(sum(case when account_type = 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_assets,
  cast(sum(case when account_type <> 'Asset' then closing_balance else 0 end) as decimal(38,2)) total_liabilities_equity from bs_nodes group by all) where abs(total_assets - total_liabilities_equity) >= 1""")(
     lambda b: balance_check(b.nodes).where("NOT is_balanced").select(*KEY, "total_assets", "total_liabilities_equity", F.col("balance_difference").alias("gap")))

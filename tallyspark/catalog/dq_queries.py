@@ -10,7 +10,7 @@ from ..plans import constants as K
 from .oracle_tables import TABLES, dec, over, ratio as sql_ratio
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 summed = lambda *cols: [F.sum(c).alias(c) for c in cols]
 
 # the upload as delivered: some credit rows were lost, some currencies are missing or unknown
@@ -29,24 +29,24 @@ query("dq001_balance", "select * from dq1")(lambda b: dq.batch_balance(uploaded(
 query("dq001_quarantine_batch", "select batch_id, entity_code, 'DQ-001' rule_id, 'Debits and credits differ by ' || cast(imbalance as varchar) reason, records_checked, date '2001-12-31' quarantined_on, 'OPEN' resolution_status from dq1 where check_result = 'FAIL'")(
     lambda b: dq.quarantine_batches(dq.batch_balance(uploaded(b)), K.AS_OF))
 query("dq002_unmapped", f"select entity_code, account_code, period_key, count(*) n, {dec('sum(debit)')} debit from up where account_code not in (select account_code from coa) group by all")(
-    lambda b: dq.run("DQ-002", uploaded(b), b.accounts)[0].groupBy("entity_code", "account_code", "period_key").agg(n, *summed("debit")))
+    lambda b: dq.run("DQ-002", uploaded(b), b.accounts)[0].groupBy("entity_code", "account_code", "period_key").agg(n(), *summed("debit")))
 query("dq003_rollforward", f"""select b.entity_key, b.account_code, cast(b.period_key as integer) period_key, cast(abs(opening_balance + coalesce(movement, 0) - closing_balance) as decimal(38,2)) period_balance_gap
  from bs_stage b left join bs_moves m on m.entity_key = b.entity_key and m.account_code = b.account_code and m.mi = b.period_year * 12 + b.period_month - 1 where abs(opening_balance + coalesce(movement, 0) - closing_balance) > 1""")(
     lambda b: dq.rollforward_gaps(b.balance_upload, b.trial_balance))
 query("dq004_zero_amount", "select entity_code, account_code, leg, count(*) n from up where debit = 0 and credit = 0 and not is_reversal group by all")(
-    lambda b: uploaded(b).where(dq.is_zero_amount()).groupBy("entity_code", "account_code", "leg").agg(n))
+    lambda b: uploaded(b).where(dq.is_zero_amount()).groupBy("entity_code", "account_code", "leg").agg(n()))
 TABLES["dq5"] = "select *, case when posting_date is null then 'MISSING_POSTING_DATE' when document_date is null then 'MISSING_DOCUMENT_DATE' when document_date > posting_date then 'DOCUMENT_AFTER_POSTING' when posting_date > ingestion_date then 'POSTING_AFTER_INGESTION' end reason_code from up"
 query("dq005_dates", "select entity_code, period_key, reason_code, count(*) n, max(document_date) latest_document from dq5 where reason_code is not null group by all")(
-    lambda b: dq.run("DQ-005", uploaded(b))[0].groupBy("entity_code", "period_key", "reason_code").agg(n, F.max("document_date").alias("latest_document")))
+    lambda b: dq.run("DQ-005", uploaded(b))[0].groupBy("entity_code", "period_key", "reason_code").agg(n(), F.max("document_date").alias("latest_document")))
 query("dq005_period_window", """select entity_code, period_key, count(*) n from up where document_date > posting_date or posting_date > date '2001-12-31' or posting_date < cast(date_trunc('month', document_date) as date) - 31
  or posting_date > last_day(document_date) + 31 group by all""")(
-    lambda b: uploaded(b).where(dq.outside_period_window(period_of_date("document_date"), K.AS_OF)).groupBy("entity_code", "period_key").agg(n))
+    lambda b: uploaded(b).where(dq.outside_period_window(period_of_date("document_date"), K.AS_OF)).groupBy("entity_code", "period_key").agg(n()))
 KNOWN = ", ".join(f"'{c}'" for c in K.KNOWN_CURRENCIES)
 query("dq006_currency", f"select entity_code, currency_code, count(*) n from up where currency_code is null or currency_code not in ({KNOWN}) group by all")(
-    lambda b: dq.run("DQ-006", uploaded(b))[0].groupBy("entity_code", "currency_code").agg(n))
+    lambda b: dq.run("DQ-006", uploaded(b))[0].groupBy("entity_code", "currency_code").agg(n()))
 TABLES["cover"] = """select distinct currency_code cc, cast(unnest(generate_series(cast(rate_date - 1 as date), cast(rate_date + 3 as date), interval 1 day)) as date) cd from rates"""
 query("dq007_fx_available", "select entity_code, currency_code, count(*) n, min(posting_date) first_date from up left join cover on cc = currency_code and cd = posting_date where currency_code <> 'HUF' and cc is null group by all")(
-    lambda b: dq.run("DQ-007", uploaded(b), rates=b.fx_rates)[0].groupBy("entity_code", "currency_code").agg(n, F.min("posting_date").alias("first_date")))
+    lambda b: dq.run("DQ-007", uploaded(b), rates=b.fx_rates)[0].groupBy("entity_code", "currency_code").agg(n(), F.min("posting_date").alias("first_date")))
 query("dq008_duplicate_source", """select entity_code, source_system, source_id, leg, side, count(*) occurrences, min(batch_id) first_batch, max(batch_id) last_batch, min(posting_date) first_date, max(posting_date) last_date
  from up group by all having count(*) > 1""")(lambda b: dq.duplicate_sources(uploaded(b)))
 TABLES["fp"] = """select transaction_id, entity_code, account_code, posting_date, net, sha256(entity_code || '|' || account_code || '|' || cast(posting_date as varchar) || '|' || document_number || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl"""
@@ -98,7 +98,7 @@ def signed_check(b):
     from ..operators.accounts import map_accounts, signed_amount
     mapped = map_accounts(b.ledger(), b.accounts)
     delivered = mapped.withColumn("signed", F.when((F.col("partkey") % 89 == 0) & (F.col("account_type") == "Revenue"), F.col("debit") - F.col("credit")).otherwise(F.col("signed")))
-    return delivered.groupBy("account_type").agg(n, F.count(F.when(F.abs(F.col("signed") - signed_amount()) > 1, 1)).alias("violations"), F.sum("signed").alias("signed"))
+    return delivered.groupBy("account_type").agg(n(), F.count(F.when(F.abs(F.col("signed") - signed_amount()) > 1, 1)).alias("violations"), F.sum("signed").alias("signed"))
 
 
 _SIGNED = "case when account_type = 'Revenue' and partkey % 89 <> 0 then credit - debit else debit - credit end"
@@ -111,7 +111,7 @@ def fx_direction(b):
     c = fx.convert_exact_date(b.ledger(), b.fx_rates)
     back = F.abs(F.col("net").cast("double") * F.col("huf_to_eur_rate") - F.col("net_eur").cast("double"))
     implied = ratio(F.col("net"), F.col("net_eur"))
-    return c.groupBy("currency_code").agg(n, F.count(F.when(back > 1, 1)).alias("off_by_more_than_one"), F.count(F.when(~implied.between(200, 600), 1)).alias("implausible_rate"))
+    return c.groupBy("currency_code").agg(n(), F.count(F.when(back > 1, 1)).alias("off_by_more_than_one"), F.count(F.when(~implied.between(200, 600), 1)).alias("implausible_rate"))
 
 
 _R = "coalesce(1 / cast(rate_to_huf as double), 1.0::double / 400)"
@@ -121,7 +121,7 @@ query("dq_huf_passthrough", f"select currency_code is null or currency_code = 'H
     # amounts as delivered: home-currency rows of some parts were converted by mistake
     lambda b: fx.convert_exact_date(uploaded(b), b.fx_rates).where("currency_code IS NULL OR currency_code = 'HUF'").withColumn(
         "net_lcy_fx_adjusted", F.when(F.col("partkey") % 83 == 0, F.col("net") + 1).otherwise(F.col("net_lcy_fx_adjusted"))).groupBy(F.lit(True).alias("is_home")).agg(
-        n, F.count(F.when(F.col("net_lcy_fx_adjusted") != F.col("net"), 1)).alias("changed"), *summed("net")))
+        n(), F.count(F.when(F.col("net_lcy_fx_adjusted") != F.col("net"), 1)).alias("changed"), *summed("net")))
 query("dq_schema_tests", f"""with u as (select * from up), t as (select 'not_null:entity_code' test, count(case when entity_code is null then 1 end) failures from u union all select 'not_null:currency_code', count(case when currency_code is null then 1 end) from u
  union all select 'not_null:posting_date', count(case when posting_date is null then 1 end) from u union all select 'accepted_values:side', count(case when side not in ('D', 'C') then 1 end) from u
  union all select 'accepted_values:currency_code', count(case when currency_code not in ({KNOWN}) then 1 end) from u union all select 'unique:transaction_id', count(*) - count(distinct transaction_id) from u)
@@ -151,7 +151,7 @@ def full_log(b):
 log = lambda b: b.stored("dq_log", lambda: full_log(b))
 query("dq_log", "select * from dqlog")(full_log)
 query("dq_pass_rate", f"select rule_id, count(*) checks, count(case when check_result = 'PASS' then 1 end) passed, {sql_ratio("count(case when check_result = 'PASS' then 1 end)", 'count(*)', 4, 100)} pass_rate_pct, {sql_ratio('sum(records_failed)', 'sum(records_checked)', 4, 100)} failure_rate_pct from dqlog group by all")(
-    lambda b: log(b).groupBy("rule_id").agg(n.alias("checks"), F.count(F.when(F.col("check_result") == "PASS", 1)).alias("passed"), F.sum("records_failed").alias("_f"), F.sum("records_checked").alias("_c")).select(
+    lambda b: log(b).groupBy("rule_id").agg(n().alias("checks"), F.count(F.when(F.col("check_result") == "PASS", 1)).alias("passed"), F.sum("records_failed").alias("_f"), F.sum("records_checked").alias("_c")).select(
         "rule_id", "checks", "passed", ratio(F.col("passed"), F.col("checks"), 4, 100).alias("pass_rate_pct"), ratio(F.col("_f"), F.col("_c"), 4, 100).alias("failure_rate_pct")))
 query("m_dq_pass_rate_pct", f"select entity_code, {sql_ratio("count(case when check_result = 'PASS' then 1 end)", 'count(*)', 6)} dq_pass_rate_pct from dqlog group by all")(
     lambda b: log(b).groupBy("entity_code").agg(F.count("*").alias("_n"), F.count(F.when(F.col("check_result") == "PASS", 1)).alias("_p")).select(

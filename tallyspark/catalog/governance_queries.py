@@ -11,7 +11,7 @@ from ..session import fresh_path
 from .oracle_tables import TABLES, _values, dec, ratio as sql_ratio
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 summed = lambda *cols: [F.sum(c).alias(c) for c in cols]
 
 # ---- measures -------------------------------------------------------------------------------------------------
@@ -120,7 +120,7 @@ def large_postings(b):
 
 query("alert_cooldown", """select entity_code, rule_code, cast(raised_at as date) raised_on, count(*) n from lp c where orderkey % 2 = 0 and not exists (select 1 from lp l where l.orderkey % 2 = 1 and l.status <> 'CLOSED' and l.entity_code = c.entity_code and l.rule_code = c.rule_code
  and l.raised_at <= c.raised_at and c.raised_at < l.raised_at + to_hours(l.cooldown_hours)) group by all""")(
-    lambda b: A.after_cooldown(large_postings(b).where("orderkey % 2 = 0"), large_postings(b).where("orderkey % 2 = 1")).groupBy("entity_code", "rule_code", F.to_date("raised_at").alias("raised_on")).agg(n))
+    lambda b: A.after_cooldown(large_postings(b).where("orderkey % 2 = 0"), large_postings(b).where("orderkey % 2 = 1")).groupBy("entity_code", "rule_code", F.to_date("raised_at").alias("raised_on")).agg(n()))
 
 # ---- versioned mapping ----------------------------------------------------------------------------------------
 TABLES["cm1"] = "select e.entity_code company, c.* from (select distinct entity_key, account_code from tb) t join ents e on e.entity_key = t.entity_key join coa c on c.account_code = t.account_code"
@@ -143,7 +143,7 @@ query("scd2_snapshot", "select * from scd")(snapshot)
 query("temporal_mapping_join", f"""select g.entity_code, g.account_code, l1_category, account_name, count(*) n, {dec('sum(net)')} net from gl g join scd s on s.company = g.entity_code and s.account_code = g.account_code
  and posting_date >= valid_from and (valid_to is null or posting_date < valid_to) group by all""")(
     lambda b: H.valid_at(b.ledger().select(F.col("entity_code").alias("company"), "account_code", "posting_date", "net"), snapshot(b), ["company", "account_code"], "posting_date", ["l1_category", "account_name"]).withColumnRenamed("company", "entity_code")
-    .groupBy("entity_code", "account_code", "l1_category", "account_name").agg(n, *summed("net")))
+    .groupBy("entity_code", "account_code", "l1_category", "account_name").agg(n(), *summed("net")))
 TABLES["gov"] = """select *, case (length(company) + length(universal_node) + version) % 10 when 8 then 'PENDING' when 9 then 'DISPUTED' else 'APPROVED' end review_status, case when (length(universal_node) + version) % 5 = 0 then date '2001-06-30' end valid_to
  from (select *, unnest([1, 2]) version from cm1)"""
 
@@ -200,7 +200,7 @@ def active_version(b):
 query("active_budget_version", f"""with v as (select distinct entity_key, period_key // 100 fiscal_year, budget_version, {version_no} version_no from bud),
  a as (select entity_key, fiscal_year, max_by(budget_version, version_no) budget_version from v where (entity_key + fiscal_year + version_no) % 4 <> 0 group by all)
  select a.entity_key, cast(a.fiscal_year as integer) fiscal_year, a.budget_version, {dec('sum(budget_amount)')} budget_amount, count(*) n from a join bud b on b.entity_key = a.entity_key and b.period_key // 100 = a.fiscal_year and b.budget_version = a.budget_version group by all""")(
-    lambda b: b.budget.withColumn("fiscal_year", F.col("period_year")).join(active_version(b), ["entity_key", "fiscal_year", "budget_version"]).groupBy("entity_key", "fiscal_year", "budget_version").agg(*summed("budget_amount"), n))
+    lambda b: b.budget.withColumn("fiscal_year", F.col("period_year")).join(active_version(b), ["entity_key", "fiscal_year", "budget_version"]).groupBy("entity_key", "fiscal_year", "budget_version").agg(*summed("budget_amount"), n()))
 
 
 def batch_log(b):
@@ -236,7 +236,7 @@ def published(b):
     queue = review_queue(b)
     before = queue.where("status = 'APPROVED' AND queue_id % 8 = 0").select(F.col("queue_id").alias("source_queue_id"), "entity_key", "period_key", "role", "content")
     out, state = H.publish(queue, before)
-    return state.groupBy("entity_key", "status").agg(n).unionByName(out.groupBy("entity_key").agg(n).select("entity_key", F.lit("IN_PUBLISHED_SET").alias("status"), "n"))
+    return state.groupBy("entity_key", "status").agg(n()).unionByName(out.groupBy("entity_key").agg(n()).select("entity_key", F.lit("IN_PUBLISHED_SET").alias("status"), "n"))
 
 
 query("publish_approved", """select entity_key, case status when 'APPROVED' then 'PUBLISHED' else status end status, count(*) n from cq group by all union all select entity_key, 'IN_PUBLISHED_SET', count(*) from cq where status = 'APPROVED' group by all""")(published)
@@ -268,7 +268,7 @@ def monthly_close(b):
     run_close(b.spark, b.dir, 200105, target)
     result = run_close(b.spark, b.dir, 200106, target)
     names = ("fact", "quarantine", "pl_monthly", "balance_sheet", "cashflow")
-    counted = [b.spark.read.parquet(result.tables[name]).where("period_key = 200106").agg(n).select(F.lit(name).alias("table_name"), "n") for name in names]
+    counted = [b.spark.read.parquet(result.tables[name]).where("period_key = 200106").agg(n()).select(F.lit(name).alias("table_name"), "n") for name in names]
     return reduce(lambda x, y: x.unionByName(y), counted).withColumns({"status": F.lit(result.status), "changed_batches": F.lit(result.changed_batches)})
 
 

@@ -10,7 +10,7 @@ from ..plans.books import Books
 from .oracle_tables import TABLES, crossed, dec, over, times
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 summed = lambda *cols: [F.sum(c).alias(c) for c in cols]
 
 TABLES["fxday"] = """select currency_code, cast(unnest(generate_series(rate_date, last_day_, interval 1 day)) as date) "day", rate_date, rate_to_huf from (
@@ -18,7 +18,7 @@ TABLES["fxday"] = """select currency_code, cast(unnest(generate_series(rate_date
 TABLES["fxlast"] = "select currency_code, max_by(rate_to_huf, rate_date) latest_rate from rates group by 1"
 
 query("map_accounts", f"""select entity_key, g.account_code, universal_node, pl_line_item, count(*) n, {dec("sum(case when account_type = 'Revenue' then -net else net end)")} signed from gl g join coa c on g.account_code = c.account_code group by all""")(
-    lambda b: acc.map_accounts(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "universal_node", "pl_line_item").agg(n, *summed("signed")))
+    lambda b: acc.map_accounts(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "universal_node", "pl_line_item").agg(n(), *summed("signed")))
 
 
 def company_mapping(b: Books):
@@ -31,7 +31,7 @@ def company_mapping(b: Books):
 query("map_accounts_default", f"""select g.entity_code, g.account_code, case when account_code_ = '58' and parent_key is null then 'COGS' else l1_category end l1_category,
  case when account_code_ = '58' and parent_key is null then 'ENTITY' when l1_category is not null then 'DEFAULT' end mapping_source, count(*) n, {dec('sum(net)')} net
  from (select *, account_code account_code_ from gl) g join ents e on e.entity_code = g.entity_code left join (select account_code, l1_category from coa) c on c.account_code = g.account_code group by all""")(
-    lambda b: acc.map_accounts_default(b.ledger(), company_mapping(b), ["l1_category"]).groupBy("entity_code", "account_code", "l1_category", "mapping_source").agg(n, *summed("net")))
+    lambda b: acc.map_accounts_default(b.ledger(), company_mapping(b), ["l1_category"]).groupBy("entity_code", "account_code", "l1_category", "mapping_source").agg(n(), *summed("net")))
 query("quarantine_unmapped", "select transaction_id, entity_code, account_code, posting_date, net, 'UNMAPPED_ACCOUNT_CODE' quarantine_reason from gl where account_code not in (select account_code from coa)")(
     lambda b: acc.quarantine_unmapped(b.ledger(), b.accounts).select("transaction_id", "entity_code", "account_code", "posting_date", "net", "quarantine_reason"))
 
@@ -41,7 +41,7 @@ query("fx_exact_date", f"""select currency_code, period_key, count(*) n, {dec('s
  case when g.currency_code = 'HUF' then net else {times('(debit_fcy - credit_fcy)', 'coalesce(f.rate_to_huf, 1)')} end adj
  from gl g left join rates e on e.rate_date = posting_date and e.currency_code = 'EUR' left join rates f on f.rate_date = posting_date and f.currency_code = g.currency_code) group by all""")(
     lambda b: fx.convert_exact_date(b.ledger(), b.fx_rates).groupBy("currency_code", "period_key").agg(
-        n, *summed("net_eur", "net_lcy_fx_adjusted"), F.count(F.when(F.col("used_fallback_eur_rate"), 1)).alias("eur_fallbacks"),
+        n(), *summed("net_eur", "net_lcy_fx_adjusted"), F.count(F.when(F.col("used_fallback_eur_rate"), 1)).alias("eur_fallbacks"),
         F.count(F.when(F.col("used_fallback_fcy_rate"), 1)).alias("fcy_fallbacks")))
 events_by_day = lambda b: b.base().select("posting_date", "buyer_region", "a_sale").join(
     b.currencies.select(F.col("region_key").alias("buyer_region"), "currency_code"), "buyer_region").where("currency_code <> 'HUF'")
@@ -49,10 +49,10 @@ query("fx_asof", f"""select s.currency_code, posting_date, coalesce(d.rate_to_hu
   select currency_code, posting_date, a_sale from base_lines join ccy on region_key = buyer_region where currency_code <> 'HUF') s
  asof left join rates d on d.currency_code = s.currency_code and s.posting_date >= d.rate_date left join fxlast l on l.currency_code = s.currency_code group by all""")(
     lambda b: fx.attach_asof(events_by_day(b), b.fx_daily, b.fx_rates, "posting_date", "currency_code").groupBy("currency_code", "posting_date", "rate_to_huf").agg(
-        n, F.sum("a_sale").alias("amount")))
+        n(), F.sum("a_sale").alias("amount")))
 query("fx_fcy_to_huf", f"""select currency_code, period_key, {dec('sum(huf)')} amount_huf, count(*) n from (select g.currency_code, period_key,
  case when g.currency_code = 'HUF' then debit_fcy else {times('debit_fcy', 'coalesce(d.rate_to_huf, 1)')} end huf from gl g left join fxday d on d.currency_code = g.currency_code and d."day" = posting_date) group by all""")(
-    lambda b: fx.fcy_to_huf(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_huf"), n))
+    lambda b: fx.fcy_to_huf(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_huf"), n()))
 query("fx_period_end", """select p.period_key, c.currency_code, last_day(make_date(p.period_key // 100, p.period_key % 100, 1)) period_end, coalesce(d.rate_to_huf, l.latest_rate) rate_to_huf
  from (select distinct period_key from tb) p cross join (select distinct currency_code from rates) c left join fxlast l on l.currency_code = c.currency_code
  left join fxday d on d.currency_code = c.currency_code and d."day" = last_day(make_date(p.period_key // 100, p.period_key % 100, 1))""")(
@@ -63,23 +63,23 @@ _OWN = "case when g.currency_code = 'HUF' then 1 else o.rate_to_huf end"
 _CROSS = "(case when g.currency_code = 'HUF' then 1.0::double else cast(o.rate_to_huf as double) end / cast(e.rate_to_huf as double))"
 query("fx_cross_to_eur", f"""select g.currency_code, period_key, {dec(f"sum({crossed('debit_fcy', _OWN, 'e.rate_to_huf')})")} amount_eur, count(*) n, count({_CROSS}) rated from gl g left join fxday o on o.currency_code = g.currency_code and o."day" = posting_date
  left join (select * from fxday where currency_code = 'EUR') e on e."day" = posting_date group by all""")(
-    lambda b: fx.cross_to_eur(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_eur"), n, F.count("rate_to_eur").alias("rated")))
+    lambda b: fx.cross_to_eur(b.ledger(), b.fx_daily, "debit_fcy").groupBy("currency_code", "period_key").agg(*summed("amount_eur"), n(), F.count("rate_to_eur").alias("rated")))
 query("fx_availability_range", """select currency_code, posting_date, count(*) n from gl g where currency_code <> 'HUF' and not exists (select 1 from rates r where r.currency_code = g.currency_code
  and r.rate_date between g.posting_date - interval 3 day and g.posting_date + interval 1 day) group by all""")(
-    lambda b: fx.without_rate(b.ledger(), b.fx_rates, 3, 1).groupBy("currency_code", "posting_date").agg(n))
+    lambda b: fx.without_rate(b.ledger(), b.fx_rates, 3, 1).groupBy("currency_code", "posting_date").agg(n()))
 
 # ---- intercompany ---------------------------------------------------------------------------------------------
 query("ic_flag_transactions", f"""with s as (select distinct seller_key entity_key, seller_account account_code, 'SELLER' ic_side, transaction_type from reg where is_active union select distinct buyer_key, buyer_account, 'BUYER', transaction_type from reg where is_active)
  select g.entity_key, g.account_code, ic_side is not null is_ic_transaction, ic_side, coalesce(transaction_type, 'NON_IC') ic_transaction_type, count(*) n, {dec('sum(net)')} net
  from gl g left join s on s.entity_key = g.entity_key and s.account_code = g.account_code group by all""")(
-    lambda b: ic.flag_transactions(b.ledger(), b.registry).groupBy("entity_key", "account_code", "is_ic_transaction", "ic_side", "ic_transaction_type").agg(n, *summed("net")))
+    lambda b: ic.flag_transactions(b.ledger(), b.registry).groupBy("entity_key", "account_code", "is_ic_transaction", "ic_side", "ic_transaction_type").agg(n(), *summed("net")))
 query("ic_flag_effective_dated", f"""with s as (select seller_key e, seller_account a, buyer_key c, * from reg where is_active union all select buyer_key, buyer_account, seller_key, * from reg where is_active)
  select g.entity_key, g.counterparty_key, g.account_code, s.pair_id, s.pair_id is not null is_ic_effective, count(*) n, {dec('sum(net)')} net from gl g left join s on e = g.entity_key and a = g.account_code and c = g.counterparty_key
  and posting_date >= valid_from and (valid_to is null or posting_date <= valid_to) group by all""")(
-    lambda b: ic.flag_effective_dated(b.ledger(), b.registry).groupBy("entity_key", "counterparty_key", "account_code", "pair_id", "is_ic_effective").agg(n, *summed("net")))
+    lambda b: ic.flag_effective_dated(b.ledger(), b.registry).groupBy("entity_key", "counterparty_key", "account_code", "pair_id", "is_ic_effective").agg(n(), *summed("net")))
 query("ic_flag_consistency", f"""with s as (select seller_key e, seller_account a from reg where is_active union select buyer_key, buyer_account from reg where is_active)
  select entity_key, g.account_code, count(*) n, {dec('sum(net)')} net from gl g join coa on coa.account_code = g.account_code and is_ic_account where not exists (select 1 from s where e = entity_key and a = g.account_code) group by all""")(
-    lambda b: ic.flag_mismatches(b.ledger(accounts=[a[0] for a in K.ACCOUNTS if a[-1]]), b.accounts, b.registry).groupBy("entity_key", "account_code").agg(n, *summed("net")))
+    lambda b: ic.flag_mismatches(b.ledger(accounts=[a[0] for a in K.ACCOUNTS if a[-1]]), b.accounts, b.registry).groupBy("entity_key", "account_code").agg(n(), *summed("net")))
 query("ic_participants", "select distinct * from (select seller_key entity_key, seller_account account_code from reg where is_active union select buyer_key, buyer_account from reg where is_active)")(
     lambda b: b.registry.where("is_active").select(F.col("seller_key").alias("entity_key"), F.col("seller_account").alias("account_code")).union(
         b.registry.where("is_active").select("buyer_key", "buyer_account")).distinct())
@@ -141,7 +141,7 @@ def star(b: Books):
 query("resolve_dimensions", f"""select entity_sk, coalesce(account_key, -1) account_key, coalesce(cost_centre_key, -1) cost_centre_key, coalesce(project_key, -1) project_key, coalesce(currency_key, -1) currency_key,
  count(*) n, {dec('sum(net)')} net, cast(min(strftime(posting_date, '%Y%m%d')) as integer) first_date_key from gl g left join d_entity e on e.entity_code = g.entity_code left join d_account a on a.entity_code = g.entity_code and a.account_code = g.account_code
  left join d_centre cc on cc.cost_centre = g.cost_centre left join d_project p on p.project = g.project left join d_currency cu on cu.currency_code = g.currency_code group by all""")(
-    lambda b: star(b).groupBy("entity_sk", "account_key", "cost_centre_key", "project_key", "currency_key").agg(n, *summed("net"), F.min("date_key").alias("first_date_key")))
+    lambda b: star(b).groupBy("entity_sk", "account_key", "cost_centre_key", "project_key", "currency_key").agg(n(), *summed("net"), F.min("date_key").alias("first_date_key")))
 order_days = lambda b: dims.calendar_of(b.t("orders").select(F.to_date("o_orderdate").alias("d")), "d")
 # movable days by the rule for 1900 to 2099
 _GD = "((19 * (year(d) % 19) + 24) % 30)"
@@ -159,7 +159,7 @@ query("dim_date", f"""select cast(strftime(d, '%Y%m%d') as integer) date_key, d
  cast(quarter(d) as integer) fiscal_quarter, period_key, case when period_key % 100 = 1 then period_key - 89 else period_key - 1 end prior_period_key, period_key - 100 prior_year_period_key, hol is_holiday, tr = 1 is_trading_day,
  cast(tn as integer) trading_day_number, cast(tm as integer) trading_days_in_month from cal""")(lambda b: dims.dim_date(order_days(b)))
 query("budget_daily_interpolation", f"""select b.entity_key, d full_date, count(*) n, round(sum(round(cast(budget_amount as double) / tm * (1 + 1e-12), 2)), 2) daily_budget from t_bline b join cal on cal.period_key = b.period_key where tr = 1 group by all""")(
-    lambda b: dims.budget_per_trading_day(b.budget_lines, order_days(b)).groupBy("entity_key", "full_date").agg(n, F.round(F.sum("daily_budget"), 2).alias("daily_budget")))
+    lambda b: dims.budget_per_trading_day(b.budget_lines, order_days(b)).groupBy("entity_key", "full_date").agg(n(), F.round(F.sum("daily_budget"), 2).alias("daily_budget")))
 query("entity_hierarchy", """with recursive h as (select entity_key ancestor_key, entity_key descendant_key, 0 depth from ents union all select h.ancestor_key, e.entity_key, h.depth + 1 from h join ents e on e.parent_key = h.descendant_key) select * from h""")(
     lambda b: dims.entity_hierarchy(b.entities))
 
@@ -183,13 +183,13 @@ query("reconcile_gold_to_master", f"""with m as (select entity_key, account_code
 
 # ---- access ---------------------------------------------------------------------------------------------------
 query("rls_entity_scope", "select u.user_id, p.entity_key, count(*) n, sum(revenue) revenue from t_act p join usermap u on u.entity_key = p.entity_key where consolidation_scope = 'entity' and is_active and u.user_id in (3, 7, 11, 12, 20) group by all")(
-    lambda b: access.user_views(b.pl.where("consolidation_scope = 'entity'"), b.user_map, [3, 7, 11, 12, 20]).groupBy("user_id", "entity_key").agg(n, *summed("revenue")))
+    lambda b: access.user_views(b.pl.where("consolidation_scope = 'entity'"), b.user_map, [3, 7, 11, 12, 20]).groupBy("user_id", "entity_key").agg(n(), *summed("revenue")))
 query("rls_group_scope", """select period_key, p.entity_key, revenue from t_act p join ents e on e.entity_key = p.entity_key where consolidation_scope = 'entity' and consolidation_group in (
  select consolidation_group from usermap u join ents x on x.entity_key = u.entity_key where user_id = 12 and is_active and "role" = 'CEO')""")(
     lambda b: access.group_scope(b.pl.where("consolidation_scope = 'entity'"), b.user_map, b.entities, 12).select(*KEY, "revenue"))
 query("rls_cost_centre_scope", f"""select entity_key, cost_centre, {dec('sum(net)')} net, count(*) n from tbx where cost_centre in (select p_type from part where p_partkey = 8) group by all""")(
     lambda b: access.cost_centre_scope(b.cost_balance, b.t("part").where("p_partkey = 8").select(F.col("p_type").alias("cost_centre")))
-    .groupBy("entity_key", "cost_centre").agg(*summed("net"), n))
+    .groupBy("entity_key", "cost_centre").agg(*summed("net"), n()))
 query("rls_auditor_scope", """select period_key, entity_key, revenue from t_act where consolidation_scope = 'entity' and entity_key in (1, 4, 9)""")(
     lambda b: access.auditor_scope(b.pl.where("consolidation_scope = 'entity'"), [1, 4, 9], "2002-06-30", K.AS_OF).select(*KEY, "revenue"))
 query("rls_role_matrix", """select event_id, u."role", case when u."role" <> 'AUDITOR' then e.user_id end user_id, case when u."role" = 'CFO' then props end props, action from accesslog e join (select distinct user_id, "role" from usermap) u on u.user_id = e.user_id""")(

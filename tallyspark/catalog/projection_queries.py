@@ -12,7 +12,7 @@ from ..plans import constants as K
 from .oracle_tables import TABLES, dec
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 count_if = lambda c, name: F.count(F.when(c, 1)).alias(name)
 hash_fold = lambda c, name: F.bit_xor(F.conv(F.substring(c, 1, 12), 16, 10).cast("bigint")).alias(name)
 sql_fold = lambda e: f"bit_xor(cast('0x' || substr({e}, 1, 12) as bigint))"
@@ -31,7 +31,7 @@ def staged(b):
 query("stage_gl", f"""select entity_code, period_key, count(*) n, {dec('sum(debit)')} debit, {dec('sum(net)')} net, {dec('sum(debit_fcy)')} debit_fcy, count(case when is_unmapped_account then 1 end) unmapped,
  count(case when is_late_entry then 1 end) late, count(case when is_intercompany then 1 end) ic, {sql_fold('row_hash')} hash_fold, max(ingestion_date) last_ingested from staged group by all""")(
     lambda b: staged(b).groupBy("entity_code", "period_key").agg(
-        n, F.sum("debit").alias("debit"), F.sum("net").alias("net"), F.sum("debit_fcy").alias("debit_fcy"), count_if(F.col("is_unmapped_account"), "unmapped"),
+        n(), F.sum("debit").alias("debit"), F.sum("net").alias("net"), F.sum("debit_fcy").alias("debit_fcy"), count_if(F.col("is_unmapped_account"), "unmapped"),
         count_if(F.col("is_late_entry"), "late"), count_if(F.col("is_intercompany"), "ic"), hash_fold("row_hash", "hash_fold"),
         F.max("ingestion_date").alias("last_ingested")))
 query("stage_balance_sheet", "select entity_key, period_year, period_month, cast(period_key as integer) period_key, account_code, account_class, normal_balance, closing_balance, opening_balance from bs_stage")(
@@ -42,18 +42,18 @@ query("row_fingerprint", f"""select period_key, {sql_fold('row_hash')} hash_fold
     lambda b: staged(b).groupBy("period_key").agg(hash_fold("row_hash", "hash_fold"), F.max("row_hash").alias("max_hash"), F.min("row_hash").alias("min_hash"),
                                                   F.countDistinct("row_hash").alias("hashes")))
 query("flag_unmapped_account", f"""select entity_key, account_code, account_code not in (select account_code from coa) is_unmapped_account, count(*) n, {dec('sum(net)')} net from gl group by all""")(
-    lambda b: S.flag_unmapped(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "is_unmapped_account").agg(n, F.sum("net").alias("net")))
+    lambda b: S.flag_unmapped(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "is_unmapped_account").agg(n(), F.sum("net").alias("net")))
 query("late_flag_relative", "select period_key, posting_date < date '2001-12-26' and period_key // 100 < 2001 is_late_entry, count(*) n from gl group by all")(
     lambda b: b.ledger().withColumn("period_year", F.floor(F.col("period_key") / 100)).withColumn(
-        "is_late_entry", S.is_late_relative("posting_date", "period_year", K.AS_OF)).groupBy("period_key", "is_late_entry").agg(n))
+        "is_late_entry", S.is_late_relative("posting_date", "period_year", K.AS_OF)).groupBy("period_key", "is_late_entry").agg(n()))
 query("late_flag_closed_period", """with cal as (select distinct entity_key, period_key, period_key < 200101 - (entity_key % 2) * 100 is_closed from tb)
  select g.entity_key, g.period_key, coalesce(is_closed, false) is_late_closed, count(*) n from gl g left join cal c on c.entity_key = g.entity_key and c.period_key = year(document_date) * 100 + month(document_date) group by all""")(
-    lambda b: S.flag_late_closed_period(b.ledger(), b.calendar).groupBy("entity_key", "period_key", "is_late_closed").agg(n))
+    lambda b: S.flag_late_closed_period(b.ledger(), b.calendar).groupBy("entity_key", "period_key", "is_late_closed").agg(n()))
 query("late_flag_ingestion_lag", """select entity_key, period_key, count(case when date_diff('day', last_day(posting_date), ingestion_date) > 5 then 1 end) late, cast(max(date_diff('day', last_day(posting_date), ingestion_date)) as integer) max_lag from gl group by all""")(
     lambda b: b.ledger().groupBy("entity_key", "period_key").agg(count_if(S.ingestion_lag_days() > K.LATE_AFTER_DAYS, "late"), F.max(S.ingestion_lag_days()).alias("max_lag")))
 query("signed_amount", f"""select entity_key, g.account_code, account_type, {dec("sum(case when account_type = 'Revenue' then credit - debit else debit - credit end)")} signed, count(*) n
  from gl g join coa c on g.account_code = c.account_code group by all""")(
-    lambda b: acc.map_accounts(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "account_type").agg(F.sum("signed").alias("signed"), n))
+    lambda b: acc.map_accounts(b.ledger(), b.accounts).groupBy("entity_key", "account_code", "account_type").agg(F.sum("signed").alias("signed"), n()))
 query("signed_balance", f"""select entity_key, cast(period_key as integer) period_key, account_code, {dec("case when normal_balance = 'C' then -closing_balance else closing_balance end")} signed_balance from bs_stage""")(
     lambda b: S.stage_balance_sheet(b.balance_upload).select("entity_key", "period_key", "account_code", S.signed_balance("closing_balance", "normal_balance").alias("signed_balance")))
 query("account_path_levels", f"""select period_key, level_1, level_2, level_3, level_4, {dec('sum(net)')} net, {dec("sum(case when universal_node like 'ASSET.CURRENT%' then net else 0 end)")} current_assets from (
@@ -137,4 +137,4 @@ query("sql_functions", f"select o_orderkey, cast(p % 100 as integer) month_no, c
         "o_orderkey", "p % 100 AS month_no", "tally_prior_period(p) AS prior_period", "tally_period_end(p) AS period_end", "tally_valid_period(p) AS is_valid"))[1])
 query("parse_comma_decimal", f"""select period_key, {dec('sum(debit)')} debit, count(case when partkey % 89 = 0 then 1 end) unreadable, count(*) n from (select * replace (case when partkey % 89 <> 0 then debit end as debit) from gl) group by all""")(
     lambda b: b.ledger().withColumn("txt", F.when(F.col("partkey") % 89 == 0, F.lit("n/a")).otherwise(F.translate(F.col("debit").cast("string"), ".", ",")))
-    .withColumn("parsed", T.parse_comma_decimal("txt")).groupBy("period_key").agg(F.sum("parsed").alias("debit"), count_if(F.col("parsed").isNull(), "unreadable"), n))
+    .withColumn("parsed", T.parse_comma_decimal("txt")).groupBy("period_key").agg(F.sum("parsed").alias("debit"), count_if(F.col("parsed").isNull(), "unreadable"), n()))

@@ -12,7 +12,7 @@ from ..sources import files as S, manifest as M, sinks
 from .oracle_tables import TABLES, dec
 from .registry import query
 
-n = F.count("*").alias("n")
+n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
 EXPORT = ["transaction_id", "company_id", "local_account_code", "posting_date", "document_number", "debit_amount", "credit_amount", "currency_code", "description"]
 
 
@@ -47,7 +47,7 @@ def export_csv(b, rows=None, path=None):
 query("scan_delimited", f"""select company company_id, {dec('sum(debit)')} debit, count(*) n, count(case when partkey % 2 = 0 then 1 end) described, max(posting_date) last_posting,
  min(case when partkey % 2 = 0 then 'sale; "order" ' || document_number end) first_text from sale_rows group by all""")(
     lambda b: S.read_delimited(b.spark, export_csv(b), EXPORT).groupBy("company_id").agg(
-        F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"), n, F.count("description").alias("described"),
+        F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"), n(), F.count("description").alias("described"),
         F.max(F.to_date("posting_date")).alias("last_posting"), F.min("description").alias("first_text")))
 
 
@@ -63,7 +63,7 @@ def export_partitioned(b):
 
 query("scan_partition_path", f"select consolidation_group entity, cast(year(posting_date) as integer) \"year\", cast(month(posting_date) as integer) \"month\", count(*) n, {dec('sum(debit)')} debit from sale_rows join ents on entity_code = company group by all")(
     lambda b: S.with_path_columns(S.read_delimited(b.spark, export_partitioned(b), ["source_id", "debit_amount"])).groupBy("entity", "year", "month").agg(
-        n, F.sum(S.parse_comma_decimal("debit_amount")).alias("debit")))
+        n(), F.sum(S.parse_comma_decimal("debit_amount")).alias("debit")))
 
 
 def modified_since(b):
@@ -73,7 +73,7 @@ def modified_since(b):
     first = M.scan_files(b.spark, path).agg(F.date_format(F.max("modificationTime") + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
     time.sleep(2.1)  # the cut-off has whole seconds
     export_csv(b, rows.where("posting_date >= '1998-01-01'"), path)
-    return S.read_since(b.spark, path, EXPORT, first).groupBy("company_id").agg(n, F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"))
+    return S.read_since(b.spark, path, EXPORT, first).groupBy("company_id").agg(n(), F.sum(S.parse_comma_decimal("debit_amount")).alias("debit"))
 
 
 query("scan_modified_since", f"select company company_id, count(*) n, {dec('sum(debit)')} debit from sale_rows where posting_date >= date '1998-01-01' group by all")(modified_since)
@@ -99,7 +99,7 @@ def journals(b):
 
 query("scan_json_journal", f"select account_code, year(posting_date) * 100 + month(posting_date) period, count(*) n, {dec('sum(debit)')} debit, {dec('sum(credit)')} credit from gl group by all")(
     lambda b: journals(b).groupBy("account_code", (F.year("reference_date") * 100 + F.month("reference_date")).cast("long").alias("period")).agg(
-        n, F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+        n(), F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
 
 
 def invoice_heads(b):
@@ -124,11 +124,11 @@ def xml_invoices(b):
 
 
 query("scan_xml_invoice", f"select customer vevo_nev, invoice_type szamla_tipus, count(*) n, {dec('sum(net)')} netto, {dec('sum(vat)')} afa, {dec('sum(gross)')} brutto, max(posting_date) utolso from inv group by all")(
-    lambda b: xml_invoices(b).groupBy("vevo_nev", "szamla_tipus").agg(n, F.sum("netto_osszeg").alias("netto"), F.sum("afa_osszeg").alias("afa"),
+    lambda b: xml_invoices(b).groupBy("vevo_nev", "szamla_tipus").agg(n(), F.sum("netto_osszeg").alias("netto"), F.sum("afa_osszeg").alias("afa"),
                                                                      F.sum("brutto_osszeg").alias("brutto"), F.max("teljesites").alias("utolso")))
 query("flatten_invoice_to_gl", f"""select invoice_type, account_code, count(*) n, {dec('sum(case when (invoice_type = $$STORNO$$) = (side = $$C$$) then v else 0 end)')} debit, {dec('sum(case when (invoice_type = $$STORNO$$) = (side = $$D$$) then v else 0 end)')} credit from (
  select invoice_type, '311' account_code, 'D' side, gross v from inv union all select invoice_type, '971', 'C', net from inv union all select invoice_type, '467', 'C', vat from inv) group by all""")(
-    lambda b: S.invoices_to_gl(invoice_heads(b)).groupBy("invoice_type", "account_code").agg(n, F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+    lambda b: S.invoices_to_gl(invoice_heads(b)).groupBy("invoice_type", "account_code").agg(n(), F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
 
 
 def layouts(b):
@@ -150,7 +150,7 @@ def layouts(b):
 
 query("conform_sources", f"""select case suppkey % 3 when 0 then 'COBALT' when 1 then 'SAP_B1' else 'SZAMLAZZ' end source_system, company, '311' account_code, posting_date, count(*) n, {dec('sum(debit)')} debit, max(source_id) last_id, max(document_number) last_doc from sale_rows group by all""")(
     lambda b: S.require_known_source(S.conform_all(layouts(b)), K.SOURCE_SYSTEMS).groupBy("source_system", "company", "account_code", "posting_date").agg(
-        n, F.sum("debit").alias("debit"), F.max("source_id").alias("last_id"), F.max("document_number").alias("last_doc")))
+        n(), F.sum("debit").alias("debit"), F.max("source_id").alias("last_id"), F.max("document_number").alias("last_doc")))
 query("ingestion_manifest")(lambda b: M.manifest(M.scan_files(b.spark, export_partitioned(b))))
 query("landing_check")(lambda b: M.landing_check(M.scan_files(b.spark, export_csv(b))))
 query("manifest_duplicates", """with f as (select doc_id file_id, sha256(text) content_hash, doc_id * 7 % 1000 received_at from documents)
@@ -159,7 +159,7 @@ query("manifest_duplicates", """with f as (select doc_id file_id, sha256(text) c
     lambda b: M.mark_duplicates(b.t("documents").select(F.col("doc_id").alias("file_id"), F.sha2("text", 256).alias("content_hash"), (F.col("doc_id") * 7 % 1000).alias("received_at"))))
 query("retention_tiers", """select case when age < 90 then 'HOT' when age < 730 then 'COOL' when age < 2922 then 'ARCHIVE' when age < 3650 then 'RELEASED' else 'DELETE' end tier, count(*) n, min(d) oldest, max(d) newest
  from (select cast(l_shipdate as date) d, date_diff('day', cast(l_shipdate as date), date '2001-12-31') age from lineitem) group by all""")(
-    lambda b: b.t("lineitem").select(F.to_date("l_shipdate").alias("d")).groupBy(M.retention_tier("d", "2001-12-31").alias("tier")).agg(n, F.min("d").alias("oldest"), F.max("d").alias("newest")))
+    lambda b: b.t("lineitem").select(F.to_date("l_shipdate").alias("d")).groupBy(M.retention_tier("d", "2001-12-31").alias("tier")).agg(n(), F.min("d").alias("oldest"), F.max("d").alias("newest")))
 query("fx_rate_ingest", """with span as (select currency_code, unnest(generate_series(min(rate_date), max(rate_date), interval 1 day)) ts from rates group by 1)
  select s.currency_code, cast(ts as date) "day", last_value(rate_to_huf ignore nulls) over (partition by s.currency_code order by ts rows unbounded preceding) rate_to_huf, rate_to_huf is null is_carried
  from span s left join rates r on r.currency_code = s.currency_code and r.rate_date = cast(ts as date)""")(lambda b: fx_ops.daily_fixing(b.fx_rates))
@@ -178,13 +178,13 @@ def seed_load(b):
 
 query("seed_load", """select entity_key company, count(*) n, count(case when (entity_key + length(universal_node)) % 6 = 0 then 1 end) corrupt,
  count(case when (entity_key + length(universal_node)) % 6 <> 0 and normal_balance = 'C' then 1 end) credit_normal from (select distinct entity_key, account_code from tb) t join coa c on t.account_code = c.account_code group by all""")(
-    lambda b: seed_load(b).groupBy("company").agg(n, F.count("corrupt").alias("corrupt"), F.count(F.when(F.col("corrupt").isNull() & (F.col("normal_balance") == "C"), 1)).alias("credit_normal")))
+    lambda b: seed_load(b).groupBy("company").agg(n(), F.count("corrupt").alias("corrupt"), F.count(F.when(F.col("corrupt").isNull() & (F.col("normal_balance") == "C"), 1)).alias("credit_normal")))
 
 # ---- sinks ----------------------------------------------------------------------------------------------------
 TXN = ["transaction_id", "batch_id", "entity_key", "period_key", "account_code", "net"]
 postings = lambda b: b.ledger().select(*TXN)
 POSTINGS = "(select transaction_id, batch_id, entity_key, period_key, account_code, net from gl)"
-by_period = lambda df: df.groupBy("period_key").agg(n, F.sum("net").alias("net"))
+by_period = lambda df: df.groupBy("period_key").agg(n(), F.sum("net").alias("net"))
 BY_PERIOD = f"select period_key, count(*) n, {dec('sum(net)')} net from"
 
 
@@ -197,7 +197,7 @@ def full_refresh(b):
 query("sink_full_refresh", f"{BY_PERIOD} tb group by all")(lambda b: by_period(full_refresh(b)))
 query("sink_incremental_batches", f"select period_key, count(distinct batch_id) batches, count(*) n, {dec('sum(net)')} net from {POSTINGS} where batch_id not in (select batch_id from {POSTINGS} where period_key < 199901 or entity_key % 3 = 0) group by all")(
     lambda b: sinks.new_batches(postings(b), postings(b).where("period_key < 199901 OR entity_key % 3 = 0")).groupBy("period_key").agg(
-        F.countDistinct("batch_id").alias("batches"), n, F.sum("net").alias("net")))
+        F.countDistinct("batch_id").alias("batches"), n(), F.sum("net").alias("net")))
 
 
 def merge_by_key(b):
@@ -229,7 +229,7 @@ def partitioned(b):
 
 
 query("sink_partitioned_by_month", f"select cast(period_key as integer) period_key, entity_code, count(*) n, {dec('sum(net)')} net from gl group by all")(
-    lambda b: partitioned(b).groupBy("period_key", "entity_code").agg(n, F.sum("net").alias("net")))
+    lambda b: partitioned(b).groupBy("period_key", "entity_code").agg(n(), F.sum("net").alias("net")))
 query("dedupe_first", "select * from (select source_id, company, posting_date, partkey, debit, row_number() over (partition by source_id order by posting_date, partkey, debit) rn from sale_rows) where rn = 1".replace("select * from", "select source_id, company, posting_date, partkey, debit from"))(
     lambda b: W.first_per_key(sales(b).select("source_id", "company", "posting_date", "partkey", "debit"), ["source_id"], ["posting_date", "partkey", "debit"])
     .select("source_id", "company", "posting_date", "partkey", "debit"))

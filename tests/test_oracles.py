@@ -31,3 +31,11 @@ def test_only_file_facts_lack_an_oracle():
 def test_entry(spark):
     import __spark_entry__ as e
     assert e.entry(spark).count() > 0
+
+
+def test_registry_loads_without_a_session():
+    import subprocess
+    import sys
+    code = "import sys; sys.path.insert(0, '.'); import __spark_entry__ as e; print(len(e.queries()) > 300, len(e.oracle_sql()) > 290)"
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True).stdout.split() == ["True", "True"]
