@@ -19,19 +19,24 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
+from .batches import slices
 
 UNKNOWN = "und"
 #: Bounds of the sample that the classifier is fitted on, and of its size.
 SAMPLE_PER_LANGUAGE = 400
+#: Rows that may reach the choice of a language's sample, in sizes of the sample.
+HASH_MARGIN = 8
 DIMENSIONS = 1 << 13
 CENTROIDS = 3
 STEPS = 6
 PIECE = 1 << 18
 REJECT_FACTOR = 1.5
 REJECT_LEAST = 0.95
+JUDGED = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -104,12 +109,21 @@ def _means(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of the sample: per language the rows with the smallest hashes of their id. Ids are chosen first, then their texts read."""
-    named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
+    """(lang, text) of the sample: per language the rows with the smallest hashes of their id. Ids are chosen first, then their texts read.
+
+    A language's rows are counted before, and hashes that lie far beyond the sample's expected range don't go to the window, so a large
+    language costs it no more than a small one.
+    """
+    counts = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    hashed = F.xxhash64(F.lit("sample"), "doc_id")
+    place = (hashed.cast("double") + 2.0 ** 63) / 2.0 ** 64
+    named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).join(cut_lineage(counts, "lang-counts"), "lang")
+    named = named.where((place * F.col("rows") < HASH_MARGIN * per_language) & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
+    order = Window.partitionBy("lang").orderBy(hashed, "doc_id")
     chosen = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id", "lang").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "text").where(F.col("text").rlike(r"\p{L}"))
-    return chosen.join(texts, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "text")
+    # at most `per_language` ids for each language: bounded, so the texts need not be shuffled
+    return texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "text")
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTROIDS) -> Centroids:
@@ -160,12 +174,15 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTR
 def judged(docs: DataFrame, model: Centroids) -> DataFrame:
     """`docs` with __lang, a struct of lang_pred, score and rejected."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its construction
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
+    at = docs.columns.index("text")
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([sent.value.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
+    def judge(batches):
+        for batch in slices(batches):
+            found = [dict(zip(("lang_pred", "score", "rejected"), sent.value.predict(t.as_py()))) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, JUDGED)], [*batch.schema.names, "__lang"])
 
-    return docs.withColumn("__lang", judge("text"))
+    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, T.StructField("__lang", kind)]))
 
 
 def predict(docs: DataFrame, model: Centroids, *carry: str) -> DataFrame:
