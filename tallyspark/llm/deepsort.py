@@ -13,7 +13,7 @@ import numpy as np
 
 WORD = 8
 SHALLOW = 24
-ROWS_AT_ONCE = 1 << 18
+ROWS_AT_ONCE = 1 << 15
 
 
 def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -19,14 +19,16 @@ import re
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from .batches import slices
+
 SPACE = "▁"
-WORDS_KEPT = 200_000  # in each of two generations
+WORDS_KEPT = 100_000  # in each of two generations
 LONGEST_KEPT = 40
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 400_000
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 TOKENS = "doc_id string, n_tokens bigint, ids binary, decoded string"
 
@@ -206,13 +208,14 @@ def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     """(doc_id, n_tokens, ids, decoded) per row; ids are packed as little-endian unsigned 32-bit integers."""
     def run(batches):
         pieces = model(model_path)
-        for batch in batches:
-            packed = [pieces.encode_bytes(t or "") for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(p) // 4 for p in packed], "ids": packed,
-                                "decoded": [pieces.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]})
+        for batch in slices(batches):
+            packed = [pieces.encode_bytes(t.as_py() or "") for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
+                pa.array([pieces.decode(np.frombuffer(p, "<u4").tolist()) for p in packed], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, TOKENS)
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, TOKENS)
     return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_tokens", "ids", "decoded")
 
 

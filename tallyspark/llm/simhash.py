@@ -20,10 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
+from .batches import slices
 from .components import connected_components
 
 SEED = 42
@@ -58,13 +60,13 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            values = np.array([fingerprint(t, words) for t in batch["text"]], dtype=np.uint64).astype(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "fp": values})
+        for batch in slices(batches):
+            values = np.array([fingerprint(t.as_py(), words) for t in batch.column(2)], dtype=np.uint64).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], ["doc_id", "text_hash", "fp"])
 
     # ids go through as text, so that null ids stay what they are
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = rows.mapInPandas(run, "doc_id string, text_hash bigint, fp bigint")
+    rows = rows.mapInArrow(run, "doc_id string, text_hash bigint, fp bigint")
     return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "text_hash", "fp")
 
 

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
+from .batches import each_row, slices
 from .deepsort import WORD, deep_shallow_sort
 
 MATCH = 50
@@ -38,6 +39,7 @@ BUCKET_BYTES = 4 << 20
 SLICE = 1 << 18
 RUN = 32  # windows of a segment at most
 SEGMENTS_AT_ONCE = 1 << 15
+COMPARED_AT_ONCE = 1 << 13
 NO_ID = np.iinfo(np.int64).max
 
 CHUNK_SCHEMA = "chunk bigint, rest binary, owner binary, ids binary, lengths binary, digests binary, data binary"
@@ -165,7 +167,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
 
     def run(batches):
         number, texts, ids, rest, size = 0, [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             begin = 0
             found = [t or b"" for t in batch.column(0).to_pylist()]
             names = batch.column(1).to_pylist()
@@ -191,18 +193,17 @@ def _ask(buckets: int):
     schema = _arrow(ASK_SCHEMA)
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                c.segments()
-                bucket, short, _, _ = c.asked(buckets)
-                asks = {b: {"bucket": b, "chunk": c.chunk, "keys": _pack40(short[i:j]), "digests": b"", "least": b""} for b, i, j in _slices(bucket)}
-                of = (c.digests[:, 0] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(of, kind="stable")
-                for b, i, j in _slices(of[order]):
-                    ask = asks.setdefault(b, {"bucket": b, "chunk": c.chunk, "keys": b""})
-                    ask |= {"digests": c.digests[order[i:j]].tobytes(), "least": c.least[order[i:j]].tobytes()}
-                yield _rows_to_batch(list(asks.values()), schema)
+        for row in each_row(batches):
+            c = Chunk(row)
+            c.segments()
+            bucket, short, _, _ = c.asked(buckets)
+            asks = {b: {"bucket": b, "chunk": c.chunk, "keys": _pack40(short[i:j]), "digests": b"", "least": b""} for b, i, j in _slices(bucket)}
+            of = (c.digests[:, 0] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(of, kind="stable")
+            for b, i, j in _slices(of[order]):
+                ask = asks.setdefault(b, {"bucket": b, "chunk": c.chunk, "keys": b""})
+                ask |= {"digests": c.digests[order[i:j]].tobytes(), "least": c.least[order[i:j]].tobytes()}
+            yield _rows_to_batch(list(asks.values()), schema)
     return run
 
 
@@ -295,8 +296,8 @@ def _contents(c: Chunk, chosen: np.ndarray):
         twin = first[which]
         odd = size != size[twin]
         span = np.arange(RUN + MATCH - 1)
-        for i in range(0, len(chosen), SLICE):
-            rows = slice(i, i + SLICE)
+        for i in range(0, len(chosen), COMPARED_AT_ONCE):
+            rows = slice(i, i + COMPARED_AT_ONCE)
             a = data[np.minimum(c.starts[chosen[rows], None] + span, len(data) - 1)]
             b = data[np.minimum(c.starts[chosen[twin[rows]], None] + span, len(data) - 1)]
             odd[rows] |= ((a != b) & (span < size[rows, None])).any(axis=1)
@@ -318,20 +319,19 @@ def _send(buckets: int):
     schema = _arrow(SEGMENT_SCHEMA)
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                chosen, _ = _candidates(c, row["answers"], buckets)
-                first, _, low = _contents(c, chosen)
-                bucket, order = _content_order(c, chosen, first, buckets)
-                rows = []
-                for b, i, j in _slices(bucket):
-                    some = chosen[first[order[i:j]]]
-                    begin, size = c.starts[some], c.counts[some] + MATCH - 1
-                    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    rows.append({"bucket": b, "chunk": c.chunk, "lengths": c.counts[some].astype(np.uint8).tobytes(), "least": low[order[i:j]].tobytes(),
-                                 "data": c.data[at].tobytes()})
-                yield _rows_to_batch(rows, schema)
+        for row in each_row(batches):
+            c = Chunk(row)
+            chosen, _ = _candidates(c, row["answers"], buckets)
+            first, _, low = _contents(c, chosen)
+            bucket, order = _content_order(c, chosen, first, buckets)
+            rows = []
+            for b, i, j in _slices(bucket):
+                some = chosen[first[order[i:j]]]
+                begin, size = c.starts[some], c.counts[some] + MATCH - 1
+                at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                rows.append({"bucket": b, "chunk": c.chunk, "lengths": c.counts[some].astype(np.uint8).tobytes(), "least": low[order[i:j]].tobytes(),
+                             "data": c.data[at].tobytes()})
+            yield _rows_to_batch(rows, schema)
     return run
 
 
@@ -414,39 +414,38 @@ def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], wit
         return spans, least
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                spans, least = texts(c, row)
-                whole = c.data.tobytes()
-                found: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "spans", "kept_sha256", "kept")}
-                done: dict[tuple, tuple] = {}
-                for t, i in zip(c.owner.tolist(), c.ids.tolist()):
-                    copy = i > least[t]
-                    if (t, copy) not in done:
-                        n = int(c.lengths[t])
-                        text = whole[c.begins[t]:c.begins[t] + n]
-                        pairs = ([(0, n)] if n >= MATCH else []) if copy else list(zip(*spans[t])) if spans[t] else []
-                        kept, last = [], 0
-                        for a, b in pairs:
-                            kept.append(text[last:a])
-                            last = b
-                        left = b"".join(kept) + text[last:] if pairs else text
-                        done[t, copy] = (n, sum(b - a for a, b in pairs), [{"begin": a, "end": b} for a, b in pairs], hashlib.sha256(left).hexdigest(),
-                                         left.decode("utf-8", "ignore") if with_text else None)
-                    for k, v in zip(found, done[t, copy]):
-                        found[k].append(v)
-                rest = pa.ipc.open_stream(row["rest"]).read_all().combine_chunks()
-                others = rest.column(0).combine_chunks()
-                others = others.flatten() if not isinstance(others, pa.ChunkedArray) else others.chunk(0).flatten()
-                named = dict(zip([f.name for f in rest.schema.field(0).type], others))
-                arrays = []
-                for f in schema:
-                    if f.name in found_names:
-                        arrays.append(pa.array(found[found_names[f.name]], f.type))
-                    else:
-                        arrays.append(named[f.name].cast(f.type))
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        for row in each_row(batches):
+            c = Chunk(row)
+            spans, least = texts(c, row)
+            whole = c.data.tobytes()
+            found: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "spans", "kept_sha256", "kept")}
+            done: dict[tuple, tuple] = {}
+            for t, i in zip(c.owner.tolist(), c.ids.tolist()):
+                copy = i > least[t]
+                if (t, copy) not in done:
+                    n = int(c.lengths[t])
+                    text = whole[c.begins[t]:c.begins[t] + n]
+                    pairs = ([(0, n)] if n >= MATCH else []) if copy else list(zip(*spans[t])) if spans[t] else []
+                    kept, last = [], 0
+                    for a, b in pairs:
+                        kept.append(text[last:a])
+                        last = b
+                    left = b"".join(kept) + text[last:] if pairs else text
+                    done[t, copy] = (n, sum(b - a for a, b in pairs), [{"begin": a, "end": b} for a, b in pairs], hashlib.sha256(left).hexdigest(),
+                                     left.decode("utf-8", "ignore") if with_text else None)
+                for k, v in zip(found, done[t, copy]):
+                    found[k].append(v)
+            rest = pa.ipc.open_stream(row["rest"]).read_all().combine_chunks()
+            others = rest.column(0).combine_chunks()
+            others = others.flatten() if not isinstance(others, pa.ChunkedArray) else others.chunk(0).flatten()
+            named = dict(zip([f.name for f in rest.schema.field(0).type], others))
+            arrays = []
+            for f in schema:
+                if f.name in found_names:
+                    arrays.append(pa.array(found[found_names[f.name]], f.type))
+                else:
+                    arrays.append(named[f.name].cast(f.type))
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     found_names = {"__n_bytes": "n_bytes", "__n_removed": "n_removed", "__spans": "spans", "__kept_sha256": "kept_sha256", "__kept": "kept"}
     return run
