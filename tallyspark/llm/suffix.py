@@ -5,13 +5,17 @@ have equal keys wherever they stand, and a key lasts for a run of windows, a seg
 
 1. each chunk asks, for its keys, whether other chunks have them too, and for its texts, which smallest id has the same text;
 2. segments whose key stands in several texts go, once per chunk and content and with the smallest id that has it there, to the bucket of
-   their key. There all windows are put in suffix order by deep-shallow sorting (deepsort.py), and each is told whether a smaller id has it;
+   their key. A hot key (more than HOT_WINDOWS windows over all chunks) is split: its segments fall into single windows, keyed by a hash of
+   the whole window, so that equal windows still meet and others are spread over all buckets. In a bucket all windows are put in suffix
+   order by deep-shallow sorting (deepsort.py), and each is told whether a smaller id has it;
 3. each chunk marks its windows by the answers and cuts its texts.
 
 Keys only choose where windows are compared; the sort compares bytes. Equal texts are one text with the smallest id of their group (equal
-by a 128-bit hash); copies behind it are removed whole. What leaves a chunk for a bucket is at most one entry per key, or per content of
-a segment, so a passage that a third of all documents share weighs as much as the number of chunks, and the number of buckets grows with
-the corpus: BUCKET_BYTES of text for each. Answers are bits in the order of the questions. No document is cut, no pair is made.
+by a 128-bit hash); copies behind it are removed whole. What leaves a chunk for a bucket is at most one entry per key, per content of a
+segment, or per content of a window under a hot key. So a passage that a third of all documents share weighs as much as the number of
+chunks; a line shorter than a window that they share has other neighbours, hence other windows, in each, and these are spread. The number
+of buckets grows with the corpus: BUCKET_BYTES of text for each. Answers are bits in the order of the questions. No document is cut, no
+pair is made.
 
 Nulls and odd input: a null text counts as empty; a null id is larger than any other; rows with the same id are one document to each
 other (they remove nothing from each other) but each row is cut by itself; texts below 50 bytes stay; an empty table gives an empty
@@ -38,15 +42,18 @@ CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 SLICE = 1 << 18
 RUN = 32  # windows of a segment at most
+HOT_WINDOWS = 1 << 19  # windows of a key, over all chunks, beyond which it is split
+FEW_WINDOWS = 2 * RUN  # windows of a key in a chunk that are not told, but counted as so many
 SEGMENTS_AT_ONCE = 1 << 15
 COMPARED_AT_ONCE = 1 << 13
 NO_ID = np.iinfo(np.int64).max
 
 CHUNK_SCHEMA = "chunk bigint, rest binary, owner binary, ids binary, lengths binary, digests binary, data binary"
-ASK_SCHEMA = "bucket bigint, chunk bigint, keys binary, digests binary, least binary"
-ANSWER_SCHEMA = "chunk bigint, bucket bigint, shared binary, least binary"
+ASK_SCHEMA = "bucket bigint, chunk bigint, keys binary, many binary, digests binary, least binary"
+ANSWER_SCHEMA = "chunk bigint, bucket bigint, shared binary, hot binary, least binary"
 SEGMENT_SCHEMA = "bucket bigint, chunk bigint, lengths binary, least binary, data binary"
 MARK_SCHEMA = "chunk bigint, bucket bigint, smaller binary"
+CORE = ["chunk", "owner", "ids", "lengths", "digests", "data"]
 
 _BYTE = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64)
 _STEP = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0xD6E8FEB86659FD93)]
@@ -112,7 +119,7 @@ class Chunk:
         self.starts, self.counts, self.text, self.keys = starts, ends - starts, text, keys[starts] if len(starts) else np.empty(0, np.uint64)
 
     def asked(self, buckets: int):
-        """(bucket, rest of the key) of each distinct key in order, segment -> key, and whether several texts here have it."""
+        """(bucket, rest of the key) of each distinct key in order, segment -> key, whether several texts here have it, and its windows."""
         distinct, which = np.unique(self.keys, return_inverse=True)
         low, high = np.full(len(distinct), len(self.lengths)), np.full(len(distinct), -1)
         np.minimum.at(low, which, self.text)
@@ -122,7 +129,8 @@ class Chunk:
         order = np.lexsort((short, bucket))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        return bucket[order], short[order], place[which], (low != high)[order]
+        windows = np.bincount(which, self.counts, len(distinct)).astype(np.int64)
+        return bucket[order], short[order], place[which], (low != high)[order], windows[order]
 
 
 def _slices(bucket: np.ndarray):
@@ -196,12 +204,13 @@ def _ask(buckets: int):
         for row in each_row(batches):
             c = Chunk(row)
             c.segments()
-            bucket, short, _, _ = c.asked(buckets)
-            asks = {b: {"bucket": b, "chunk": c.chunk, "keys": _pack40(short[i:j]), "digests": b"", "least": b""} for b, i, j in _slices(bucket)}
+            bucket, short, _, _, windows = c.asked(buckets)
+            asks = {b: {"bucket": b, "chunk": c.chunk, "keys": _pack40(short[i:j]), "many": _many(windows[i:j]), "digests": b"", "least": b""}
+                    for b, i, j in _slices(bucket)}
             of = (c.digests[:, 0] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(of, kind="stable")
             for b, i, j in _slices(of[order]):
-                ask = asks.setdefault(b, {"bucket": b, "chunk": c.chunk, "keys": b""})
+                ask = asks.setdefault(b, {"bucket": b, "chunk": c.chunk, "keys": b"", "many": b""})
                 ask |= {"digests": c.digests[order[i:j]].tobytes(), "least": c.least[order[i:j]].tobytes()}
             yield _rows_to_batch(list(asks.values()), schema)
     return run
@@ -219,6 +228,12 @@ def _unpack40(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _many(windows: np.ndarray) -> bytes:
+    """(place, windows) of the keys with more than FEW_WINDOWS windows in a chunk."""
+    place = np.flatnonzero(windows > FEW_WINDOWS)
+    return np.c_[place, windows[place]].astype("<u4").tobytes()
+
+
 def _bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
@@ -231,8 +246,8 @@ def _offsets(sizes) -> np.ndarray:
     return np.r_[0, np.cumsum(np.asarray(sizes, np.int64))]
 
 
-def _answer(group: pa.Table) -> pa.Table:
-    """For one bucket: which keys several chunks have, and the smallest id of each text."""
+def _answer(group: pa.Table, hot_windows: int) -> pa.Table:
+    """For one bucket: which keys several chunks have, which of them are hot, and the smallest id of each text."""
     group = group.sort_by("chunk")
     rows = group.to_pylist()
     keys = [_unpack40(r["keys"]) for r in rows]
@@ -243,6 +258,14 @@ def _answer(group: pa.Table) -> pa.Table:
     same = ordered[1:] == ordered[:-1]
     shared = np.empty(len(every), bool)
     shared[order] = np.r_[same, False] | np.r_[False, same] if len(every) else shared
+    hot = np.zeros(len(every), bool)
+    if len(every):
+        windows = np.full(len(every), FEW_WINDOWS, np.int64)
+        for i, r in enumerate(rows):
+            many = np.frombuffer(r["many"], "<u4").reshape(-1, 2).astype(np.int64)
+            windows[at[i] + many[:, 0]] = many[:, 1]
+        starts = np.flatnonzero(np.r_[True, ~same])
+        hot[order] = np.repeat(np.add.reduceat(windows[order], starts) > hot_windows, np.diff(np.r_[starts, len(order)]))
     digests = np.concatenate([np.frombuffer(r["digests"], np.uint64).reshape(-1, 2) for r in rows])
     least = np.concatenate([np.frombuffer(r["least"], np.int64) for r in rows])
     texts = _offsets([len(r["least"]) // 8 for r in rows])
@@ -253,28 +276,59 @@ def _answer(group: pa.Table) -> pa.Table:
         lowest = np.empty(len(least), np.int64)
         lowest[order] = np.repeat(np.minimum.reduceat(least[order], starts), np.diff(np.r_[starts, len(order)]))
         least = lowest
-    out = [{"chunk": r["chunk"], "bucket": r["bucket"], "shared": _bits(shared[at[i]:at[i + 1]]), "least": least[texts[i]:texts[i + 1]].tobytes()}
+    out = [{"chunk": r["chunk"], "bucket": r["bucket"], "shared": _bits(shared[at[i]:at[i + 1]]),
+            "hot": _bits(hot[at[i]:at[i + 1]]) if hot[at[i]:at[i + 1]].any() else b"", "least": least[texts[i]:texts[i + 1]].tobytes()}
            for i, r in enumerate(rows)]
     return pa.Table.from_pylist(out, schema=_arrow(ANSWER_SCHEMA))
 
 
 def _candidates(c: Chunk, answers: list[dict], buckets: int):
-    """Segments of the texts this chunk answers for whose key stands in several texts: their numbers, and the texts' smallest ids."""
+    """Segments of the texts this chunk answers for whose key stands in several texts: their numbers, and the texts' smallest ids.
+
+    Segments of hot keys are split into their windows, each with a key of its own.
+    """
     c.segments()
-    bucket, _, place, several = c.asked(buckets)
-    flagged, least = several.copy(), c.least.copy()
+    bucket, _, place, several, _ = c.asked(buckets)
+    flagged, least, hot = several.copy(), c.least.copy(), np.zeros(len(several), bool)
     of = (c.digests[:, 0] % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(of, kind="stable")
     by_bucket = {a["bucket"]: a for a in answers}
     for b, i, j in _slices(bucket):
         flagged[i:j] |= _unbits(by_bucket[b]["shared"], j - i)
+        if by_bucket[b]["hot"]:
+            hot[i:j] = _unbits(by_bucket[b]["hot"], j - i)
     for b, i, j in _slices(of[order]):
         least[order[i:j]] = np.frombuffer(by_bucket[b]["least"], np.int64)
     mine = c.least == least  # a copy of a text with a smaller id elsewhere goes whole
     chosen = np.flatnonzero(flagged[place] & mine[c.text])
+    if hot.any():
+        chosen = _split(c, chosen, hot[place])
     return chosen, least
 
 
+def _split(c: Chunk, chosen: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Makes the chosen segments the chunk's only ones, those that are hot window by window under a hash of the window; their new numbers."""
+    n = np.where(hot[chosen], c.counts[chosen], 1)
+    rows, nth = np.repeat(chosen, n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    single = hot[rows]
+    c.starts, c.text, c.counts, c.keys = c.starts[rows] + nth, c.text[rows], np.where(single, 1, c.counts[rows]), c.keys[rows]
+    c.keys[single] = _hashes(c.data, c.starts[single], np.full(int(single.sum()), MATCH))
+    return np.arange(len(rows))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the `size` bytes at each start."""
+    hashes = size.astype(np.uint64)
+    view = np.ndarray((len(data) - WORD + 1,), dtype="<u8", buffer=data, strides=(1,))
+    for d in range(0, int(size.max()) if len(size) else 0, WORD):
+        word = view[np.minimum(starts + d, len(view) - 1)]
+        left = np.clip(size - d, 0, WORD)
+        keep = np.where(left >= WORD, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (left % WORD * 8).astype(np.uint64)) - np.uint64(1))
+        hashes = (hashes ^ (word & keep)) * _STEP[0]
+        hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
 def _contents(c: Chunk, chosen: np.ndarray):
     """Chosen segments with equal bytes as one: (row of each content in `chosen`, content of each segment, smallest id per content)."""
     width = -(-(RUN + MATCH - 1) // WORD) * WORD
@@ -282,15 +336,7 @@ def _contents(c: Chunk, chosen: np.ndarray):
     first, which = np.empty(0, np.int64), np.empty(len(chosen), np.int64)
     if len(chosen):
         data = np.concatenate([c.data, np.zeros(width, np.uint8)]) if len(c.data) < c.starts[chosen[-1]] + width else c.data
-        hashes = size.astype(np.uint64)
-        for d in range(0, width, WORD):
-            view = np.ndarray((len(data) - WORD + 1,), dtype="<u8", buffer=data, strides=(1,))
-            word = view[np.minimum(c.starts[chosen] + d, len(view) - 1)]
-            left = np.clip(size - d, 0, WORD)
-            keep = np.where(left >= WORD, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (left % WORD * 8).astype(np.uint64)) - np.uint64(1))
-            hashes = (hashes ^ (word & keep)) * _STEP[0]
-            hashes ^= hashes >> np.uint64(32)
-        hashes ^= c.keys[chosen]
+        hashes = _hashes(data, c.starts[chosen], size) ^ c.keys[chosen]
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         # equal by two hashes; the bytes decide: what differs from its representative stays apart
         twin = first[which]
@@ -451,8 +497,15 @@ def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], wit
     return run
 
 
+def answered(chunks: DataFrame, buckets: int, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    """(chunk, answers): what each chunk is told about its keys and texts, bucket by bucket."""
+    asked = chunks.select(*CORE).mapInArrow(_ask(buckets), ASK_SCHEMA)
+    answers = asked.groupBy("bucket").applyInArrow(lambda group: _answer(group, hot_windows), ANSWER_SCHEMA)
+    return answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot", "least")).alias("answers"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, chunk_bytes: int = CHUNK_BYTES,
-                   bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """Every row of `docs` with its columns but the text, and __n_bytes, __n_removed, __spans (begin, end in bytes), __kept_sha256 of the
     kept bytes, and __kept: the kept text, without bytes that are no longer whole characters (null unless `with_text`)."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -460,12 +513,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chunks = cut_lineage(pack(docs, id_col, text_col, chunk_bytes), "suffix-chunks")
     total = chunks.agg(F.sum(F.expr("length(data)")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     buckets = max(1, -(-3 * (total["b"] or 0) // bucket_bytes))  # text is about three times its compressed size
-    core = ["chunk", "owner", "ids", "lengths", "digests", "data"]
-    asked = chunks.select(*core).mapInArrow(_ask(buckets), ASK_SCHEMA)
-    answers = asked.groupBy("bucket").applyInArrow(_answer, ANSWER_SCHEMA)
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "least")).alias("answers"))
-    answers = cut_lineage(answers, "suffix-answers")
-    sent = chunks.select(*core).join(answers, "chunk").mapInArrow(_send(buckets), SEGMENT_SCHEMA)
+    answers = cut_lineage(answered(chunks, buckets, hot_windows), "suffix-answers")
+    sent = chunks.select(*CORE).join(answers, "chunk").mapInArrow(_send(buckets), SEGMENT_SCHEMA)
     marks = sent.groupBy("bucket").applyInArrow(_mark, MARK_SCHEMA)
     marks = cut_lineage(marks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "smaller")).alias("marks")), "suffix-marks")
     own = [f for f in docs.schema.fields if f.name != text_col]

@@ -140,6 +140,28 @@ def test_repeats_in_odd_rows(spark, seed):
     assert suffix.keep_first_occurrences(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 500, 1 << 19])
+def test_a_common_line_with_other_neighbours(spark, hot):
+    """One line shorter than a window in every text: its keys are split, the largest bucket is bounded, and the result is the same."""
+    rng = random.Random(7)
+    around = lambda: "".join(rng.choice("abcdefgh ") for _ in range(60))
+    line = "This line of boilerplate stands everywhere"
+    same = around() + line + around()
+    rows = [(i, same if i % 40 == 0 else around() + line + around(), "en", "s") for i in range(400)]
+    docs = helpers.documents(spark, rows).repartition(4)
+    cut = suffix.remove_repeats(docs, chunk_bytes=5_000, bucket_bytes=4_000, hot_windows=hot)
+    assert cut_rows(cut) == brute_cut([(i, t) for i, t, _, _ in rows])
+    chunks, buckets = suffix.cut_lineage(suffix.pack(docs, "doc_id", "text", 5_000), "test-chunks"), 16
+    sent = chunks.select(*suffix.CORE).join(suffix.answered(chunks, buckets, hot), "chunk").mapInArrow(suffix._send(buckets), suffix.SEGMENT_SCHEMA)
+    windows = {}
+    for r in sent.collect():
+        windows[r.bucket] = windows.get(r.bucket, 0) + sum(r.lengths)
+    if hot <= 500:
+        assert max(windows.values()) < 2 * sum(windows.values()) / buckets
+    else:
+        assert max(windows.values()) > 4 * sum(windows.values()) / buckets
+
+
 # vectors
 
 
