@@ -2,12 +2,13 @@
 
 A tree gives every vector a long hash string, one bit for each of its random hyperplanes, and keeps the strings sorted. A query descends
 each tree to its longest common prefix; then all trees ascend together, one bit at a time, until the vectors below the reached prefixes,
-counted over all trees, are `share` times the number of rows (so the depth varies with the query). These candidates are scored exactly.
+counted over all trees, are `share` times the number of rows (so the depth varies with the query), and at least k of them, or all there
+are, are distinct rows of another id. These candidates are scored exactly.
 
 The index is a table: rows are dealt into slabs of bounded size by a hash of the id, and each slab has its vectors and, per tree, the sorted
 strings and their rows. Every row is indexed; only the hyperplanes are drawn, from a seed. A search takes two passes: first each slab
-counts, for each query of a block, the vectors below each prefix length, and the sums over slabs give the depth where that query
-stops; then each slab scores what lies below it. Identical vectors share their strings but not their slab, so none is large.
+counts, for each query of a block, the vectors below each prefix length, over all trees and (for k distinct rows) in its fullest tree,
+and the sums over slabs give the depth where that query stops, at 0 with all rows; then each slab scores what lies below it. Identical vectors share their strings but not their slab, so none is large.
 
 Inner products rank by angle only if all vectors have the same length, so data vectors get one more component that makes them so, and
 queries a zero there. Hyperplanes are drawn in that space. With unstructured vectors most rows are about as near as the nearest, so a
@@ -35,7 +36,7 @@ SHARE = 1.2
 SLAB_ROWS = 8192
 SEED = 10
 ROW = "slab bigint, kind int, block bigint, ids binary, vectors binary, extra binary"
-COUNTS = "block bigint, slab bigint, counts binary"
+COUNTS = "block bigint, slab bigint, counts binary, others binary"
 DEPTHS = "block bigint, depths binary"
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 _ROW = pa.schema([("slab", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("extra", pa.binary())])
@@ -133,30 +134,36 @@ class HashForest:
                 if row["kind"] == 0:
                     slab = opened(row, own, trees)
                     continue
-                _, q = unpack(row["ids"], row["vectors"], own)
-                found = np.zeros((len(q), bits + 1), np.int64)
+                names, q = unpack(row["ids"], row["vectors"], own)
+                found, most = np.zeros((len(q), bits + 1), np.int64), np.zeros((len(q), bits + 1), np.int64)
                 for tree, codes in enumerate(codes_of(q)):
                     for depth in range(bits + 1):
                         low, high = prefix_range(slab[2][tree], codes, depth, bits)
                         found[:, depth] += high - low
+                        most[:, depth] = np.maximum(most[:, depth], high - low)
                         if depth and not (high > low).any():
                             break
-                yield pa.RecordBatch.from_pydict({"block": [row["block"]], "slab": [row["slab"]], "counts": [found.tobytes()]})
+                # one tree's rows are distinct; wherever the query's own rows may lie, these many others are there at least
+                mine = np.searchsorted(slab[0], names, "right") - np.searchsorted(slab[0], names, "left")
+                others = np.clip(most - mine[:, None], 0, k).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"block": [row["block"]], "slab": [row["slab"]], "counts": [found.tobytes()], "others": [others.tobytes()]})
 
         def ascend(batches):
-            """Deepest length at which all trees together hold enough; the counts of a block's slabs come one after the other."""
-            block, total = None, None
+            """Deepest length at which all trees together hold enough, and k other rows or all; the counts of a block's slabs come one after the other."""
+            block, total, others = None, None, None
 
             def done():
-                enough = total.reshape(-1, bits + 1) >= min(share * rows, trees * rows)
+                distinct = others.reshape(-1, bits + 1)
+                enough = (total.reshape(-1, bits + 1) >= min(share * rows, trees * rows)) & (distinct >= np.minimum(k, distinct[:, :1]))
                 return pa.RecordBatch.from_pydict({"block": [block], "depths": [(bits - enough[:, ::-1].argmax(1)).astype(np.int8).tobytes()]})
 
             for row in stream(batches):
                 if row["block"] != block:
                     if block is not None:
                         yield done()
-                    block, total = row["block"], 0
+                    block, total, others = row["block"], 0, 0
                 total = total + np.frombuffer(row["counts"], np.int64)
+                others = others + np.frombuffer(row["others"], np.int32).astype(np.int64)
             if block is not None:
                 yield done()
 

@@ -216,6 +216,21 @@ def test_forest_with_all_rows_is_exact(spark):
     assert forest.HashForest(frame.limit(0)).search(frame).count() == 0 and index.search(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n,copies", [(2, 0), (10, 0), (15, 0), (30, 0), (200, 16)])
+def test_forest_finds_k_rows_with_the_production_share(spark, n, copies):
+    """Unit vectors; all rows are queries, every third id stands twice, and `copies` rows are the same vector."""
+    x = np.random.default_rng(n).standard_normal((n, 16))
+    x[:copies] = x[0]
+    x /= np.sqrt((x ** 2).sum(1, keepdims=True))
+    ids = [i - i % 3 // 2 for i in range(n)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    for slab_rows in (forest.SLAB_ROWS, 7):
+        found = {}
+        for r in forest.HashForest(frame, slab_rows=slab_rows).search(frame).collect():
+            found.setdefault(r.query_id, []).append(r.rank)
+        assert {i: len(found.get(i, [])) for i in ids} == {i: ids.count(i) * min(20, n - ids.count(i)) for i in ids}
+
+
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_forest_recall(spark, sf):
     frame = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
