@@ -32,4 +32,4 @@ def op7_pieces(spark, sf_dir):
 def op8_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
     model = langid.fit(docs.where(~F.col("held_out")))
-    return langid.predict(docs, model, "doc_id", "held_out").drop("rejected")
+    return langid.predict(docs, model, "doc_id", "held_out")

@@ -2,10 +2,13 @@
 
 A text is reduced to its letters (lower-cased, runs of anything else as one blank) and counted in hashed n-grams of one to three
 characters. Term frequencies are damped by a square root, weighted by inverse document frequency and brought to length one. Each
-language has several centroids, the clusters that spherical k-means finds among its training texts, and a text gets the language of the
-centroid with the largest cosine; the cosine is the score. A text is rejected if its distance (one minus the cosine) from every centroid
-is beyond the language's radius, the largest distance of a training text by `REJECT_FACTOR`, or beyond `REJECT_LEAST` for texts of few
-n-grams, or if it has no letter.
+language has several centroids, the clusters that spherical k-means finds among its training texts (small ones are merged into the others),
+and a text gets the language of the centroid with the largest cosine; the cosine is the score. A text is rejected if its distance (one
+minus the cosine) from that centroid is beyond its language's limit for texts of as many n-grams, or if it has no letter. Short texts lie
+further off than long ones, so each band of distinct n-grams (powers of two) has its own limit: halfway from the `REJECT_QUANTILE` of the
+training texts' distances to 1, never above `REJECT_MOST`. Where a language has fewer than `BAND_TEXTS` training texts in a band, those of
+all languages count, and if these are too few, the limit is that of the next shorter band, or else `REJECT_MOST`. At least the farthest
+text of a band doesn't count, so no single text sets a limit.
 
 Training reads a bounded sample: per language the `SAMPLE_PER_LANGUAGE` texts with the smallest hash of their id; whole texts, and
 document frequencies over the whole sample. Nulls and odd input: a text that is null or has no letter is `und` with score 0; without
@@ -34,8 +37,12 @@ DIMENSIONS = 1 << 13
 CENTROIDS = 3
 STEPS = 6
 PIECE = 1 << 18
-REJECT_FACTOR = 1.5
-REJECT_LEAST = 0.95
+REJECT_QUANTILE = 0.95
+REJECT_MOST = 0.95
+BANDS = DIMENSIONS.bit_length()
+BAND_TEXTS = 10
+#: Clusters of a smaller part of a language's texts, or of one text, are merged.
+LEAST_CLUSTER = 0.02
 JUDGED = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -70,8 +77,8 @@ def gram_counts(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
 class Centroids:
     """A fitted classifier: small enough to go to every task (languages x CENTROIDS x DIMENSIONS numbers)."""
 
-    def __init__(self, langs: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray, radius: np.ndarray):
-        self.langs, self.owner, self.vectors, self.idf, self.radius = langs, owner, vectors, idf, radius
+    def __init__(self, langs: list[str], owner: np.ndarray, vectors: np.ndarray, idf: np.ndarray, limits: np.ndarray):
+        self.langs, self.owner, self.vectors, self.idf, self.limits = langs, owner, vectors, idf, limits
 
     def weigh(self, counts: np.ndarray) -> np.ndarray:
         v = np.sqrt(counts) * self.idf
@@ -89,23 +96,47 @@ class Centroids:
         cosines = self.vectors[:, used] @ v / norm if norm else np.zeros(len(self.owner))
         best = int(cosines.argmax())
         score = float(min(max(cosines[best], 0.0), 1.0))
-        limits = np.maximum(REJECT_LEAST, REJECT_FACTOR * self.radius[self.owner])
-        return self.langs[self.owner[best]], score, bool((1 - cosines > limits).all())
+        return self.langs[self.owner[best]], score, bool(1 - score > self.limits[self.owner[best], band(len(used))])
+
+
+def band(grams: int) -> int:
+    """Texts of 2 ** n to 2 ** (n + 1) - 1 distinct n-grams are one band."""
+    return max(int(grams).bit_length() - 1, 0)
+
+
+def band_limits(own: np.ndarray, distances: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """The distance beyond which a text of each band is rejected, from the training texts' distances; `own` are those of the language."""
+    of = np.array([band(g) for g in grams], np.int64)
+    out, limit = np.empty(BANDS), REJECT_MOST
+    for b in range(BANDS):
+        here = distances[(of == b) & own]
+        here = here if len(here) >= BAND_TEXTS else distances[of == b]
+        if len(here) >= BAND_TEXTS:
+            limit = min(REJECT_MOST, (1 + np.quantile(here, REJECT_QUANTILE, method="lower")) / 2)
+        out[b] = limit
+    return out
 
 
 def _means(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from spread-out rows: each start is the row least like the ones before."""
+    """Spherical k-means from spread-out rows: each start is unlike the ones before, but a tenth of the rows are still less like them.
+
+    Clusters of less than two rows or LEAST_CLUSTER of all are given up, smallest first, and their rows go to the others.
+    """
     starts = [0]
     while len(starts) < min(k, len(x)):
         like = (x @ x[starts].T).max(1)
         like[starts] = 2
-        starts.append(int(like.argmin()))
+        starts.append(int(np.argsort(like, kind="stable")[(len(x) - len(starts)) // 10]))
     centre = x[starts]
-    for _ in range(STEPS):
-        nearest = (x @ centre.T).argmax(1)
-        centre = np.stack([x[nearest == j].sum(0) if (nearest == j).any() else centre[j] for j in range(len(centre))])
-        centre /= np.maximum(np.sqrt((centre ** 2).sum(1, keepdims=True)), 1e-12)
-    return centre
+    while True:
+        for _ in range(STEPS):
+            nearest = (x @ centre.T).argmax(1)
+            centre = np.stack([x[nearest == j].sum(0) if (nearest == j).any() else centre[j] for j in range(len(centre))])
+            centre /= np.maximum(np.sqrt((centre ** 2).sum(1, keepdims=True)), 1e-12)
+        sizes = np.bincount((x @ centre.T).argmax(1), minlength=len(centre))
+        if len(centre) == 1 or sizes.min() >= max(2, LEAST_CLUSTER * len(x)):
+            return centre
+        centre = np.delete(centre, sizes.argmin(), 0)
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
@@ -158,17 +189,18 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTR
         x *= idf
         x /= np.maximum(np.sqrt((x ** 2).sum(1, keepdims=True)), 1e-12)
         centre = _means(x, k)
-        radius = float((1 - (x @ centre.T).max(1)).max())
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [c.tobytes() for c in centre], "radius": radius})
+        far, grams = 1 - (x @ centre.T).max(1), (x > 0).sum(1).astype(np.int64)
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [c.tobytes() for c in centre], "far": far.tobytes(), "grams": grams.tobytes()})
 
-    rows = sorted(counted.groupBy("lang").applyInPandas(cluster, "lang string, centre binary, radius double").collect(), key=lambda r: (r["lang"], r["centre"]))
+    rows = sorted(counted.groupBy("lang").applyInPandas(cluster, "lang string, centre binary, far binary, grams binary").collect(), key=lambda r: (r["lang"], r["centre"]))
     langs = sorted({r["lang"] for r in rows})
     owner = np.array([langs.index(r["lang"]) for r in rows], np.int64)
-    radius = np.zeros(len(langs))
-    for r in rows:
-        radius[langs.index(r["lang"])] = r["radius"]
+    trained = {r["lang"]: (np.frombuffer(r["far"], np.float64), np.frombuffer(r["grams"], np.int64)) for r in rows}  # of the bounded sample
+    of = np.repeat(np.arange(len(langs)), [len(trained[x][0]) for x in langs])
+    far, grams = (np.concatenate([trained[x][i] for x in langs]) if langs else np.empty(0) for i in (0, 1))
+    limits = np.array([band_limits(of == i, far, grams) for i in range(len(langs))]).reshape(-1, BANDS)
     vectors = np.stack([np.frombuffer(r["centre"], np.float64) for r in rows]) if rows else np.zeros((0, DIMENSIONS))
-    return Centroids(langs, owner, vectors, idf, radius)
+    return Centroids(langs, owner, vectors, idf, limits)
 
 
 def judged(docs: DataFrame, model: Centroids) -> DataFrame:

@@ -355,6 +355,34 @@ def test_strange_scripts_are_rejected(spark):
     assert model.predict("漢字仮名交じり文漢字仮名交じり文" * 5)[2] and not model.predict("the thing of and on")[2]
 
 
+FOREIGN = {
+    "chinese": "中国是世界上历史最悠久的国家之一。中国各族人民共同创造了光辉灿烂的文化，具有光荣的革命传统。",
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в духе братства.",
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava "
+               "toisiaan kohtaan veljeyden hengessä.",
+    "hungarian": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben "
+                 "testvéri szellemben kell hogy viseltessenek.",
+    "junk": "xqzv kjwq zzxk qqpw vvkx jjqz wxkq pzvq kkxj qwzx " * 6,
+}
+
+
+def test_one_training_text_does_not_switch_rejection_off(spark):
+    """Foreign scripts, foreign languages in Latin letters and junk, with texts of one word (and one in a foreign script) learned from too."""
+    docs = docs_of(spark, "/root/testdata/sf0.1").where("doc_id is not null").select("doc_id", "text", "lang")
+    learned = docs.where(~langid.held_out(F.col("doc_id")) & (F.col("doc_id") % 5 == 0))
+    odd = [(10 ** 9 + i, t, lang) for i, (t, lang) in enumerate([("Mentmentan.", "fr"), ("Zw.", "de"), ("Qui", "es"), ("Xylk", "en"), (FOREIGN["chinese"], "fr")])]
+    model = langid.fit(learned.unionByName(spark.createDataFrame(odd, "doc_id bigint, text string, lang string")), 10 ** 4)
+    assert model.limits.max() < 1
+    assert {k: model.predict(t)[2] for k, t in FOREIGN.items()} == dict.fromkeys(FOREIGN, True)
+    rows = langid.predict(docs, model, "doc_id", "lang").where(langid.held_out(F.col("doc_id"))).collect()
+    assert sum(r.rejected for r in rows) <= len(rows) / 500 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.98
+
+
+def test_op8_tells_what_is_rejected(spark):
+    from tallyspark.llm import catalog
+    assert "rejected" in catalog.queries()["op8_langid"](spark, SF).columns
+
+
 def test_grams_do_not_depend_on_pieces(monkeypatch):
     text = langid.letters("Ünder the größte ÉTÉ 12 x" * 50)
     whole = langid.gram_counts(text)
