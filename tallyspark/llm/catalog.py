@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["native_queries", "dedup_queries", "vector_queries"]
+MODULES = ["native_queries", "dedup_queries", "vector_queries", "corpus_queries"]
 
 
 def _load():
