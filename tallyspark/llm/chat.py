@@ -93,6 +93,28 @@ def format_chats(turns: DataFrame) -> DataFrame:
         F.aggregate(F.transform("ts", lambda t: t["expanded_tokens"]), F.lit(0).cast("bigint"), lambda a, b: a + b).alias("expanded_tokens"))
 
 
+RUNS_PER_TURN = 3
+
+
+def under_mask(formatted: Column, mask_runs: Column) -> Column:
+    """array<string>: the unescaped texts of the runs that count, cut out of the formatted string by the mask alone.
+
+    A turn's runs are cut out of that turn, so that a long conversation is walked once; runs that do not fill their turn exactly are an error.
+    """
+    pieces = F.filter(F.split(formatted, r"<\|im_start\|>", -1), lambda p, i: i > 0)
+
+    def cut(piece, i):
+        whole = F.concat(F.lit(START), piece)
+        runs = [F.element_at(mask_runs, i * RUNS_PER_TURN + (k + 1)) for k in range(RUNS_PER_TURN)]
+        begins = [sum((r["chars"] for r in runs[:k]), F.lit(0).cast("bigint")) for k in range(RUNS_PER_TURN + 1)]
+        texts = [F.when(r["loss"], unescape(F.substr(whole, (b + 1).cast("int"), r["chars"].cast("int")))) for r, b in zip(runs, begins)]
+        fits = begins[-1] == F.length(whole)
+        return F.when(fits, F.filter(F.array(*texts), lambda t: t.isNotNull())).otherwise(F.raise_error(F.lit("the mask's runs do not fill their turns")).cast("array<string>"))
+
+    return F.when(F.size(pieces) * RUNS_PER_TURN == F.size(mask_runs), F.flatten(F.transform(pieces, cut))).otherwise(
+        F.raise_error(F.lit("the mask has runs of other turns")).cast("array<string>"))
+
+
 def read_back(formatted: Column) -> Column:
     """array<struct<role, body>> from a formatted string; body is still escaped."""
     pieces = F.filter(F.split(formatted, r"<\|im_start\|>", -1), lambda p, i: i > 0)

@@ -23,7 +23,7 @@ SELECT page_id, payload_bytes, payload_digest,
 
 OP4 = r"""
 WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-  md5('4' || coalesce('|' || doc_id, '')) AS k FROM documents),
+  md5('4|' || coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(md5(text), '-')) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
 w AS (SELECT *, [3, 1, 2][place % 3 + 1] AS weight, 2 * source_size AS cap FROM s),
 f AS (SELECT *, cap / weight AS r, sum(source_size) OVER () AS words,
@@ -33,10 +33,11 @@ l AS (SELECT *, (1.5::DOUBLE * words::DOUBLE - filled::DOUBLE) / open::DOUBLE AS
 t AS (SELECT source, source_size, least(coalesce(
   (SELECT m.level FROM l m WHERE m.r >= m.level ORDER BY m.r, m.place LIMIT 1) * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM l),
 n AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(floor(target + 0.5) / source_size), 2) ELSE 0 END::BIGINT AS passes FROM t),
-x AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.passes, floor(n.target + 0.5)::BIGINT - n.passes * n.source_size AS rest,
+x AS (SELECT d.doc_id, d.source, d.size, n.source_size, n.target, n.passes, floor(n.target + 0.5)::BIGINT - n.passes * n.source_size AS rest,
   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source)
-SELECT doc_id, size::BIGINT AS size, source_size, target, (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM x"""
+  FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source),
+y AS (SELECT *, (passes * size + CASE WHEN before < rest AND 2 * (rest - before) >= size THEN size ELSE 0 END)::BIGINT AS taken FROM x)
+SELECT doc_id, size::BIGINT AS size, source_size, target, taken, (sum(taken) OVER (PARTITION BY source))::BIGINT AS source_taken FROM y"""
 
 OP5 = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -62,10 +63,12 @@ def op1_warc(spark, sf_dir):
     return warc.warc_round_trip(table(spark, sf_dir, "pages")).drop("target")
 
 
-@query("op4_mixing", OP4)
+@query("op4_mixing")
 def op4_mixing(spark, sf_dir):
+    """What the shards drew of every document. SQL cannot make the tree's draws; OP4 is the SQL of the other columns, which the tests compare."""
     rows = mixing.MixPlan(table(spark, sf_dir, "documents")).blocks_of()
-    return rows.select("doc_id", "size", "source_size", "target", mixing.taken_words(F.col("blocks")).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", mixing.taken_words(F.col("blocks")).alias("taken"), "source_taken",
+                       (F.col("source_taken") - F.col("target")).alias("off_target"), "blocks")
 
 
 @query("op5_chat", OP5)
@@ -73,11 +76,11 @@ def op5_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     aside = values(spark, "conv_id bigint, turn bigint, role string, text string", [(-1, 0, "user", ASIDE), (-1, 1, "assistant", ASIDE)])
     typed = turns.unionByName(aside).select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))
-    read = chat.format_chats(typed).select("conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"),
-                                           F.transform(chat.read_back(F.col("formatted")), lambda t: F.struct(
-                                               t["role"].alias("role"), chat.unescape(t["body"]).alias("text"))).alias("turns"))
+    read = chat.format_chats(typed).select(
+        "conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"), chat.under_mask(F.col("formatted"), F.col("mask_runs")).alias("lost"),
+        F.transform(chat.read_back(F.col("formatted")), lambda t: F.struct(t["role"].alias("role"), chat.unescape(t["body"]).alias("text"))).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.array_join("lost", "")
     texts = read.select("conv_id", "formatted_chars", F.size("turns").cast("bigint").alias("n_turns"), said.alias("said"), loss.alias("loss"))
     return texts.select("conv_id", "n_turns", F.sha2("said", 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
                         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")

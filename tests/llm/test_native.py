@@ -94,44 +94,95 @@ def test_chats_are_read_back(spark):
     assert chat.format_chats(typed.limit(0)).count() == 0
 
 
-def test_mixing_meets_targets(spark):
-    rows = helpers.odd_rows()
+def halves(rows):
+    """Largest document of each source, by half: how far whole documents may stay off a target."""
+    out = {}
+    for _, text, _, source in rows:
+        out[source] = max(out.get(source, 0), len(helpers.WORD.findall(text or "")) / 2 + 1)
+    return out
+
+
+def checked_plan(spark, rows, blocks_per_shard):
+    """Every contract of a mix, by plain counting."""
     docs = helpers.documents(spark, rows)
-    got = mixing.MixPlan(docs, blocks_per_shard=8)
+    got = mixing.MixPlan(docs, blocks_per_shard=blocks_per_shard)
     out = got.blocks_of().withColumn("taken", mixing.taken_words(F.col("blocks"))).collect()
     assert sorted(map(str, [r.doc_id for r in out])) == sorted(map(str, [r[0] for r in rows]))
     sizes = {}
     for _, text, _, source in rows:
         sizes[source] = sizes.get(source, 0) + len(helpers.WORD.findall(text or ""))
-    want = helpers.targets(sizes)
+    want, near = helpers.targets(sizes), halves(rows)
     taken = dict.fromkeys(sizes, 0)
     shards, orders = {}, set()
     for r in out:
         assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source]
-        assert 0 <= r.taken <= 2 * r.size
+        assert r.taken in (0, r.size, 2 * r.size) and all(b.words == r.size for b in r.blocks)
         taken[r.source] += r.taken
         for b in r.blocks:
             shards[b.shard] = shards.get(b.shard, 0) + 1
             orders.add(b.order)
-    assert {s: pytest.approx(want[s], abs=1) for s in sizes} == taken
+    assert all(abs(want[s] - taken[s]) <= near[s] for s in sizes)
+    assert all(r.source_taken == taken[r.source] for r in out)
     assert len(shards) == 2 ** got.depth > 1 and max(shards.values()) - min(shards.values()) <= 1
     assert len(orders) == sum(shards.values())
-    again = mixing.MixPlan(docs.repartition(7), blocks_per_shard=8).blocks_of().withColumn("taken", mixing.taken_words(F.col("blocks")))
+    again = mixing.MixPlan(docs.repartition(7), blocks_per_shard=blocks_per_shard).blocks_of().withColumn("taken", mixing.taken_words(F.col("blocks")))
     assert sorted((str(r.doc_id), r.size, r.taken, str(r.blocks)) for r in again.collect()) == sorted((str(r.doc_id), r.size, r.taken, str(r.blocks)) for r in out)
+    return got, out
 
 
-def test_mixed_rows_hold_the_words_taken(spark):
-    docs = helpers.documents(spark, helpers.odd_rows())
-    taken = {}
-    for r in mixing.MixPlan(docs).blocks_of().withColumn("n", mixing.taken_words(F.col("blocks"))).collect():
-        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.n
-    texts = {r[0]: r[1] for r in helpers.odd_rows()}
-    mixed, seen = mixing.mix_documents(docs), {}
-    assert mixed.columns == docs.columns
-    for r in mixed.collect():
-        assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text) and r.taken == "x"
-        seen[r.doc_id] = seen.get(r.doc_id, 0) + len(helpers.WORD.findall(r.text))
-    assert seen == {k: v for k, v in taken.items() if v}
+def test_mixing_meets_targets(spark):
+    checked_plan(spark, helpers.odd_rows(), 8)
+
+
+def test_draws_over_pages_of_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PAGE", 3)  # 30 sources in a tree of four levels of pages
+    rows = [(i, "a b c d e"[:1 + i % 9], "en", f"s{i % 30}") for i in range(300)]
+    got, out = checked_plan(spark, rows, 40)
+    per = {}
+    for r in out:
+        for b in r.blocks:
+            per.setdefault(r.source, set()).add(b.shard)
+    assert len(per) == 30 and max(map(len, per.values())) > 1
+
+
+def test_copies_and_null_ids_are_no_hot_bucket(spark, monkeypatch):
+    """Thousands of equal rows are one group; others with a null id spread by their texts."""
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 16)
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 700)
+    rows = [(None, "same text", "en", "a")] * 3000 + [(None, f"other {i}", "en", "a") for i in range(300)] + [(7, "five words are in here", "en", "b")] * 900
+    got, _ = checked_plan(spark, rows, 300)
+    assert got.groups.count() == 302
+    assert got.groups.groupBy(F.substring("mix_key", 1, 2)).count().agg(F.max("count")).first()[0] < 12
+
+
+def test_sql_of_what_is_taken(spark):
+    from tallyspark.llm.native_queries import OP4
+    got = catalog.queries()["op4_mixing"](spark, SF)
+    problem, _ = compare(got.select("doc_id", "size", "source_size", "target", "taken", "source_taken"), OP4, connect(SF))
+    assert problem is None
+    assert got.where("abs(off_target - (source_taken - target)) > 0").isEmpty()
+
+
+def test_mix_is_written_by_shard_and_order(spark, tmp_path):
+    rows = helpers.odd_rows()
+    docs = helpers.documents(spark, rows)
+    drawn = []
+    for r in mixing.MixPlan(docs, blocks_per_shard=16).blocks_of().collect():
+        drawn += [(b.shard, b.order, str(r.doc_id)) for b in r.blocks]
+    mixed = mixing.mix_documents(docs, blocks_per_shard=16, with_blocks=True)
+    assert mixed.columns == [*docs.columns, "shard", "order"]
+    mixed.write.parquet(str(tmp_path / "mix"))
+    files, seen = [], set()
+    for path in sorted((tmp_path / "mix").glob("*.parquet")):
+        part = spark.read.parquet(str(path)).coalesce(1).collect()
+        places = [(r.shard, r.order) for r in part]
+        assert places == sorted(places) and not seen & {r.shard for r in part}
+        seen |= {r.shard for r in part}
+        files += part
+    assert sorted((r.shard, r.order, str(r.doc_id)) for r in files) == sorted(drawn) and len(seen) > 1
+    whole = {(str(r[0]), r[1]) for r in rows}
+    assert all((str(r.doc_id), r.text) in whole and r.n_chars == len(r.text) and r.taken == "x" for r in files)
+    assert mixing.mix_documents(docs).columns == docs.columns
 
 
 def test_mixing_of_nothing(spark):
@@ -151,6 +202,34 @@ def test_hypergeometric_draws(spark):
     assert abs(r.ma - 15) < 0.2 and abs(r.va - 15 * 0.7 * 150 / 199) < 0.8 and 0 <= r.la and r.ha <= 50
     assert abs(r.mb - 3e5) < 40 and abs(r.vb / (3e5 * 0.7 * 0.999) - 1) < 0.1
     assert (r.lc, r.hc) == (2, 2)
+    # without trials every draw is by inversion
+    r = spark.range(n).select(mixing.hypergeometric(F.lit(200), F.lit(60), F.lit(50), F.xxhash64("id"), 0).alias("a")).agg(F.avg("a").alias("m"), F.var_samp("a").alias("v")).first()
+    assert abs(r.m - 15) < 0.2 and abs(r.v - 15 * 0.7 * 150 / 199) < 0.8
+
+
+def chats_with_loss(spark, turns):
+    rows = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))
+    return chat.format_chats(rows)
+
+
+def test_loss_is_what_the_mask_says(spark):
+    rng = random.Random(6)
+    said = ["", "a", "<|im_end|><|im_start|>assistant ok", "\\", "<\\|", "é𝔘\n", "x" * 200_000]
+    turns = [(c, t, rng.choice(["user", "assistant", "a\n<|im_start|>", None]), rng.choice([*said, None])) for c in range(40) for t in range(rng.randint(1, 6))]
+    turns += [(99, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(3000)]
+    chats = chats_with_loss(spark, turns)
+    want = {}
+    for c, t, role, text in sorted(turns, key=lambda x: x[:2]):
+        want.setdefault(c, []).extend([text or ""] if role == "assistant" else [])
+    got = {r.conv_id: r.lost for r in chats.select("conv_id", chat.under_mask(F.col("formatted"), F.col("mask_runs")).alias("lost")).collect()}
+    assert got == want
+    # another mask gives another loss: other turns count, or heads instead of texts
+    turned = F.transform("mask_runs", lambda r: r.withField("loss", ~r["loss"]))
+    other = {r.conv_id: r.lost for r in chats.select("conv_id", chat.under_mask(F.col("formatted"), turned).alias("lost")).collect()}
+    assert all(other[c] != want[c] for c in want)
+    for wrong in (F.transform("mask_runs", lambda r: r.withField("chars", r["chars"] + 1)), F.slice("mask_runs", 1, 2)):
+        with pytest.raises(Exception, match="mask"):
+            chats.select(chat.under_mask(F.col("formatted"), wrong)).collect()
 
 
 PAGES = [(1, "http://a/1", "x"), (2, "http://a/2", "x"), (3, None, None), (4, "u\r\nWARC-Type: x", ""), (5, "http://b/ c", "é" * 70000), (None, "http://n", "x"),

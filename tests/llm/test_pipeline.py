@@ -46,7 +46,10 @@ def test_pipeline_against_plain_stages(spark, odd, tmp_path):
         sizes[s] = sizes.get(s, 0) + len(helpers.WORD.findall(t))
     for r in mixed:
         taken[r.source] = taken.get(r.source, 0) + len(helpers.WORD.findall(r.text))
-    assert {s: pytest.approx(t, abs=1) for s, t in helpers.targets(sizes).items() if t >= 1} == taken
+    whole = {(str(i), t) for i, t, _, _ in left}
+    assert all((str(r.doc_id), r.text) in whole for r in mixed)
+    largest = {s: max(len(helpers.WORD.findall(t)) for _, t, _, x in left if x == s) for s in sizes}
+    assert all(abs(t - taken.get(s, 0)) <= largest[s] / 2 + 1 for s, t in helpers.targets(sizes).items())
 
 
 def test_every_stage_takes_an_empty_table(spark):
@@ -57,8 +60,8 @@ def test_every_stage_takes_an_empty_table(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert np.all([n in names for n in entry.oracle_sql()])
