@@ -7,7 +7,7 @@ from pyspark.sql import Observation, functions as F
 from ..operators import alerts as A, dq, history as H, measures as M, reporting as R, staging
 from ..operators.statements import KEY
 from ..plans import constants as K
-from ..session import fresh_path
+from ..session import cut_lineage, fresh_path
 from .oracle_tables import TABLES, _values, dec, ratio as sql_ratio
 from .registry import query
 
@@ -54,18 +54,9 @@ query("measures_by_period", f"select period_key, {dec('sum(revenue)')} revenue,
     lambda b: M.evaluate(measure_rows(b), ["revenue", "ebitda", "ebitda_margin_pct", "total_assets"], ["period_key"]))
 
 # ---- alerts ---------------------------------------------------------------------------------------------------
-KPIS = ["cash_balance", "ebitda_margin_ratio", "revenue_vs_budget_ratio", "dso_days", "net_debt_ebitda", "revenue_yoy_ratio", "ebitda_vs_budget_ratio", "cash_runway_days", "revenue", "ebitda"]
-
-
-def kpi_wide(b):
-    E = "consolidation_scope = 'entity'"
-    c = F.col
-    return (b.components.select(*KEY, "ebitda_margin_ratio", c("revenue_variance_ratio").alias("revenue_vs_budget_ratio"), "revenue_yoy_ratio",
-                                c("ebitda_variance_ratio").alias("ebitda_vs_budget_ratio"), "revenue", "ebitda", "revenue_budget", "ebitda_budget", "revenue_py", "ebitda_py")
-            .join(b.liquidity.where(E).select(*KEY, c("cash").alias("cash_balance"), "dso_days", "net_debt_ebitda"), KEY, "left")
-            .join(b.cash_kpis.where(E).select(*KEY, (c("cash_runway_months") * 30).alias("cash_runway_days")), KEY, "left"))
-
-
+KPIS = A.KPIS
+kpi_wide = lambda b: A.kpi_wide(b.components, b.liquidity, b.cash_kpis)
+kpi_long = lambda b: A.kpi_long(b.components, b.liquidity, b.cash_kpis)
 TABLES["kpiw"] = """select c.period_key, c.entity_key, ebitda_margin_ratio, revenue_variance_ratio revenue_vs_budget_ratio, revenue_yoy_ratio, ebitda_variance_ratio ebitda_vs_budget_ratio, revenue, ebitda, revenue_budget, ebitda_budget, revenue_py, ebitda_py,
  cash cash_balance, dso_days, net_debt_ebitda, cash_runway_months * 30 cash_runway_days from t_comp c left join (select period_key pk, entity_key ek, cash, dso_days, net_debt_ebitda from t_liq where consolidation_scope = 'entity') l on pk = c.period_key and ek = c.entity_key
  left join (select period_key pk2, entity_key ek2, cash_runway_months from t_ck where consolidation_scope = 'entity') k on pk2 = c.period_key and ek2 = c.entity_key"""
@@ -76,14 +67,6 @@ TABLES["alert_"] = """select * from (select rule_code, k.entity_key, period_key,
  from kpil k join rules_ r on r.kpi_name = k.kpi_name join ents e on e.entity_key = k.entity_key and (entity_scope = 'ALL' or entity_scope = entity_code)) where case operator when '<' then "value" < threshold when '>' then "value" > threshold when '<=' then "value" <= threshold when '>=' then "value" >= threshold else "value" = threshold end"""
 
 
-def kpi_long(b):
-    """KPI values with the budget and last year's value where the KPI has one."""
-    wide = kpi_wide(b)
-    base = wide.select(*KEY, *[F.col(f"{k}_{x}").cast("double").alias(f"{k}_{x}") for k in ("revenue", "ebitda") for x in ("budget", "py")])
-    pick = lambda x: F.when(F.col("kpi_name") == "revenue", F.col(f"revenue_{x}")).when(F.col("kpi_name") == "ebitda", F.col(f"ebitda_{x}"))
-    return A.kpi_unpivot(wide, KPIS).join(base, KEY).select("entity_key", "period_key", "kpi_name", "value", pick("budget").alias("budget_value"), pick("py").alias("py_value"))
-
-
 rules = lambda b: b.values(K.ALERT_RULES + K.LOCAL_RULES, K.RULE_COLUMNS)
 alerts = lambda b: b.stored("alerts", lambda: A.evaluate(kpi_long(b), rules(b), b.entities))
 logged = lambda b: alerts(b).withColumn("status", F.when((F.col("period_key") + F.col("entity_key")) % 3 == 0, "CLOSED").when((F.col("period_key") + F.col("entity_key")) % 3 == 1, "ACKNOWLEDGED").otherwise("OPEN"))
@@ -98,6 +81,27 @@ query("orphan_rule_scopes", "select rule_code, entity_scope from rules_ where en
     lambda b: A.orphan_scopes(rules(b), b.entities).select("rule_code", "entity_scope"))
 query("alert_unmatched_rules", "select rule_code, kpi_name from rules_ where kpi_name not in (select kpi_name from kpil)")(
     lambda b: A.unmatched_rules(rules(b), kpi_long(b)).select("rule_code", "kpi_name"))
+CHECKED = "2001-05-31"
+
+
+def alert_log(b):
+    """Evaluated at the end of a month; some alerts are acknowledged or closed; evaluated again 30 hours later with the next month's figures, twice."""
+    at = F.to_timestamp(F.lit(CHECKED))
+    of = lambda period: kpi_long(b).where(F.col("period_key") == period)
+    log = cut_lineage(A.evaluate_into(None, of(200105), rules(b), b.entities, at), "alert-log")
+    changes = log.where("entity_key % 3 < 2").select("alert_id", F.when(F.col("entity_key") % 3 == 0, A.CLOSED).otherwise(A.ACKNOWLEDGED).alias("status"), at.alias("at"))
+    log = cut_lineage(A.advance(log, changes), "alert-log")
+    for _ in range(2):
+        log = cut_lineage(A.evaluate_into(log, of(200106), rules(b), b.entities, at + F.make_dt_interval(hours=F.lit(30))), "alert-log")
+    return log.select("rule_code", "entity_code", "period_key", "status", "severity", F.to_date("raised_at").alias("raised_on"), F.hour("raised_at").alias("raised_hour"),
+                      F.col("acknowledged_at").isNotNull().alias("was_acknowledged"), F.col("closed_at").isNotNull().alias("was_closed"))
+
+
+query("alert_log", f"""with f as (select rule_code, entity_code, period_key, case a.entity_key % 3 when 0 then 'CLOSED' when 1 then 'ACKNOWLEDGED' else 'OPEN' end status, severity, cooldown_hours, a.entity_key % 3 m
+  from alert_ a join ents e on e.entity_key = a.entity_key where period_key = 200105)
+ select rule_code, entity_code, period_key, status, severity, date '{CHECKED}' raised_on, 0 raised_hour, m = 1 was_acknowledged, m = 0 was_closed from f
+ union all select rule_code, entity_code, period_key, 'OPEN', severity, date '{CHECKED}' + 1, 6, false, false from alert_ a join ents e on e.entity_key = a.entity_key
+ where period_key = 200106 and not exists (select 1 from f where f.rule_code = a.rule_code and f.entity_code = e.entity_code and f.status <> 'CLOSED' and f.cooldown_hours > 30)""")(alert_log)
 SEV = "case severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 when 'LOW' then 4 when 'INFO' then 5 else 6 end"
 query("alert_summary", f"select entity_key, severity, count(*) open_alerts, min(period_key) oldest_period, {SEV} severity_order from alog where status = 'OPEN' group by all")(lambda b: A.summary(logged(b)))
 query("severity_order", f"select rule_code, severity, {SEV} severity_order, period_key, entity_key from alog where status = 'OPEN'")(
@@ -261,17 +265,26 @@ query("variance_fact_pack", f"""select p.period_key, p.entity_key, cast(to_json(
  join ents e on e.entity_key = p.entity_key where p.consolidation_scope = 'entity'""")(lambda b: R.as_json(R.fact_pack(b.profitability, b.liquidity, b.cash_kpis, b.entities)))
 
 
+DROPPED, THINNED = 200103, 200104
+
+
 def monthly_close(b):
-    """Two closes into one target, the second a month later; the result counts what each table holds for the second month."""
+    """Two closes into one target. The second delivery has a month more, lacks one that the first had, and has rows that one batch of the first
+    lacked; the result shows what the tables hold then."""
     from ..plans.close import run_close
     target = fresh_path(b.spark, "monthly-close")
-    run_close(b.spark, b.dir, 200105, target)
-    result = run_close(b.spark, b.dir, 200106, target)
-    names = ("fact", "quarantine", "pl_monthly", "balance_sheet", "cashflow")
-    counted = [b.spark.read.parquet(result.tables[name]).where("period_key = 200106").agg(n()).select(F.lit(name).alias("table_name"), "n") for name in names]
-    return reduce(lambda x, y: x.unionByName(y), counted).withColumns({"status": F.lit(result.status), "changed_batches": F.lit(result.changed_batches)})
-
-
-query("monthly_close", """with e as (select *, bool_or(account_code not in (select account_code from coa)) over (partition by source_id, partkey, entity_key, leg, transaction_id[:-2]) bad from gl where period_key = 200106)
- select *, 'COMPLETED' status, (select cast(count(distinct batch_id) as integer) from gl where period_key = 200106) changed_batches from (select 'fact' table_name, count(*) n from e where not bad union all select 'quarantine', count(*) from e where bad
- union all select 'pl_monthly', count(*) from t_pl where period_key = 200106 union all select 'balance_sheet', count(*) from bs_nodes where period_key = 200106 union all select 'cashflow', count(*) from t_cf where period_key = 200106)""")(monthly_close)
+    run_close(b.spark, b.dir, 200105, target, b.ledger().where(f"NOT (period_key = {THINNED} AND partkey % 10 = 0)"))
+    result = run_close(b.spark, b.dir, 200106, target, b.ledger().where(f"period_key <> {DROPPED}"))
+    read = lambda name: b.spark.read.parquet(result.tables[name]).withColumn("period_key", F.col("period_key").cast("int"))
+    parts = [read(name).groupBy("period_key").agg(n(), F.sum(F.col("debit").cast("decimal(38,2)")).alias("debit")).where("period_key >= 200101") for name in ("fact", "quarantine")]
+    nothing = F.lit(None).cast("decimal(38,2)").alias("debit")
+    parts += [read(name).where("period_key = 200106").groupBy("period_key").agg(n()).select("period_key", "n", nothing) for name in ("pl_monthly", "balance_sheet", "cashflow")]
+    parts = [p.select(F.lit(name).alias("table_name"), "period_key", "n", "debit") for name, p in zip(("fact", "quarantine", "pl_monthly", "balance_sheet", "cashflow"), parts)]
+    return reduce(lambda x, y: x.unionByName(y), parts).withColumns({"status": F.lit(result.status), "changed_batches": F.lit(result.changed_batches)})
+
+
+query("monthly_close", f"""with e as (select *, bool_or(account_code not in (select account_code from coa)) over (partition by source_id, partkey, entity_key, leg, transaction_id[:-2]) bad from gl where period_key between 200101 and 200106 and period_key <> {DROPPED})
+ select *, 'COMPLETED' status, (select cast(count(distinct batch_id) as integer) from gl where period_key in (200106, {DROPPED}) or (period_key = {THINNED} and partkey % 10 = 0)) changed_batches from (
+ select 'fact' table_name, period_key, count(*) n, {dec('sum(debit)')} debit from e where not bad group by all union all select 'quarantine', period_key, count(*), {dec('sum(debit)')} from e where bad group by all
+ union all select 'pl_monthly', period_key, count(*), null from t_pl where period_key = 200106 group by all union all select 'balance_sheet', period_key, count(*), null from bs_nodes where period_key = 200106 group by all
+ union all select 'cashflow', period_key, count(*), null from t_cf where period_key = 200106 group by all)""")(monthly_close)

@@ -1,6 +1,7 @@
 """Scans, manifests and sinks. Files are written from the books to the shared folder and read back."""
 
 import time
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -201,21 +202,34 @@ query("sink_incremental_batches", f"select period_key, count(distinct batch_id)
 
 
 def merge_by_key(b):
+    """A load with several versions of a key, some in another month, and keys that move away from a month the load doesn't name."""
     path = fresh_path(b.spark, "fact")
     p = postings(b)
     sinks.write_partitioned(p.where("period_key < 200007"), path, "period_key", ["entity_key", "account_code"])
-    updates = p.where("period_key >= 200001").withColumn("net", amount(F.col("net") + 1))
-    return sinks.merge_partitions(path, updates, ["transaction_id"], "period_key", ["entity_key", "account_code"])
+    version = lambda where, more, month=None: p.where(where).withColumns(
+        {"net": amount(F.col("net") + more)} | ({"period_key": F.lit(month)} if month else {}))
+    updates = [version("period_key >= 200001", 1), version("period_key = 200003", 2), version("period_key = 200005 AND entity_key % 3 = 0", 5, 200006),
+               version("period_key = 199912 AND entity_key % 2 = 0", 3, 200002)]
+    return sinks.merge_partitions(path, reduce(lambda x, y: x.unionByName(y), updates), ["transaction_id"], "period_key", ["entity_key", "account_code"], ["net"])
 
 
-query("sink_merge_by_key", f"""with p as {POSTINGS}, u as (select transaction_id, period_key, net + 1 net from p where period_key >= 200001)
- {BY_PERIOD} (select period_key, net from p where period_key < 200007 and not (period_key >= 200001 and transaction_id in (select transaction_id from u))
- union all select period_key, net from u) group by all""")(
+query("sink_merge_by_key", f"""with p as {POSTINGS}, v as (select transaction_id, period_key, net + 1 net from p where period_key >= 200001 union all select transaction_id, period_key, net + 2 from p where period_key = 200003
+ union all select transaction_id, 200006, net + 5 from p where period_key = 200005 and entity_key % 3 = 0 union all select transaction_id, 200002, net + 3 from p where period_key = 199912 and entity_key % 2 = 0),
+ u as (select transaction_id, cast(arg_max(period_key, net) as integer) period_key, max(net) net from v group by transaction_id)
+ {BY_PERIOD} (select period_key, net from p where period_key < 200007 and transaction_id not in (select transaction_id from u) union all select period_key, net from u) group by all""")(
     lambda b: by_period(merge_by_key(b)))
+
+
+def insert_ignore(b):
+    """A load with two versions of every key: known keys are ignored, new ones come in once, with the later version."""
+    p = postings(b)
+    load = lambda more: p.where("period_key >= 199907").withColumn("net", amount(F.col("net") + more))
+    return sinks.inserted(p.where("period_key < 200007"), load(5).unionByName(load(4)), ["transaction_id"], ["net"])
+
+
 query("sink_insert_ignore", f"""with p as {POSTINGS} {BY_PERIOD} (select period_key, net from p where period_key < 200007 union all
  select period_key, net + 5 from p where period_key >= 199907 and transaction_id not in (select transaction_id from p where period_key < 200007)) group by all""")(
-    lambda b: by_period(sinks.inserted(postings(b).where("period_key < 200007"),
-                                       postings(b).where("period_key >= 199907").withColumn("net", amount(F.col("net") + 5)), ["transaction_id"])))
+    lambda b: by_period(insert_ignore(b)))
 SLICE = ["entity_key", "period_key", "account_code"]
 query("sink_replace_slice", f"""select entity_key, period_key, account_code, {dec('sum(net)')} net from (select entity_key, period_key, account_code, case when period_key >= 200001 and entity_key % 2 = 0 then 2 * net else net end net from tb) group by all""")(
     lambda b: (lambda t: sinks.merged(t, t.where("period_key >= 200001 AND entity_key % 2 = 0").withColumn("net", F.col("net") * 2), SLICE))(

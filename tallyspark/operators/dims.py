@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.periods import fiscal_period_of, fiscal_quarter_of, fiscal_year_of, period_of_date, prior_period_key, prior_year_key
@@ -108,17 +106,22 @@ def budget_per_trading_day(budget: DataFrame, calendar: DataFrame) -> DataFrame:
     return budget.join(days, "period_key").withColumn("daily_budget", daily)
 
 
-MAX_DEPTH = 32
-
-
 def entity_hierarchy(entities: DataFrame) -> DataFrame:
-    """Every (ancestor, descendant) with its depth. One join per level; the depth of an organisation is bounded, its width is not."""
-    edges = entities.where("parent_key IS NOT NULL").select(F.col("parent_key").alias("_p"), F.col("entity_key").alias("_child"))
-    level = entities.select(F.col("entity_key").alias("ancestor_key"), F.col("entity_key").alias("descendant_key"), F.lit(0).alias("depth"))
-    levels = [level]
-    for depth in range(1, MAX_DEPTH + 1):
-        level = level.join(edges, F.col("descendant_key") == F.col("_p")).select("ancestor_key", F.col("_child").alias("descendant_key"), F.lit(depth).alias("depth"))
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        levels.append(level)
-    raise ValueError(f"hierarchy deeper than {MAX_DEPTH} levels: is there a cycle?")
+    """Every (ancestor, descendant) with its depth, by pointer doubling: `jump` leads every entity 2 ** k levels up, and pairs nearer than that are
+    carried on by it to those nearer than twice that. So the joins grow with the logarithm of the depth. Raises on a cycle, naming
+    entities on it."""
+    size = entities.count()
+    jump = entities.where("parent_key IS NOT NULL").select(F.col("entity_key").alias("_from"), F.col("parent_key").alias("_to"))
+    jump = cut_lineage(jump.join(entities.select(F.col("entity_key").alias("_to")), "_to", "left_semi"), "hierarchy-jump")
+    pairs = entities.select(F.col("entity_key").alias("ancestor_key"), F.col("entity_key").alias("descendant_key"), F.lit(0).alias("depth"))
+    reach = 1
+    while not jump.isEmpty():
+        if reach >= size:  # a walk as long as there are entities has come round
+            ring = [str(r[0]) for r in jump.select("_to").distinct().sort("_to").limit(20).collect()]
+            raise ValueError(f"hierarchy has a cycle through {', '.join(ring)}")
+        further = pairs.join(jump, F.col("ancestor_key") == F.col("_from")).select(F.col("_to").alias("ancestor_key"), "descendant_key", (F.col("depth") + reach).alias("depth"))
+        pairs = cut_lineage(pairs.unionByName(further), "hierarchy-pairs")
+        again = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
+        jump = cut_lineage(jump.join(again, "_to").select("_from", F.col("_next").alias("_to")), "hierarchy-jump")
+        reach *= 2
+    return pairs
