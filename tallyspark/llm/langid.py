@@ -2,16 +2,17 @@
 
 A text is reduced to its letters (lower-cased, runs of anything else as one blank) and counted in hashed n-grams of one to three
 characters. Term frequencies are damped by a square root, weighted by inverse document frequency and brought to length one. Each
-language has several centroids, the clusters that spherical k-means finds among its training texts (small ones are merged into the others),
-and a text gets the language of the centroid with the largest cosine; the cosine is the score. A text is rejected if its distance (one
+language has several centroids: its training texts are halved at the median along the direction in which they spread most, the halves again until
+there are CENTROIDS parts, and spherical k-means goes on from there as long as every cluster keeps `LEAST_CLUSTER` of the texts; so a
+language with enough texts never ends with one centroid, and no single text is one. A text gets the language of the centroid with the largest cosine; the cosine is the score. A text is rejected if its distance (one
 minus the cosine) from that centroid is beyond its language's limit for texts of as many n-grams, or if it has no letter. Short texts lie
 further off than long ones, so each band of distinct n-grams (powers of two) has its own limit: halfway from the `REJECT_QUANTILE` of the
 training texts' distances to 1, never above `REJECT_MOST`. Where a language has fewer than `BAND_TEXTS` training texts in a band, those of
 all languages count, and if these are too few, the limit is that of the next shorter band, or else `REJECT_MOST`. At least the farthest
 text of a band doesn't count, so no single text sets a limit.
 
-Training reads a bounded sample: per language the `SAMPLE_PER_LANGUAGE` texts with the smallest hash of their id; whole texts, and
-document frequencies over the whole sample. Nulls and odd input: a text that is null or has no letter is `und` with score 0; without
+Training reads a bounded sample: per language the `SAMPLE_PER_LANGUAGE` different rows (id, text) with a letter whose hashes are smallest; whole
+texts, and document frequencies over the whole sample. There may be `LANGUAGES_MOST` languages, more are refused, as the model goes to every task. Nulls and odd input: a text that is null or has no letter is `und` with score 0; without
 training rows every text is `und`; training rows need a text with a letter and a language; null ids are not trained on, and are not held
 out; repeated rows are separate; an empty table gives an empty result; other columns are not read.
 """
@@ -37,12 +38,14 @@ DIMENSIONS = 1 << 13
 CENTROIDS = 3
 STEPS = 6
 PIECE = 1 << 18
-REJECT_QUANTILE = 0.95
+REJECT_QUANTILE = 0.98
 REJECT_MOST = 0.95
 BANDS = DIMENSIONS.bit_length()
-BAND_TEXTS = 10
-#: Clusters of a smaller part of a language's texts, or of one text, are merged.
-LEAST_CLUSTER = 0.02
+#: Fewer texts say nothing about the quantile.
+BAND_TEXTS = 50
+#: The least part of a language's texts that a cluster holds; two texts at least.
+LEAST_CLUSTER = 0.1
+LANGUAGES_MOST = 256
 JUDGED = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 OTHER = re.compile(r"[\W\d_]+")
 
@@ -117,44 +120,72 @@ def band_limits(own: np.ndarray, distances: np.ndarray, grams: np.ndarray) -> np
     return out
 
 
-def _means(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from spread-out rows: each start is unlike the ones before, but a tenth of the rows are still less like them.
+def _halved(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers below and above the median along the direction of the largest spread (a few power steps find it well enough)."""
+    away = x - x.mean(0)
+    along = away[np.argmax((away ** 2).sum(1))]
+    for _ in range(STEPS):
+        along = away.T @ (away @ along)
+        along /= max(np.sqrt((along ** 2).sum()), 1e-12)
+    order = np.argsort(away @ along, kind="stable")
+    return order[:len(x) // 2], order[len(x) // 2:]
 
-    Clusters of less than two rows or LEAST_CLUSTER of all are given up, smallest first, and their rows go to the others.
-    """
-    starts = [0]
-    while len(starts) < min(k, len(x)):
-        like = (x @ x[starts].T).max(1)
-        like[starts] = 2
-        starts.append(int(np.argsort(like, kind="stable")[(len(x) - len(starts)) // 10]))
-    centre = x[starts]
-    while True:
-        for _ in range(STEPS):
-            nearest = (x @ centre.T).argmax(1)
-            centre = np.stack([x[nearest == j].sum(0) if (nearest == j).any() else centre[j] for j in range(len(centre))])
-            centre /= np.maximum(np.sqrt((centre ** 2).sum(1, keepdims=True)), 1e-12)
-        sizes = np.bincount((x @ centre.T).argmax(1), minlength=len(centre))
-        if len(centre) == 1 or sizes.min() >= max(2, LEAST_CLUSTER * len(x)):
-            return centre
-        centre = np.delete(centre, sizes.argmin(), 0)
+
+def _means(x: np.ndarray, k: int) -> np.ndarray:
+    """At most k centroids of the rows, and at least two where there are four rows: balanced halves first, then spherical k-means."""
+    least = max(2, LEAST_CLUSTER * len(x))
+    parts = [np.arange(len(x))]
+    while len(parts) < k:
+        widest = max(range(len(parts)), key=lambda i: (len(parts[i]), -i))
+        if len(parts[widest]) // 2 < least:
+            break
+        parts[widest:widest + 1] = [parts[widest][half] for half in _halved(x[parts[widest]])]
+
+    def directions(groups):
+        centre = np.stack([x[g].sum(0) for g in groups])
+        return centre / np.maximum(np.sqrt((centre ** 2).sum(1, keepdims=True)), 1e-12)
+
+    centre = directions(parts)
+    for _ in range(STEPS):
+        nearest = (x @ centre.T).argmax(1)
+        groups = [np.flatnonzero(nearest == j) for j in range(len(centre))]
+        if min(map(len, groups)) < least:
+            break
+        centre = directions(groups)
+    return centre
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of the sample: per language the rows with the smallest hashes of their id. Ids are chosen first, then their texts read.
+    """(lang, text) of the sample: per language the different rows (id, text) with the smallest hashes.
 
-    A language's rows are counted before, and hashes that lie far beyond the sample's expected range don't go to the window, so a large
-    language costs it no more than a small one.
+    A language's rows with a letter are counted before, and rows whose hash lies far beyond the sample's expected range don't go to the window, so a large
+    language costs it no more than a small one. Where copies make up so much of a language that too few different rows come back, the
+    range is widened, up to all its rows. Rows are chosen first, then their texts read, each once.
     """
-    counts = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    hashed = F.xxhash64(F.lit("sample"), "doc_id")
+    lettered = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    hashed = F.xxhash64(F.lit("sample"), "doc_id", "text_hash")
     place = (hashed.cast("double") + 2.0 ** 63) / 2.0 ** 64
-    named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).join(cut_lineage(counts, "lang-counts"), "lang")
-    named = named.where((place * F.col("rows") < HASH_MARGIN * per_language) & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(hashed, "doc_id")
-    chosen = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id", "lang").distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("of"), "text").where(F.col("text").rlike(r"\p{L}"))
-    # at most `per_language` ids for each language: bounded, so the texts need not be shuffled
-    return texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "text")
+    counts = cut_lineage(lettered.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "lang-counts")
+    if counts.count() > LANGUAGES_MOST:
+        raise ValueError(f"more than {LANGUAGES_MOST} languages")
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id", "text_hash")
+    chosen, margin, open_ = None, HASH_MARGIN, counts
+    while True:
+        near = lettered.select("lang", "doc_id", "text_hash", hashed.alias("hash"), place.alias("place")).join(open_, "lang").where(F.col("place") * F.col("rows") < margin * per_language)
+        distinct = near.groupBy("lang", "doc_id", "text_hash", "hash").agg(F.count(F.lit(1)).alias("copies"))
+        found = cut_lineage(distinct.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("lang", "doc_id", "text_hash"), "lang-chosen")
+        enough = found.groupBy("lang").agg(F.count(F.lit(1)).alias("got"))
+        short = open_.join(enough, "lang", "left").where((F.coalesce("got", F.lit(0)) < per_language) & (F.col("rows") > margin * per_language)).select("lang", "rows")
+        short = cut_lineage(short, "lang-short")
+        kept = found.join(short, "lang", "left_anti")
+        chosen = kept if chosen is None else chosen.unionByName(kept)
+        if short.isEmpty():
+            break
+        open_, margin = short, margin * HASH_MARGIN
+    wanted = chosen.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    # at most `per_language` rows for each of at most LANGUAGES_MOST languages: bounded, so the texts need not be shuffled
+    texts = lettered.join(F.broadcast(wanted), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")) & (F.col("text_hash") == F.col("hash")))
+    return texts.dropDuplicates(["lang", "doc_id", "text_hash"]).select("lang", "text")
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTROIDS) -> Centroids:
@@ -203,28 +234,38 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTR
     return Centroids(langs, owner, vectors, idf, limits)
 
 
-def judged(docs: DataFrame, model: Centroids) -> DataFrame:
-    """`docs` with __lang, a struct of lang_pred, score and rejected."""
+def judged(docs: DataFrame, model: Centroids, found: str) -> DataFrame:
+    """`docs` with `found`, a struct of lang_pred, score and rejected."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its construction
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     at = docs.columns.index("text")
 
     def judge(batches):
         for batch in slices(batches):
-            found = [dict(zip(("lang_pred", "score", "rejected"), sent.value.predict(t.as_py()))) for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, JUDGED)], [*batch.schema.names, "__lang"])
+            out = [dict(zip(("lang_pred", "score", "rejected"), sent.value.predict(t.as_py()))) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, JUDGED)], [*batch.schema.names, found])
+
+    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, T.StructField(found, kind)]))
+
 
-    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, T.StructField("__lang", kind)]))
+def unused(columns: list[str], name: str) -> str:
+    """A column name that the table does not have."""
+    while name.lower() in map(str.lower, columns):
+        name += "_"
+    return name
 
 
 def predict(docs: DataFrame, model: Centroids, *carry: str) -> DataFrame:
     """lang_pred, score and rejected for every row, beside the carried columns."""
-    return judged(docs.select("text", *[F.col(f"`{c}`") for c in carry if c != "text"]), model).select(*[F.col(f"`{c}`") for c in carry], "__lang.*")
+    found = unused(docs.columns, "__lang")
+    rows = judged(docs.select("text", *[F.col(f"`{c}`") for c in carry if c != "text"]), model, found)
+    return rows.select(*[F.col(f"`{c}`") for c in carry], f"`{found}`.*")
 
 
 def keep_identified(docs: DataFrame, model: Centroids) -> DataFrame:
     """The rows that are not rejected, as they are."""
-    return judged(docs, model).where("not __lang.rejected").drop("__lang")
+    found = unused(docs.columns, "__lang")
+    return judged(docs, model, found).where(~F.col(f"`{found}`.rejected")).drop(found)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -388,3 +388,70 @@ def test_grams_do_not_depend_on_pieces(monkeypatch):
     whole = langid.gram_counts(text)
     monkeypatch.setattr(langid, "PIECE", 7)
     assert np.array_equal(whole, langid.gram_counts(text)) and whole.sum() == 3 * len(text) - 3
+
+
+def test_every_language_keeps_several_centroids(spark):
+    """At sf0.1, where parts of a language are much alike; no cluster is small, and no two are the same."""
+    docs = docs_of(spark, "/root/testdata/sf0.1")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    per = {lang: model.vectors[model.owner == i] for i, lang in enumerate(model.langs)}
+    assert set(per) == {"en", "fr", "de", "es"} and all(len(v) >= 2 for v in per.values())
+    rng = np.random.default_rng(0)
+    x = np.abs(rng.normal(size=(50, 30)))
+    x /= np.sqrt((x ** 2).sum(1, keepdims=True))
+    x[0] = np.eye(30)[0]  # one text unlike all others is no cluster
+    centre = langid._means(x, 3)
+    sizes = np.bincount((x @ centre.T).argmax(1), minlength=len(centre))
+    assert len(centre) >= 2 and sizes.min() >= 2
+    assert len(langid._means(x[:4], 3)) == 2 and len(langid._means(x[:1], 3)) == 1
+
+
+def sampled(rows, per=10):
+    got = {}
+    for r in rows:
+        got.setdefault(r.lang, []).append(r.text)
+    return {lang: len(t) for lang, t in got.items()}, got
+
+
+def test_sample_with_hot_ids_and_letterless_rows(spark):
+    """Thousands of copies of one row, of one id, and of rows without a letter take nothing from the sample, which stays bounded."""
+    rows = [(1, "one and the same", "aa")] * 3000 + [(i, f"text of {'abcdefghijklmnop'[i % 16]} {i}", "aa") for i in range(10, 40)]
+    rows += [(i, "123 456", "bb") for i in range(5000)] + [(9000 + i, "bb word " + "x" * i, "bb") for i in range(12)]
+    rows += [(5, f"under one id {i}", "cc") for i in range(2000)] + [(None, "no id", "dd"), (3, "three", None), (7, None, "ee"), (8, "only", "ff")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    counts, texts = sampled(langid.training_rows(docs, 10).collect())
+    assert counts == {"aa": 10, "bb": 10, "cc": 10, "ff": 1}
+    assert all(len(set(t)) == len(t) for t in texts.values())
+    again = sampled(langid.training_rows(docs.repartition(13), 10).collect())[1]
+    assert {k: sorted(v) for k, v in again.items()} == {k: sorted(v) for k, v in texts.items()}
+
+
+def plain_judgement(model, text):
+    """Nearest centroid gram by gram, with plain integers."""
+    mask = 0xFFFFFFFF
+    kept = "".join(c for c in (text or "") if c.isalpha())
+    if not kept:
+        return "und", 0.0
+    codes, counts = [ord(c) for c in langid.letters(text)], {}
+    for n in (1, 2, 3):
+        for i in range(len(codes) - n + 1):
+            h = codes[i] * 0x9E3779B1 & mask
+            for c in codes[i + 1:i + n]:
+                h = ((h ^ h >> 15) * 0x85EBCA77 + c * 0xC2B2AE3D) & mask
+            m = ((h ^ h >> 13) * 0x27D4EB2F + n) & mask
+            g = (m >> 16) % langid.DIMENSIONS
+            counts[g] = counts.get(g, 0) + 1
+    weights = {g: n ** 0.5 * model.idf[g] for g, n in counts.items()}
+    norm = sum(w * w for w in weights.values()) ** 0.5
+    best = max(range(len(model.owner)), key=lambda j: sum(w * model.vectors[j][g] for g, w in weights.items()))
+    return model.langs[model.owner[best]], sum(w * model.vectors[best][g] for g, w in weights.items()) / norm
+
+
+def test_predictions_equal_a_plain_scorer(spark):
+    docs = docs_of(spark)
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    clashing = docs.withColumn("__lang", F.lit(1)).withColumn("lang_pred", F.lit("x"))
+    assert langid.keep_identified(clashing, model).columns == clashing.columns
+    for r in langid.predict(docs.where("length(text) < 4000"), model, "doc_id", "text").collect():
+        lang, score = plain_judgement(model, r.text)
+        assert (r.lang_pred, r.score) == (lang, pytest.approx(score, abs=1e-9))
