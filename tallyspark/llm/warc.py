@@ -4,8 +4,10 @@
 separator, and the file is one gzip stream. `normalise` inflates each stream once, piece by piece, cuts it into records by their
 Content-Length, compresses every record as its own member and writes (a) chunks of members, whose concatenation in order is the
 normalised .warc.gz byte for byte, and (b) the sidecar index: archive, chunk, offset in the archive, length, record id, type, page id.
-Chunks are rows because Spark's writers have no raw binary format. Memory is bounded by one compressed archive (`records_per_archive`)
-plus one record and one chunk.
+Chunks are rows because Spark's writers have no raw binary format. Pages are written in classes of size, each class with as many
+records to an archive as `ARCHIVE_BYTES` has room for the class's largest, so an archive is bounded in bytes (one record at least),
+and memory by one compressed archive plus one record and one chunk. Records are read back by the sidecar: its offsets and lengths name the
+members, each inflated on its own.
 
 Records of equal payloads: the one with the largest page_id is the response, the others are revisits that name it. Rows that repeat the
 largest page_id are responses too, as they can't be told apart. A null html is an empty payload; a null page_id is smaller than any other
@@ -27,7 +29,10 @@ from ..session import cut_lineage, fresh_path
 
 BREAK = "\r\n"
 RECORD_END = b"\r\n\r\n"
-RECORDS_PER_ARCHIVE = 20_000
+#: Bytes of an archive's records before compression, without headers.
+ARCHIVE_BYTES = 256 << 20
+#: Largest payloads of the classes; each is sixteen times the one before.
+CLASS_BYTES = [1 << bits for bits in range(16, 33, 4)]
 CHUNK_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20
 LEVEL = 6
@@ -92,11 +97,18 @@ def record_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(head, http, F.when(revisit, F.lit("")).otherwise(F.col("html"))).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, least_bytes: int = 0) -> str:
-    """Writes the pages as WARC files below `path`, each one gzip stream."""
-    values = record_text(with_record_types(pages, least_bytes))
-    writer = values.write.option("lineSep", RECORD_END.decode()).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", records_per_archive).text(path)
+def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES, least_bytes: int = 0) -> str:
+    """Writes the pages as WARC files in folders below `path`, one for each class of sizes; each file is one gzip stream."""
+    typed = with_record_types(pages, least_bytes)
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    of = F.lit(0)
+    for i, least in enumerate(CLASS_BYTES):
+        of = F.when(size > least, i + 1).otherwise(of)
+    there = sorted(r[0] for r in pages.select(of.alias("c")).distinct().collect()) or [0]  # one number per class
+    for c in there:
+        most = CLASS_BYTES[c] if c < len(CLASS_BYTES) else archive_bytes
+        writer = record_text(typed.where(of == c)).write.option("lineSep", RECORD_END.decode()).option("compression", "gzip")
+        writer.option("maxRecordsPerFile", max(1, archive_bytes // most)).text(f"{path}/class-{c}")
     return path
 
 
@@ -174,7 +186,7 @@ def _normalised(level: int, chunk_bytes: int):
 
 def normalise(spark: SparkSession, archives: str, out: str, level: int = LEVEL, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Rewrites the archives below `archives` as members; returns (chunks, index), both written below `out`."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(archives).select(
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(archives).select(
         F.substring_index("path", "/", -1).alias("path"), "content")
     files.mapInPandas(_normalised(level, chunk_bytes), CHUNKS).write.option("compression", "none").parquet(f"{out}/chunks")
     chunks = spark.read.parquet(f"{out}/chunks")
@@ -218,8 +230,8 @@ def read_records(chunks: DataFrame, index: DataFrame | None = None) -> DataFrame
 
 
 def warc_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Writes the pages, normalises the archives and reads every record back."""
+    """Writes the pages, normalises the archives and reads every record back by the sidecar index."""
     spark = pages.sparkSession
     root = fresh_path(spark, "warc")
-    chunks, _ = normalise(spark, write_archives(pages, f"{root}/streams", least_bytes=least_bytes), f"{root}/members")
-    return read_records(chunks)
+    chunks, index = normalise(spark, write_archives(pages, f"{root}/streams", least_bytes=least_bytes), f"{root}/members")
+    return read_records(chunks, index)
