@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
-from .batches import slices
+from .batches import releasing, slices
 
 UNKNOWN = "und"
 #: Bounds of the sample that the classifier is fitted on, and of its size.
@@ -245,7 +245,7 @@ def judged(docs: DataFrame, model: Centroids, found: str) -> DataFrame:
             out = [dict(zip(("lang_pred", "score", "rejected"), sent.value.predict(t.as_py()))) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, JUDGED)], [*batch.schema.names, found])
 
-    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, T.StructField(found, kind)]))
+    return docs.mapInArrow(releasing(judge), T.StructType([*docs.schema.fields, T.StructField(found, kind)]))
 
 
 def unused(columns: list[str], name: str) -> str:

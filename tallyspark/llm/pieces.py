@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import slices
+from .batches import releasing, slices
 
 SPACE = "▁"
 WORDS_KEPT = 100_000  # in each of two generations
@@ -213,9 +213,10 @@ def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
                 pa.array([pieces.decode(np.frombuffer(p, "<u4").tolist()) for p in packed], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+        pieces.words, pieces.older = {}, {}
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, TOKENS)
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(releasing(run), TOKENS)
     return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_tokens", "ids", "decoded")
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .batches import slices
+from .batches import releasing, slices
 from .components import connected_components
 
 SEED = 42
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc
 
     # ids go through as text, so that null ids stay what they are
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = rows.mapInArrow(run, "doc_id string, text_hash bigint, fp bigint")
+    rows = rows.mapInArrow(releasing(run), "doc_id string, text_hash bigint, fp bigint")
     return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "text_hash", "fp")
 
 
@@ -212,9 +212,9 @@ def fingerprint_links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """Edges (a, b) whose components are those of all links at `bits` (3 or fewer) differing bits among the fingerprints (fp)."""
     if bits > 3:
         raise ValueError("two halves with one differing bit each cover three bits at most")
-    placed = distinct.select("fp").mapInPandas(_replicas, "anchor bigint, away tinyint, fp bigint")
+    placed = distinct.select("fp").mapInPandas(releasing(_replicas), "anchor bigint, away tinyint, fp bigint")
     dealt = placed.repartition("anchor").sortWithinPartitions("anchor", "away")
-    return dealt.mapInPandas(_compare(bits), "a bigint, b bigint").distinct()
+    return dealt.mapInPandas(releasing(_compare(bits)), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, id_col: str = "doc_id") -> DataFrame:

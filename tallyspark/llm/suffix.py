@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
-from .batches import each_row, slices
+from .batches import each_row, give_back, releasing, slices
 from .deepsort import WORD, deep_shallow_sort
 
 MATCH = 50
@@ -194,7 +194,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
         if texts:
             yield _rows_to_batch([row(number, texts, ids, rest)], schema)
 
-    return docs.select(*columns).mapInArrow(run, CHUNK_SCHEMA)
+    return docs.select(*columns).mapInArrow(releasing(run), CHUNK_SCHEMA)
 
 
 def _ask(buckets: int):
@@ -429,6 +429,13 @@ def joined_spans(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return text[new], begin[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
 
 
+def _marked(group: pa.Table) -> pa.Table:
+    """_mark, with the bucket's memory given back before the next one comes."""
+    out = _mark(group)
+    give_back()
+    return out
+
+
 def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], with_text: bool):
     def texts(c, row):
         """Spans (relative to the text) of each distinct text for its smallest id; whole copies are dealt with by row."""
@@ -499,7 +506,7 @@ def _cut(buckets: int, schema: pa.Schema, text_col: str, columns: list[str], wit
 
 def answered(chunks: DataFrame, buckets: int, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(chunk, answers): what each chunk is told about its keys and texts, bucket by bucket."""
-    asked = chunks.select(*CORE).mapInArrow(_ask(buckets), ASK_SCHEMA)
+    asked = chunks.select(*CORE).mapInArrow(releasing(_ask(buckets)), ASK_SCHEMA)
     answers = asked.groupBy("bucket").applyInArrow(lambda group: _answer(group, hot_windows), ANSWER_SCHEMA)
     return answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot", "least")).alias("answers"))
 
@@ -514,8 +521,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = chunks.agg(F.sum(F.expr("length(data)")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     buckets = max(1, -(-3 * (total["b"] or 0) // bucket_bytes))  # text is about three times its compressed size
     answers = cut_lineage(answered(chunks, buckets, hot_windows), "suffix-answers")
-    sent = chunks.select(*CORE).join(answers, "chunk").mapInArrow(_send(buckets), SEGMENT_SCHEMA)
-    marks = sent.groupBy("bucket").applyInArrow(_mark, MARK_SCHEMA)
+    sent = chunks.select(*CORE).join(answers, "chunk").mapInArrow(releasing(_send(buckets)), SEGMENT_SCHEMA)
+    marks = sent.groupBy("bucket").applyInArrow(_marked, MARK_SCHEMA)
     marks = cut_lineage(marks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "smaller")).alias("marks")), "suffix-marks")
     own = [f for f in docs.schema.fields if f.name != text_col]
     schema = T.StructType([*own, T.StructField("__n_bytes", T.LongType()), T.StructField("__n_removed", T.LongType()),
@@ -523,7 +530,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                            T.StructField("__kept_sha256", T.StringType()), T.StructField("__kept", T.StringType())])
     whole = chunks.join(answers, "chunk").join(marks, "chunk", "left")
     cut = _cut(buckets, to_arrow_schema(schema), text_col, docs.columns, with_text)
-    return whole.mapInArrow(cut, schema)
+    return whole.mapInArrow(releasing(cut), schema)
 
 
 def keep_first_occurrences(docs: DataFrame) -> DataFrame:
