@@ -1,5 +1,7 @@
 """Mapping, currency, intercompany, dimension and access joins; orders, limits and set operations."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions.money import rnd
@@ -196,6 +198,25 @@ query("rls_role_matrix", """select event_id, u."role", case when u."role" <> 'AU
     lambda b: access.mask_columns(b.access_log.join(b.user_map.select("user_id", "role").distinct(), "user_id")).select("event_id", "role", "user_id", "props", "action"))
 query("tenant_scope", f"select period_key, t.entity_key, account_code, {dec('sum(net)')} net from tb t join ents e on e.entity_key = t.entity_key where consolidation_group = 'ASIA' group by all")(
     lambda b: access.tenant_scope(b.trial_balance, b.entities, "ASIA").groupBy(*KEY, "account_code").agg(*summed("net")))
+KEYS = access.ForeignKeys([("nation", ["n_regionkey"], "region", ["r_regionkey"]), ("customer", ["c_nationkey"], "nation", ["n_nationkey"]),
+                           ("supplier", ["s_nationkey"], "nation", ["n_nationkey"]), ("orders", ["o_custkey"], "customer", ["c_custkey"]),
+                           ("lineitem", ["l_orderkey"], "orders", ["o_orderkey"])])
+
+
+def tenant_graph(b):
+    """Rows and amounts per table that belong to one region; lines have no company, the customers of their orders do."""
+    tables = {t: b.t(t) for t in ("region", "nation", "customer", "supplier", "orders", "lineitem")}
+    scoped = KEYS.scoped(tables, "region", F.col("r_name") == "ASIA")
+    value = {"customer": "c_acctbal", "supplier": "s_acctbal", "orders": "o_totalprice", "lineitem": "l_extendedprice"}
+    rows = [scoped[t].agg(n(), F.sum((F.col(value[t]) if t in value else F.lit(0)).cast("decimal(18,2)")).alias("total")).select(F.lit(t).alias("table_name"), "n", "total") for t in tables]
+    return reduce(lambda x, y: x.unionByName(y), rows)
+
+
+query("tenant_scope_graph", f"""with r as (select r_regionkey from region where r_name = 'ASIA'), na as (select * from nation where n_regionkey in (from r)), c as (select * from customer where c_nationkey in (select n_nationkey from na)),
+ s as (select * from supplier where s_nationkey in (select n_nationkey from na)), o as (select * from orders where o_custkey in (select c_custkey from c)), l as (select * from lineitem where l_orderkey in (select o_orderkey from o))
+ select 'region' table_name, count(*) n, cast(0 as decimal(38,2)) total from r union all select 'nation', count(*), 0 from na union all select 'customer', count(*), {dec('sum(cast(c_acctbal as decimal(18,2)))')} from c
+ union all select 'supplier', count(*), {dec('sum(cast(s_acctbal as decimal(18,2)))')} from s union all select 'orders', count(*), {dec('sum(cast(o_totalprice as decimal(18,2)))')} from o
+ union all select 'lineitem', count(*), {dec('sum(cast(l_extendedprice as decimal(18,2)))')} from l""")(tenant_graph)
 query("membership_diff", """with cur as (select user_id, entity_key from usermap where is_active), tgt as (select user_id, entity_key from usermap where (user_id + entity_key) % 3 <> 0)
  select *, 'ADD' change from (select * from tgt except select * from cur) union all select *, 'REMOVE' from (select * from cur except select * from tgt)""")(
     lambda b: access.membership_diff(b.user_map.where("is_active").select("user_id", "entity_key"), b.user_map.where((F.col("user_id") + F.col("entity_key")) % 3 != 0).select("user_id", "entity_key")))

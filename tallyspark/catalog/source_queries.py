@@ -14,6 +14,7 @@ from .oracle_tables import TABLES, dec
 from .registry import query
 
 n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
+MONEY = S.MONEY
 EXPORT = ["transaction_id", "company_id", "local_account_code", "posting_date", "document_number", "debit_amount", "credit_amount", "currency_code", "description"]
 
 
@@ -85,22 +86,32 @@ def journals(b):
     path = fresh_path(b.spark, "journals")
     ic = F.col("is_intercompany")
     line = lambda no, account, deb, cre: F.struct(F.lit(no).alias("LineNum"), account.alias("AccountCode"), deb.cast("string").alias("Debit"),
-                                                  cre.cast("string").alias("Credit"), F.lit("HUF").alias("FCCurrency"))
+                                                  cre.cast("string").alias("Credit"), F.when(F.col("partkey") % 3 == 0, "EUR").alias("FCCurrency"),
+                                                  F.when(F.col("partkey") % 3 == 0, (deb.cast(MONEY) * 2).cast(MONEY).cast("string")).alias("FCDebit"),
+                                                  F.when(F.col("partkey") % 3 == 0, (cre.cast(MONEY) * 2).cast(MONEY).cast("string")).alias("FCCredit"),
+                                                  F.when(F.col("partkey") % 7 != 0, F.concat(F.lit("CC"), (F.col("partkey") % 50).cast("string"))).alias("CostingCode"),
+                                                  F.when(F.col("suppkey") % 5 != 0, F.concat(F.lit("P"), (F.col("suppkey") % 20).cast("string"))).alias("ProjectCode"),
+                                                  F.concat(F.lit("line "), F.lit(no)).alias("LineMemo"))
     zero = F.lit("0.00")
     lines = []
     for i, (leg, _, d, c, d_ic, c_ic, a) in enumerate(K.LEGS):
         lines += [F.when(F.col(a).isNotNull(), line(2 * i, F.when(ic, d_ic).otherwise(d), F.col(a), zero)),
                   F.when(F.col(a).isNotNull(), line(2 * i + 1, F.when(ic, c_ic).otherwise(c), zero, F.col(a)))]
     journal = F.struct(F.col("orderkey").alias("JdtNum"), F.concat_ws("-", "orderkey", "linenumber").alias("TransId"),
-                       F.col("posting_date").cast("string").alias("ReferenceDate"), F.col("returnflag").alias("TransactionCode"),
+                       F.col("posting_date").cast("string").alias("ReferenceDate"), F.date_add("posting_date", 30).cast("string").alias("DueDate"),
+                       F.concat(F.lit("order "), F.col("orderkey")).alias("Memo"), F.col("returnflag").alias("TransactionCode"),
                        F.filter(F.array(*lines), lambda x: x.isNotNull()).alias("lines"))
     b.base().select(F.array(journal).alias("value")).write.option("maxRecordsPerFile", 1_000_000).json(path)
     return S.read_journals(b.spark, path)
 
 
-query("scan_json_journal", f"select account_code, year(posting_date) * 100 + month(posting_date) period, count(*) n, {dec('sum(debit)')} debit, {dec('sum(credit)')} credit from gl group by all")(
+query("scan_json_journal", f"""select account_code, year(posting_date) * 100 + month(posting_date) period, count(*) n, {dec('sum(debit)')} debit, {dec('sum(credit)')} credit, count(case when partkey % 3 = 0 then 1 end) foreign_lines,
+ {dec('coalesce(sum(case when partkey % 3 = 0 then 2 * (debit + credit) end), 0)')} fcy, count(distinct case when partkey % 7 <> 0 then partkey % 50 end) centres, max(case when cast(split_part(transaction_id, '-', 4) as bigint) % 5 <> 0 then 'P' || (cast(split_part(transaction_id, '-', 4) as bigint) % 20) end) last_project,
+ max(posting_date + 30) last_due, max('order ' || split_part(source_id, '-', 1)) last_memo from gl group by all""")(
     lambda b: journals(b).groupBy("account_code", (F.year("reference_date") * 100 + F.month("reference_date")).cast("long").alias("period")).agg(
-        n(), F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+        n(), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"), F.count("currency_code").alias("foreign_lines"),
+        F.coalesce(F.sum(F.col("debit_fcy") + F.col("credit_fcy")), F.lit(0).cast("decimal(38,2)")).alias("fcy"), F.countDistinct("cost_centre").alias("centres"), F.max("project").alias("last_project"),
+        F.max("due_date").alias("last_due"), F.max("memo").alias("last_memo")))
 
 
 def invoice_heads(b):
@@ -119,39 +130,62 @@ def xml_invoices(b):
     path = fresh_path(b.spark, "invoices-xml")
     invoice_heads(b).select(
         F.col("invoice_no").alias("szamlaszam"), F.col("document_date").alias("kelte"), F.col("posting_date").alias("teljesites"), F.col("customer").alias("vevo_nev"),
-        F.col("net").alias("netto_osszeg"), F.col("vat").alias("afa_osszeg"), F.col("gross").alias("brutto_osszeg"), F.lit("HUF").alias("devizanem"),
-        F.col("invoice_type").alias("szamla_tipus")).write.format("xml").options(rootTag="szamlak", rowTag="szamla").save(path)
+        F.date_add("posting_date", 8).alias("fizetesi_hatarido"), F.concat(F.lit("1"), F.substring(F.md5("customer"), 1, 7)).alias("vevo_adoszam"), F.lit("HU").alias("vevo_orszag"),
+        F.col("net").alias("netto_osszeg"), F.col("vat").alias("afa_osszeg"), F.col("gross").alias("brutto_osszeg"), F.when(F.col("invoice_type") == "NORMAL", "HUF").otherwise("EUR").alias("devizanem"),
+        F.when(F.col("invoice_type") != "NORMAL", F.lit("390.25").cast("decimal(16,6)")).alias("deviza_arfolyam"), F.col("net").alias("netto_huf"), F.col("gross").alias("brutto_huf"),
+        F.lit("BANK & cash").alias("fizetesi_mod"), F.col("invoice_type").alias("szamla_tipus"),
+        F.when(F.col("invoice_type") != "NORMAL", F.concat(F.lit("O-"), F.col("invoice_no"))).alias("eredeti_szamlaszam")).write.format("xml").options(rootTag="szamlak", rowTag="szamla").save(path)
     return S.read_invoices(b.spark, path)
 
 
-query("scan_xml_invoice", f"select customer vevo_nev, invoice_type szamla_tipus, count(*) n, {dec('sum(net)')} netto, {dec('sum(vat)')} afa, {dec('sum(gross)')} brutto, max(posting_date) utolso from inv group by all")(
+query("scan_xml_invoice", f"""select customer vevo_nev, invoice_type szamla_tipus, count(*) n, {dec('sum(net)')} netto, {dec('sum(vat)')} afa, {dec('sum(gross)')} brutto, max(posting_date) utolso, max(posting_date + 8) hatarido,
+ '1' || substr(md5(customer), 1, 7) adoszam, case when invoice_type = 'NORMAL' then 'HUF' else 'EUR' end devizanem, cast(case when invoice_type <> 'NORMAL' then 390.25 end as decimal(38,6)) arfolyam, {dec('sum(gross)')} brutto_huf,
+ max(case when invoice_type <> 'NORMAL' then 'O-' || invoice_no end) eredeti, 'BANK & cash' fizetesi_mod from inv group by all""")(
     lambda b: xml_invoices(b).groupBy("vevo_nev", "szamla_tipus").agg(n(), F.sum("netto_osszeg").alias("netto"), F.sum("afa_osszeg").alias("afa"),
-                                                                     F.sum("brutto_osszeg").alias("brutto"), F.max("teljesites").alias("utolso")))
+                                                                     F.sum("brutto_osszeg").alias("brutto"), F.max("teljesites").alias("utolso"), F.max("fizetesi_hatarido").alias("hatarido"), F.max("vevo_adoszam").alias("adoszam"),
+                                                                     F.max("devizanem").alias("devizanem"), F.max("deviza_arfolyam").alias("arfolyam"), F.sum("brutto_huf").alias("brutto_huf"),
+                                                                     F.max("eredeti_szamlaszam").alias("eredeti"), F.max("fizetesi_mod").alias("fizetesi_mod")))
 query("flatten_invoice_to_gl", f"""select invoice_type, account_code, count(*) n, {dec('sum(case when (invoice_type = $$STORNO$$) = (side = $$C$$) then v else 0 end)')} debit, {dec('sum(case when (invoice_type = $$STORNO$$) = (side = $$D$$) then v else 0 end)')} credit from (
  select invoice_type, '311' account_code, 'D' side, gross v from inv union all select invoice_type, '971', 'C', net from inv union all select invoice_type, '467', 'C', vat from inv) group by all""")(
     lambda b: S.invoices_to_gl(invoice_heads(b)).groupBy("invoice_type", "account_code").agg(n(), F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
 
 
 def layouts(b):
-    """The same sales in the three ERP layouts, each source with its own column names and text formats."""
-    s = sales(b)
-    part = lambda i: s.where(F.col("suppkey") % 3 == i)
+    """The same sales in the three ERP layouts, each source with its own column names and text formats; every column has values that differ."""
+    k, c = F.col("partkey"), F.col
+    s = sales(b).withColumns({
+        "account": F.lit("311"), "account_name": F.lit("Receivables"), "document_date": F.date_sub("posting_date", 1), "document_type": F.concat(F.lit("T"), (k % 4).cast("string")),
+        "currency": F.when(k % 3 == 0, "EUR").otherwise("HUF"), "fcy": F.when(k % 3 == 0, amount(c("debit") * 2)), "rate": F.when(k % 3 == 0, F.concat((k % 100 + 350).cast("string"), F.lit(".25"))),
+        "cost_centre": F.when(k % 7 != 0, F.concat(F.lit("CC"), (k % 50).cast("string"))), "project": F.when(c("suppkey") % 5 != 0, F.concat(F.lit("P"), (c("suppkey") % 20).cast("string"))),
+        "text": F.concat(F.lit('said; "'), c("source_id"), F.lit('"')), "year": F.year("posting_date").cast("string"), "month": F.month("posting_date").cast("string"), "version": F.lit("1.2")})
+    part = lambda i, **names: s.where(c("suppkey") % 3 == i).select(*[(c(v) if isinstance(v, str) else v).alias(n) for n, v in names.items()])
+    text = lambda name: c(name).cast("string")
     return {
-        "COBALT": part(0).select(F.col("source_id").alias("id"), F.col("company").alias("company_code"), F.lit("311").alias("account_number"),
-                                 F.col("posting_date").cast("string").alias("posting_date"), F.col("document_number").alias("voucher_number"),
-                                 F.col("debit").cast("string").alias("debit_huf"), F.col("credit").cast("string").alias("credit_huf"), F.lit("HUF").alias("currency")),
-        "SAP_B1": part(1).select(F.col("source_id").alias("TransId"), F.col("company").alias("CompanyDB"), F.lit("311").alias("AccountCode"),
-                                 F.date_format("posting_date", "yyyyMMdd").alias("ReferenceDate"), F.col("document_number").cast("long").alias("JdtNum"),
-                                 F.col("debit").cast("string").alias("Debit"), F.col("credit").cast("string").alias("Credit"), F.lit("HUF").alias("FCCurrency")),
-        "SZAMLAZZ": part(2).select(F.col("source_id").alias("transaction_id"), F.col("company").alias("company_id"), F.lit("311").alias("local_account_code"),
-                                   F.date_format("posting_date", "yyyy.MM.dd").alias("posting_date"), "document_number", comma("debit").alias("debit_amount"),
-                                   comma("credit").alias("credit_amount"), F.lit("HUF").alias("currency_code")),
+        "COBALT": part(0, id="source_id", company_code="company", account_number="account", account_name="account_name", journal_date=text("document_date"), posting_date=text("posting_date"),
+                       voucher_number="document_number", voucher_type="document_type", debit_huf=text("debit"), credit_huf=text("credit"), currency="currency", debit_fcy=text("fcy"),
+                       credit_fcy=F.lit("0.00"), exchange_rate="rate", cost_center="cost_centre", project_id="project", narration="text", is_reversed=(k % 11 == 0).cast("string"),
+                       reversal_of_id=F.when(k % 11 == 0, F.concat(F.lit("R-"), c("source_id"))), fiscal_year="year", fiscal_period="month", cobalt_version="version"),
+        "SAP_B1": part(1, TransId="source_id", CompanyDB="company", AccountCode="account", AccountName="account_name", ReferenceDate=F.date_format("posting_date", "yyyyMMdd"),
+                       JdtNum=c("document_number").cast("long"), TransactionCode="document_type", Debit=text("debit"), Credit=text("credit"), FCCurrency="currency", FCDebit=text("fcy"),
+                       FCCredit=F.lit("0.00"), CostingCode="cost_centre", ProjectCode="project", LineMemo="text"),
+        "SZAMLAZZ": part(2, transaction_id="source_id", company_id="company", local_account_code="account", account_description="account_name",
+                         transaction_date=F.date_format("document_date", "yyyy.MM.dd"), posting_date=F.date_format("posting_date", "yyyy.MM.dd"), document_number="document_number",
+                         document_type="document_type", debit_amount=comma("debit"), credit_amount=comma("credit"), currency_code="currency", debit_amount_fcy=comma("fcy"),
+                         credit_amount_fcy=F.lit("0,00"), fx_rate=F.translate("rate", ".", ","), cost_centre_code="cost_centre", project_code="project", description="text", period_year="year",
+                         period_month="month", source_system_version="version"),
     }
 
 
-query("conform_sources", f"""select case suppkey % 3 when 0 then 'COBALT' when 1 then 'SAP_B1' else 'SZAMLAZZ' end source_system, company, '311' account_code, posting_date, count(*) n, {dec('sum(debit)')} debit, max(source_id) last_id, max(document_number) last_doc from sale_rows group by all""")(
-    lambda b: S.require_known_source(S.conform_all(layouts(b)), K.SOURCE_SYSTEMS).groupBy("source_system", "company", "account_code", "posting_date").agg(
-        n(), F.sum("debit").alias("debit"), F.max("source_id").alias("last_id"), F.max("document_number").alias("last_doc")))
+query("conform_sources", f"""with s as (select *, case suppkey % 3 when 0 then 'COBALT' when 1 then 'SAP_B1' else 'SZAMLAZZ' end source_system, suppkey % 3 src from sale_rows)
+ select source_system, company, '311' account_code, posting_date, 'Receivables' account_name, count(*) n, {dec('sum(debit)')} debit, max(source_id) last_id, max(document_number) last_doc,
+ max(case when src = 1 then posting_date else posting_date - 1 end) document_date, max('T' || (partkey % 4)) document_type, max(case when partkey % 3 = 0 then 'EUR' else 'HUF' end) currency_code, {dec('sum(case when partkey % 3 = 0 then 2 * debit end)')} debit_fcy,
+ max(case when src <> 1 and partkey % 3 = 0 then cast(partkey % 100 + 350 as decimal(38,6)) + 0.25 end) fx_rate, max(case when partkey % 7 <> 0 then 'CC' || (partkey % 50) end) cost_centre, max(case when suppkey % 5 <> 0 then 'P' || (suppkey % 20) end) project,
+ min('said; "' || source_id || '"') description, count(case when src = 0 and partkey % 11 = 0 then 1 end) reversals, max(case when src = 0 and partkey % 11 = 0 then 'R-' || source_id end) reversal_of_id,
+ max(case when src <> 1 then cast(year(posting_date) as integer) end) fiscal_year, max(case when src <> 1 then cast(month(posting_date) as integer) end) fiscal_period, max(case when src <> 1 then '1.2' end) source_version from s group by all""")(
+    lambda b: S.require_known_source(S.conform_all(layouts(b)), K.SOURCE_SYSTEMS).groupBy("source_system", "company", "account_code", "posting_date", "account_name").agg(
+        n(), F.sum("debit").alias("debit"), F.max("source_id").alias("last_id"), F.max("document_number").alias("last_doc"), *[F.max(c).alias(c) for c in (
+            "document_date", "document_type", "currency_code", "fx_rate", "cost_centre", "project", "reversal_of_id", "fiscal_year", "fiscal_period", "source_version")],
+        F.sum("debit_fcy").alias("debit_fcy"), F.min("description").alias("description"), F.count(F.when(F.col("is_reversal"), 1)).alias("reversals")))
 query("ingestion_manifest")(lambda b: M.manifest(M.scan_files(b.spark, export_partitioned(b))))
 query("landing_check")(lambda b: M.landing_check(M.scan_files(b.spark, export_csv(b))))
 query("manifest_duplicates", """with f as (select doc_id file_id, sha256(text) content_hash, doc_id * 7 % 1000 received_at from documents)
@@ -213,10 +247,11 @@ def merge_by_key(b):
     return sinks.merge_partitions(path, reduce(lambda x, y: x.unionByName(y), updates), ["transaction_id"], "period_key", ["entity_key", "account_code"], ["net"])
 
 
-query("sink_merge_by_key", f"""with p as {POSTINGS}, v as (select transaction_id, period_key, net + 1 net from p where period_key >= 200001 union all select transaction_id, period_key, net + 2 from p where period_key = 200003
- union all select transaction_id, 200006, net + 5 from p where period_key = 200005 and entity_key % 3 = 0 union all select transaction_id, 200002, net + 3 from p where period_key = 199912 and entity_key % 2 = 0),
- u as (select transaction_id, cast(arg_max(period_key, net) as integer) period_key, max(net) net from v group by transaction_id)
- {BY_PERIOD} (select period_key, net from p where period_key < 200007 and transaction_id not in (select transaction_id from u) union all select period_key, net from u) group by all""")(
+query("sink_merge_by_key", f"""with p as {POSTINGS}, v as (select * replace (net + 1 as net) from p where period_key >= 200001 union all select * replace (net + 2 as net) from p where period_key = 200003
+ union all select * replace (200006 as period_key, net + 5 as net) from p where period_key = 200005 and entity_key % 3 = 0 union all select * replace (200002 as period_key, net + 3 as net) from p where period_key = 199912 and entity_key % 2 = 0),
+ r as (select * from v union all select * from p where period_key < 200007 and transaction_id in (select transaction_id from v)),
+ u as (select *, row_number() over (partition by transaction_id order by net desc, batch_id desc, entity_key desc, period_key desc) place from r)
+ {BY_PERIOD} (select cast(period_key as integer) period_key, net from p where period_key < 200007 and transaction_id not in (select transaction_id from v) union all select cast(period_key as integer), net from u where place = 1) group by all""")(
     lambda b: by_period(merge_by_key(b)))
 
 

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.money import amount
 from ..functions.periods import period_of_date
 from ..functions.text import fingerprint, parse_comma_decimal
-from ..operators import fx
+from ..operators import anomaly, fx
 from ..plans import constants as K
 from ..sources import files
 from ..streaming import jobs as J
@@ -45,9 +46,9 @@ def deduped(b):
 
 query("stream_dedupe", "select user_id, action, count(distinct cast(event_ts as date)) n, min(event_ts) first_ts from accesslog group by all")(
     lambda b: deduped(b).groupBy("user_id", "action").agg(n(), F.min("event_ts").alias("first_ts")))
-query("stream_tumbling_velocity", "select posting_date window_day, entity_key, count(*) n from gl group by all having count(*) > 2")(
-    lambda b: J.tumbling_counts(posting_stream(b).withColumn("ts", F.col("posting_date").cast("timestamp")), "velocity", "ts", ["entity_key"], "1 day").where("n > 2").select(
-        F.to_date("window_start").alias("window_day"), "entity_key", "n"))
+query("stream_tumbling_velocity", f"select posting_date window_day, account_code, count(*) n from gl group by all having count(*) > {anomaly.VELOCITY_LIMIT}")(
+    lambda b: J.tumbling_counts(posting_stream(b).withColumn("ts", F.col("posting_date").cast("timestamp")), "velocity", "ts", ["account_code"], "1 day").where(
+        F.col("n") > anomaly.VELOCITY_LIMIT).select(F.to_date("window_start").alias("window_day"), "account_code", "n"))
 query("stream_hourly_velocity", "select cast(event_ts as date) d, cast(hour(event_ts) as integer) h, action, count(*) n from accesslog group by all having count(*) > 2")(
     lambda b: J.tumbling_counts(event_stream(b), "hourly", "event_ts", ["action"], "1 hour").where("n > 2").select(
         F.to_date("window_start").alias("d"), F.hour("window_start").alias("h"), "action", "n"))
@@ -71,11 +72,19 @@ query("stream_late_split", f"select date_diff('day', last_day(posting_date), ing
 
 
 def incremental_fact(b):
-    s = posting_stream(b).select("transaction_id", "entity_key", "account_code", "net", "period_key")
-    return J.merge_table(s, "fact", ["transaction_id"], "period_key", ["entity_key", "account_code"])
-
-
-query("stream_incremental_fact", f"select period_key, account_code, count(distinct transaction_id) n, {dec('sum(net)')} net from gl group by all")(
+    """Postings and corrections of them, in files of any order: a correction has a later version, and some move to another month."""
+    p = b.ledger().select("transaction_id", "entity_key", "account_code", "net", "period_key", F.lit(0).alias("version"))
+    moved = p.where("entity_key % 4 = 1 AND period_key = 199906").withColumns({"period_key": F.lit(199908), "version": F.lit(2)})
+    fixed = p.where("entity_key % 2 = 1 AND period_key = 199906").withColumns({"net": amount(F.col("net") + 1), "version": F.lit(1)})
+    rows = p.unionByName(moved).unionByName(fixed)
+    s = J.read_landed(b.spark, J.land(rows, "corrected", POSTINGS), rows.schema, FILES)
+    return J.merge_table(s, "fact", ["transaction_id"], "period_key", ["entity_key", "account_code"], ["version"])
+
+
+query("stream_incremental_fact", f"""with p as (select transaction_id, entity_key, account_code, net, period_key, 0 version from gl), r as (select * from p
+ union all select * replace (199908 as period_key, 2 as version) from p where entity_key % 4 = 1 and period_key = 199906 union all select * replace (net + 1 as net, 1 as version) from p where entity_key % 2 = 1 and period_key = 199906),
+ u as (select *, row_number() over (partition by transaction_id order by version desc, entity_key desc, account_code desc, net desc, period_key desc) place from r)
+ select cast(period_key as integer) period_key, account_code, count(distinct transaction_id) n, {dec('sum(net)')} net from u where place = 1 group by all""")(
     lambda b: incremental_fact(b).groupBy("period_key", "account_code").agg(F.countDistinct("transaction_id").alias("n"), F.sum("net").alias("net")))
 
 

@@ -44,6 +44,31 @@ def tenant_scope(fact: DataFrame, entities: DataFrame, tenant: str) -> DataFrame
     return fact.join(entities.where(F.col("consolidation_group") == tenant).select("entity_key"), "entity_key", "left_semi")
 
 
+class ForeignKeys:
+    """A graph of tables: a predicate on one table is carried to every table that reaches it over foreign keys.
+
+    `keys`: (table, columns, parent table, parent columns). A table is scoped by a semi-join to its scoped parent, so a fact without a company column is scoped
+    through as many hops as it takes; of several ways the shortest counts, and of equally short ones all.
+    """
+
+    def __init__(self, keys: list[tuple[str, list[str], str, list[str]]]):
+        self.keys = keys
+
+    def scoped(self, tables: dict[str, DataFrame], root: str, predicate) -> dict[str, DataFrame]:
+        """Each of the tables that reaches `root`, with the rows that belong to the root's rows under the predicate."""
+        out, edge = {root: tables[root].where(predicate)}, {root}
+        while edge:
+            found: dict[str, DataFrame] = {}
+            for table, columns, parent, parents in self.keys:
+                if parent in edge and table not in out and table in tables:
+                    allowed = out[parent].select(*[F.col(p).alias(f"_{i}") for i, p in enumerate(parents)]).distinct()
+                    match = [F.col(c) == F.col(f"_{i}") for i, c in enumerate(columns)]
+                    found[table] = found.get(table, tables[table]).join(allowed, match, "left_semi")
+            out |= found
+            edge = set(found)
+        return out
+
+
 def membership_diff(current: DataFrame, target: DataFrame) -> DataFrame:
     return target.subtract(current).withColumn("change", F.lit("ADD")).unionByName(
         current.subtract(target).withColumn("change", F.lit("REMOVE")))

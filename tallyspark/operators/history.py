@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.money import ratio, sum_where
 
@@ -41,10 +41,30 @@ def scd2_apply(snapshot: DataFrame, version: DataFrame, keys: list[str], tracked
 
 
 def valid_at(facts: DataFrame, mapping: DataFrame, keys: list[str], day: str, columns: list[str]) -> DataFrame:
-    """Mapping version valid on the day (closed-open interval)."""
-    m = mapping.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"), *columns)
-    cond = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col(day) >= F.col("_vf"), F.col("_vt").isNull() | (F.col(day) < F.col("_vt"))]
-    return facts.join(m, cond).drop(*[f"_{k}" for k in keys], "_vf", "_vt")
+    """Mapping version valid on the day (closed-open intervals that don't overlap within a key), by a merge instead of a range join.
+
+    Facts and versions of a key and month are put in the order of their days, and every fact takes the last version before it. The version that
+    is still valid when a month begins is carried into it, found among one row per key and month. So the work is linear, however many
+    versions a key has, and a large key is split by month.
+    """
+    version = F.struct("valid_from", "valid_to", *columns)
+    month = lambda d: F.trunc(d, "MM")
+    named = mapping.where(F.col("valid_from").isNotNull()).select(*keys, month("valid_from").alias("_month"), F.col("valid_from").alias("_day"), version.alias("_version"))
+    asked = facts.where(F.col(day).isNotNull()).select(*keys, month(day).alias("_month")).distinct()
+    last = named.groupBy(*keys, "_month").agg(F.max(F.struct("_day", "_version"))["_version"].alias("_version"))
+    months = asked.withColumn("_asked", F.lit(1)).join(last, [*keys, "_month"], "full")
+    before = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = months.withColumn("_carried", F.last("_version", ignorenulls=True).over(before)).where("_asked = 1 AND _carried IS NOT NULL").select(
+        *keys, "_month", F.col("_month").alias("_day"), F.lit(0).alias("_turn"), F.col("_carried").alias("_version"))
+    starts = named.join(asked, [*keys, "_month"], "left_semi").select(*keys, "_month", "_day", F.lit(1).alias("_turn"), "_version")
+    rest = [c for c in facts.columns if c not in keys]
+    rows = facts.where(F.col(day).isNotNull()).select(*keys, month(day).alias("_month"), F.col(day).alias("_day"), F.lit(2).alias("_turn"), F.struct(*rest).alias("_fact"))
+    timeline = carried.unionByName(starts).unionByName(rows, allowMissingColumns=True)
+    upto = Window.partitionBy(*keys, "_month").orderBy("_day", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    merged = timeline.withColumn("_valid", F.last("_version", ignorenulls=True).over(upto)).where("_turn = 2")
+    valid = F.col("_valid").isNotNull() & (F.col("_valid.valid_to").isNull() | (F.col("_day") < F.col("_valid.valid_to")))
+    found = merged.where(valid).select(*keys, "_fact.*", *[F.col(f"_valid.{c}").alias(c) for c in columns])
+    return found.select(*facts.columns, *columns)
 
 
 def restatement(postings: DataFrame, keys: list[str], late) -> DataFrame:

@@ -32,52 +32,73 @@ def read_since(spark: SparkSession, path: str, columns: list[str], since: str) -
 
 
 JOURNAL_SCHEMA = ("value ARRAY<STRUCT<JdtNum: BIGINT, TransId: STRING, ReferenceDate: STRING, DueDate: STRING, Memo: STRING, "
-                  "TransactionCode: STRING, lines: ARRAY<STRUCT<LineNum: INT, AccountCode: STRING, Debit: STRING, Credit: STRING, "
-                  "FCCurrency: STRING, CostingCode: STRING, ProjectCode: STRING>>>>")
+                  "TransactionCode: STRING, lines: ARRAY<STRUCT<LineNum: INT, AccountCode: STRING, AccountName: STRING, Debit: STRING, Credit: STRING, "
+                  "DebitSys: STRING, CreditSys: STRING, FCCurrency: STRING, FCDebit: STRING, FCCredit: STRING, CostingCode: STRING, ProjectCode: STRING, "
+                  "LineMemo: STRING>>>>")
+MONEY = "decimal(18,2)"
 
 
 def read_journals(spark: SparkSession, path: str) -> DataFrame:
     """Pages of journals with nested lines, flattened to one row per line. One page per text line keeps files splittable."""
     pages = spark.read.schema(JOURNAL_SCHEMA).json(path)
     journals = pages.select(F.explode("value").alias("j")).select("j.*")
-    return journals.select("JdtNum", "TransId", "ReferenceDate", "TransactionCode", F.explode("lines").alias("l")).select(
-        "JdtNum", "TransId", F.to_date("ReferenceDate").alias("reference_date"), "TransactionCode", F.col("l.LineNum").alias("line_num"),
-        F.col("l.AccountCode").alias("account_code"), F.col("l.Debit").cast("decimal(18,2)").alias("debit"),
-        F.col("l.Credit").cast("decimal(18,2)").alias("credit"), F.col("l.FCCurrency").alias("currency_code"))
+    line = lambda name, alias: F.col(f"l.{name}").alias(alias)
+    money = lambda name, alias: F.col(f"l.{name}").try_cast(MONEY).alias(alias)
+    return journals.select("JdtNum", "TransId", "ReferenceDate", "DueDate", "Memo", "TransactionCode", F.explode("lines").alias("l")).select(
+        "JdtNum", "TransId", F.to_date("ReferenceDate").alias("reference_date"), F.to_date("DueDate").alias("due_date"), F.col("Memo").alias("memo"), "TransactionCode",
+        line("LineNum", "line_num"), line("AccountCode", "account_code"), line("AccountName", "account_name"), money("Debit", "debit"), money("Credit", "credit"),
+        money("DebitSys", "debit_system"), money("CreditSys", "credit_system"), line("FCCurrency", "currency_code"), money("FCDebit", "debit_fcy"), money("FCCredit", "credit_fcy"),
+        line("CostingCode", "cost_centre"), line("ProjectCode", "project"), line("LineMemo", "line_memo"))
 
 
-INVOICE_SCHEMA = ("szamlaszam STRING, kelte DATE, teljesites DATE, vevo_nev STRING, netto_osszeg DECIMAL(18,2), afa_osszeg DECIMAL(18,2), "
-                  "brutto_osszeg DECIMAL(18,2), devizanem STRING, szamla_tipus STRING, megjegyzes STRING")
+INVOICE_SCHEMA = ("szamlaszam STRING, kelte DATE, teljesites DATE, fizetesi_hatarido DATE, vevo_nev STRING, vevo_adoszam STRING, vevo_orszag STRING, netto_osszeg DECIMAL(18,2), "
+                  "afa_osszeg DECIMAL(18,2), brutto_osszeg DECIMAL(18,2), devizanem STRING, deviza_arfolyam DECIMAL(16,6), netto_huf DECIMAL(18,2), brutto_huf DECIMAL(18,2), "
+                  "fizetesi_mod STRING, szamla_tipus STRING, eredeti_szamlaszam STRING, megjegyzes STRING, exported_at TIMESTAMP")
 
 
 def read_invoices(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").schema(INVOICE_SCHEMA).option("rowTag", "szamla").load(path)
 
 
-LEDGER_COLUMNS = ["source_system", "source_id", "company", "account_code", "posting_date", "document_number", "debit", "credit", "currency_code"]
+LEDGER_SCHEMA = {
+    "source_id": "string", "company": "string", "account_code": "string", "account_name": "string", "document_date": "date", "posting_date": "date", "document_number": "string",
+    "document_type": "string", "debit": MONEY, "credit": MONEY, "currency_code": "string", "debit_fcy": MONEY, "credit_fcy": MONEY, "fx_rate": "decimal(16,6)", "cost_centre": "string",
+    "project": "string", "description": "string", "is_reversal": "boolean", "reversal_of_id": "string", "fiscal_year": "int", "fiscal_period": "int", "source_version": "string"}
+LEDGER_COLUMNS = ["source_system", *LEDGER_SCHEMA]
+#: Column of each layout for each ledger column; what a layout does not have is null.
+LAYOUTS = {
+    "COBALT": {"source_id": "id", "company": "company_code", "account_code": "account_number", "account_name": "account_name", "document_date": "journal_date", "posting_date": "posting_date",
+               "document_number": "voucher_number", "document_type": "voucher_type", "debit": "debit_huf", "credit": "credit_huf", "currency_code": "currency", "debit_fcy": "debit_fcy",
+               "credit_fcy": "credit_fcy", "fx_rate": "exchange_rate", "cost_centre": "cost_center", "project": "project_id", "description": "narration", "is_reversal": "is_reversed",
+               "reversal_of_id": "reversal_of_id", "fiscal_year": "fiscal_year", "fiscal_period": "fiscal_period", "source_version": "cobalt_version"},
+    "SAP_B1": {"source_id": "TransId", "company": "CompanyDB", "account_code": "AccountCode", "account_name": "AccountName", "document_date": "ReferenceDate", "posting_date": "ReferenceDate",
+               "document_number": "JdtNum", "document_type": "TransactionCode", "debit": "Debit", "credit": "Credit", "currency_code": "FCCurrency", "debit_fcy": "FCDebit",
+               "credit_fcy": "FCCredit", "cost_centre": "CostingCode", "project": "ProjectCode", "description": "LineMemo"},
+    "SZAMLAZZ": {"source_id": "transaction_id", "company": "company_id", "account_code": "local_account_code", "account_name": "account_description", "document_date": "transaction_date",
+                 "posting_date": "posting_date", "document_number": "document_number", "document_type": "document_type", "debit": "debit_amount", "credit": "credit_amount",
+                 "currency_code": "currency_code", "debit_fcy": "debit_amount_fcy", "credit_fcy": "credit_amount_fcy", "fx_rate": "fx_rate", "cost_centre": "cost_centre_code",
+                 "project": "project_code", "description": "description", "fiscal_year": "period_year", "fiscal_period": "period_month", "source_version": "source_system_version"},
+}
+DATE_FORMATS = {"COBALT": "yyyy-MM-dd", "SAP_B1": "yyyyMMdd", "SZAMLAZZ": "yyyy.MM.dd"}
 
 
 def conform(df: DataFrame, source_system: str) -> DataFrame:
-    """One ERP layout to the common ledger columns; an unknown source stops the job."""
-    c = F.col
-    if source_system == "COBALT":
-        typed = df.select(c("id").alias("source_id"), c("company_code").alias("company"), c("account_number").alias("account_code"),
-                          c("posting_date").cast("date").alias("posting_date"), c("voucher_number").alias("document_number"),
-                          c("debit_huf").try_cast("decimal(18,2)").alias("debit"), c("credit_huf").try_cast("decimal(18,2)").alias("credit"),
-                          c("currency").alias("currency_code"))
-    elif source_system == "SAP_B1":
-        typed = df.select(c("TransId").alias("source_id"), c("CompanyDB").alias("company"), c("AccountCode").alias("account_code"),
-                          F.to_date("ReferenceDate", "yyyyMMdd").alias("posting_date"), c("JdtNum").cast("string").alias("document_number"),
-                          c("Debit").try_cast("decimal(18,2)").alias("debit"), c("Credit").try_cast("decimal(18,2)").alias("credit"),
-                          c("FCCurrency").alias("currency_code"))
-    elif source_system == "SZAMLAZZ":
-        typed = df.select(c("transaction_id").alias("source_id"), c("company_id").alias("company"), c("local_account_code").alias("account_code"),
-                          F.to_date("posting_date", "yyyy.MM.dd").alias("posting_date"), "document_number",
-                          parse_comma_decimal("debit_amount").alias("debit"), parse_comma_decimal("credit_amount").alias("credit"),
-                          c("currency_code").alias("currency_code"))
-    else:
+    """One ERP layout to the common ledger columns, each with its own date and number format; an unknown source stops the job."""
+    if source_system not in LAYOUTS:
         raise ValueError(f"unknown source system {source_system}")
-    return typed.select(F.lit(source_system).alias("source_system"), *LEDGER_COLUMNS[1:])
+    names = LAYOUTS[source_system]
+
+    def typed(column: str, kind: str):
+        if names.get(column) not in df.columns:
+            return F.lit(None).cast(kind)
+        c = F.col(names[column])
+        if kind == "date":
+            return F.to_date(c.cast("string"), DATE_FORMATS[source_system])
+        if kind.startswith("decimal") and source_system == "SZAMLAZZ":
+            return (parse_comma_decimal(names[column]) if kind == MONEY else F.translate(c, ",", ".")).try_cast(kind)
+        return c.try_cast(kind)
+
+    return df.select(F.lit(source_system).alias("source_system"), *[typed(c, kind).alias(c) for c, kind in LEDGER_SCHEMA.items()])
 
 
 def conform_all(frames: dict[str, DataFrame]) -> DataFrame:

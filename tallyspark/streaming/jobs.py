@@ -2,15 +2,18 @@
 
 Files may arrive in any order, so no job drops or misjudges a row for being late. Row jobs use the file sink (exactly once). Counting jobs
 write what a batch adds to a folder of that batch: a repeated batch overwrites its own folder, counts of the same window add up when
-the table is read, and sessions that touch are joined then. No job keeps state between batches besides its tables.
+the table is read, and sessions that touch are joined then. Alerts are decided by a keyed state operator that holds the recent days of
+each rule and company and hands on signed changes; what is older than that is settled when the table is read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.windows import first_per_key
 from ..session import fresh_path
@@ -69,20 +72,21 @@ def batch_table(stream: DataFrame, label: str, per_batch, partition: str | None
     return table().drop(EPOCH)
 
 
-def merge_table(stream: DataFrame, label: str, keys: list[str], partition: str, cluster: list[str]) -> DataFrame:
-    """Every micro-batch is merged into a partitioned fact; a repeated batch changes nothing."""
+def merge_table(stream: DataFrame, label: str, keys: list[str], partition: str, cluster: list[str], version: list[str] | None = None) -> DataFrame:
+    """Every micro-batch is merged into a partitioned fact; a repeated batch changes nothing. With `version` columns the order of files doesn't matter either."""
     spark = stream.sparkSession
     out = fresh_path(spark, label)
     columns = stream.columns
     spark.createDataFrame([], stream.schema).write.partitionBy(partition).parquet(out)
-    (stream.writeStream.foreachBatch(lambda batch, epoch: sinks.merge_partitions(out, batch.select(*columns), keys, partition, cluster))
+    (stream.writeStream.foreachBatch(lambda batch, epoch: sinks.merge_partitions(out, batch.select(*columns), keys, partition, cluster, version))
      .option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint")).trigger(availableNow=True).start().awaitTermination())
     return spark.read.schema(stream.schema).parquet(out)
 
 
 def dedupe_table(stream: DataFrame, label: str, time: str, keys: list[str]) -> DataFrame:
-    """One row per key, whatever the order and distance of the files: keys belong to one day of `time`, so a batch is compared with the
-    days that it touches, read by partition. The days of a batch are read to the driver; the calendar bounds them."""
+    """The earliest row per key, whatever the order and distance of the files: keys belong to one day of `time`, so a batch is compared with the
+    days that it touches, read by partition. A batch adds rows of new keys and rows that are earlier than those known; of a key's few
+    rows the earliest is taken when the table is read. The days of a batch are read to the driver; the calendar bounds them."""
     day = "event_day"
 
     def new(batch: DataFrame, before: DataFrame | None) -> DataFrame:
@@ -91,9 +95,10 @@ def dedupe_table(stream: DataFrame, label: str, time: str, keys: list[str]) -> D
             return rows
         days = [r[0] for r in rows.select(day).distinct().collect()]
         known = before.where(F.col(day).isin(days)) if days else before.limit(0)
-        return rows.join(known.select(day, *keys), [day, *keys], "left_anti").select(*rows.columns)
+        first = known.groupBy(day, *keys).agg(F.min(time).alias("_known"))
+        return rows.join(first, [day, *keys], "left").where(F.col("_known").isNull() | (F.col(time) < F.col("_known"))).select(*rows.columns)
 
-    return batch_table(stream, label, new, day)
+    return first_per_key(batch_table(stream, label, new, day), [day, *keys], [time])
 
 
 def window_counts(stream: DataFrame, label: str, window: Column, keys: list[str]) -> DataFrame:
@@ -131,10 +136,121 @@ def join_sessions(parts: DataFrame, keys: list[str]) -> DataFrame:
         "session_start", "session_end", *keys, "n")
 
 
-def cooldown_table(stream: DataFrame, label: str, hours: int) -> DataFrame:
-    """Alerts that fire out of all candidates of the stream. Candidates are kept as they come; which of them fire is decided in the order
-    of their times, not of their arrival."""
-    return fired(append_table(stream.select("rule_code", "entity_code", "raised_at"), label), hours)
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+HOUR, DAY = 3_600_000_000, 86_400_000_000  # microseconds
+CANDIDATE, FIRED, WITHDRAWN, LATE = 0, 1, -1, 2
+CHANGES = "rule_code string, entity_code string, raised_at bigint, change int"
+
+
+class Cooldown(StatefulProcessor):
+    """Decides one rule and company's alerts as its candidates come, in any order.
+
+    State: per day the candidates' times and those that fired, for the last `keep` days that the key has seen, and the last alert before
+    these. New candidates are decided again from the earliest of them on, until the chain meets an alert that had fired before; only
+    the days on the way are read. Days that fall behind are dropped, and candidates that come for them are handed on as late.
+    """
+
+    def __init__(self, hours: int, keep: int):
+        self.gap, self.keep = hours * HOUR, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.days = handle.getMapState("days", "day long", "times array<long>, fired array<long>")
+        self.before = handle.getValueState("before", "day long, last long")
+
+    def _day(self, day: int) -> tuple[list, list]:
+        found = self.days.getValue((day,)) if self.days.containsKey((day,)) else ([], [])
+        return list(found[0]), list(found[1])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = sorted({int(t) for part in rows for t in part["at"]})
+        first, last = self.before.get() if self.before.exists() else (None, None)  # the first day still held, and the last alert before it
+        out = [(t, LATE) for t in new if first is not None and t // DAY < first]
+        new = [t for t in new if first is None or t // DAY >= first]
+        if new:
+            held = {d: self._day(d) for d in sorted({t // DAY for t in new})}
+            for t in new:
+                times = held[t // DAY][0]
+                at = bisect_left(times, t)
+                if at == len(times) or times[at] != t:
+                    times.insert(at, t)
+            known = sorted({k[0] for k in self.days.keys()} | set(held)) if self.days.exists() else sorted(held)
+            out += self._decide(new, held, known, last)
+            for d, (times, fired) in held.items():
+                self.days.updateValue((d,), (times, fired))
+            gone = [d for d in known if d <= known[-1] - self.keep]
+            for d in gone:
+                fired = self._day(d)[1]
+                last = fired[-1] if fired else last
+                self.days.removeKey((d,))
+            if gone:
+                self.before.update((known[-1] - self.keep + 1, last))
+        named = {c: pd.Series([key[i]] * len(out), dtype=object) for i, c in enumerate(("rule_code", "entity_code"))}
+        yield pd.DataFrame({**named, "raised_at": pd.Series([t for t, _ in out], dtype="int64"), "change": pd.Series([c for _, c in out], dtype="int32")})
+
+    def _decide(self, new: list, held: dict, known: list, last: int | None) -> list:
+        """Changes (time, FIRED or WITHDRAWN) when candidates are decided anew from the first new one on; `held` takes the days that were read."""
+        out, start = [], new[0]
+
+        def of(day):
+            if day not in held:
+                held[day] = self._day(day)
+            return held[day]
+
+        for day in reversed([d for d in known if d <= start // DAY]):
+            earlier = [t for t in of(day)[1] if t < start]
+            if earlier:
+                last = earlier[-1]
+                break
+        for day in [d for d in known if d >= start // DAY]:
+            times, fired = of(day)
+            now, settled = [t for t in fired if t < start], False
+            for t in times[bisect_left(times, start):]:
+                if last is None or t >= last + self.gap:
+                    last = t
+                    now.append(t)
+                    if t in fired and t >= new[-1]:  # from here on nothing changes
+                        now += [x for x in fired if x > t]
+                        settled = True
+                        break
+            out += [(t, FIRED) for t in now if t not in fired] + [(t, WITHDRAWN) for t in fired if t not in now]
+            held[day] = (times, now)
+            if settled:
+                break
+        return out
+
+
+KEEP_DAYS = 400
+
+
+def cooldown_changes(stream: DataFrame, label: str, hours: int, keep_days: int = KEEP_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Runs the stream to the end: (candidates as they came, changes: rule_code, entity_code, raised_at in microseconds, change)."""
+    spark = stream.sparkSession
+    named = stream.select("rule_code", "entity_code", "raised_at").where("raised_at IS NOT NULL")
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        candidates = append_table(named, label)
+        decided = named.select("rule_code", "entity_code", F.unix_micros("raised_at").alias("at")).groupBy("rule_code", "entity_code").transformWithStateInPandas(
+            statefulProcessor=Cooldown(hours, keep_days), outputStructType=CHANGES, outputMode="Append", timeMode="None")
+        changes = append_table(decided, f"{label}-changes")
+    finally:
+        spark.conf.set(STATE_STORE[0], before) if before else spark.conf.unset(STATE_STORE[0])
+    return candidates, changes
+
+
+def cooldown_table(stream: DataFrame, label: str, hours: int, keep_days: int = KEEP_DAYS) -> DataFrame:
+    """Alerts that fire out of all candidates of the stream, in the order of their times, not of their arrival.
+
+    The changes of an alert add up to whether it fires. Rules and companies with late candidates, beyond the days that the state holds, are
+    decided again from all their candidates when the table is read.
+    """
+    keys = ["rule_code", "entity_code"]
+    candidates, changes = cooldown_changes(stream, label, hours, keep_days)
+    late = changes.where(F.col("change") == LATE).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = F.col("rule_code").eqNullSafe(F.col("_rule_code")) & F.col("entity_code").eqNullSafe(F.col("_entity_code"))
+    summed = changes.where(F.col("change") != LATE).groupBy(*keys, "raised_at").agg(F.sum("change").alias("n")).where("n > 0")
+    settled = summed.join(late, same, "left_anti").select(*keys, F.timestamp_micros("raised_at").alias("raised_at"))
+    return settled.unionByName(fired(candidates.join(late, same, "left_semi"), hours))
 
 
 def fired(candidates: DataFrame, hours: int) -> DataFrame:

@@ -374,3 +374,125 @@ def test_several_relations_of_a_pair_do_not_double(spark):
         (1, 2, "OK"), (2, 2, "OK"), (3, 1, "OUT_OF_BALANCE"), (4, 1, "OUT_OF_BALANCE"), (6, 0, "NO_ACTIVITY")}
     dated = registry.withColumns({"valid_from": F.to_date(F.lit("1999-01-01"))})
     assert intercompany.flag_effective_dated(ledger.withColumn("posting_date", F.to_date(F.lit("2000-01-05"))), dated).count() == 8
+
+
+def cooled(rows, hours):
+    """Alerts by walking through each key's times."""
+    out, last = [], {}
+    for rule, entity, t in sorted((r for r in rows if r[2] is not None), key=lambda r: (str(r[:2]), r[2])):
+        at = last.get((rule, entity))
+        if at is None or t >= at + timedelta(hours=hours):
+            out.append((rule, entity, t))
+            last[rule, entity] = t
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("keep", [400, 3])
+def test_stream_cooldown_in_any_order(spark, tmp_path, keep):
+    """Files in random order, copies of candidates, null keys; with few days of state most files are late, and nothing else changes."""
+    rng = random.Random(keep)
+    rows = [(rng.choice(["r", "s", None]), rng.choice("ab"), datetime(2024, 1, 1) + timedelta(minutes=rng.randint(0, 60_000))) for _ in range(600)]
+    rows += rows[:50] + [("r", "a", None)]
+    rng.shuffle(rows)
+    schema = "rule_code string, entity_code string, raised_at timestamp"
+    parts = [spark.createDataFrame(rows[i::6], schema) for i in range(6)]
+    got = jobs.cooldown_table(landed(spark, tmp_path / "in", parts), "cooled", 30, keep).collect()
+    assert sorted(map(tuple, got), key=str) == cooled(rows, 30)
+
+
+def test_cooldown_changes_touch_their_own_keys_and_stop_where_the_chain_meets(spark, tmp_path):
+    at = lambda d, h=0: datetime(2024, 1, 1) + timedelta(days=d, hours=h)
+    schema = "rule_code string, entity_code string, raised_at timestamp"
+    first = [("r", "a", at(d)) for d in range(0, 40, 4)] + [("r", "b", at(3))]
+    second = [("r", "a", at(5))]  # between alerts: it fires, and those after it that it silences are withdrawn until the chain is the old one
+    stream = landed(spark, tmp_path / "in", [spark.createDataFrame(x, schema) for x in (first, second)])
+    _, changes = jobs.cooldown_changes(stream, "changes", 24 * 2)
+    rows = [(r.entity_code, (r.raised_at - 1704067200000000) // jobs.DAY, r.change) for r in changes.collect()]
+    assert sorted(x for x in rows if x[0] == "b") == [("b", 3, 1)]
+    assert sorted(r[1:] for r in rows if r[0] == "a") == sorted([(d, 1) for d in range(0, 40, 4)])
+    _, changes = jobs.cooldown_changes(landed(spark, tmp_path / "in2", [spark.createDataFrame(x, schema) for x in (first, [("r", "a", at(6))])]), "changes", 24 * 2)
+    rows = sorted(((r.raised_at - 1704067200000000) // jobs.DAY, r.change) for r in changes.collect() if r.entity_code == "a")
+    assert rows == sorted([(d, 1) for d in range(0, 40, 4)] + [(6, 1)])
+    _, changes = jobs.cooldown_changes(landed(spark, tmp_path / "in3", [spark.createDataFrame(x, schema) for x in (first, [("r", "a", at(7))])]), "changes", 24 * 2)
+    rows = sorted(((r.raised_at - 1704067200000000) // jobs.DAY, r.change) for r in changes.collect() if r.entity_code == "a")
+    assert rows == sorted([(d, 1) for d in range(0, 40, 4)] + [(7, 1), (8, -1)])
+
+
+def test_stream_dedupe_takes_the_earliest(spark, tmp_path):
+    """The later time comes in the first file, and in the second one a time between."""
+    at = lambda h, m=0: datetime(2024, 1, 1, h, m)
+    schema = "k int, t timestamp, v int"
+    files = [[(1, at(10), 1), (2, at(9), 1)], [(1, at(8), 2), (3, at(1), 2)], [(1, at(9), 3), (2, at(9, 30), 3)]]
+    out = jobs.dedupe_table(landed(spark, tmp_path / "in", [spark.createDataFrame(f, schema) for f in files]), "first", "t", ["k"])
+    assert sorted((r.k, r.t, r.v) for r in out.collect()) == [(1, at(8), 2), (2, at(9), 1), (3, at(1), 2)]
+
+
+def test_merge_moves_keys_and_takes_one_version(spark):
+    path = fresh_path(spark, "t")
+    rows = lambda r: spark.createDataFrame(r, "id string, v int, p int")
+    sinks.write_partitioned(rows([("a", 1, 1), ("b", 1, 1), ("z", 1, 3)]), path, "p", ["id"])
+    load = rows([("a", 2, 2), ("c", 1, 2), ("c", 7, 2), ("c", 3, 1), ("z", 0, 2)])
+    for _ in range(2):
+        assert sorted(map(tuple, sinks.merge_partitions(path, load, ["id"], "p", ["id"], ["v"]).collect())) == [("a", 2, 2), ("b", 1, 1), ("c", 7, 2), ("z", 1, 3)]
+    # without versions the load wins, and a partition that is left empty goes
+    assert sorted(map(tuple, sinks.merge_partitions(path, rows([("z", 0, 2)]), ["id"], "p", ["id"]).collect())) == [("a", 2, 2), ("b", 1, 1), ("c", 7, 2), ("z", 0, 2)]
+    assert not sinks.exists(spark, f"{path}/p=3")
+    target = rows([("a", 1, 1)])
+    assert sorted(map(tuple, sinks.inserted(target, rows([("a", 9, 1), ("n", 1, 1), ("n", 2, 1)]), ["id"], ["v"]).collect())) == [("a", 1, 1), ("n", 2, 1)]
+
+
+def test_hierarchy_of_a_hundred_levels(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(101)] + [(500, None), (501, 77)], "entity_key int, parent_key int")
+    got = {(r.ancestor_key, r.descendant_key): r.depth for r in dims.entity_hierarchy(chain).collect()}
+    want = {(a, d): d - a for d in range(101) for a in range(d + 1)} | {(500, 500): 0, (501, 501): 0} | {(a, 501): 78 - a for a in range(78)}
+    assert got == want
+    ring = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 3), (5, None)], "entity_key int, parent_key int")
+    with pytest.raises(ValueError, match="cycle through 1, 2, 3"):
+        dims.entity_hierarchy(ring)
+
+
+def test_valid_at_with_many_versions(spark):
+    """One key has 100,000 versions, with gaps; others have none or one that is still open."""
+    rng = random.Random(2)
+    begin = date(1800, 1, 1)
+    days = sorted(rng.sample(range(120_000), 100_000))
+    versions = [("k", begin + timedelta(d), begin + timedelta(d + 1 if i % 7 == 0 else (days[i + 1] if i + 1 < len(days) else d + 5)), i) for i, d in enumerate(days)]
+    versions.append(("open", begin + timedelta(10), None, -1))
+    facts = [(rng.choice(["k", "open", "none"]), begin + timedelta(rng.randint(0, 121_000)), i) for i in range(3000)] + [("k", None, 9999)]
+    got = H.valid_at(spark.createDataFrame(facts, "key string, day date, id int"), spark.createDataFrame(versions, "key string, valid_from date, valid_to date, v int"), ["key"], "day", ["v"])
+    at = {}
+    for key, start, end, v in versions[:-1]:
+        for d in range((end - start).days):
+            at.setdefault(start + timedelta(d), v)
+    want = sorted((k, d, i, at[d] if k == "k" else -1) for k, d, i in facts if d and ((k == "k" and d in at) or (k == "open" and d >= begin + timedelta(10))))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_alerts_fire_once_and_move_forward(spark):
+    entities = spark.createDataFrame([(1, "E1"), (2, "E2")], "entity_key int, entity_code string")
+    rules = spark.createDataFrame([("R", "cash", "ALL", "<", 10.0, "ABSOLUTE", "HIGH", 24)], K.RULE_COLUMNS).withColumn("cooldown_hours", F.col("cooldown_hours").cast("int"))
+    kpis = spark.createDataFrame([(1, 200001, "cash", 5.0), (1, 200002, "cash", 4.0), (2, 200002, "cash", 50.0)], "entity_key int, period_key int, kpi_name string, value double").withColumns(
+        {"budget_value": F.lit(None).cast("double"), "py_value": F.lit(None).cast("double")})
+    at = lambda h: F.lit(datetime(2000, 3, 1, 0) + timedelta(hours=h))
+    keep = lambda df: spark.createDataFrame(df.collect(), alerts.LOG)
+    log = keep(alerts.evaluate_into(None, kpis, rules, entities, at(0)))
+    assert [(r.entity_code, r.period_key, r.status) for r in log.collect()] == [("E1", 200002, "OPEN")]
+    for hour, n in ((0, 1), (23, 1), (24, 2)):
+        assert alerts.evaluate_into(log, kpis, rules, entities, at(hour)).count() == n
+    ident = log.first().alert_id
+    change = lambda *c: spark.createDataFrame([(ident, s, datetime(2000, 3, 1, h)) for s, h in c], "alert_id string, status string, at timestamp")
+    log = keep(alerts.advance(log, change(("ACKNOWLEDGED", 2), ("ACKNOWLEDGED", 1), ("OPEN", 0))))
+    assert (log.first().status, log.first().acknowledged_at.hour) == ("ACKNOWLEDGED", 1)
+    assert alerts.evaluate_into(log, kpis, rules, entities, at(5)).count() == 1
+    log = keep(alerts.advance(alerts.advance(log, change(("CLOSED", 4))), change(("ACKNOWLEDGED", 6))))
+    assert (log.first().status, log.first().closed_at.hour) == ("CLOSED", 4)
+    assert alerts.evaluate_into(log, kpis, rules, entities, at(0)).count() == 1 and alerts.evaluate_into(log, kpis, rules, entities, at(5)).count() == 2
+
+
+def test_registry_stays_without_an_optional_library():
+    import subprocess
+    import sys
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) > 300 and 'pl_monthly' in q and set(e.oracle_sql()) <= set(q)"
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
