@@ -68,9 +68,16 @@ def anomaly_queue(b, with_forest):
     return A.build_queue(history(b), CURRENT, b.ledger(), storno_mapped(b), balance_check(b.nodes), mapped, same, LARGE, FAST, with_forest)
 
 
-# the forest's rows have a query of their own above; all others are compared row by row
+def queue_rows(b, with_forest):
+    return anomaly_queue(b, with_forest).select(
+        "entity_key", "period_key", "anomaly_class", "detection_method", "severity", "kpi_affected", *[F.round(F.col(c) * (1 + 1e-12), 2).alias(c) for c in A.EVIDENCE[:3]],
+        R4("z_score", "z_score"), "anomaly_score", "status")
+
+
+# the whole queue; a forest has no SQL, so a test compares it with the rules' rows below and with a plain forest
+query("anomaly_queue")(lambda b: queue_rows(b, True))
 _FOUND = "cast(count(*) as double)"
-query("anomaly_queue", f"""with f as (select *, count(*) over (partition by entity_code, row_hash) c from (select entity_key, entity_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl)),
+query("anomaly_queue_rules", f"""with f as (select *, count(*) over (partition by entity_code, row_hash) c from (select entity_key, entity_code, period_key, sha256(entity_code || '|' || account_code || '|' || period_key || '|' || cast(debit as varchar) || '|' || cast(credit as varchar)) row_hash from gl)),
  gm as (select g.*, universal_node from gl g join coa c on c.account_code = g.account_code where period_key = {CURRENT}),
  q as (select entity_key, 'STATISTICAL' anomaly_class, 'ZSCORE' detection_method, severity, kpi kpi_affected, "value" current_value, m historical_mean, s historical_std, z z_score from zs where abs(z) > 2.5
  union all select entity_key, 'STATISTICAL', 'BUDGET_GATE', 'HIGH', 'revenue_variance_pct', cast(revenue_variance_pct as double), null, null, null from hist where revenue_variance_pct < -15 and period_key = {CURRENT}
@@ -83,9 +90,7 @@ query("anomaly_queue", f"""with f as (select *, count(*) over (partition by enti
  union all select entity_key, 'BEHAVIOURAL', 'RULE_ENGINE', 'MEDIUM', 'POSTING_VELOCITY', cast(max(n) as double), null, null, null from (select entity_key, posting_date, universal_node, count(*) n from gm group by all having count(*) > {FAST}) group by entity_key)
  select entity_key, {CURRENT} period_key, anomaly_class, detection_method, severity, kpi_affected, round(current_value * (1 + 1e-12), 2) current_value, round(historical_mean * (1 + 1e-12), 2) historical_mean,
  round(historical_std * (1 + 1e-12), 2) historical_std, round(z_score * (1 + 1e-12), 4) z_score, cast(null as double) anomaly_score, 'OPEN' status from q""")(
-    lambda b: anomaly_queue(b, False).select(
-        "entity_key", "period_key", "anomaly_class", "detection_method", "severity", "kpi_affected", *[F.round(F.col(c) * (1 + 1e-12), 2).alias(c) for c in A.EVIDENCE[:3]],
-        R4("z_score", "z_score"), "anomaly_score", "status"))
+    lambda b: queue_rows(b, False))
 
 # ---- forecasts ------------------------------------------------------------------------------------------------
 TABLES["ser"] = """select s.*, (period_key // 100) * 12 + period_key % 100 - 1 mi from (select period_key, entity_key, unnest(['revenue', 'cogs', 'gross_profit', 'ebitda', 'net_profit', 'operating_cash_flow']) kpi,
@@ -136,6 +141,16 @@ _SUM = lambda e: f"list_reduce(list_prepend(0.0::double, {e}), lambda a, x: a +
 query("schema_doc_knn", f"""select doc_id, round(0.7::double * ({_SUM(f'list_transform(list_zip({_V}, {_Q}), lambda p: p[1] * p[2])')} / (sqrt({_SUM(f'list_transform({_V}, lambda x: x * x)')}) * {sum(x * x for x in QUERY) ** 0.5!r}::double))
  + (1 - 0.7::double) * (cast({' + '.join(f"contains(lower(text), '{w}')::int" for w in WORDS)} as double) / 3), 6) score from documents join embeddings on vec_id = doc_id order by score desc, doc_id limit 25""")(
     lambda b: R.top_matches(b.t("documents").select("doc_id", "text").join(b.t("embeddings").select("vec_id", "embedding"), F.col("vec_id") == F.col("doc_id")), QUERY, WORDS, 25))
+_OWN = lambda v: f"list_transform({v}, lambda x: cast(x as double))"
+query("schema_doc_knn_many", f"""with v as (select vec_id, {_OWN('embedding')} e, sqrt({_SUM(f"list_transform({_OWN('embedding')}, lambda x: x * x)")}) size from embeddings),
+ q as (select vec_id question_id, e, size, case when vec_id % 100 = 0 then ['the', 'data'] else ['er'] end words from v where vec_id % 50 = 0),
+ s as (select question_id, doc_id, round(0.7::double * ({_SUM('list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2])')} / (q.size * v.size))
+  + (1 - 0.7::double) * (cast(len(list_filter(words, lambda w: contains(lower(text), w))) as double) / len(words)), 6) score from documents join v on v.vec_id = doc_id cross join q)
+ select * from (select question_id, cast(row_number() over (partition by question_id order by score desc, doc_id) as integer) place, doc_id, score from s) where place <= 10""")(
+    lambda b: R.top_matches_many(
+        b.t("documents").select("doc_id", "text").join(b.t("embeddings").select("vec_id", "embedding"), F.col("vec_id") == F.col("doc_id")),
+        b.t("embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("question_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"),
+                                                          F.when(F.col("vec_id") % 100 == 0, F.array(F.lit("the"), F.lit("data"))).otherwise(F.array(F.lit("er"))).alias("words")), 10))
 _PC = lambda t, c, typ, e: f"select '{c}' column_name, '{typ}' data_type, count(*) as \"rows\", count(*) - count({c}) nulls, count(distinct {e}) distinct_values, min({e}) min_text, max({e}) max_text from {t}"
 query("column_profile", " union all ".join([
     _PC("customer", "c_custkey", "bigint", "cast(c_custkey as varchar)"), _PC("customer", "c_name", "string", "c_name"), _PC("customer", "c_nationkey", "CN", "cast(c_nationkey as varchar)"),

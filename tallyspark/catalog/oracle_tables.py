@@ -140,9 +140,9 @@ TABLES["bud_up"] = """select entity_key, cast(period_key // 100 as integer) peri
    where l1_category in ('Revenue', 'COGS', 'OPEX') group by entity_key, account_code, period_key)
  cross join (values ('BUDGET', 'original_budget', 1.05::decimal(8,5), 0.00105::decimal(8,5)), ('Revised', 'REVISED_BUDGET', 1.02::decimal(8,5), 0.00102::decimal(8,5)),
    ('FORECAST', 'rolling_forecast', 0.98::decimal(8,5), 0.00098::decimal(8,5))) v(a, b, f, f_small)"""
-TABLES["bud"] = """select entity_key, cast(period_year * 100 + period_month as integer) period_key, account_code,
- case upper(budget_version) when 'REVISED' then 'REVISED_BUDGET' when 'REVISED_BUDGET' then 'REVISED_BUDGET' when 'FORECAST' then 'ROLLING_FORECAST'
-  when 'ROLLING_FORECAST' then 'ROLLING_FORECAST' else 'ORIGINAL_BUDGET' end budget_version, budget_amount
+_FOLDED = " ".join(f"when '{alias}' then '{version}'" for alias, version in K.BUDGET_ALIASES.items())
+TABLES["bud"] = f"""select entity_key, cast(period_year * 100 + period_month as integer) period_key, account_code,
+ case upper(budget_version) {_FOLDED} else 'ORIGINAL_BUDGET' end budget_version, budget_amount
  from bud_up where budget_amount is not null"""
 TABLES["accesslog"] = "select event_id, ts event_ts, user_id, event_type action, value, props from events"
 TABLES["usermap"] = """select user_id, entity_key, entity_code, user_id % 10 <> 0 is_active,

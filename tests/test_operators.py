@@ -496,3 +496,49 @@ def test_registry_stays_without_an_optional_library():
     import os
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
+def test_the_whole_queue_has_the_rules_rows_and_the_forests(spark):
+    """The forest's rows are those of a plain forest with the same seeds."""
+    import numpy as np
+    from tallyspark import catalog
+    from tallyspark.catalog import detection_queries as D
+    whole = [tuple(r) for r in catalog.queries()["anomaly_queue"](spark, SF).collect()]
+    rules = [tuple(r) for r in catalog.queries()["anomaly_queue_rules"](spark, SF).collect()]
+    found = [r for r in whole if r[3] == "ISOLATION_FOREST"]
+    assert sorted(map(str, rules)) == sorted(map(str, [r for r in whole if r[3] != "ISOLATION_FOREST"])) and found
+    want = {}
+    history = D.history(Books(spark, SF)).toPandas().sort_values("period_key")
+    for key, months in history.groupby("entity_key"):
+        if len(months) >= 3 and (months.period_key == D.CURRENT).any():
+            x = months[anomaly.KPI_COLUMNS].astype(float).fillna(0.0).to_numpy()
+            s = anomaly._path_lengths(x, np.random.default_rng(anomaly.SEED + int(key)), anomaly.TREES, anomaly.ROWS_PER_TREE)
+            now = s[(months.period_key == D.CURRENT).to_numpy()][0]
+            if now > np.quantile(s, 1 - anomaly.CONTAMINATION):
+                want[key] = now
+    assert {r[0]: pytest.approx(r[10]) for r in found} == want
+
+
+def test_a_thousand_questions_equal_brute_force(spark, monkeypatch):
+    """Over several blocks of questions and partitions of documents, with ties and documents without a direction."""
+    import numpy as np
+    from tallyspark.operators import retrieval
+    monkeypatch.setattr(retrieval, "QUESTIONS_AT_ONCE", 300)
+    rng = np.random.default_rng(1)
+    x, q = rng.normal(size=(400, 8)), rng.normal(size=(1000, 8))
+    x[7] = x[9]
+    texts = [["alpha", "beta", "Alpha beta", None][i % 4] for i in range(400)]
+    texts[7] = texts[9]
+    docs = [(i, t, v.tolist()) for i, (t, v) in enumerate(zip(texts, x))] + [(500, "alpha", None), (501, "alpha", [0.0] * 8), (502, "beta", [1.0])]
+    words = [["alpha"], ["alpha", "beta"], ["x"]]
+    got = retrieval.top_matches_many(spark.createDataFrame(docs, "doc_id bigint, text string, embedding array<double>").repartition(5),
+                                     spark.createDataFrame([(i, v.tolist(), words[i % 3]) for i, v in enumerate(q)], "question_id bigint, vector array<double>, words array<string>"), 5)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.question_id, {})[r.place] = (r.doc_id, r.score)
+    cosines = (x / np.sqrt((x ** 2).sum(1, keepdims=True))) @ (q / np.sqrt((q ** 2).sum(1, keepdims=True))).T
+    for j in range(1000):
+        share = [sum(w in (t or "").lower() for w in words[j % 3]) / len(words[j % 3]) for t in texts]
+        scores = retrieval._half_up(0.7 * cosines[:, j] + 0.3 * np.array(share))
+        order = sorted(range(400), key=lambda i: (-scores[i], i))[:5]
+        assert [found[j][p + 1] for p in range(5)] == [(i, pytest.approx(scores[i])) for i in order]

@@ -36,3 +36,13 @@ def test_postings_are_not_shuffled_for_monthly_figures(spark, books):
     p = plan(books.movements())
     after_unfold = p.split("Generate explode(array(")[0]
     assert after_unfold.count("Exchange") <= 1
+
+
+def test_lines_meet_orders_without_a_hint(spark, books):
+    """Neither side has to fit into memory: Spark sorts and spills, or chooses by size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(books.base())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" not in p and "SortMergeJoin" in p
