@@ -27,7 +27,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, the last of each source cut to its target."""
+    """Documents as often as the mix takes them, whole, by shard and in the shard's order."""
     return mixing.mix_documents(docs)
 
 
@@ -35,7 +35,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed, little-endian, 32 bits), and digests of ids and decoded text."""
     import public_tokenizers
 
-    coded = pieces.tokenize(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.tokenize(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_words=False)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -204,8 +204,12 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded) per row; ids are packed as little-endian unsigned 32-bit integers."""
+def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_words: bool = True) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) per row; ids are packed as little-endian unsigned 32-bit integers.
+
+    A worker keeps the words it has seen for its next tasks. Without `keep_words` they go when a task is done: slower, but other stages find
+    the memory free.
+    """
     def run(batches):
         pieces = model(model_path)
         for batch in slices(batches):
@@ -213,7 +217,8 @@ def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
                 pa.array([pieces.decode(np.frombuffer(p, "<u4").tolist()) for p in packed], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
-        pieces.words, pieces.older = {}, {}
+        if not keep_words:
+            pieces.words, pieces.older = {}, {}
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(releasing(run), TOKENS)
