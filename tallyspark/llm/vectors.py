@@ -38,6 +38,14 @@ def unpack(ids: bytes, vectors: bytes, width: int) -> tuple[np.ndarray, np.ndarr
     return names, np.frombuffer(vectors, np.float64).reshape(len(names), width)
 
 
+def doubles(scores: np.ndarray) -> np.ndarray:
+    """Scores as doubles; whole numbers beyond them become infinite."""
+    if scores.dtype != object:
+        return scores.astype(np.float64)
+    flat = [float(s) if -2 ** 1023 < s < 2 ** 1023 else np.inf if s > 0 else -np.inf for s in scores.ravel()]
+    return np.array(flat, np.float64).reshape(scores.shape)
+
+
 class TopK:
     """The k best (score, then smaller id) of each row, kept while blocks of candidates pass by."""
 
@@ -56,7 +64,7 @@ class TopK:
         keep = rank < self.k
         self.row, self.id, self.score = row[keep], ids[keep], score[keep]
         full = np.flatnonzero(rank == self.k - 1)
-        self.least[row[full]] = np.maximum(self.least[row[full]], np.array(score[full], np.float64))
+        self.least[row[full]] = np.maximum(self.least[row[full]], doubles(score[full]))
 
     def ranks(self) -> np.ndarray:
         return np.arange(len(self.row)) - np.searchsorted(self.row, self.row) + 1

@@ -192,8 +192,8 @@ def test_exact_top_k_on_odd_vectors(spark, monkeypatch):
     queries = frame.where("vec_id % 20 = 0")
     want = brute_top(rows, 64, True)
     assert sorted(map(tuple, voronoi.exact_top_k(frame, queries).collect())) == want
-    monkeypatch.setattr(voronoi, "BLOCK_ROWS", 3)
-    assert sorted(map(tuple, voronoi.exact_top_k(frame, queries, pivots=5, sample_rows=30).collect())) == want
+    monkeypatch.setattr(voronoi, "AT_ONCE", 7)
+    assert sorted(map(tuple, voronoi.exact_top_k(frame, queries, pivots=5, sample_rows=30, block_rows=3, slice_rows=40).collect())) == want
     assert voronoi.exact_top_k(frame.limit(0), queries).count() == 0 and voronoi.exact_top_k(frame, queries.limit(0)).count() == 0
 
 
@@ -205,6 +205,60 @@ def test_scores_beyond_doubles_are_whole(spark):
     assert sorted(map(tuple, voronoi.exact_top_k(frame, frame.where("vec_id = 0")).collect())) == want
     far = spark.createDataFrame([(0, [1e30]), (1, [1e30]), (2, [-1e30])], "vec_id bigint, embedding array<double>")
     assert [r.score for r in voronoi.exact_top_k(far, far.where("vec_id = 0")).sort("rank").collect()] == [2 ** 63 - 1, -2 ** 63]
+    rows = [(0, [1e300]), (1, [1.0]), (2, [1e299]), (3, [-1e300]), (4, [1e308]), (5, [1e300])]
+    huge = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = voronoi.exact_top_k(huge, huge.where("vec_id = 0"), slice_rows=1).sort("rank").collect()
+    assert [r.vec_id for r in got] == [5, 2, 1, 3]  # equal once cut to 64 bits, ranked by what they are; 64 * 1e308 is not finite
+
+
+def clustered(n, clusters=12, width=16, seed=3):
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal((clusters, width)) * 3
+    of = rng.integers(0, clusters, n)
+    return centre[of] + rng.standard_normal((n, width)) * 0.05
+
+
+def test_cells_that_cannot_hold_an_answer_are_not_sent(spark, monkeypatch):
+    """Clustered vectors: the result is exact, and a row goes to few of the groups; a third of the rows are one vector, of one id in part."""
+    x = clustered(1500)
+    x[::3] = x[0]
+    ids = [20 if i % 9 == 0 else i for i in range(len(x))]
+    rows = list(zip(ids, x.tolist()))
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    dealt = []
+    meet = voronoi.meet
+    monkeypatch.setattr(voronoi, "meet", lambda sides, *a: dealt.append(sides[1]) or meet(sides, *a))
+    queries = frame.where("vec_id % 20 = 0 AND vec_id <> 20")
+    got = sorted(map(tuple, voronoi.exact_top_k(frame, queries, block_rows=20, slice_rows=200).collect()))
+    assert got == [r for r in brute_top(rows, 64, True) if r[0] != 20]
+    sent = dealt[0].agg(F.sum(F.length("ids") / 8).alias("n"), F.countDistinct("block").alias("blocks")).first()
+    assert sent.n < 4 * len(rows) and sent.blocks > 5
+
+
+def test_bounds_of_cells_hold():
+    x = clustered(300) * 64
+    p = voronoi.centres(x, 9)
+    cell = voronoi.nearest_pivot(x, p)
+    away = np.sqrt(((x - p[cell]) ** 2).sum(1))
+    radius = np.array([away[cell == j].max() if (cell == j).any() else -1 for j in range(len(p))])
+    near = [(int(cell[i]), int(i), float(away[i])) for j in range(len(p)) for i in np.flatnonzero(cell == j)[np.argsort(away[cell == j])][:6]]
+    bound = voronoi.cell_bounds(p, radius, near, 5)
+    scores = x @ x.T
+    np.fill_diagonal(scores, -np.inf)
+    fifth = np.sort(scores, axis=1)[:, -5]
+    assert (fifth >= bound[cell]).all() and np.isfinite(bound[np.unique(cell)]).all()
+    assert (voronoi.cell_bounds(p, radius, near[:5], 5) == -np.inf).all()
+
+
+def test_cells_are_packed_and_split():
+    p = np.arange(8, dtype=float)[:, None]
+    sizes = np.array([5, 0, 3, 40, 2, 9, 1, 0])
+    first, parts = voronoi.packs(p, sizes, 10)
+    assert parts[3] == 4 and (np.delete(parts, 3) == 1).all()
+    load = {}
+    for c in np.flatnonzero((sizes > 0) & (parts == 1)):
+        load[first[c]] = load.get(first[c], 0) + sizes[c]
+    assert max(load.values()) <= 10 and not set(load) & set(range(first[3], first[3] + 4))
 
 
 def test_forest_with_all_rows_is_exact(spark):
