@@ -186,8 +186,25 @@ query("conform_sources", f"""with s as (select *, case suppkey % 3 when 0 then '
         n(), F.sum("debit").alias("debit"), F.max("source_id").alias("last_id"), F.max("document_number").alias("last_doc"), *[F.max(c).alias(c) for c in (
             "document_date", "document_type", "currency_code", "fx_rate", "cost_centre", "project", "reversal_of_id", "fiscal_year", "fiscal_period", "source_version")],
         F.sum("debit_fcy").alias("debit_fcy"), F.min("description").alias("description"), F.count(F.when(F.col("is_reversal"), 1)).alias("reversals")))
-query("ingestion_manifest")(lambda b: M.manifest(M.scan_files(b.spark, export_partitioned(b))))
-query("landing_check")(lambda b: M.landing_check(M.scan_files(b.spark, export_csv(b))))
+
+
+def export_daily(b):
+    """A month's file of daily sales per company, in order, so that its bytes are known. The calendar and the companies bound a file."""
+    path = fresh_path(b.spark, "daily-extract")
+    days = sales(b).groupBy("posting_date", "company").agg(F.count("*").alias("n"), F.sum("debit").alias("debit"))
+    lines = days.select(F.year("posting_date").alias("year"), F.month("posting_date").alias("month"), "posting_date", "company",
+                        F.concat_ws(";", F.date_format("posting_date", "yyyy-MM-dd"), "company", F.col("n").cast("string"), F.col("debit").cast("string")).alias("value"))
+    placed = lines.repartition("year", "month").sortWithinPartitions("year", "month", "posting_date", "company")
+    placed.select("year", "month", "value").write.partitionBy("year", "month").text(path)
+    return path
+
+
+TABLES["daily_files"] = """select cast(year(posting_date) as varchar) || cast(month(posting_date) as varchar) period_detected, string_agg(line || chr(10), '' order by posting_date, company) content from (
+ select posting_date, company, strftime(posting_date, '%Y-%m-%d') || ';' || company || ';' || cast(count(*) as varchar) || ';' || cast(sum(debit) as varchar) line from sale_rows group by posting_date, company) group by 1"""
+query("ingestion_manifest", "select period_detected, cast(octet_length(encode(content)) as bigint) file_bytes, sha256(content) content_hash, 'TXT' file_format, 'RECEIVED' status from daily_files")(
+    lambda b: M.manifest(M.scan_files(b.spark, export_daily(b))).drop("path", "file_name"))
+query("landing_check", """select count(*) files, cast(sum(s) as bigint) bytes, min(s) smallest, count(case when s < 1024 then 1 end) too_small, case when min(s) < 1024 then 'TOO_SMALL' else 'OK' end status from (
+ select cast(octet_length(encode(content)) as bigint) s from daily_files)""")(lambda b: M.landing_check(M.scan_files(b.spark, export_daily(b))))
 query("manifest_duplicates", """with f as (select doc_id file_id, sha256(text) content_hash, doc_id * 7 % 1000 received_at from documents)
  select file_id, content_hash, received_at, case when file_id = first_id then 'NEW' else 'DUPLICATE' end status, case when file_id <> first_id then first_id end duplicate_of
  from (select *, first_value(file_id) over (partition by content_hash order by received_at, file_id) first_id from f)""")(

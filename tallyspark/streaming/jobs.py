@@ -1,8 +1,8 @@
 """Incremental jobs. Each runs over landed files until they are used up, with its own checkpoint, and leaves a parquet table.
 
-Files may arrive in any order, so no job drops or misjudges a row for being late. Row jobs use the file sink (exactly once). Counting jobs
-write what a batch adds to a folder of that batch: a repeated batch overwrites its own folder, counts of the same window add up when
-the table is read, and sessions that touch are joined then. Alerts are decided by a keyed state operator that holds the recent days of
+Files may arrive in any order, so no job drops or misjudges a row for being late. Row jobs use the file sink (exactly once). Window jobs
+carry the open windows from batch to batch; windows that have closed are written once, and late rows for them become corrections: counts of
+the same window add up when the table is read, and sessions that touch are joined then. A repeated batch overwrites its own folder. Alerts are decided by a keyed state operator that holds the recent days of
 each rule and company and hands on signed changes; what is older than that is settled when the table is read.
 """
 
@@ -101,29 +101,84 @@ def dedupe_table(stream: DataFrame, label: str, time: str, keys: list[str]) -> D
     return first_per_key(batch_table(stream, label, new, day), [day, *keys], [time])
 
 
-def window_counts(stream: DataFrame, label: str, window: Column, keys: list[str]) -> DataFrame:
-    """Rows per window and keys. A batch adds its own counts; they are summed when read."""
-    def counted(batch, _):
-        return batch.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
+PART, LATE_PART, CLOSED, OPEN = "__part", "late", "closed", "open"
+OPEN_DAYS = 7
 
-    return batch_table(stream, label, counted).groupBy("window_start", *keys).agg(F.sum("n").alias("n"))
 
+def windowed_table(stream: DataFrame, label: str, partial, merge, open_days: float = OPEN_DAYS) -> DataFrame:
+    """Run the stream to the end; rows per window, in parts that `merge` makes one of when the table is read.
 
-def tumbling_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str) -> DataFrame:
-    return window_counts(stream, label, F.window(time, size), keys)
+    `partial(batch)` gives a batch's windows (start, end, keys, n) and `merge(parts, more keys)` unites windows of the same place. A batch
+    folder has three parts: windows still open, carried on from the folder before; windows that closed, because they ended `open_days`
+    before the newest start known until then; and corrections, rows of this batch for windows that had closed by then. Only the open
+    part is read again, and the one before the last is removed, so a batch costs its own rows and the open windows, not what has closed.
+    A repeated batch finds the same open part and overwrites its own folder.
+    """
+    spark = stream.sparkSession
+    out = fresh_path(spark, label)
+    nothing = partial(spark.createDataFrame([], stream.schema))
+    start, end = nothing.columns[:2]
+    kept = T.StructType([*nothing.schema.fields, T.StructField(PART, T.StringType())])
+    last = [-1]
+
+    def folder(epoch: int) -> str:
+        return f"{out}/{EPOCH}={epoch}"
+
+    def put(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(folder(epoch))
+        last[0] = epoch
+
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows, clock = partial(batch.select(*stream.columns)), None
+        where = f"{folder(epoch - 1)}/{PART}={OPEN}"
+        if sinks.exists(spark, where):
+            before = spark.read.schema(nothing.schema).parquet(where)
+            newest = before.agg(F.max(micros(start))).first()[0]
+            clock = None if newest is None else newest - int(open_days * DAY)
+        ended = F.lit(False) if clock is None else micros(end) <= clock
+        parts = rows.withColumn(PART, F.when(ended, LATE_PART).otherwise(OPEN))
+        if clock is not None:
+            parts = parts.unionByName(before.withColumn(PART, F.when(ended, CLOSED).otherwise(OPEN)))
+        put(merge(parts, [PART]), epoch)
+        sinks.remove(spark, f"{folder(epoch - 2)}/{PART}={OPEN}")
+
+    put(nothing.withColumn(PART, F.lit(OPEN)), -1)
+    (stream.writeStream.foreachBatch(write).option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint"))
+     .trigger(availableNow=True).start().awaitTermination())
+    table = spark.read.schema(T.StructType([*kept.fields, T.StructField(EPOCH, T.LongType())])).option("basePath", out).parquet(out)
+    return merge(table.where((F.col(PART) != OPEN) | (F.col(EPOCH) == last[0])).drop(PART, EPOCH), [])
+
+
+def window_counts(stream: DataFrame, label: str, window: Column, keys: list[str], open_days: float = OPEN_DAYS) -> DataFrame:
+    """Rows per window and keys. Counts of the same window add up."""
+    def counted(batch):
+        return batch.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n")).select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n")
+
+    def added(parts, more):
+        return parts.groupBy("window_start", "window_end", *keys, *more).agg(F.sum("n").alias("n"))
+
+    return windowed_table(stream, label, counted, added, open_days).drop("window_end")
+
+
+def tumbling_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str, open_days: float = OPEN_DAYS) -> DataFrame:
+    return window_counts(stream, label, F.window(time, size), keys, open_days)
 
 
-def sliding_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str, slide: str) -> DataFrame:
-    return window_counts(stream, label, F.window(time, size, slide), keys)
+def sliding_counts(stream: DataFrame, label: str, time: str, keys: list[str], size: str, slide: str, open_days: float = OPEN_DAYS) -> DataFrame:
+    return window_counts(stream, label, F.window(time, size, slide), keys, open_days)
 
 
-def sessions(stream: DataFrame, label: str, time: str, keys: list[str], gap: str) -> DataFrame:
-    """Sessions per keys. A batch adds the sessions of its own rows; those that touch across batches become one when read."""
-    def found(batch, _):
+def sessions(stream: DataFrame, label: str, time: str, keys: list[str], gap: str, open_days: float = OPEN_DAYS) -> DataFrame:
+    """Sessions per keys. Those that touch, across batches and corrections, are one."""
+    def found(batch):
         return batch.groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n")).select(
             F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n")
 
-    return join_sessions(batch_table(stream, label, found), keys)
+    return windowed_table(stream, label, found, lambda parts, more: join_sessions(parts, [*keys, *more]), open_days)
 
 
 def join_sessions(parts: DataFrame, keys: list[str]) -> DataFrame:

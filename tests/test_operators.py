@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import access, alerts, anomaly, consolidation, dims, dq, forecast, fx, history as H, intercompany, windows as W
 from tallyspark.plans import constants as K
 from tallyspark.plans.books import SOURCES, Books
-from tallyspark.sources import files, sinks
+from tallyspark.sources import files, manifest, sinks
 from tallyspark.session import fresh_path
 from tallyspark.streaming import jobs
 from tests.conftest import SF
@@ -542,3 +542,80 @@ def test_a_thousand_questions_equal_brute_force(spark, monkeypatch):
         scores = retrieval._half_up(0.7 * cosines[:, j] + 0.3 * np.array(share))
         order = sorted(range(400), key=lambda i: (-scores[i], i))[:5]
         assert [found[j][p + 1] for p in range(5)] == [(i, pytest.approx(scores[i])) for i in order]
+
+
+def window_files(spark, tmp_path, days, reverse):
+    """One file per batch: each day's rows, a few of them from ten and twenty days before; a key that is null, one with most rows."""
+    schema = "u string, t timestamp"
+    at = lambda d, m: datetime(2024, 1, 1) + timedelta(days=d, minutes=m)
+    rows = [[("a", at(d, 13 * i)) for i in range(40)] + [(None, at(d, 700)), ("b", at(d - 10, d)), ("b", at(d - 20, 5))] for d in range(days)]
+    files = rows[::-1] if reverse else rows
+    return landed(spark, tmp_path / "in", [spark.createDataFrame(f, schema) for f in files]), [r for f in rows for r in f]
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_windows_close_and_take_corrections(spark, tmp_path, monkeypatch, reverse):
+    stream, rows = window_files(spark, tmp_path, 12, reverse)
+    out = {}
+    put = jobs.fresh_path
+    monkeypatch.setattr(jobs, "fresh_path", lambda s, label: out.setdefault(label, put(s, label)))
+    got = sorted(((r.window_start, r.u, r.n) for r in jobs.tumbling_counts(stream, "w", "t", ["u"], "1 day", open_days=2).collect()), key=str)
+    want = {}
+    for u, t in rows:
+        day = t.replace(hour=0, minute=0)
+        want[day, u] = want.get((day, u), 0) + 1
+    assert got == sorted(((d, u, n) for (d, u), n in want.items()), key=str)
+    parts = spark.read.parquet(out["w"].replace("file:", "")).groupBy("__epoch", "__part").count().collect()
+    assert {r["__epoch"] for r in parts if r["__part"] == "open"} == {10, 11}  # the open windows of earlier batches are gone
+    held = max(r["count"] for r in parts if r["__part"] == "open")
+    assert any(r["__part"] == "late" for r in parts) and held < len(want) / 3
+    assert reverse or any(r["__part"] == "closed" for r in parts)
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_sessions_close_and_touch_late_rows(spark, tmp_path, reverse):
+    stream, rows = window_files(spark, tmp_path, 6, reverse)
+    got = sorted(((r.u, r.session_start, r.session_end, r.n) for r in jobs.sessions(stream, "s", "t", ["u"], "20 minutes", open_days=0.001).collect()), key=str)
+    gap, want = timedelta(minutes=20), []
+    for u in ("a", "b", None):
+        for t in sorted(t for v, t in rows if v == u):
+            if want and want[-1][0] == u and t < want[-1][2]:
+                want[-1] = (u, want[-1][1], t + gap, want[-1][3] + 1)
+            else:
+                want.append((u, t, t + gap, 1))
+    assert got == sorted(want, key=str)
+
+
+def test_windows_of_an_empty_stream(spark, tmp_path):
+    stream = landed(spark, tmp_path / "in", [spark.createDataFrame([], "u string, t timestamp")])
+    assert jobs.tumbling_counts(stream, "none", "t", ["u"], "1 day").count() == 0
+
+
+def test_a_repeated_batch_of_windows_changes_nothing(spark, tmp_path, monkeypatch):
+    stream, _ = window_files(spark, tmp_path, 4, False)
+    once = sorted(map(str, jobs.tumbling_counts(stream, "once", "t", ["u"], "1 day", open_days=1).collect()))
+    again = []
+    writer = type(stream.writeStream)
+    each = writer.foreachBatch
+    monkeypatch.setattr(writer, "foreachBatch", lambda self, f: each(self, lambda batch, epoch: (f(batch, epoch), again.append(epoch), f(batch, epoch))[0]))
+    assert sorted(map(str, jobs.tumbling_counts(stream, "twice", "t", ["u"], "1 day", open_days=1).collect())) == once and len(again) == 4
+
+
+def test_manifest_reads_files_in_pieces(spark, tmp_path):
+    """A file beyond what one binary value holds (sparse, so it takes no disk), an empty one, an odd name; pieces smaller than files."""
+    import hashlib
+    large, odd, size = tmp_path / "part-large.csv", tmp_path / "part-a b%41+=ü.txt", (1 << 31) + 17
+    with open(large, "wb") as f:
+        f.truncate(size)
+    odd.write_bytes(b"some text")
+    (tmp_path / "part-none.xml").touch()
+    want = hashlib.sha256()
+    for _ in range(1 << 11):
+        want.update(bytes(1 << 20))
+    want.update(bytes(17))
+    got = {r.file_format: (r.file_bytes, r.content_hash, r.status) for r in manifest.manifest(manifest.scan_files(spark, str(tmp_path)), piece=1 << 22).collect()}
+    assert got == {"CSV": (size, want.hexdigest(), "RECEIVED"), "TXT": (9, hashlib.sha256(b"some text").hexdigest(), "RECEIVED"), "XML": (0, hashlib.sha256().hexdigest(), "EMPTY")}
+    small = manifest.with_digest(manifest.scan_files(spark, str(tmp_path), "*.txt"), piece=2).first()
+    assert small.content_hash == got["TXT"][1]
+    checked = manifest.landing_check(manifest.scan_files(spark, str(tmp_path), "*.xml")).first()
+    assert (checked.files, checked.bytes, checked.too_small, checked.status) == (1, 0, 1, "TOO_SMALL")

@@ -23,9 +23,9 @@ def test_matches_sql(spark, con, key):
     assert problem is None
 
 
-def test_only_file_facts_lack_an_oracle():
+def test_only_forests_lack_an_oracle():
     missing = set(catalog.queries()) - set(catalog.oracle_sql())
-    assert missing == {"ingestion_manifest", "landing_check", "anomaly_isolation_forest"}
+    assert missing == {"anomaly_isolation_forest", "anomaly_queue"}
 
 
 def test_entry(spark):
