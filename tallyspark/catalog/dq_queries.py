@@ -73,13 +73,15 @@ COV = f"""with cov as (select entity_key, count(*) posted_accounts, count(c.acco
 query("coverage_failures", COV + f" select t.entity_key, account_code, coverage_pct, {dec('sum(debit)')} debit, {dec('sum(credit)')} credit, cast(sum(postings) as bigint) postings from tb t join cov on cov.entity_key = t.entity_key where account_code not in (select account_code from coa) group by all")(
     lambda b: dq.unmapped_by_value(b.trial_balance, b.accounts, dq.coverage(b.trial_balance, b.accounts, 97.0).select("entity_key", "coverage_pct")))
 query("dq_coa_coverage", COV + " select * from cov")(lambda b: dq.coverage(b.trial_balance, b.accounts, 97.0))
-IC = f"""select period_key, {dec("sum(case when account_code = '9711' then -net else 0 end)")} sold, {dec("sum(case when account_code = '511' then net else 0 end)")} bought from tb where is_intercompany group by all"""
+# accounts of the sale of goods between companies, the only income that the templates post
+IC_SOLD, IC_BOUGHT = next((sold, bought) for kind, _, sold, bought in K.IC_TYPES if kind == "GOODS_SALE")
+IC = f"""select period_key, {dec(f"sum(case when account_code = '{IC_SOLD}' then -net else 0 end)")} sold, {dec(f"sum(case when account_code = '{IC_BOUGHT}' then net else 0 end)")} bought from tb where is_intercompany group by all"""
 
 
 def ic_balance(b):
     """Intercompany income must equal intercompany cost, and the group scope must hold no intercompany income."""
     ic = b.mapped.where("is_intercompany").groupBy("period_key").agg(
-        F.sum(F.when(F.col("account_code") == "9711", -F.col("net")).otherwise(0)).alias("sold"), F.sum(F.when(F.col("account_code") == "511", F.col("net")).otherwise(0)).alias("bought"))
+        F.sum(F.when(F.col("account_code") == IC_SOLD, -F.col("net")).otherwise(0)).alias("sold"), F.sum(F.when(F.col("account_code") == IC_BOUGHT, F.col("net")).otherwise(0)).alias("bought"))
     both = b.pl.groupBy("period_key").agg(
         F.sum(F.when(F.col("consolidation_scope") == "entity", F.col("revenue")).otherwise(-F.col("revenue"))).alias("scope_difference"))
     gap = F.col("sold") - F.col("bought")

@@ -97,7 +97,7 @@ TABLES["base_lines"] = f"""select l.l_orderkey orderkey, l.l_linenumber linenumb
  from lineitem l join orders o on l.l_orderkey = o.o_orderkey join customer c on o.o_custkey = c.c_custkey
  join supplier s on l.l_suppkey = s.s_suppkey join nation ns on s.s_nationkey = ns.n_nationkey join nation nb on c.c_nationkey = nb.n_nationkey
  left join part p on l.l_partkey = p.p_partkey"""
-TABLES["reg"] = f"""select seller_key * 10000 + buyer_key * 10 + no pair_id, seller_key, buyer_key, seller_account, buyer_account, transaction_type, elimination_type,
+TABLES["reg"] = f"""select cast(seller_key as bigint) * {K.PAIR_STEP} + buyer_key * 10 + no pair_id, seller_key, buyer_key, seller_account, buyer_account, transaction_type, elimination_type,
  (seller_key + buyer_key) % 9 <> 0 is_active, make_date(1995 + seller_key % 3, 1, 1) valid_from, case when buyer_key % 4 = 0 then date '1999-12-31' end valid_to
  from (select distinct seller_key, buyer_key from base_lines where is_intercompany),
  (values {', '.join(str((i, *t)) for i, t in enumerate(K.IC_TYPES))}) t(no, transaction_type, elimination_type, seller_account, buyer_account)"""

@@ -85,7 +85,7 @@ class Books:
         types = F.array(*[F.struct(F.lit(i).alias("no"), *[F.lit(v).alias(c) for c, v in zip(
             ("transaction_type", "elimination_type", "seller_account", "buyer_account"), t)]) for i, t in enumerate(K.IC_TYPES)])
         return pairs.withColumn("t", F.explode(types)).select(
-            (F.col("seller_key") * 10000 + F.col("buyer_key") * 10 + F.col("t.no")).alias("pair_id"), "seller_key", "buyer_key",
+            (F.col("seller_key").cast("bigint") * K.PAIR_STEP + F.col("buyer_key") * 10 + F.col("t.no")).alias("pair_id"), "seller_key", "buyer_key",
             "t.seller_account", "t.buyer_account", "t.transaction_type", "t.elimination_type",
             ((F.col("seller_key") + F.col("buyer_key")) % 9 != 0).alias("is_active"),
             F.make_date(F.lit(1995) + (F.col("seller_key") % 3), F.lit(1), F.lit(1)).alias("valid_from"),

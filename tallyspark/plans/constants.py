@@ -69,6 +69,8 @@ LEGS = [
 
 # intercompany relations: transaction type, elimination type, account of the seller, account of the buyer
 IC_TYPES = [("GOODS_SALE", "REVENUE_EXPENSE", "9711", "511"), ("LOAN", "RECEIVABLE_PAYABLE", "314", "455"), ("MANAGEMENT_FEE", "REVENUE_EXPENSE", "9712", "512")]
+#: A pair's number leaves room for so many buyers, times ten relations.
+PAIR_STEP = 10_000_000_000
 IC_ACCOUNTS = sorted({a for t in IC_TYPES for a in t[2:]})
 
 # currency of a nation by its region number, with the base quote in HUF
