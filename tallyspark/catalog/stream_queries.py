@@ -14,22 +14,23 @@ from .registry import query
 from .source_queries import EXPORT, export_csv
 
 n = lambda: F.count("*").alias("n")  # built when a query runs: the registry loads without a session
-#: Rows of a landed file, and files that a batch takes: several batches even for small tables.
+#: Rows of a landed file, and files that a batch takes at least: several batches even for small tables.
 EVENTS, POSTINGS, ALERTS, FILES = 2_000, 400_000, 5_000, 2
 
 
 def event_stream(b):
     log = b.access_log
-    return J.read_landed(b.spark, J.land(log, "events", EVENTS), log.schema, FILES)
+    return J.read_backlog(b.spark, J.land(log, "events", EVENTS), log.schema, FILES)
 
 
 def posting_stream(b):
     rows = b.ledger().select("transaction_id", "entity_key", "entity_code", "account_code", "net", "posting_date", "ingestion_date", "period_key", "currency_code")
-    return J.read_landed(b.spark, J.land(rows, "postings", POSTINGS), rows.schema, FILES)
+    return J.read_backlog(b.spark, J.land(rows, "postings", POSTINGS), rows.schema, FILES)
 
 
 def bronze(b):
-    raw = b.spark.readStream.schema(files.text_schema(EXPORT)).options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxFilesPerTrigger=FILES).csv(export_csv(b))
+    path = export_csv(b)
+    raw = b.spark.readStream.schema(files.text_schema(EXPORT)).options(sep=";", header=True, quote='"', escape="\\", nullValue="", maxFilesPerTrigger=J.files_a_batch(b.spark, path, FILES)).csv(path)
     typed = raw.select("transaction_id", "company_id", F.to_date("posting_date").alias("posting_date"), parse_comma_decimal("debit_amount").alias("debit"),
                        F.col("_metadata.file_name").alias("file_name"))
     return J.append_table(typed, "bronze")
@@ -77,7 +78,7 @@ def incremental_fact(b):
     moved = p.where("entity_key % 4 = 1 AND period_key = 199906").withColumns({"period_key": F.lit(199908), "version": F.lit(2)})
     fixed = p.where("entity_key % 2 = 1 AND period_key = 199906").withColumns({"net": amount(F.col("net") + 1), "version": F.lit(1)})
     rows = p.unionByName(moved).unionByName(fixed)
-    s = J.read_landed(b.spark, J.land(rows, "corrected", POSTINGS), rows.schema, FILES)
+    s = J.read_backlog(b.spark, J.land(rows, "corrected", POSTINGS), rows.schema, FILES)
     return J.merge_table(s, "fact", ["transaction_id"], "period_key", ["entity_key", "account_code"], ["version"])
 
 
@@ -107,7 +108,7 @@ def cooled(b):
     large = b.base().where(F.col("a_sale") > RULE["threshold_value"]).select(
         F.lit(RULE["rule_code"]).alias("rule_code"), F.col("seller_code").alias("entity_code"),
         (F.col("posting_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("partkey") % 24).cast("int"), mins=(F.col("suppkey") % 60).cast("int"))).alias("raised_at"))
-    return J.cooldown_table(J.read_landed(b.spark, J.land(large, "alerts", ALERTS), large.schema, FILES), "candidates", RULE["cooldown_hours"])
+    return J.cooldown_table(J.read_backlog(b.spark, J.land(large, "alerts", ALERTS), large.schema, FILES), "candidates", RULE["cooldown_hours"])
 
 
 query("stream_alert_cooldown", f"""with recursive a as (select seller_code entity_code, posting_date + to_hours(cast(partkey % 24 as integer)) + to_minutes(cast(suppkey % 60 as integer)) raised_at from base_lines where a_sale > {RULE["threshold_value"]}),

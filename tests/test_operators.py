@@ -619,3 +619,73 @@ def test_manifest_reads_files_in_pieces(spark, tmp_path):
     assert small.content_hash == got["TXT"][1]
     checked = manifest.landing_check(manifest.scan_files(spark, str(tmp_path), "*.xml")).first()
     assert (checked.files, checked.bytes, checked.too_small, checked.status) == (1, 0, 1, "TOO_SMALL")
+
+
+def test_backlog_is_taken_in_few_batches(spark, tmp_path):
+    """However many files lie there, a stream takes them in BATCHES batches at most; few files are taken as asked."""
+    path = str(tmp_path / "landed")
+    spark.range(60).repartition(30).write.parquet(path)
+    files = len([n for n in sinks.names(spark, path) if n.startswith("part-")])
+    assert files == 30 and jobs.files_a_batch(spark, path, 1) == 4 and jobs.files_a_batch(spark, path, 50) == 50
+    taken = []
+    stream = jobs.read_backlog(spark, path, spark.read.parquet(path).schema, 2)
+    stream.writeStream.foreachBatch(lambda batch, epoch: taken.append(batch.count())).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(taken) == 60 and 2 <= len(taken) <= jobs.BATCHES
+    assert sinks.names(spark, str(tmp_path / "nowhere")) == []
+
+
+def test_cooldown_state_is_not_written_for_days_that_go(spark):
+    """A batch over many days leaves only the kept ones in the state, and writes no others."""
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+        def update(self, x): self.held = x
+
+    class Days(dict):
+        written = 0
+        exists = lambda self: bool(self)
+        keys = lambda self: iter(list(dict.keys(self)))
+        containsKey = dict.__contains__
+        getValue = dict.__getitem__
+        removeKey = dict.__delitem__
+        def updateValue(self, k, v):
+            self.written += 1
+            self[k] = v
+
+    import pandas as pd
+    c = jobs.Cooldown(48, 10)
+    c.days, c.before = Days(), Value()
+    at = [d * jobs.DAY for d in range(100)]
+    out = pd.concat(c.handleInputRows(("r", "e"), iter([pd.DataFrame({"at": at})]), None))
+    assert list(out[out.change == jobs.FIRED].raised_at) == at[::2] and c.days.written == 10 and len(c.days) == 10
+    assert c.before.held == (90, 88 * jobs.DAY)
+
+
+def test_hash_screened_rules_equal_plain_ones(spark):
+    """Repeated keys are found whatever repeats, nulls and empty texts included, and only hashes are shuffled for rows that are alone."""
+    rng = random.Random(5)
+    pick = lambda values: rng.choice([None, *values])
+    rows = [(pick(["A", "B", ""]), pick(["s"]), f"{rng.randrange(40)}", pick(["S1", "S2"]), rng.choice("DC"), f"b{i}", date(2000, 1, 1 + i % 20)) for i in range(300)]
+    df = spark.createDataFrame(rows, "entity_code string, source_system string, source_id string, leg string, side string, batch_id string, posting_date date")
+    want = {}
+    for r in rows:
+        want.setdefault(r[:5], []).append(r)
+    got = {tuple(r)[:5]: tuple(r)[5:] for r in dq.duplicate_sources(df).collect()}
+    assert got == {k: (len(v), min(r[5] for r in v), max(r[5] for r in v), min(r[6] for r in v), max(r[6] for r in v)) for k, v in want.items() if len(v) > 1}
+    alone = dq.sharing_hash(df.where("source_id IS NULL").unionByName(df.limit(1)), ["batch_id"])
+    assert alone.count() == 0
+    tests = {r.test: r.failures for r in dq.schema_tests(df, ["leg"], unique=["entity_code", "batch_id"]).collect()}
+    named = [r[0] for r in rows if r[0] is not None]
+    assert tests["unique:entity_code"] == len(named) - len(set(named)) and tests["unique:batch_id"] == 0
+
+
+def test_written_files_are_bounded_in_rows(spark, tmp_path, monkeypatch):
+    """A file that one task must read whole has at most so many rows, however many rows a task writes."""
+    from tallyspark.catalog import source_queries as Q
+    monkeypatch.setattr(Q, "INVOICES", 1000)
+    monkeypatch.setattr(Q, "PAGES", 1000)
+    b = Books(spark, SF)
+    rows = b.base().count()
+    for read in (Q.xml_invoices, Q.journals):
+        assert len(read(b).inputFiles()) >= rows / 1000
