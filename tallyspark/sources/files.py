@@ -39,7 +39,7 @@ MONEY = "decimal(18,2)"
 
 
 def read_journals(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of journals with nested lines, flattened to one row per line. One page per text line keeps files splittable."""
+    """Pages of journals with nested lines, flattened to one row per line. one page per text line keeps plain files splittable."""
     pages = spark.read.schema(JOURNAL_SCHEMA).json(path)
     journals = pages.select(F.explode("value").alias("j")).select("j.*")
     line = lambda name, alias: F.col(f"l.{name}").alias(alias)
