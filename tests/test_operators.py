@@ -689,3 +689,15 @@ def test_written_files_are_bounded_in_rows(spark, tmp_path, monkeypatch):
     rows = b.base().count()
     for read in (Q.xml_invoices, Q.journals):
         assert len(read(b).inputFiles()) >= rows / 1000
+
+
+def test_fingerprints_are_counted_exactly(spark, monkeypatch):
+    """Equal first bits of different digests, copies, and rows without a month."""
+    from tallyspark.catalog import projection_queries as P
+    same, rows = "0" * 12, []
+    for month in (199901, 199902, None):
+        rows += [(month, same + "a" * 52), (month, same + "b" * 52), (month, same + "b" * 52), (month, "f" * 64), (month, "1" * 64), (month, "1" * 64)]
+    df = spark.createDataFrame(rows, "period_key int, row_hash string")
+    monkeypatch.setattr(P, "staged", lambda b: df)
+    got = {tuple(r) for r in P.fingerprints(None).collect()}
+    assert got == {(m, int("f" * 12, 16), "f" * 64, same + "a" * 52, 4) for m in (199901, 199902, None)}
