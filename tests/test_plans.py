@@ -46,3 +46,12 @@ def test_lines_meet_orders_without_a_hint(spark, books):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "ShuffledHashJoin" not in p and "SortMergeJoin" in p
+
+
+def test_project_results_have_no_groups_of_cost_centres(spark, books):
+    from tallyspark.operators import project
+    balance = books.project_balance
+    assert "cost_centre" not in balance.columns
+    of = lambda b: sorted(map(tuple, project.project_actuals(b, books.accounts).collect()))
+    assert of(balance) == of(books.cost_balance)
+    assert balance.count() < books.cost_balance.count()
