@@ -55,3 +55,14 @@ def test_project_results_have_no_groups_of_cost_centres(spark, books):
     of = lambda b: sorted(map(tuple, project.project_actuals(b, books.accounts).collect()))
     assert of(balance) == of(books.cost_balance)
     assert balance.count() < books.cost_balance.count()
+
+
+def test_postings_are_added_up_before_they_meet_their_versions(spark, monkeypatch):
+    """One fact per company, account and day is looked up, not one per posting."""
+    from tallyspark.operators import history
+    asked = []
+    looked_up = history.valid_at
+    monkeypatch.setattr(history, "valid_at", lambda facts, *rest: asked.append(facts) or looked_up(facts, *rest))
+    catalog.queries()["temporal_mapping_join"](spark, SF)
+    key = ["company", "account_code", "posting_date"]
+    assert asked[0].count() == asked[0].select(*key).distinct().count()
