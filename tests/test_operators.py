@@ -701,3 +701,23 @@ def test_fingerprints_are_counted_exactly(spark, monkeypatch):
     monkeypatch.setattr(P, "staged", lambda b: df)
     got = {tuple(r) for r in P.fingerprints(None).collect()}
     assert got == {(m, int("f" * 12, 16), "f" * 64, same + "a" * 52, 4) for m in (199901, 199902, None)}
+
+
+def test_source_lines_that_repeat_are_found_by_their_sides(spark):
+    from tallyspark.operators import dq
+    row = lambda source, leg, side, entity="A": (entity, "SAP_B1", source, leg, side)
+    rows = [row("1-1", "S1", "D"), row("1-1", "S1", "C"), row("1-1", "S2", "D"), row("1-1", "S1", "D", "B"),
+            row("2-1", "S1", "D"), row("2-1", "S1", "D"), row("3-1", "X", "D"), row("4-1", None, "C"), row("4-1", None, "C"), row("5-1", "S1", "D", None), row("5-1", "S1", "D", None)]
+    postings = spark.createDataFrame(rows, "entity_code string, source_system string, source_id string, leg string, side string")
+    assert sorted({r.source_id for r in dq.suspect_sources(postings).collect()}) == ["2-1", "3-1", "4-1", "5-1"]
+    assert dq.suspect_sources(postings.where("source_id = '1-1'")).isEmpty()
+
+
+def test_the_log_counts_repeated_source_rows(spark, books):
+    """A line that came in twice counts once for each of its postings."""
+    ledger = books.ledger().where("period_key <= 199503")
+    failed = lambda rows: dq.dq_log(rows, books.accounts, books.fx_rates).where("rule_id = 'DQ-008'").agg(F.sum("records_failed"), F.sum("records_checked")).first()
+    n = ledger.count()
+    assert tuple(failed(ledger)) == (0, n)
+    again = ledger.where("partkey % 10 = 0")
+    assert tuple(failed(ledger.unionByName(again))) == (again.count(), n + again.count())
