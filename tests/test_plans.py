@@ -66,3 +66,18 @@ def test_postings_are_added_up_before_they_meet_their_versions(spark, monkeypatc
     catalog.queries()["temporal_mapping_join"](spark, SF)
     key = ["company", "account_code", "posting_date"]
     assert asked[0].count() == asked[0].select(*key).distinct().count()
+
+
+def unfolded_last(df):
+    """The optimised plan above and below the unfolding of order lines into legs and sides."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(lines) if "Generate explode(" in line]
+    return "\n".join(lines[:at[0]]), "\n".join(lines[at[0]:at[-1]]), "\n".join(lines[at[-1] + 1:])
+
+
+def test_what_the_postings_of_a_line_share_is_worked_out_before_they_are_unfolded(spark, books):
+    sides, legs, lines = unfolded_last(books.ledger().select("transaction_id", "ingestion_date", "document_number", "source_system", "currency_code", "debit_fcy"))
+    assert "Join" not in sides + legs and "Join" in lines
+    assert "date_add" not in sides + legs and "date_add" in lines
+    assert "concat_ws(-, cast(" not in sides + legs
+    assert "base_rate" not in sides
