@@ -132,12 +132,17 @@ query("dim_currency", "select * from d_currency")(currency_dim)
 
 
 def star(b: Books):
-    fact = b.ledger(dims=True).withColumn("date_key", F.date_format("posting_date", "yyyyMMdd").cast("int"))
+    """Postings with the keys of their dimensions. All postings of an order line share its centre, project, currency and date, so these are
+    looked up for the line, and only company and account for the posting."""
+    def of_line(lines):
+        lines = dims.resolve(lines, centre_dim(b), {"cost_centre": "cost_centre"}, "cost_centre_key")
+        lines = dims.resolve(lines, project_dim(b), {"project": "project"}, "project_key")
+        lines = dims.resolve(lines, currency_dim(b), {"currency_code": "currency_code"}, "currency_key")
+        return lines.withColumn("date_key", F.date_format("posting_date", "yyyyMMdd").cast("int"))
+
+    fact = b.ledger(dims=True, on_lines=of_line)
     fact = dims.resolve(fact, entity_dim(b), {"entity_code": "entity_code"}, "entity_sk")
-    fact = dims.resolve(fact, account_dim(b), {"entity_code": "entity_code", "account_code": "account_code"}, "account_key")
-    fact = dims.resolve(fact, centre_dim(b), {"cost_centre": "cost_centre"}, "cost_centre_key")
-    fact = dims.resolve(fact, project_dim(b), {"project": "project"}, "project_key")
-    return dims.resolve(fact, currency_dim(b), {"currency_code": "currency_code"}, "currency_key")
+    return dims.resolve(fact, account_dim(b), {"entity_code": "entity_code", "account_code": "account_code"}, "account_key")
 
 
 query("resolve_dimensions", f"""select entity_sk, coalesce(account_key, -1) account_key, coalesce(cost_centre_key, -1) cost_centre_key, coalesce(project_key, -1) project_key, coalesce(currency_key, -1) currency_key,

@@ -81,3 +81,11 @@ def test_what_the_postings_of_a_line_share_is_worked_out_before_they_are_unfolde
     assert "date_add" not in sides + legs and "date_add" in lines
     assert "concat_ws(-, cast(" not in sides + legs
     assert "base_rate" not in sides
+
+
+def test_centre_project_currency_and_date_are_looked_up_for_the_line(spark, books):
+    from tallyspark.catalog.join_queries import star
+    sides, legs, lines = unfolded_last(star(books).select("entity_sk", "account_key", "cost_centre_key", "project_key", "currency_key", "date_key"))
+    assert "yyyyMMdd" not in sides + legs and "yyyyMMdd" in lines
+    assert not [c for c in ("cost_centre", "project", "currency_code") if f"({c}#" in sides + legs]
+    assert [c for c in ("cost_centre", "project", "currency_code") if f"({c}#" in lines] == ["cost_centre", "project", "currency_code"]
