@@ -26,7 +26,7 @@ TABLES["staged"] = """select b.*, period_key // 100 period_year, c.account_code
 
 
 def staged(b):
-    return S.stage_gl(S.bronze_ledger(b.ledger()), b.accounts)
+    return S.stage_gl(S.bronze_ledger(b.ledger(on_lines=S.line_texts)), b.accounts)
 
 
 query("stage_gl", f"""select entity_code, period_key, count(*) n, {dec('sum(debit)')} debit, {dec('sum(net)')} net, {dec('sum(debit_fcy)')} debit_fcy, count(case when is_unmapped_account then 1 end) unmapped,

@@ -89,3 +89,11 @@ def test_centre_project_currency_and_date_are_looked_up_for_the_line(spark, book
     assert "yyyyMMdd" not in sides + legs and "yyyyMMdd" in lines
     assert not [c for c in ("cost_centre", "project", "currency_code") if f"({c}#" in sides + legs]
     assert [c for c in ("cost_centre", "project", "currency_code") if f"({c}#" in lines] == ["cost_centre", "project", "currency_code"]
+
+
+def test_texts_that_postings_share_are_written_for_the_line(spark, books):
+    from tallyspark.catalog.projection_queries import staged
+    sides, legs, lines = unfolded_last(staged(books).select("posting_date", "document_date", "ingestion_date", "period_year", "debit"))
+    assert not [c for c in ("posting_date", "document_date", "period_key") if re.search(rf"cast\(\(?{c}#\d+ .*as string\)|cast\({c}#\d+ as string\)", sides + legs)]
+    assert "as string)" in lines
+    assert sorted(staged(books).columns) == sorted({*staged(books).columns} - {f"{c}_text" for c in ("posting_date", "period_year")})
