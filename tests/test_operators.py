@@ -721,3 +721,17 @@ def test_the_log_counts_repeated_source_rows(spark, books):
     assert tuple(failed(ledger)) == (0, n)
     again = ledger.where("partkey % 10 = 0")
     assert tuple(failed(ledger.unionByName(again))) == (again.count(), n + again.count())
+
+
+def test_source_duplicates_are_screened_by_line(spark, monkeypatch):
+    """What is written before rows are looked up again is one hash per repeated line, not one per repeated posting."""
+    written = []
+    cut = dq.cut_lineage
+    monkeypatch.setattr(dq, "cut_lineage", lambda df, label: written.append(cut(df, label)) or written[-1])
+    row = lambda source, leg, side, batch: ("A", "SAP_B1", source, leg, side, batch, date(2000, 1, 1))
+    sides = [(leg, side) for leg in ("S1", "S2", "S4") for side in "DC"]
+    rows = [row("1-1", *s, b) for s in sides for b in ("b1", "b2")] + [row("2-1", *s, "b1") for s in sides] + [row("3-1", "X", "D", "b1")]
+    df = spark.createDataFrame(rows, "entity_code string, source_system string, source_id string, leg string, side string, batch_id string, posting_date date")
+    got = sorted((r.source_id, r.leg, r.side, r.occurrences, r.first_batch, r.last_batch) for r in dq.duplicate_sources(df).collect())
+    assert got == sorted(("1-1", *s, 2, "b1", "b2") for s in sides)
+    assert [w.count() for w in written] == [2]  # the repeated line, and the one of an unknown template
