@@ -97,3 +97,9 @@ def test_texts_that_postings_share_are_written_for_the_line(spark, books):
     assert not [c for c in ("posting_date", "document_date", "period_key") if re.search(rf"cast\(\(?{c}#\d+ .*as string\)|cast\({c}#\d+ as string\)", sides + legs)]
     assert "as string)" in lines
     assert sorted(staged(books).columns) == sorted({*staged(books).columns} - {f"{c}_text" for c in ("posting_date", "period_year")})
+
+
+def test_versions_of_a_load_come_from_one_scan(spark, books):
+    from tallyspark.catalog.source_queries import insert_ignore
+    p = insert_ignore(books)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[[^\n]*l_shipdate", p)) == 3  # target, its keys, and the load
