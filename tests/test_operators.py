@@ -735,3 +735,19 @@ def test_source_duplicates_are_screened_by_line(spark, monkeypatch):
     got = sorted((r.source_id, r.leg, r.side, r.occurrences, r.first_batch, r.last_batch) for r in dq.duplicate_sources(df).collect())
     assert got == sorted(("1-1", *s, 2, "b1", "b2") for s in sides)
     assert [w.count() for w in written] == [2]  # the repeated line, and the one of an unknown template
+
+
+def test_merges_write_the_touched_partitions_once(spark, monkeypatch):
+    """Copies of keys that no update names and rows without a key stay; what a merge writes lies nowhere else before or after."""
+    written = []
+    cut = sinks.cut_lineage
+    monkeypatch.setattr(sinks, "cut_lineage", lambda df, label: written.append(label) or cut(df, label))
+    path = fresh_path(spark, "touched")
+    rows = lambda r: spark.createDataFrame(r, "id string, p int, v int")
+    sinks.write_partitioned(rows([("a", 1, 1), ("d", 1, 2), ("d", 1, 3), ("d", 1, 3), (None, 1, 5), (None, 1, 5), ("e", 3, 1), ("m", 4, 4)]), path, "p", ["id"])
+    load = rows([("a", 2, 9), ("a", 2, 8), (None, 1, 7), (None, 1, 8), ("m", 2, 0)])
+    want = [("a", 2, 9), ("d", 1, 2), ("d", 1, 3), ("d", 1, 3), ("e", 3, 1), ("m", 2, 0), (None, 1, 5), (None, 1, 5), (None, 1, 8)]
+    got = sinks.merge_partitions(path, load, ["id"], "p", ["id"]).select("id", "p", "v").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert written == ["updates"]
+    assert sorted(n for n in sinks.names(spark, path) if not n.startswith(("_SUCCESS", "."))) == ["p=1", "p=2", "p=3"]

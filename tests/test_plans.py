@@ -99,6 +99,12 @@ def test_texts_that_postings_share_are_written_for_the_line(spark, books):
     assert sorted(staged(books).columns) == sorted({*staged(books).columns} - {f"{c}_text" for c in ("posting_date", "period_year")})
 
 
+def test_lines_are_dealt_out_by_month_before_they_are_unfolded(spark, books):
+    from tallyspark.catalog.source_queries import by_month, postings
+    sides, legs, lines = unfolded_last(postings(books, by_month).where("period_key < 200007"))
+    assert "RebalancePartitions" not in sides + legs and "RebalancePartitions" in lines
+
+
 def test_versions_of_a_load_come_from_one_scan(spark, books):
     from tallyspark.catalog.source_queries import insert_ignore
     p = insert_ignore(books)._jdf.queryExecution().optimizedPlan().toString()
