@@ -751,3 +751,25 @@ def test_merges_write_the_touched_partitions_once(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert written == ["updates"]
     assert sorted(n for n in sinks.names(spark, path) if not n.startswith(("_SUCCESS", "."))) == ["p=1", "p=2", "p=3"]
+
+
+def test_a_streamed_merge_writes_a_batch_once(spark):
+    """What a batch adds stays as it was written, whatever later batches change; versions decide, else the later batch; rows without a key are rivals in their batch alone."""
+    import time
+    columns = "id string, p int, v int, version int"
+    path = fresh_path(spark, "corrections")
+    loads = [[("a", 1, 1, 0), ("b", 1, 1, 0), (None, 1, 1, 0), (None, 1, 2, 0)], [("a", 2, 5, 2), ("b", 1, 3, 1), (None, 1, 1, 0)], [("a", 1, 4, 1), ("c", 3, 1, 0)]]
+    for rows in loads:
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    schema = spark.createDataFrame([], columns).schema
+    stream = lambda: jobs.read_landed(spark, path, schema, 1)
+    alone = [(None, 1, 1, 0), (None, 1, 2, 0)]
+    for version, of_a in ((["version"], ("a", 2, 5, 2)), (None, ("a", 1, 4, 1))):
+        fact = jobs.merge_table(stream(), "corrected", ["id"], "p", ["id"], version)
+        assert sorted(map(tuple, fact.select("id", "p", "v", "version").collect()), key=str) == sorted([of_a, ("b", 1, 3, 1), ("c", 3, 1, 0), *alone], key=str)
+        assert sum(pq.read_metadata(f.removeprefix("file://")).num_rows for f in fact.inputFiles()) == sum(map(len, loads))
+        again = fact.groupBy("p", "id").count()._jdf.queryExecution().executedPlan().toString()
+        assert again.count("Exchange") == 1  # rows lie by key already
+    spark.createDataFrame([], columns).write.parquet(empty := fresh_path(spark, "nothing"))
+    assert jobs.merge_table(jobs.read_landed(spark, empty, schema, 1), "empty", ["id"], "p", ["id"]).isEmpty()
