@@ -773,3 +773,12 @@ def test_a_streamed_merge_writes_a_batch_once(spark):
         assert again.count("Exchange") == 1  # rows lie by key already
     spark.createDataFrame([], columns).write.parquet(empty := fresh_path(spark, "nothing"))
     assert jobs.merge_table(jobs.read_landed(spark, empty, schema, 1), "empty", ["id"], "p", ["id"]).isEmpty()
+
+
+def test_xml_files_are_compressed_and_read_back(spark):
+    from tallyspark.catalog import source_queries as Q
+    b = Books(spark, SF)
+    read = Q.xml_invoices(b)
+    assert all(f.endswith(".lz4") for f in read.inputFiles())
+    of = lambda rows, *columns: sorted(map(tuple, rows.select(*columns).collect()))
+    assert of(read, "szamlaszam", "brutto_osszeg", "fizetesi_mod") == sorted((r.invoice_no, r.gross, "BANK & cash") for r in Q.invoice_heads(b).collect())
