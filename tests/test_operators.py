@@ -782,3 +782,14 @@ def test_xml_files_are_compressed_and_read_back(spark):
     assert all(f.endswith(".lz4") for f in read.inputFiles())
     of = lambda rows, *columns: sorted(map(tuple, rows.select(*columns).collect()))
     assert of(read, "szamlaszam", "brutto_osszeg", "fizetesi_mod") == sorted((r.invoice_no, r.gross, "BANK & cash") for r in Q.invoice_heads(b).collect())
+
+
+def test_landed_and_streamed_tables_are_compact(spark):
+    """zstd with ids as differences, and a partition column costs no sort: what a batch writes stays in its order."""
+    rows = spark.range(2000).selectExpr("concat('order-of-a-line-', id) AS id", "id % 2 = 0 AS even")
+    landed = jobs.land(rows, "compact", 1000)
+    out = jobs.append_table(jobs.read_landed(spark, landed, rows.schema, 2), "compact-out", ["even"])
+    for f in [*spark.read.parquet(landed).inputFiles(), *out.inputFiles()]:
+        column = pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0)
+        assert column.compression == "ZSTD" and "DELTA_BYTE_ARRAY" in column.encodings
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
